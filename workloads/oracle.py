@@ -1,7 +1,8 @@
 """The queries in plain SQL for DuckDB, written independently of the Spark plans.
 
-Doubles are rounded as ``round(x * 10^d) / 10^d`` on both sides. Dates and lists
-are shown as text.
+Doubles are rounded as ``round(x * 10^d) / 10^d`` on both sides; where the result
+can be zero from below, ``+ 0`` drops the sign that Spark's ``round`` does not
+keep. Dates and lists are shown as text.
 """
 
 from __future__ import annotations
@@ -124,7 +125,7 @@ silver_telemetry AS (
     round((cast(0.4 AS double) * (1 - temperature / cast(30 AS double))
       + cast(0.3 AS double) * (1 - vibration / cast(5 AS double))
       + cast(0.3 AS double) * (cast(signal_strength AS double) / cast(100 AS double))) * 100) / 100
-      AS composite_health_score
+      + cast(0 AS double) AS composite_health_score
   FROM telemetry, limits),
 telemetry_daily AS (
   SELECT device_id, date, round(avg(energy_usage) * 100) / 100 AS avg_energy, max(temperature) AS max_temp,
