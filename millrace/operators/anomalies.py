@@ -90,7 +90,7 @@ def anomaly_rules(telemetry: DataFrame, message_id: str) -> DataFrame:
     )
 
 
-def confirm_batch(rules: DataFrame, slice_hours: int = 6) -> DataFrame:
+def confirm_batch(rules: DataFrame, slice_hours: int = 6, keep_slice: bool = False) -> DataFrame:
     """Add ``is_confirmed`` to the rows of ``anomaly_rules``, taken in time order.
 
     In time order "three of the type within an hour among the visible entries"
@@ -98,15 +98,17 @@ def confirm_batch(rules: DataFrame, slice_hours: int = 6) -> DataFrame:
     further back than the history reaches. Both need only the hour before a
     row, so the work is cut into slices of ``slice_hours`` per device, each
     given a copy of the hour before it. A device with a large share of the rows
-    is thereby spread over many tasks, and the rows are shuffled once.
+    is thereby spread over many tasks, and the rows are shuffled once. With
+    ``keep_slice`` the column ``time_slice`` stays, by which together with the
+    device the rows are partitioned; later windows over these need no shuffle.
     """
     width = slice_hours * 3600
     seconds = epoch_seconds(F.col("timestamp"))
     own = F.floor(seconds / width)
     last = F.floor((seconds + WITHIN_SECONDS + 1) / width)
-    sliced = rules.withColumn("_own", own).withColumn("_slice", F.explode(F.sequence(own, last)))
-    by_device = Window.partitionBy("device_id", "_slice").orderBy("timestamp", "message_id", "entry")
-    by_type = Window.partitionBy("device_id", "_slice", "rule").orderBy("_seq")
+    sliced = rules.withColumn("_own", own).withColumn("time_slice", F.explode(F.sequence(own, last)))
+    by_device = Window.partitionBy("device_id", "time_slice").orderBy("timestamp", "message_id", "entry")
+    by_type = Window.partitionBy("device_id", "time_slice", "rule").orderBy("_seq")
     back = SIMILAR_NEEDED - 1
     before_message = F.col("_seq") - F.col("entry")
     confirmed = (F.col("_back_seq") > before_message - HISTORY) & (
@@ -116,8 +118,12 @@ def confirm_batch(rules: DataFrame, slice_hours: int = 6) -> DataFrame:
         sliced.withColumn("_seq", F.row_number().over(by_device))
         .withColumn("_back_seq", F.lag("_seq", back).over(by_type))
         .withColumn("_back_time", F.lag("timestamp", back).over(by_type))
-        .filter(F.col("_own") == F.col("_slice"))
-        .select(*rules.columns, F.coalesce(confirmed, F.lit(False)).alias("is_confirmed"))
+        .filter(F.col("_own") == F.col("time_slice"))
+        .select(
+            *rules.columns,
+            F.coalesce(confirmed, F.lit(False)).alias("is_confirmed"),
+            *(["time_slice"] if keep_slice else []),
+        )
     )
 
 

@@ -8,12 +8,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.quality import expect_no_nulls, expect_unique_rows, require_rows
-from millrace.plans import ecommerce, iot
+from millrace.plans import ecommerce, iot, serving
+from millrace.plans.listings import listings_parse
 from millrace.plans.publish import Model, publish_layer
 from millrace.schemas import EVENTS, EVENTS_RAW, TELEMETRY
-from millrace.sources.files import enforce_schema, scan_partitioned
 from millrace.session import written
-from millrace.sources.tables import create_namespace, read_layer
+from millrace.sources.files import enforce_schema, load_csv_folder, scan_partitioned
+from millrace.sources.tables import create_namespace, layer_name, read_layer, replace_table
 
 BRONZE_TABLES = (
     "customers",
@@ -113,3 +114,27 @@ def run_iot_batch(
         "gold_maintenance_schedule": iot.maintenance_schedule(health, prediction),
     }
     return publish_layer(tables, namespace)
+
+
+def refresh_serving(
+    spark: SparkSession, keyed_anomalies: DataFrame, gold: str, serving_namespace: str
+) -> dict[str, DataFrame]:
+    """Rebuild the serving tables from the keyed anomalies and the gold device health."""
+    create_namespace(spark, serving_namespace)
+    health = read_layer(spark, gold, "gold_device_health")
+    tables = {
+        "anomaly_rollup": serving.anomaly_rollup(keyed_anomalies),
+        "unified_device_health": serving.unified_device_health(health, keyed_anomalies),
+    }
+    for name, df in tables.items():
+        replace_table(df, layer_name(serving_namespace, name))
+    return {name: read_layer(spark, serving_namespace, name) for name in tables}
+
+
+def load_listings(spark: SparkSession, folder: str, namespace: str) -> dict[str, DataFrame]:
+    """Every CSV file of a folder as a table, replaced each time; ``listings`` is parsed."""
+    create_namespace(spark, namespace)
+    tables = load_csv_folder(spark, folder)
+    for name, df in tables.items():
+        replace_table(listings_parse(df) if name == "listings" else df, layer_name(namespace, name))
+    return {name: read_layer(spark, namespace, name) for name in tables}

@@ -17,7 +17,14 @@ HIGH_VALUES = ("high",)
 
 
 def anomalies_latest(anomalies: DataFrame, arrival: Sequence[str] = ("message_id", "entry")) -> DataFrame:
-    """The keyed anomaly table: per device and time the row that arrived last."""
+    """The keyed anomaly table: per device and time the row that arrived last.
+
+    Rows that carry ``time_slice`` (see ``confirm_batch``) are already
+    partitioned by device and slice; as equal times share a slice, it can join
+    the key, and no further shuffle is needed.
+    """
+    if "time_slice" in anomalies.columns:
+        return latest_per_key(anomalies, [*KEY, "time_slice"], arrival).drop("time_slice")
     return latest_per_key(anomalies, KEY, arrival)
 
 

@@ -35,6 +35,11 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet", **options: s
     return spark.read.format(fmt).options(**options).load(path)
 
 
+def write_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", **options: str) -> None:
+    """Write a table under a path, by default replacing what is there."""
+    df.write.format(fmt).mode(mode).options(**options).save(path)
+
+
 def load_csv_folder(
     spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType] | None = None
 ) -> dict[str, DataFrame]:

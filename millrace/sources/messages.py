@@ -23,6 +23,7 @@ def message_stream(
 ) -> DataFrame:
     """A stream of (topic, key, value) rows of the given topics, text values.
 
+    Broker messages also get a ``message_id`` made of partition and offset.
     With ``fmt="kafka"`` pass the broker options, such as
     ``**{"kafka.bootstrap.servers": ...}``, and ``startingOffsets="latest"`` to
     start at the end. Any file format takes ``path``, a folder of message
@@ -33,7 +34,10 @@ def message_stream(
         settings = {"maxOffsetsPerTrigger": str(MAX_MESSAGES_PER_BATCH), **options}
         raw = spark.readStream.format("kafka").options(**settings).option("subscribe", ",".join(topics)).load()
         return raw.select(
-            "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+            "topic",
+            F.col("key").cast("string").alias("key"),
+            F.col("value").cast("string").alias("value"),
+            (F.shiftleft(F.col("partition").cast("bigint"), 48) + F.col("offset")).alias("message_id"),
         )
     bounded = {"maxBytesPerTrigger", "maxFilesPerTrigger"} & set(options)
     settings = options if bounded else {"maxBytesPerTrigger": str(MAX_BYTES_PER_BATCH), **options}
@@ -41,7 +45,10 @@ def message_stream(
     return raw.filter(F.col("topic").isin(list(topics)))
 
 
-def parse_payload(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per record of the JSON payloads, an object or an array; unreadable ones give none."""
+def parse_payload(messages: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per record of the JSON payloads, an object or an array; unreadable ones give none.
+
+    ``keep`` names columns of the message to repeat on its records.
+    """
     records = F.from_json("value", T.ArrayType(schema))
-    return messages.select(F.inline(records))
+    return messages.select(*keep, F.inline(records))

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.plans.messages import route_messages
-from millrace.streaming.sinks import start_files
+from millrace.schemas import EVENTS_TOPIC, TELEMETRY_TOPIC
+from millrace.streaming.sinks import spread, start_files
 
 
 def start_ingest(
-    envelopes: DataFrame,
+    read: Callable[[Sequence[str]], DataFrame],
     root: str,
     checkpoint: str,
     interval: str | None = None,
     ingest_date: Column | None = None,
+    other_topics: Sequence[str] = (),
+    rejects: bool = True,
 ) -> list[StreamingQuery]:
     """Start one file query each for telemetry, events and rejects below ``root``.
 
-    Rows lie under ``date=<day of processing>/device_id=<device>``; rejects,
-    which may have no device, under their date.
+    ``read`` gives the message stream of some topics, such as ``message_stream``
+    with its session and options filled in; the first two queries read only
+    their own topic. Rows lie under ``date=<day of processing>/device_id=<device>``,
+    in few files per device and micro-batch. Rejects, which may have no device,
+    lie under their date; ``other_topics`` are read for these alone.
     """
-    routed = route_messages(envelopes, ingest_date)
-    layout = {"telemetry": ("date", "device_id"), "events": ("date", "device_id"), "rejects": ("date",)}
+    telemetry = route_messages(read([TELEMETRY_TOPIC]), ingest_date).telemetry
+    events = route_messages(read([EVENTS_TOPIC]), ingest_date).events
+    layout = ["date", "device_id"]
+    jobs = {"telemetry": (spread(telemetry, layout), layout), "events": (spread(events, layout), layout)}
+    if rejects:
+        everything = read([TELEMETRY_TOPIC, EVENTS_TOPIC, *other_topics])
+        jobs["rejects"] = (route_messages(everything, ingest_date).rejects, ["date"])
     return [
-        start_files(
-            getattr(routed, name), f"{root}/{name}", f"{checkpoint}/{name}", "parquet", keys, interval
-        )
-        for name, keys in layout.items()
+        start_files(rows, f"{root}/{name}", f"{checkpoint}/{name}", "parquet", keys, interval)
+        for name, (rows, keys) in jobs.items()
     ]

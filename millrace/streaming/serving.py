@@ -20,19 +20,15 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.keyed import latest_per_key
 from millrace.plans.serving import HIGH_VALUES, KEY, anomaly_rollup
 from millrace.session import written
-from millrace.streaming.sinks import trigger
+from millrace.streaming.sinks import spread, trigger
 
 ROLLUP_KEY = ["device_id", "hour_bucket"]
-FILES_PER_DAY = 16
 
 
-def _write_version(rows: DataFrame, batch_id: int, path: str, key: Sequence[str], sort: Sequence[str]) -> None:
-    # Spread by key, not by device or day: a micro-batch is mostly of one day,
-    # and one device may hold much of it. Bounds the files per day as well.
-    spread = F.pmod(F.xxhash64(*key), F.lit(FILES_PER_DAY))
+def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str]) -> None:
+    versioned = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .repartition("day", spread)
+        spread(versioned, ["day"])
         .sortWithinPartitions("day", *sort)
         .write.mode("append")
         .partitionBy("day")
@@ -52,12 +48,11 @@ def _start_versions(
     checkpoint: str,
     mode: str,
     day: str,
-    key: Sequence[str],
     sort: Sequence[str],
     interval: str | None,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_version(batch.withColumn("day", F.to_date(day)), batch_id, path, key, sort)
+        _write_version(batch.withColumn("day", F.to_date(day)), batch_id, path, sort)
 
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return trigger(writer, interval).start()
@@ -67,7 +62,7 @@ def start_upsert(
     anomalies: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Load anomalies into the keyed table at ``path``, by day, sorted by time and severity."""
-    return _start_versions(anomalies, path, checkpoint, "append", "timestamp", KEY, ["timestamp", "severity"], interval)
+    return _start_versions(anomalies, path, checkpoint, "append", "timestamp", ["timestamp", "severity"], interval)
 
 
 def read_keyed(
@@ -101,10 +96,8 @@ def compact_days(
     closed = F.col("day") < F.lit(str(before)).cast("date")
     versions = _read_versions(spark, path, schema).filter(closed)
     newest = latest_per_key(versions, ["day", *KEY], ["batch_id", *arrival])
-    spread = F.pmod(F.xxhash64(*KEY), F.lit(FILES_PER_DAY))
     (
-        written(newest, "compact")
-        .repartition("day", spread)
+        spread(written(newest, "compact"), ["day"])
         .sortWithinPartitions("day", "timestamp", "severity")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -147,7 +140,7 @@ def start_rollup(
     rollup: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Write every changed hour of ``rollup_windows``; read with ``read_rollup``."""
-    return _start_versions(rollup, path, checkpoint, "update", "hour_bucket", ROLLUP_KEY, ROLLUP_KEY, interval)
+    return _start_versions(rollup, path, checkpoint, "update", "hour_bucket", ROLLUP_KEY, interval)
 
 
 def read_rollup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

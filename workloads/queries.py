@@ -315,7 +315,9 @@ def anomalies_confirmed(spark, sf_dir):
 
 @query("anomalies_latest")
 def anomalies_latest(spark, sf_dir):
-    return serving.anomalies_latest(anomalies_confirmed(spark, sf_dir)).select(*ANOMALIES.fieldNames())
+    # Reduced to the last row per key before the wording is added.
+    confirmed = confirm_batch(_rules(spark, sf_dir), keep_slice=True)
+    return describe(serving.anomalies_latest(confirmed)).select(*ANOMALIES.fieldNames())
 
 
 @query("anomaly_rollup")
@@ -434,9 +436,11 @@ def stream_ingest(spark, sf_dir):
     """Land messages as files, ingest them with three queries, read the folders back."""
     root = scratch_dir(spark, "ingest")
     _envelopes(spark, sf_dir).write.parquet(f"{root}/landed")
-    topics = [TELEMETRY_TOPIC, EVENTS_TOPIC, ASTRAY_TOPIC]
-    source = message_stream(spark, topics, fmt="parquet", path=f"{root}/landed")
-    _finish(*start_ingest(source, f"{root}/lake", f"{root}/checkpoint"))
+
+    def read(topics):
+        return message_stream(spark, topics, fmt="parquet", path=f"{root}/landed")
+
+    _finish(*start_ingest(read, f"{root}/lake", f"{root}/checkpoint", other_topics=[ASTRAY_TOPIC]))
     telemetry = scan_partitioned(spark, f"{root}/lake", "telemetry", TELEMETRY)
     events = scan_partitioned(spark, f"{root}/lake", "events")
     rejects = spark.read.parquet(f"{root}/lake/rejects")
