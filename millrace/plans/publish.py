@@ -49,19 +49,25 @@ def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str,
     """Make the staged rows visible in the target and remove the staging table.
 
     Replacing a table, or publishing it for the first time, renames the staging
-    table and so does not write the rows again.
+    table and so does not write the rows again. Partitioned tables are written:
+    catalogs differ in whether a rename takes the partitions along.
     """
     staging = staging_name(table, run_id)
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    elif mode == "append":
-        append_table(spark.table(staging).select(*spark.table(table).columns), table, fmt, partition_by)
+    exists = spark.catalog.tableExists(table)
+    if partition_by or (exists and mode == "append"):
+        rows = spark.table(staging)
+        if exists and mode == "append":
+            append_table(rows.select(*spark.table(table).columns), table, fmt, partition_by)
+        else:
+            replace_table(rows, table, fmt, partition_by)
         spark.sql(f"DROP TABLE {staging}")
-    else:
+    elif exists:
         old = f"{table}__old_{run_id}"
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
         spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
         spark.sql(f"DROP TABLE {old}")
+    else:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
 def publish(

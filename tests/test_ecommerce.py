@@ -1,0 +1,119 @@
+import datetime as dt
+
+import pytest
+
+from millrace.operators import left_join
+from millrace.plans import ecommerce
+from tests.helpers import rows
+
+T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+
+
+@pytest.fixture()
+def shop(spark):
+    def frame(data, schema):
+        return spark.createDataFrame(data, schema)
+
+    return {
+        "orders": frame(
+            [("o1", "c1", "delivered", T1), ("o2", "c1", "shipped", T2), ("o3", "nobody", "shipped", T1), ("o4", "c2", "canceled", T1)],
+            "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz",
+        ),
+        "customers": frame(
+            [("c1", "u1", "z1", "raw", "raw"), ("c2", "u2", "z9", "raw", "raw")],
+            "customer_id string, customer_unique_id string, customer_zip_code_prefix string, customer_city string, customer_state string",
+        ),
+        "payments": frame(
+            [("o1", 1, 10.0), ("o1", 2, 20.0), ("o4", 1, None)],
+            "order_id string, payment_sequential int, payment_value double",
+        ),
+        "reviews": frame([("o1", 5), ("o1", 2)], "order_id string, review_score int"),
+        "items": frame(
+            [("o1", "p1", "s1", 1.0, 0.1, 1, T1, 3), ("o1", "gone", "gone", 2.0, 0.2, 2, T1, 4)],
+            "order_id string, product_id string, seller_id string, price double, freight_value double, order_item_id int, "
+            "shipping_limit_date timestamp_ntz, product_quantity int",
+        ),
+        "products": frame(
+            [("p1", "toys", 4, 40, 100, 1, 2, 3)],
+            "product_id string, product_category_name string, product_name_length int, product_description_length int, "
+            "product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int",
+        ),
+        "sellers": frame(
+            [("s1", "z1", "own city", "own state")],
+            "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string",
+        ),
+        "geo": frame(
+            [("z1", "A", "AA"), ("z1", "B", "BB")],
+            "geolocation_zip_code_prefix string, geolocation_city string, geolocation_state string",
+        ),
+    }
+
+
+@pytest.fixture()
+def tables(shop):
+    return {
+        "orders": ecommerce.orders_fct(shop["orders"], shop["customers"], shop["payments"], shop["reviews"]),
+        "items": ecommerce.order_items_fct(shop["items"], shop["products"], shop["sellers"]),
+        "customers": ecommerce.customers_dim(shop["customers"], shop["geo"]),
+        "sellers": ecommerce.sellers_dim(shop["sellers"], shop["geo"]),
+        "products": ecommerce.products_dim(shop["products"]),
+    }
+
+
+def test_orders_fan_out_and_drop_unknown_customers(tables):
+    assert rows(tables["orders"], "order_id", "payment_value", "review_score") == {
+        ("o1", 10.0, 5): 1,
+        ("o1", 10.0, 2): 1,
+        ("o1", 20.0, 5): 1,
+        ("o1", 20.0, 2): 1,
+        ("o2", None, None): 1,
+        ("o4", None, None): 1,
+    }
+
+
+def test_items_keep_unmatched_rows(tables):
+    assert rows(tables["items"], "product_id", "product_category_name", "seller_city") == {
+        ("p1", "toys", "own city"): 1,
+        ("gone", None, None): 1,
+    }
+
+
+def test_dims_repeat_for_repeated_prefixes(tables, shop):
+    assert rows(tables["customers"], "customer_id", "customer_city", "customer_state") == {
+        ("c1", "A", "AA"): 1,
+        ("c1", "B", "BB"): 1,
+        ("c2", None, None): 1,
+    }
+    assert rows(tables["sellers"], "seller_city") == {("A",): 1, ("B",): 1}
+    assert rows(ecommerce.sellers_dim_pruned(shop["sellers"], shop["geo"])) == {
+        ("s1", "z1", "AA"): 1,
+        ("s1", "z1", "BB"): 1,
+    }
+
+
+def test_sales_take_the_place_from_the_items(tables):
+    sales = ecommerce.sales_summary(*[tables[n] for n in ("orders", "items", "customers", "sellers", "products")])
+    assert len(sales.columns) == 16
+    first = sales.filter("order_id = 'o1' AND product_id = 'p1'")
+    # 2 payments x 2 reviews x 2 customer places x 2 seller places
+    assert first.count() == 16
+    assert {r.seller_city for r in first.collect()} == {"own city"}
+
+
+def test_customer_summary(tables):
+    sales = ecommerce.sales_summary(*[tables[n] for n in ("orders", "items", "customers", "sellers", "products")])
+    summary = ecommerce.customer_sales_summary(sales, tables["customers"])
+    # o1: 4 rows x 2 places x (p1 at 2 seller places + gone), o2: 1 row x 2 places; then 2 dim rows
+    assert rows(summary, "customer_id", "total_orders", "total_spent", "recency_of_last_order", "customer_city") == {
+        ("c1", 26, 360.0, T2, "A"): 1,
+        ("c1", 26, 360.0, T2, "B"): 1,
+        ("c2", 1, 0.0, T1, None): 1,
+    }
+    distinct = ecommerce.customer_sales_summary(sales, tables["customers"], distinct_orders=True)
+    assert rows(distinct, "customer_id", "total_orders") == {("c1", 2): 2, ("c2", 1): 1}
+
+
+def test_left_join_lets_the_left_names_win(spark):
+    left = spark.createDataFrame([(1, "l"), (2, "l"), (None, "l")], "k int, v string")
+    right = spark.createDataFrame([(1, "r", True), (None, "r", True)], "rk int, v string, extra boolean")
+    assert rows(left_join(left, right, {"k": "rk"})) == {(1, "l", True): 1, (2, "l", None): 1, (None, "l", None): 1}

@@ -1,0 +1,85 @@
+"""The shape of the physical plans: what is pushed down, pruned and shuffled."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import anomaly_rules, confirm_batch, latest_per_key, previous_time
+from millrace.plans import ecommerce, iot, serving
+from workloads.views import view
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(text):
+    return len(re.findall(r"Exchange hashpartitioning", text))
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """Telemetry stored by date, as silver tables would be."""
+    path = str(tmp_path_factory.mktemp("silver") / "telemetry")
+    iot.silver_telemetry(view(spark, SF, "telemetry")).write.partitionBy("date").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_prediction_is_one_pass_and_prunes(lake):
+    text = plan(iot.failure_prediction(lake, "2024-01-30", lookback_days=3))
+    assert text.count("FileScan") == 1 and shuffles(text) == 1
+    assert re.search(r"PartitionFilters: \[.*date#\d+ >= 2024-01-27", text)
+    assert "Join" not in text and "is_temp_anomaly" not in text
+
+
+def test_outlier_limits_are_a_subquery_not_a_join(spark):
+    text = plan(iot.silver_telemetry(view(spark, SF, "telemetry")))
+    assert "Subquery" in text and "Join" not in text and "Window" not in text
+
+
+def test_unused_outlier_limits_are_not_computed(spark):
+    text = plan(iot.failure_prediction(iot.silver_telemetry(view(spark, SF, "telemetry")), "2024-01-30"))
+    assert "Subquery" not in text
+
+
+def test_keyed_table_limits_rows_before_the_shuffle(spark):
+    df = view(spark, SF, "telemetry")
+    text = plan(latest_per_key(df, ["device_id"], ["timestamp", "event_id"]))
+    partial, exchange = text.index("row_number(), 1, Partial"), text.index("Exchange hashpartitioning")
+    assert exchange < partial  # the plan prints parents first
+
+
+def test_confirmation_and_keyed_table_shuffle_once(spark):
+    rules = anomaly_rules(view(spark, SF, "telemetry"), "event_id")
+    confirmed = confirm_batch(rules, keep_slice=True)
+    assert shuffles(plan(confirmed)) == 1
+    assert shuffles(plan(serving.anomalies_latest(confirmed))) == 1
+    assert "description" not in plan(confirmed)
+
+
+def test_previous_time_shuffles_the_rows_once(spark):
+    df = view(spark, SF, "iot_events").withColumn("t", F.to_timestamp_ntz("event_timestamp"))
+    text = plan(previous_time(df, "device_id", "t", "p"))
+    wide = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if "_slice" in x]
+    assert text.count("SortMergeJoin") == 0
+    assert len(wide) <= 2  # the rows, and the few edges of hot keys
+
+
+def test_columns_of_the_dims_are_pruned_in_the_sales_table(spark):
+    names = ("orders_b", "customers", "payments", "reviews")
+    fact = ecommerce.orders_fct(*[view(spark, SF, n) for n in names])
+    text = plan(fact)
+    assert "ReadSchema: struct<c_custkey:bigint>" in text
+    assert "c_name" not in text
+
+
+def test_rollup_groups_by_type_before_listing_types(spark):
+    anomalies = serving.anomalies_latest(confirm_batch(anomaly_rules(view(spark, SF, "telemetry"), "event_id"), keep_slice=True))
+    from millrace.operators import describe
+
+    text = plan(serving.anomaly_rollup(describe(anomalies)))
+    assert "HashAggregate(keys=[device_id" in text
+    assert "Energy usage" not in text  # the wording is pruned

@@ -1,0 +1,34 @@
+import pytest
+
+from millrace.operators import AuditError, expect_no_nulls, expect_unique_rows, null_audit
+from millrace.operators.quality import audited
+from tests.helpers import rows
+
+
+def test_null_audit_scopes(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, None)], "id int, note string")
+    assert rows(null_audit(df)) == {("no_nulls", "id", 0): 1}
+    assert rows(null_audit(df, "all")) == {("no_nulls", "id", 0): 1, ("no_nulls", "note", 2): 1}
+    assert rows(expect_no_nulls(df, "note")) == {("no_nulls", "note", 2): 1}
+    assert rows(null_audit(df.filter("id > 9"), "all")) == {("no_nulls", "id", 0): 1, ("no_nulls", "note", 0): 1}
+
+
+def test_unique_rows(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "y")], "id int, note string")
+    assert rows(expect_unique_rows(df), "failures") == {(1,): 1}
+    assert rows(expect_unique_rows(df, ["id"]), "failures") == {(2,): 1}
+    assert rows(expect_unique_rows(df.dropDuplicates()), "failures") == {(0,): 1}
+
+
+def test_audit_of_the_batch_alone(spark):
+    df = spark.createDataFrame([(None,)], "id int")
+    with pytest.raises(AuditError, match="no_nulls on id: 1"):
+        audited(df, "sales", [null_audit])
+    assert audited(df, "sales", []) is df
+
+
+def test_null_check_reaches_the_parquet_reader(spark, tmp_path):
+    spark.range(10).selectExpr("id", "id AS other", "id AS third").write.parquet(str(tmp_path / "t"))
+    plan = null_audit(spark.read.parquet(str(tmp_path / "t")), ["id", "other"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(id),IsNull(other))]" in plan
+    assert "ReadSchema: struct<id:bigint,other:bigint>" in plan
