@@ -7,6 +7,8 @@ state operator carry only what they need.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,48 +47,45 @@ def anomaly_rules(telemetry: DataFrame, message_id: str) -> DataFrame:
     ``entry`` numbers the anomalies of one message in rule order and
     ``entries`` is how many it has. Stateless, so it works on streams too.
     """
-    broken = [
-        F.col("energy_usage") > ENERGY_LIMIT,
-        F.col("temperature") > TEMPERATURE_LIMIT,
-        F.col("vibration") > VIBRATION_LIMIT,
-        F.col("signal_strength") < SIGNAL_LIMIT,
-    ]
-    readings = ["energy_usage", "temperature", "vibration", "signal_strength"]
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    rule,
-                    F.struct(F.lit(i + 1).alias("rule"), F.col(c).cast("double").alias("reading")),
-                )
-                for i, (rule, c) in enumerate(zip(broken, readings))
-            ]
+    limits = {
+        "energy_usage": F.col("energy_usage") > ENERGY_LIMIT,
+        "temperature": F.col("temperature") > TEMPERATURE_LIMIT,
+        "vibration": F.col("vibration") > VIBRATION_LIMIT,
+        "signal_strength": F.col("signal_strength") < SIGNAL_LIMIT,
+    }
+    broken = {name: F.coalesce(rule, F.lit(False)) for name, rule in limits.items()}
+    # Four candidates per message, filtered after the explode: plain column
+    # arithmetic that stays inside generated code, unlike array functions with
+    # a lambda.
+    candidates, so_far = [], F.lit(0)
+    for rule, name in enumerate(broken, start=1):
+        so_far = so_far + F.col(f"_broken_{name}").cast("int")
+        candidates.append(
+            F.struct(
+                F.col(f"_broken_{name}").alias("broken"),
+                so_far.alias("entry"),
+                F.lit(rule).alias("rule"),
+                F.col(name).cast("double").alias("reading"),
+            )
         )
-    )
     return (
-        telemetry.filter(broken[0] | broken[1] | broken[2] | broken[3])
-        .select(
-            "device_id",
-            F.to_timestamp_ntz("timestamp").alias("timestamp"),
-            F.col(message_id).alias("message_id"),
-            hits.alias("hits"),
-        )
-        .select(
+        telemetry.select(
             "device_id",
             "timestamp",
-            "message_id",
-            F.size("hits").alias("entries"),
-            F.posexplode("hits").alias("pos", "hit"),
+            F.col(message_id).alias("message_id"),
+            *broken,
+            *[hit.alias(f"_broken_{name}") for name, hit in broken.items()],
         )
+        .filter(reduce(lambda a, b: a | b, [F.col(f"_broken_{name}") for name in broken]))
         .select(
             "device_id",
-            "timestamp",
+            F.to_timestamp_ntz("timestamp").alias("timestamp"),
             "message_id",
-            (F.col("pos") + 1).alias("entry"),
-            "entries",
-            "hit.rule",
-            "hit.reading",
+            so_far.alias("entries"),
+            F.inline(F.array(*candidates)),
         )
+        .filter("broken")
+        .select(*NARROW)
     )
 
 
