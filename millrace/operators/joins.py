@@ -1,24 +1,85 @@
-"""Left lookup join with one rule for clashing names."""
+"""Left lookup join with one rule for clashing names and a way around hot keys."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# A key is hot when it holds more than this share of the rows, so there are at
+# most 1 / HOT_SHARE of them in a table of any size.
+HOT_SHARE = 1 / 1000
+HOT_ROWS = 1_000_000
 
-def left_join(left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
+
+def left_join(
+    left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str], split_hot: bool = False
+) -> DataFrame:
     """Left equi-join that keeps fan-out and lets the left side's names win.
 
     ``on`` lists shared key names or maps left key to right key. The right keys
     and every right column whose name the left side already has are dropped, so
     the result never holds an ambiguous name. The strategy is left to Spark:
-    small sides are broadcast by their measured size, skewed partitions of a
-    sort-merge join are split at run time.
+    small sides are broadcast by their measured size, and skewed partitions of
+    the left side are split at run time. The right side of a left join cannot
+    be split that way; for right tables where one key may hold many rows set
+    ``split_hot``, which looks for such keys first (see ``hot_keys``).
     """
     keys = dict(on) if isinstance(on, Mapping) else {name: name for name in on}
     taken = set(left.columns)
     extra = [c for c in right.columns if c not in taken and c not in keys.values()]
     lookup = right.select(*[F.col(r).alias(l) for l, r in keys.items()], *extra)
-    return left.join(lookup, list(keys), "left").select(*left.columns, *extra)
+    hot = hot_keys(lookup, next(iter(keys))) if split_hot and len(keys) == 1 else None
+    if hot is None:
+        return left.join(lookup, list(keys), "left").select(*left.columns, *extra)
+    return _salted(left, lookup, next(iter(keys)), hot).select(*left.columns, *extra)
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None, share: float | None = None) -> DataFrame | None:
+    """Keys with more than ``share`` of the rows and their number of pieces, or None.
+
+    Runs at once: a row count (file footers, for a plain table) and, only for
+    tables that are large enough to hold a hot key, one pass with a sketch of
+    frequent values over the key column, which shuffles nothing but sketches.
+    At most ``1 / share`` keys come back to the driver.
+    """
+    hot_rows, share = hot_rows or HOT_ROWS, share or HOT_SHARE
+    rows = df.count()
+    limit = max(rows * share, hot_rows)
+    if rows <= limit:
+        return None
+    most = math.ceil(1 / share)
+    sketch = F.expr(f"approx_top_k(`{key}`, {min(most, 10_000)}, {8 * most})")
+    found = df.agg(sketch.alias("top")).select(F.inline("top")).filter("item IS NOT NULL")
+    hot = [(r["item"], 2 * math.ceil(r["count"] / limit)) for r in found.filter(F.col("count") > limit).collect()]
+    if not hot:
+        return None
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("_pieces", T.IntegerType())])
+    return df.sparkSession.createDataFrame(hot, schema)
+
+
+def _salted(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Left join in which the right rows of each hot key are dealt to several tasks.
+
+    The left rows of a hot key are repeated once per piece. A hot key has right
+    rows by definition, so a repeated left row that finds none in its piece is
+    dropped instead of being filled with nulls. The piece depends on the task
+    that reads a row as well as on the row, so equal copies are dealt out too.
+    """
+    hot = F.broadcast(hot)  # at most 1 / HOT_SHARE rows
+    pieces = F.coalesce("_pieces", F.lit(1))
+    repeated = left.join(hot, key, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    dealt = (
+        right.join(hot.withColumnRenamed("_pieces", "_of"), key, "left")
+        .withColumn(
+            "_piece",
+            F.pmod(F.xxhash64(F.spark_partition_id(), *right.columns), F.coalesce("_of", F.lit(1))).cast("int"),
+        )
+        .withColumn("_found", F.lit(True))
+        .drop("_of")
+    )
+    joined = repeated.join(dealt, [key, "_piece"], "left")
+    return joined.filter(F.col("_pieces").isNull() | F.col("_found"))

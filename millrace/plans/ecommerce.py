@@ -11,8 +11,8 @@ from millrace.operators.joins import left_join
 def orders_fct(orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
     """Orders of known customers, one row per payment and review of the order."""
     known = orders.join(customers.select("customer_id"), "customer_id", "inner")
-    paid = left_join(known, payments.select("order_id", "payment_value"), ["order_id"])
-    rated = left_join(paid, reviews.select("order_id", "review_score"), ["order_id"])
+    paid = left_join(known, payments.select("order_id", "payment_value"), ["order_id"], split_hot=True)
+    rated = left_join(paid, reviews.select("order_id", "review_score"), ["order_id"], split_hot=True)
     return rated.select(
         "order_id",
         "customer_id",
@@ -102,7 +102,7 @@ def sales_summary(
     Seller place and product category are those of the items; the seller and
     product dims only multiply rows where they repeat a key.
     """
-    sold = left_join(orders_fct, order_items_fct, ["order_id"])
+    sold = left_join(orders_fct, order_items_fct, ["order_id"], split_hot=True)
     sold = left_join(sold, customers_dim, ["customer_id"])
     sold = left_join(sold, sellers_dim, ["seller_id"])
     sold = left_join(sold, products_dim, ["product_id"])

@@ -1,6 +1,6 @@
 """Structured Streaming jobs: ingest, anomaly confirmation, serving tables."""
 
-from millrace.streaming.anomalies import anomaly_messages, confirm_stream
+from millrace.streaming.anomalies import anomaly_messages, confirm_stream, detect_anomalies
 from millrace.streaming.ingest import start_ingest
 from millrace.streaming.serving import (
     compact_days,
@@ -17,6 +17,7 @@ __all__ = [
     "anomaly_messages",
     "compact_days",
     "confirm_stream",
+    "detect_anomalies",
     "read_keyed",
     "read_rollup",
     "refresh_rollup",

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from millrace.operators.anomalies import HISTORY, NARROW, SIMILAR_NEEDED, TYPE_NAMES, WITHIN_SECONDS
+from millrace.operators.anomalies import (
+    HISTORY,
+    NARROW,
+    SIMILAR_NEEDED,
+    TYPE_NAMES,
+    WITHIN_SECONDS,
+    anomaly_rules,
+    describe,
+)
 from millrace.schemas import ANOMALIES, ANOMALIES_TOPIC
 
 STATE = "times array<bigint>, rules array<int>"
@@ -66,6 +74,11 @@ def confirm_stream(rules: DataFrame) -> DataFrame:
     )
 
 
+def detect_anomalies(telemetry: DataFrame, message_id: str = "message_id") -> DataFrame:
+    """Rules, confirmation and wording for a stream of telemetry rows."""
+    return describe(confirm_stream(anomaly_rules(telemetry, message_id)))
+
+
 def anomaly_messages(anomalies: DataFrame) -> DataFrame:
     """Anomalies as (topic, key, value) messages: one JSON object each, keyed by device.
 

@@ -40,7 +40,6 @@ from millrace.sources import (
     enforce_schema,
     import_parquet,
     layer_name,
-    load_csv_folder,
     message_stream,
     parse_payload,
     read_layer,
@@ -50,7 +49,7 @@ from millrace.sources import (
 )
 from millrace.streaming import (
     anomaly_messages,
-    confirm_stream,
+    detect_anomalies,
     read_keyed,
     read_rollup,
     rollup_windows,
@@ -489,8 +488,7 @@ def _run_anomalies(spark, sf_dir, root: str, follow: Callable[[DataFrame], objec
     sink = f"{root}/anomalies"
     for _ in _landings(messages, f"{root}/telemetry"):
         source = message_stream(spark, [TELEMETRY_TOPIC], fmt="parquet", path=f"{root}/telemetry")
-        rules = anomaly_rules(parse_payload(source, TELEMETRY_MESSAGE), "event_id")
-        anomalies = describe(confirm_stream(rules))
+        anomalies = detect_anomalies(parse_payload(source, TELEMETRY_MESSAGE), "event_id")
         _finish(start_files(anomaly_messages(anomalies), sink, f"{root}/state"))
         if follow:
             source = message_stream(spark, [ANOMALIES_TOPIC], fmt="parquet", path=sink)
