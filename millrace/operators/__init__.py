@@ -3,6 +3,7 @@
 from millrace.operators.anomalies import anomaly_rules, confirm_batch, describe
 from millrace.operators.joins import left_join
 from millrace.operators.keyed import latest_per_key
+from millrace.operators.layout import spread
 from millrace.operators.previous import previous_time
 from millrace.operators.quality import (
     AuditError,
@@ -24,4 +25,5 @@ __all__ = [
     "null_audit",
     "previous_time",
     "require_rows",
+    "spread",
 ]

@@ -16,7 +16,11 @@ HOT_ROWS = 1_000_000
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str], split_hot: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str] | Sequence[str],
+    split_hot: bool = False,
+    look_in: DataFrame | None = None,
 ) -> DataFrame:
     """Left equi-join that keeps fan-out and lets the left side's names win.
 
@@ -26,35 +30,40 @@ def left_join(
     small sides are broadcast by their measured size, and skewed partitions of
     the left side are split at run time. The right side of a left join cannot
     be split that way; for right tables where one key may hold many rows set
-    ``split_hot``, which looks for such keys first (see ``hot_keys``).
+    ``split_hot``, which looks for such keys first (see ``hot_keys``). If the
+    right side is itself a long plan, ``look_in`` can name a table it keeps all
+    rows of, with the same key column.
     """
     keys = dict(on) if isinstance(on, Mapping) else {name: name for name in on}
     taken = set(left.columns)
     extra = [c for c in right.columns if c not in taken and c not in keys.values()]
     lookup = right.select(*[F.col(r).alias(l) for l, r in keys.items()], *extra)
-    hot = hot_keys(lookup, next(iter(keys))) if split_hot and len(keys) == 1 else None
+    hot = None
+    if split_hot and len(keys) == 1:
+        ((name, right_name),) = keys.items()
+        searched = right if look_in is None else look_in
+        hot = hot_keys(searched.select(F.col(right_name).alias(name)), name)
     if hot is None:
         return left.join(lookup, list(keys), "left").select(*left.columns, *extra)
-    return _salted(left, lookup, next(iter(keys)), hot).select(*left.columns, *extra)
+    return _salted(left, lookup, name, hot).select(*left.columns, *extra)
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None, share: float | None = None) -> DataFrame | None:
     """Keys with more than ``share`` of the rows and their number of pieces, or None.
 
-    Runs at once: a row count (file footers, for a plain table) and, only for
-    tables that are large enough to hold a hot key, one pass with a sketch of
-    frequent values over the key column, which shuffles nothing but sketches.
-    At most ``1 / share`` keys come back to the driver.
+    Runs at once, as one pass over the key column with a row count and a sketch
+    of frequent values, which shuffles nothing but sketches. At most
+    ``1 / share`` keys come back to the driver.
     """
     hot_rows, share = hot_rows or HOT_ROWS, share or HOT_SHARE
-    rows = df.count()
-    limit = max(rows * share, hot_rows)
-    if rows <= limit:
-        return None
-    most = math.ceil(1 / share)
-    sketch = F.expr(f"approx_top_k(`{key}`, {min(most, 10_000)}, {8 * most})")
-    found = df.agg(sketch.alias("top")).select(F.inline("top")).filter("item IS NOT NULL")
-    hot = [(r["item"], 2 * math.ceil(r["count"] / limit)) for r in found.filter(F.col("count") > limit).collect()]
+    most = min(math.ceil(1 / share), 10_000)
+    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {8 * most})")
+    found = (
+        df.agg(F.greatest(F.count(F.lit(1)) * share, F.lit(float(hot_rows))).alias("limit"), sketch.alias("top"))
+        .select("limit", F.inline("top"))
+        .filter((F.col("count") > F.col("limit")) & F.col("item").isNotNull())
+    )
+    hot = [(r["item"], 2 * math.ceil(r["count"] / r["limit"])) for r in found.collect()]
     if not hot:
         return None
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("_pieces", T.IntegerType())])

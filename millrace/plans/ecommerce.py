@@ -96,13 +96,16 @@ def sales_summary(
     customers_dim: DataFrame,
     sellers_dim: DataFrame,
     products_dim: DataFrame,
+    order_items: DataFrame | None = None,
 ) -> DataFrame:
     """Every order row with its items and the customer's place.
 
     Seller place and product category are those of the items; the seller and
-    product dims only multiply rows where they repeat a key.
+    product dims only multiply rows where they repeat a key. If
+    ``order_items_fct`` is not stored but a plan, pass the ``order_items`` it is
+    made from: orders with very many items are looked for there.
     """
-    sold = left_join(orders_fct, order_items_fct, ["order_id"], split_hot=True)
+    sold = left_join(orders_fct, order_items_fct, ["order_id"], split_hot=True, look_in=order_items)
     sold = left_join(sold, customers_dim, ["customer_id"])
     sold = left_join(sold, sellers_dim, ["seller_id"])
     sold = left_join(sold, products_dim, ["product_id"])

@@ -1,6 +1,13 @@
 """Reading tables, files, topics and small local data."""
 
-from millrace.sources.files import enforce_schema, load_csv_folder, read_path, scan_partitioned, write_path
+from millrace.sources.files import (
+    enforce_schema,
+    load_csv_folder,
+    read_path,
+    scan_partitioned,
+    write_partitioned,
+    write_path,
+)
 from millrace.sources.frames import frame_from_columns
 from millrace.sources.messages import message_stream, parse_payload
 from millrace.sources.tables import (
@@ -28,5 +35,6 @@ __all__ = [
     "read_path",
     "replace_table",
     "scan_partitioned",
+    "write_partitioned",
     "write_path",
 ]

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.layout import FILES_PER_FOLDER, spread
+
 
 def scan_partitioned(
     spark: SparkSession, root: str, prefix: str, schema: T.StructType | None = None
@@ -40,6 +42,18 @@ def write_path(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
     df.write.format(fmt).mode(mode).options(**options).save(path)
 
 
+def write_partitioned(
+    df: DataFrame,
+    root: str,
+    dataset: str,
+    partition_by: Sequence[str] = ("date", "device_id"),
+    files: int = FILES_PER_FOLDER,
+) -> None:
+    """Append a dataset in the layout ``scan_partitioned`` reads, in few files per folder."""
+    target = f"{root.rstrip('/')}/{dataset}"
+    spread(df, partition_by, files).write.mode("append").partitionBy(*partition_by).parquet(target)
+
+
 def load_csv_folder(
     spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType] | None = None
 ) -> dict[str, DataFrame]:

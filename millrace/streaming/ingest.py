@@ -7,9 +7,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.layout import spread
 from millrace.plans.messages import route_messages
 from millrace.schemas import EVENTS_TOPIC, TELEMETRY_TOPIC
-from millrace.streaming.sinks import spread, start_files
+from millrace.streaming.sinks import start_files
 
 
 def start_ingest(

@@ -18,17 +18,19 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.keyed import latest_per_key
+from millrace.operators.layout import FILES_PER_FOLDER, spread
 from millrace.plans.serving import HIGH_VALUES, KEY, anomaly_rollup
 from millrace.session import written
-from millrace.streaming.sinks import spread, trigger
+from millrace.streaming.sinks import trigger
 
 ROLLUP_KEY = ["device_id", "hour_bucket"]
+ROLLUP_FILES = 2
 
 
-def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str]) -> None:
+def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str], files: int) -> None:
     versioned = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
-        spread(versioned, ["day"])
+        spread(versioned, ["day"], files)
         .sortWithinPartitions("day", *sort)
         .write.mode("append")
         .partitionBy("day")
@@ -49,10 +51,11 @@ def _start_versions(
     mode: str,
     day: str,
     sort: Sequence[str],
+    files: int,
     interval: str | None,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_version(batch.withColumn("day", F.to_date(day)), batch_id, path, sort)
+        _write_version(batch.withColumn("day", F.to_date(day)), batch_id, path, sort, files)
 
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return trigger(writer, interval).start()
@@ -62,7 +65,7 @@ def start_upsert(
     anomalies: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Load anomalies into the keyed table at ``path``, by day, sorted by time and severity."""
-    return _start_versions(anomalies, path, checkpoint, "append", "timestamp", ["timestamp", "severity"], interval)
+    return _start_versions(anomalies, path, checkpoint, "append", "timestamp", ["timestamp", "severity"], FILES_PER_FOLDER, interval)
 
 
 def read_keyed(
@@ -140,7 +143,7 @@ def start_rollup(
     rollup: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Write every changed hour of ``rollup_windows``; read with ``read_rollup``."""
-    return _start_versions(rollup, path, checkpoint, "update", "hour_bucket", ROLLUP_KEY, interval)
+    return _start_versions(rollup, path, checkpoint, "update", "hour_bucket", ROLLUP_KEY, ROLLUP_FILES, interval)
 
 
 def read_rollup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -5,25 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 
-FILES_PER_FOLDER = 16
-
-
-def spread(rows: DataFrame, folders: Sequence[str], files: int = FILES_PER_FOLDER) -> DataFrame:
-    """Shuffle so that a folder gets at most ``files`` files, written by as many tasks.
-
-    Streams run without adaptive execution, which would split a large folder by
-    itself. Rows of one folder are dealt out by the task they come from, so a
-    device that holds much of a micro-batch is not written by one task.
-    """
-    dealt = rows.withColumn("_part", F.spark_partition_id() % files)
-    return dealt.repartition(*folders, "_part").drop("_part")
-
-
 def trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """Run every ``interval``; without one, work off what is there and stop."""
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

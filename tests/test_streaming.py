@@ -141,7 +141,7 @@ def test_upsert_keeps_the_latest_and_survives_a_replay(spark, tmp_path):
 
     feed(spark, [first, second], f"{tmp_path}/in", start)
     # The first micro-batch is delivered again, as after a failure.
-    streaming.serving._write_version(first.withColumn("day", F.to_date("timestamp")), 0, path, ["timestamp"])
+    streaming.serving._write_version(first.withColumn("day", F.to_date("timestamp")), 0, path, ["timestamp"], 4)
     expected = {("d", at(1), "low_signal"): 1, ("d", at(2, day=2), "high_vibration"): 1}
     keyed = streaming.read_keyed(spark, path, schema)
     assert rows(keyed, "device_id", "timestamp", "anomaly_type") == expected

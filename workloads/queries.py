@@ -46,6 +46,7 @@ from millrace.sources import (
     read_model,
     replace_table,
     scan_partitioned,
+    write_partitioned,
 )
 from millrace.streaming import (
     anomaly_messages,
@@ -125,7 +126,8 @@ def products_dim(spark, sf_dir):
 @query("sales_summary")
 def sales_summary(spark, sf_dir):
     return ecommerce.sales_summary(
-        *[fn(spark, sf_dir) for fn in (orders_fct, order_items_fct, customers_dim, sellers_dim, products_dim)]
+        *[fn(spark, sf_dir) for fn in (orders_fct, order_items_fct, customers_dim, sellers_dim, products_dim)],
+        order_items=view(spark, sf_dir, "order_items"),
     )
 
 
@@ -353,11 +355,7 @@ def listings_parse(spark, sf_dir):
 def scan_partitioned_query(spark, sf_dir):
     root = scratch_dir(spark, "bronze")
     telemetry = view(spark, sf_dir, "telemetry").withColumn("date", F.to_date(F.to_timestamp_ntz("timestamp")))
-    (
-        telemetry.hint("rebalance", "date", "device_id")
-        .write.partitionBy("date", "device_id")
-        .parquet(f"{root}/telemetry")
-    )
+    write_partitioned(telemetry, root, "telemetry")
     return scan_partitioned(spark, root, "telemetry", telemetry.schema)
 
 

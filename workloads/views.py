@@ -7,6 +7,7 @@ field ``k`` of ``events.props``, which the two engines extract differently.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SPARK_K = "cast(get_json_object(props, '$.k') AS int)"
 DUCKDB_K = "cast(json_extract_string(props, '$.k') AS int)"
@@ -110,14 +111,25 @@ VIEWS = {
 }
 
 
+# Schemas by path, so that only the first read of a table runs a job to infer it.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame over the Parquet files of ``sf_dir``."""
     reads, sql = VIEWS[name]
     placed = sql.replace("{k}", SPARK_K)
-    for table in reads:
+    for read in reads:
         for word in ("FROM", "JOIN"):
-            placed = placed.replace(f"{word} {table}", f"{word} {{{table}}}")
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in reads}
+            placed = placed.replace(f"{word} {read}", f"{word} {{{read}}}")
+    frames = {t: table(spark, sf_dir, t) for t in reads}
     return spark.sql(placed, **frames)
 
 
