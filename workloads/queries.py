@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -408,6 +409,7 @@ def ingest_rejects(spark, sf_dir):
 
 LANDINGS = 3
 ROWS_PER_LANDING = 20_000_000
+ROWS_PER_STATE_PARTITION = 250_000
 TELEMETRY_MESSAGE = T.StructType([T.StructField("event_id", T.LongType()), *TELEMETRY.fields])
 # The anomaly topic carries the time as text and the place within the message.
 ANOMALY_RECORD = T.StructType(
@@ -448,13 +450,28 @@ def stream_ingest(spark, sf_dir):
     )
 
 
-def _landings(messages: DataFrame, path: str):
+@contextmanager
+def _state_partitions(spark: SparkSession, rows: int):
+    """Size a new stream's state by its input: it keeps its partition count for good.
+
+    Every partition commits its state in every micro-batch, so a small stream
+    should not have many; the session's setting stays the upper bound.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(usual), max(8, math.ceil(rows / ROWS_PER_STATE_PARTITION)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, usual)
+
+
+def _landings(messages: DataFrame, rows: int, path: str):
     """Append the messages to ``path`` in time order, yielding after each part.
 
     The number of parts grows with the data, so that a device's share of one
     part stays small.
     """
-    rows = messages.count()
     parts = max(LANDINGS, math.ceil(rows / ROWS_PER_LANDING))
     seconds = messages.select(epoch_seconds(F.col("at")).alias("s"))
     cuts = seconds.approxQuantile("s", [i / parts for i in range(1, parts)], 0.01 / parts)
@@ -484,13 +501,15 @@ def _run_anomalies(spark, sf_dir, root: str, follow: Callable[[DataFrame], objec
         F.to_timestamp_ntz("timestamp").alias("at"),
     )
     sink = f"{root}/anomalies"
-    for _ in _landings(messages, f"{root}/telemetry"):
-        source = message_stream(spark, [TELEMETRY_TOPIC], fmt="parquet", path=f"{root}/telemetry")
-        anomalies = detect_anomalies(parse_payload(source, TELEMETRY_MESSAGE), "event_id")
-        _finish(start_files(anomaly_messages(anomalies), sink, f"{root}/state"))
-        if follow:
-            source = message_stream(spark, [ANOMALIES_TOPIC], fmt="parquet", path=sink)
-            _finish(follow(_anomaly_rows(source)))
+    rows = telemetry.count()
+    for _ in _landings(messages, rows, f"{root}/telemetry"):
+        with _state_partitions(spark, rows):
+            source = message_stream(spark, [TELEMETRY_TOPIC], fmt="parquet", path=f"{root}/telemetry")
+            anomalies = detect_anomalies(parse_payload(source, TELEMETRY_MESSAGE), "event_id")
+            _finish(start_files(anomaly_messages(anomalies), sink, f"{root}/state"))
+            if follow:
+                source = message_stream(spark, [ANOMALIES_TOPIC], fmt="parquet", path=sink)
+                _finish(follow(_anomaly_rows(source)))
     return sink
 
 
