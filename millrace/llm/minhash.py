@@ -35,7 +35,7 @@ SHINGLE = 5
 #: 36 bands of 7: two documents at similarity 0.85 share no band in one of a million cases.
 BANDS, BAND_ROWS = 36, 7
 #: Counters that rank shingles by frequency; a fixed size, whatever the input.
-RANK_BITS = 20
+RANK_BITS = 16
 #: Lengths fall into classes that grow by this factor.
 LENGTH_STEP = 1.08
 
@@ -136,9 +136,9 @@ def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _shingle_ranks(sets: DataFrame) -> np.ndarray:
     """How often shingles of each slot occur: a fixed table of ``2 ** RANK_BITS`` counters."""
     rows = map_batches(sets, _counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = rows.toPandas()
-    table = np.zeros(1 << RANK_BITS, np.uint32)
-    table[found["slot"].to_numpy(np.int64)] = np.minimum(found["n"].to_numpy(np.int64), 0xFFFFFFFF)
+    found = rows.toArrow()
+    table = np.zeros(1 << RANK_BITS, np.int64)
+    table[found["slot"].to_numpy()] = found["n"].to_numpy()
     return table
 
 

@@ -5,19 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import sql
 from millrace.llm.frames import table
+from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.packing import pack_documents
+from millrace.llm.quality import score_documents, train_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_documents(documents, train_quality(documents, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        F.length("cleaned").cast("long").alias("n_chars"),
+        F.md5(F.encode("cleaned", "UTF-8")).alias("text_md5"),
+    )
+
+
+@query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {
-    "op7_minhash_near_dedup": op7_minhash_near_dedup,
-}
-
-ORACLE: dict[str, str] = {}
+ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP
