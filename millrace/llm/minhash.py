@@ -35,7 +35,7 @@ SHINGLE = 5
 #: 36 bands of 7: two documents at similarity 0.85 share no band in one of a million cases.
 BANDS, BAND_ROWS = 36, 7
 #: Counters that rank shingles by frequency; a fixed size, whatever the input.
-RANK_BITS = 16
+RANK_BITS = 18
 #: Lengths fall into classes that grow by this factor.
 LENGTH_STEP = 1.08
 
@@ -181,12 +181,10 @@ def _loose_pairs(sets: DataFrame, loose: DataFrame, labels: DataFrame, percent:
     rows = written(
         map_batches(sets, partial(_prefix_rows, ranks=ranks, percent=percent), fields).join(labels, "doc_id"), "prefix"
     )
-    left = rows.join(loose, "doc_id", "left_semi").select(
-        "token", *[F.col(c).alias(f"{c}_a") for c in ("own", "other", "place", "size", "component", "doc_id")]
-    )
-    right = rows.select(
-        "token", *[F.col(c).alias(f"{c}_b") for c in ("own", "other", "place", "size", "component", "doc_id")]
-    )
+    marked = rows.join(loose.withColumn("loose", F.lit(True)), "doc_id", "left")
+    names = ("own", "other", "place", "size", "component", "doc_id", "loose")
+    left = marked.where("loose").select("token", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = marked.select("token", *[F.col(c).alias(f"{c}_b") for c in names])
     need = (F.col("size_a") + F.col("size_b")) * percent
     rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) * (100 + percent)
     met = (
@@ -195,6 +193,8 @@ def _loose_pairs(sets: DataFrame, loose: DataFrame, labels: DataFrame, percent:
         & (F.col("other_a") == F.col("own_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (rest >= need)
+        # Two loose documents meet once.
+        & (F.col("loose_b").isNull() | (F.col("doc_id_a") < F.col("doc_id_b")))
     )
     return (
         left.join(right, met)
