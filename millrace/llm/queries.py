@@ -8,14 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import sql
+from millrace.llm.decontaminate import find_leaks
 from millrace.llm.frames import table
+from millrace.llm.html_text import extract_text
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_documents, train_quality
+from millrace.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Verdicts on hosts (with all subdomains) and path beginnings.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -58,4 +70,19 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP

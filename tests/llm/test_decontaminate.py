@@ -1,0 +1,97 @@
+"""Leaks against scoring every window and item in plain Python, planted passages, edge cases."""
+
+import math
+import re
+from collections import Counter
+
+from millrace.llm.decontaminate import find_leaks, question_and_answer
+
+SF = "/root/testdata/sf0.001"
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def grams(w, n):
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def share(part, passage):
+    n = min(5, len(part))
+    return len(grams(part, n) & grams(passage, n)) / len(grams(part, n)) if n else 1.0
+
+
+def brute_force(docs, items, threshold=0.6, overlap=0.5):
+    items = {i: t for i, t in items if words(t)}
+    if not items:
+        return {}
+    tokens = {i: words(t) for i, t in items.items()}
+    df = Counter(w for t in tokens.values() for w in set(t))
+    mean = sum(map(len, tokens.values())) / len(tokens)
+    stride = max(64, *(len(t) for t in tokens.values()), 0)
+    impact = {}
+    for i, t in tokens.items():
+        tf = Counter(t)
+        idf = {w: math.log1p((len(tokens) - df[w] + 0.5) / (df[w] + 0.5)) for w in tf}
+        one = {w: idf[w] * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * len(t) / mean)) for w in tf}
+        impact[i] = {w: v / sum(one.values()) for w, v in one.items()}
+    out = {}
+    for d, text in docs:
+        w = words(text)
+        for k in range(max(1, -(-len(w) // stride) - 1)):
+            passage = w[k * stride : (k + 2) * stride]
+            has = set(passage)
+            for i, one in impact.items():
+                score = sum(v for t, v in one.items() if t in has)
+                if score < threshold:
+                    continue
+                q, a = (share(words(p), passage) for p in question_and_answer(items[i]))
+                if q >= overlap and a >= overlap:
+                    row = (round(score, 9), round(q, 9), round(a, 9), -k * stride)
+                    out[d, i] = max(out.get((d, i), row), row)
+    return out
+
+
+def result(df):
+    rows = df.collect()
+    out = {
+        (r.doc_id, r.item_id): (round(r.score, 9), round(r.question_overlap, 9), round(r.answer_overlap, 9), -r.first_word)
+        for r in rows
+    }
+    assert len(out) == len(rows)
+    return out
+
+
+def test_documents_and_planted_passages(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    filler = docs[3][1]
+    for k, (_, text) in enumerate(items):
+        changed = " ".join("zzz" if j == 4 else w for j, w in enumerate(text.upper().split()))
+        docs += [(10_000 + k, filler[: 300 * k] + " " + text + " " + filler), (20_000 + k, filler + "\n" + changed)]
+    got = result(find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)))
+    assert got == brute_force(docs, items)
+    assert all((10_000 + k, i) in got for k, (i, _) in enumerate(items))
+    split = result(find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), items_per_index=15))
+    assert split.keys() == got.keys()
+
+
+def test_edge_cases(spark):
+    question = "Which of these rivers is the longest one in all of Europe and why? It is the Volga river."
+    items = [(1, question), (1, question), (2, None), (3, ""), (None, question), (4, "?!"), (5, "yes")]
+    docs = [(1, None), (2, ""), (3, question), (3, question), (None, question), (4, "x " * 300_000 + question.lower()), (5, "no yes")]
+    got = find_leaks(
+        spark.createDataFrame([(*d, "z") for d in docs], DOCS + ", item_id string"),
+        spark.createDataFrame([(*i, 1.0) for i in items], ITEMS + ", score double"),
+    ).collect()
+    found = Counter((r.doc_id, r.item_id) for r in got)
+    assert found == {(3, 1): 2, (None, 1): 1, (4, 1): 1, (5, 5): 1}
+    assert all(r.score > 0.99 and r.first_word > 299_000 for r in got if r.doc_id == 4)
+
+
+def test_empty_tables(spark):
+    docs, items = spark.createDataFrame([(1, "a b")], DOCS), spark.createDataFrame([(1, "a b")], ITEMS)
+    assert find_leaks(docs.limit(0), items).collect() == []
+    assert find_leaks(docs, items.limit(0)).collect() == []

@@ -1,0 +1,60 @@
+"""Rules against a plain reading of them, the trees on held-out hosts, edge cases."""
+
+import re
+
+from millrace.llm.queries import QUERIES, URL_RULES
+from millrace.llm.url_filter import judge_urls
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fitting = []
+    for verdict, rule in URL_RULES:
+        h, _, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p):
+            fitting.append((len(rule), rule, verdict))
+    return host, path, max(fitting)[1:] if fitting else None
+
+
+def check(rows, urls):
+    assert len(rows) == len(urls)
+    for r in rows:
+        host, path, found = plain(urls[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, found and found[0])
+        assert r.verdict == found[1] if found else r.verdict in ("allow", "block")
+        assert 0 <= r.score <= 1
+
+
+def test_pages(spark):
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    check(QUERIES["op8_url_filter"](spark, SF).collect(), urls)
+
+
+def test_edge_cases(spark):
+    urls = [
+        None, "", "no scheme", "http://", "HTTP://WWW.Example.ORG/es/X?a=1#b", "http://example.org", "http://org/", "x://a://org/b",
+        "http://notexample.org/es/", "http://a.example.org/en/12", "http://com/fr/#/de/", "http://ÉX.com/de/é?", "http://h/" + "a" * 200_000,
+        "http://x.org\n/p", "http://a.org?x/y",
+    ]
+    df = spark.createDataFrame([(i, u, "z") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    got = judge_urls(df, URL_RULES).collect()
+    check(got, dict(enumerate(urls)))
+    assert len(judge_urls(df.union(df), URL_RULES).collect()) == 2 * len(urls)
+    assert judge_urls(df.limit(0), URL_RULES).collect() == []
+
+
+def test_trees_tell_bad_from_good_urls(spark):
+    good = [f"https://www.{w}.com/{k}/page.html" for k in range(20) for w in ("house", "garden", "river", "paper")]
+    bad = [f"http://{w}-{k}x9.com/?a={k}&b=1&c=2" for k in range(20) for w in ("cheap-buy", "win-now", "a1-b2", "zz-top")]
+    known = spark.createDataFrame([(u, 0) for u in good] + [(u, 1) for u in bad], "url string, blocked int")
+    fresh = ["https://www.forest.com/3/page.html", "http://buy-me-77x3.com/?q=1&r=2&s=3"]
+    pages = spark.createDataFrame(list(enumerate(fresh)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in judge_urls(pages, [], known).collect()}
+    assert got == {0: "allow", 1: "block"}
