@@ -1,24 +1,63 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences: judge, clean, deduplicate, decontaminate, pack."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import drop_leaking
 from millrace.llm.frames import table, written
+from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.packing import pack_documents
+from millrace.llm.quality import keep_good, train_quality
+from millrace.llm.queries import tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return keep_good(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated line runs; a document of which nothing stays goes."""
+    cleaned = dedup_lines(docs).where("n_removed = 0 OR cleaned <> ''")
+    changed = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
+    same = F.col("n_removed") == 0
+    columns = []
+    for name in docs.columns:
+        column = F.col("row").getField(name)
+        columns.append(F.when(same, column).otherwise(changed[name]).alias(name) if name in changed else column.alias(name))
+    return cleaned.select(*columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, with their place in the training sequences."""
+    return pack_documents(docs, tokenizer_file())
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Tokenizing and trained trees have no SQL form; tests compare with brute force.
+#: Trained trees and tokenizers have no SQL form; tests compare each stage with brute force.
 ORACLE_SQL: str | None = None

@@ -20,11 +20,12 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import map_batches, pick
-from millrace.llm.words import _joined, text_chunks, words_of
+from millrace.llm.words import joined, text_chunks, words_of
 
 THRESHOLD = 0.6
 #: Share of the shingles of the question, and of the answer, that must be in the passage.
@@ -172,7 +173,7 @@ def _overlap(part: np.ndarray, passage: np.ndarray) -> float:
         return 1.0
     if len(passage) < width:
         return 0.0
-    grams = [_joined([x[k : len(x) - width + 1 + k] for k in range(width)]) for x in (part, passage)]
+    grams = [joined([x[k : len(x) - width + 1 + k] for k in range(width)]) for x in (part, passage)]
     return float(np.isin(np.unique(grams[0]), grams[1]).mean())
 
 
@@ -289,3 +290,27 @@ def find_leaks(
         for index in _indexes(benchmark, threshold, items_per_index)
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _clean_batch(batch: pa.RecordBatch, index, overlap: float, at: int) -> pa.RecordBatch:
+    clean = np.ones(batch.num_rows, bool)
+    for texts in text_chunks(pc.cast(batch.column(at), pa.string())):
+        words = words_of(texts, SEPARATORS)
+        for row in _leaks_of(index.value, words.hashes, words.bounds, overlap):
+            clean[texts.first + row[0]] = False
+    return batch.filter(pa.array(clean))
+
+
+def drop_leaking(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    overlap: float = OVERLAP,
+    items_per_index: int = ITEMS_PER_INDEX,
+) -> DataFrame:
+    """The rows, with all their columns, whose text holds no benchmark item."""
+    context, at = documents.sparkSession.sparkContext, documents.columns.index("text")
+    for index in _indexes(benchmark, threshold, items_per_index):
+        job = partial(_clean_batch, index=context.broadcast(index), overlap=overlap, at=at)
+        documents = map_batches(documents, job, documents.schema)
+    return documents

@@ -2,8 +2,9 @@
 
 Pieces are dealt into groups of bounded size. Each group packs by best-fit decreasing, and dual
 feasible functions give it a lower bound: a group that needs as many sequences as its bound is
-certified. Groups with a gap give all their sequences with room back, certified ones only the
-emptiest; these pieces are dealt anew, across groups, and packed again, until one group remains.
+certified. Groups with a gap give all their sequences with room back, certified ones those with
+much room; these pieces are dealt anew, across groups, and packed again. This goes on until the
+sequences are as few as the bound over all pieces allows, or one group remains.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ END_ID = 1
 #: Pieces that one task packs at a time.
 GROUP_PIECES = 32_768
 #: Dealing rounds at most; the last one keeps what it packs.
-ROUNDS = 12
+ROUNDS = 5
+#: A certified group gives sequences back that are filled less than this.
+WELL_FILLED = 0.95
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -175,15 +178,15 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
+def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
     """Bins that any packing needs, by the best of two families of dual feasible functions.
 
     One takes lengths over ``capacity - e`` as whole bins, those under ``e`` as nothing and the rest
-    as they are; the other rounds to multiples of 1 / k.
+    as they are; the other rounds to multiples of 1 / k. ``counts`` says how often each length occurs.
     """
     if not len(lengths):
         return 0
-    size, n = np.unique(lengths, return_counts=True)
+    size, n = np.unique(lengths, return_counts=True) if counts is None else (lengths, counts)
     best = -(-int((size * n).sum()) // capacity)
     for e in [1, *size[size <= capacity // 2].tolist()]:
         whole = size > capacity - e
@@ -206,8 +209,7 @@ def _pack_group(frame: pd.DataFrame, capacity: int, turn: int, last: bool) -> pd
     certified = len(filled) == lower_bound(lengths, capacity)
     given = np.zeros(len(filled), bool)
     if not last:
-        given = np.arange(len(filled)) == filled.argmin() if certified else filled < capacity
-        given &= filled < capacity
+        given = filled < (capacity * WELL_FILLED if certified else capacity)
     return frame.assign(
         sequence_id=(turn << 56) + (int(frame["pack"].iloc[0]) << 24) + bins,
         offset=offsets,
@@ -216,6 +218,16 @@ def _pack_group(frame: pd.DataFrame, capacity: int, turn: int, last: bool) -> pd
     ).drop(columns="pack")
 
 
+_PACKED = f"{PIECES}, deal long, sequence_id long, offset long, certified boolean, given boolean"
+
+
+def _packer(capacity: int, turn: int, last: bool):
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        return _pack_group(frame, capacity, turn, last)
+
+    return pack
+
+
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Each piece with its sequence_id and offset, and whether its group met its lower bound (``certified``).
 
@@ -229,23 +241,29 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
         F.lit(0).cast("long").alias("offset"),
         F.lit(True).alias("certified"),
     )
+    # All lengths with their counts: no more rows than the capacity.
+    lengths = pieces.where(F.col("length") < capacity).groupBy("length").agg(F.count("*").alias("n")).toArrow()
+    size, n = (lengths[c].to_numpy() for c in ("length", "n"))
+    needed, count, used = lower_bound(size, capacity, n), int(n.sum()), 0
     parts, rest = [whole], pieces.where(F.col("length") < capacity).select(*columns, "deal")
-    count = rest.count()
     for turn in range(ROUNDS):
         groups = max(1, -(-count // group_pieces))
         last = groups == 1 or turn == ROUNDS - 1
-        fields = f"{PIECES}, deal long, sequence_id long, offset long, certified boolean, given boolean"
         packed = written(
             rest.withColumn("pack", F.pmod(F.xxhash64("deal", F.lit(turn)), F.lit(groups)))
             .groupBy("pack")
-            .applyInPandas(partial(_pack_group, capacity=capacity, turn=turn, last=last), fields),
+            .applyInPandas(_packer(capacity, turn, last), _PACKED),
             "packed",
         )
-        parts.append(packed.where("NOT given").select(*columns, "sequence_id", "offset", "certified"))
-        if last:
+        found = packed.groupBy("given").agg(F.count("*").alias("n"), F.count_distinct("sequence_id").alias("bins"))
+        found = {r.given: (r.n, r.bins) for r in found.collect()}
+        count, open_bins = found.get(True, (0, 0))
+        used += found.get(False, (0, 0))[1]
+        done = not count or used + open_bins == needed
+        parts.append((packed if done else packed.where("NOT given")).select(*columns, "sequence_id", "offset", "certified"))
+        if done:
             break
         rest = packed.where("given").select(*columns, "deal")
-        count = rest.count()
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from millrace.llm import sql
 from millrace.llm.decontaminate import find_leaks
+from millrace.llm.fingerprints import fingerprint_documents
 from millrace.llm.frames import table
 from millrace.llm.html_text import extract_text
+from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_documents, train_quality
+from millrace.llm.token_counts import count_tokens, piece_file
 from millrace.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +31,18 @@ URL_RULES = [
     ("block", "com/de/"),
 ]
 
+#: Phrases that name a license, and statements of well-known licenses. Fixed values.
+LICENSE_PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
+LICENSE_TEMPLATES = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("apache", "you may not use this file except in compliance with the License"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-sa", "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+]
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -43,6 +58,11 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
@@ -65,6 +85,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), LICENSE_PHRASES, LICENSE_TEMPLATES)
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), piece_file(tokenizer_file("piece_bpe_32k.model")))
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -125,10 +125,10 @@ def word_list_hashes(words: list[str]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def _joined(parts: list[np.ndarray]) -> np.ndarray:
+def joined(parts: list[np.ndarray]) -> np.ndarray:
     out = np.zeros_like(parts[0])
     for k, part in enumerate(parts):
-        out = mix(out * _M2 + part + np.uint64(k + 1) * _GOLDEN)
+        out = mix(out * _M2 + part + np.uint64((k + 1) * int(_GOLDEN) & 0xFFFFFFFFFFFFFFFF))
     return out
 
 
@@ -144,12 +144,12 @@ def shingles_of(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     first = np.repeat(words.bounds[:-1], n) + np.arange(bounds[-1]) - np.repeat(bounds[:-1], n)
     full = np.repeat(counts >= width, n)
     at = first[full]
-    out[full] = _joined([words.hashes[at + k] for k in range(width)]) if len(at) else np.zeros(0, np.uint64)
+    out[full] = joined([words.hashes[at + k] for k in range(width)]) if len(at) else np.zeros(0, np.uint64)
     for size in range(1, width):
         picked = np.flatnonzero(counts == size)
         if len(picked):
             start = words.bounds[picked]
-            out[bounds[picked]] = _joined([words.hashes[start + k] for k in range(size)]) ^ np.uint64(size)
+            out[bounds[picked]] = joined([words.hashes[start + k] for k in range(size)]) ^ np.uint64(size)
     return out, bounds
 
 
