@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -39,53 +40,87 @@ class WordIds:
     """Token ids of texts, looked up by the parts between spaces and line feeds.
 
     The tokenizer drops white space and its tokens never cross any, so the ids of a text are those
-    of its parts in order. Known parts are kept up to a bound and then begun anew.
+    of its parts in order. Nor does a token cross from a letter or digit to the stops behind it, so
+    a part is a core and its stops, and many parts share their cores. What is known is kept up to a
+    bound and then begun anew.
     """
 
-    def __init__(self, tokenizer_json: str, parts: int = 400_000, ids: int = 4_000_000):
+    def __init__(self, tokenizer_json: str, most: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.most = parts, ids
+        self.tokenizer, self.most = Tokenizer.from_str(tokenizer_json), most
         self._clear()
 
     def _clear(self) -> None:
-        self.known = {"": 0}
+        self.parts, self.units = {"": 0}, {"": 0}
+        self.cores, self.stops = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.starts, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
 
+    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, upto = len(self.units), self.used + len(ids)
+        if n + len(units) > len(self.starts):
+            room = 2 * (n + len(units))
+            self.starts, self.counts = np.resize(self.starts, room), np.resize(self.counts, room)
+        if upto > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * upto)
+        self.starts[n : n + len(units)] = self.used + np.cumsum(sizes) - sizes
+        self.counts[n : n + len(units)] = sizes
+        self.flat[self.used : upto] = ids
+        self.used = upto
+        self.units.update(zip(units, range(n, n + len(units)), strict=True))
+
+    def _learn_units(self, units: list[str]) -> None:
+        # Units of letters only are one word each, so one call can take them all.
+        plain = [u for u in units if u.isalpha()]
+        if plain:
+            encoded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            word = np.array(encoded.word_ids, np.int64)
+            if word[-1] + 1 == len(plain):
+                self._add(plain, np.array(encoded.ids, np.uint32), np.bincount(word, minlength=len(plain)))
+        rest = [u for u in units if u not in self.units]
+        if rest:
+            ids = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
+            flat = np.array([x for one in ids for x in one], np.uint32)
+            self._add(rest, flat, np.array([len(x) for x in ids], np.int64))
+
     def _learn(self, parts: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        n, total = len(self.known), int(sizes.sum())
-        while n + len(parts) > len(self.starts):
-            self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
-        while self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.starts[n : n + len(parts)] = self.used + np.cumsum(sizes) - sizes
-        self.counts[n : n + len(parts)] = sizes
-        self.flat[self.used : self.used + total] = [x for one in ids for x in one]
-        self.used += total
-        self.known.update(zip(parts, range(n, n + len(parts)), strict=True))
+        cores, stops = [], []
+        for part in parts:
+            core = part.rstrip(".,!?")
+            if core and not core[-1].isalnum():
+                core = part
+            stops.append(part[len(core) :])
+            cores.append(core.lower() if core.isascii() and core.isalpha() else core)
+        fresh = [u for u in dict.fromkeys(cores + stops) if u not in self.units]
+        if fresh:
+            self._learn_units(fresh)
+        n = len(self.parts)
+        if n + len(parts) > len(self.cores):
+            room = 2 * (n + len(parts))
+            self.cores, self.stops = np.resize(self.cores, room), np.resize(self.stops, room)
+        self.cores[n : n + len(parts)] = [self.units[u] for u in cores]
+        self.stops[n : n + len(parts)] = [self.units[u] for u in stops]
+        self.parts.update(zip(parts, range(n, n + len(parts)), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and each text's bounds in them."""
-        if len(self.known) > self.most[0] or self.used > self.most[1]:
+        if len(self.parts) > self.most:
             self._clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        parts = [p for one in split for p in one]
-        missing = [p for p in set(parts) if p not in self.known]
-        if missing:
-            self._learn(missing)
-        codes = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        counts = self.counts[codes]
+        parts = " ".join(texts).replace("\n", " ").split(" ")
+        codes = np.fromiter(map(self.parts.get, parts, repeat(-1)), np.int64, len(parts))
+        unknown = np.flatnonzero(codes < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys(parts[i] for i in unknown)))
+            codes[unknown] = [self.parts[parts[i]] for i in unknown]
+        units = np.stack([self.cores[codes], self.stops[codes]], axis=1).ravel()
+        counts = self.counts[units]
         ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[codes] - (ends - counts), counts) + np.arange(total)]
+        ids = self.flat[np.repeat(self.starts[units] - (ends - counts), counts) + np.arange(ends[-1])]
+        sizes = [t.count(" ") + t.count("\n") + 1 for t in texts]
         upto = np.concatenate([[0], ends])
-        return ids, upto[np.concatenate([[0], np.cumsum([len(one) for one in split])])]
+        return ids, upto[2 * np.concatenate([[0], np.cumsum(sizes)])]
 
 
 _ENCODERS: dict[int, WordIds] = {}
