@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import sql
+from millrace.llm import license_texts, sql
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.fingerprints import fingerprint_documents
 from millrace.llm.frames import table
@@ -31,18 +31,6 @@ URL_RULES = [
     ("block", "com/de/"),
 ]
 
-#: Phrases that name a license, and statements of well-known licenses. Fixed values.
-LICENSE_PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
-LICENSE_TEMPLATES = [
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("apache", "you may not use this file except in compliance with the License"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa", "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-]
-
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -87,7 +75,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"), LICENSE_PHRASES, LICENSE_TEMPLATES)
+    return scan_licenses(table(spark, sf_dir, "documents"), license_texts.PHRASES, license_texts.TEMPLATES)
 
 
 @query
@@ -115,4 +103,5 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+ORACLE["op5_license_scan"] = sql.op5_license_scan(license_texts.TEMPLATES)
 ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP

@@ -36,3 +36,43 @@ cleaned AS (
   FROM marked GROUP BY doc_id)
 SELECT doc_id, n_lines, n_removed, length(cleaned) AS n_chars, md5(cleaned) AS text_md5 FROM cleaned
 """
+
+_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex({_LOWER.format(text)}, '{_SEPARATORS}'), lambda x: x <> '')"
+
+
+def op5_license_scan(templates: list[tuple[str, str]]) -> str:
+    rows = ", ".join(f"('{label}', '{text}')" for label, text in templates)
+    return f"""
+WITH templates AS (
+  SELECT label, list_distinct({_words("text")}) AS tokens, len({_words("text")}) AS n FROM (VALUES {rows}) AS t(label, text)),
+longest AS (SELECT max(n) AS n FROM templates),
+texts AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
+places AS (
+  SELECT doc_id, w,
+    [i - 1 FOR i IN range(1, len(w) + 1) IF w[i] = 'mit' AND w[i + 1] = 'license'] AS mit,
+    [i - 1 FOR i IN range(1, len(w) + 1) IF w[i] = 'apache' AND w[i + 1] = 'license'] AS apache,
+    [i - 1 FOR i IN range(1, len(w) + 1) IF w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license'] AS gpl
+  FROM texts),
+blocks AS (
+  SELECT doc_id, list_distinct(list_slice(w, s * n + 1, (s + 2) * n)) AS block
+  FROM (SELECT doc_id, w, n, unnest(range(0, greatest(1, ceil(len(w) / n)::BIGINT - 1))) AS s FROM texts, longest)),
+met AS (
+  SELECT doc_id, label, len(list_intersect(block, tokens)) / len(tokens) AS containment
+  FROM blocks, templates WHERE len(list_intersect(block, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS containment FROM met GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w) AS n_words, list_concat(mit, list_concat(apache, gpl)) AS every,
+         list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END,
+                      CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL) AS labels
+  FROM places)
+SELECT b.doc_id, n_words, len(every) AS n_base, list_min(every) AS first_word, list_max(every) AS last_word,
+       array_to_string(b.labels, ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(b.labels, coalesce(f.labels, [])))), ',') AS labels,
+       CASE WHEN len(b.labels) > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0::DOUBLE) END AS score
+FROM base b LEFT JOIN found f ON b.doc_id = f.doc_id
+"""
