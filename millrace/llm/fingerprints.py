@@ -1,4 +1,4 @@
-"""Merkle trees of documents: sentences, paragraphs, sections, document.
+"""Merkle trees of documents: parts of sentences, paragraphs, sections, document.
 
 Every node is the hash of its children, so equal roots mean equal texts, and from two roots that
 differ the differing branches lead to the edits. A section ends at a blank line and behind a
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.frames import pick, written
 
-#: A sentence goes to its closing marks, or to this many characters.
-_SENTENCE = re.compile(r"[^.!?]{1,200}[.!?]*|[.!?]+")
+#: Leaves begin at the beginning of a sentence and behind every 32 characters of one.
+_LEAF = re.compile(r"[^.!?]{1,32}[.!?]*|[.!?]+")
 #: One in so many paragraphs ends a section.
 SECTION = 8
 
@@ -37,7 +37,7 @@ def _hash(level: bytes, data: bytes) -> bytes:
 
 @dataclass
 class Tree:
-    """Hashes of the root, of sections with their number of paragraphs, of paragraphs, and sizes of sentences."""
+    """Hashes of the root, of sections with their number of paragraphs, of paragraphs, and sizes of parts."""
 
     root: bytes
     sections: list[tuple[bytes, int]]
@@ -59,14 +59,14 @@ def merkle_tree(text: str) -> Tree:
         open_section.clear()
 
     for paragraph in text.split("\n") if text else ():
-        sentences = _SENTENCE.findall(paragraph)
-        hashes = [_hash(b"sentence", s.encode()) for s in sentences]
-        for h, s in zip(hashes, sentences, strict=True):
+        parts = _LEAF.findall(paragraph)
+        hashes = [_hash(b"part", s.encode()) for s in parts]
+        for h, s in zip(hashes, parts, strict=True):
             leaves[h] += len(s)
         own = _hash(b"paragraph", b"".join(hashes))
         paragraphs.append(own)
         open_section.append(own)
-        if not sentences or own[0] < 256 // SECTION:
+        if not parts or own[0] < 256 // SECTION:
             close()
     if open_section:
         close()
@@ -74,7 +74,7 @@ def merkle_tree(text: str) -> Tree:
 
 
 def likeness(a: Tree, b: Tree) -> float:
-    """Characters in common sentences over characters in either; 1 for equal roots, also of empty texts."""
+    """Characters in common parts over characters in either; 1 for equal roots, also of empty texts."""
     if a.root == b.root:
         return 1.0
     small, large = sorted((a.leaves, b.leaves), key=len)

@@ -1,0 +1,70 @@
+"""Held-out accuracy of the quality trees, their flat form, and edge cases."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from millrace.llm.boosting import train
+from millrace.llm.quality import FEATURES, keep_good, score_documents, statistics, train_quality
+from millrace.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_documents(spark):
+    rows = QUERIES["op3_quality_classifier"](spark, SF).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    judged = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean([p == y for p, y in judged]) > 0.95
+    assert all(p for p, y in judged if y)
+
+
+def test_flat_trees_equal_recursion():
+    random.seed(2)
+    x = np.array([[random.random() for _ in range(4)] for _ in range(500)])
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    forest = train(x, y, trees=20)
+    assert ((forest.scores(x) > 0.5) == y).mean() > 0.97
+
+    def walk(node, row):
+        while forest.left[node] != node:
+            low = row[forest.feature[node]] <= forest.threshold[node]
+            node = forest.left[node] if low else forest.right[node]
+        return forest.value[node]
+
+    plain = [forest.base + sum(walk(r, row) for r in forest.roots) for row in x[:50]]
+    assert np.allclose(plain, forest.margins(x[:50]))
+
+
+def test_training_without_one_of_the_classes():
+    assert train(np.zeros((0, 3)), np.zeros(0)).scores(np.zeros((2, 3))).tolist() == [0.5, 0.5]
+    assert (train(np.ones((5, 3)), np.ones(5)).scores(np.ones((1, 3))) > 0.8).all()
+
+
+def test_statistics():
+    column = pa.array([None, "", "  \n", "Aa 1!|\nAa 1!|", "ok ok ok"])
+    got = statistics(column)
+    assert got.shape == (5, len(FEATURES)) and (got[:2] == 0).all()
+    at = dict(zip(FEATURES, got[3], strict=True))
+    assert at["upper_share"] == 2 / 13 and at["distinct_line_share"] == 0.5 and at["distinct_word_share"] == 0.5
+    assert dict(zip(FEATURES, got[4], strict=True))["echo_share"] == 2 / 3
+    assert (statistics(column.slice(3)) == got[3:]).all()
+
+
+def test_edge_cases(spark):
+    rows = [(1, None), (2, ""), (3, "a" * 300_000), (None, "some words"), (4, "twice"), (4, "twice")]
+    docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1), (2, None), (None, 0), (3, 0), (4, 1), (9, 1), (4, 7)], "doc_id long, quality int")
+    forest = train_quality(docs, labels)
+    got = score_documents(docs, forest).collect()
+    assert len(got) == len(rows) and not any(r.held_out for r in got if r.doc_id is None)
+    kept = keep_good(docs, forest, threshold=0.0)
+    assert kept.schema == docs.schema and kept.count() == len(rows)
+    assert keep_good(docs, forest, threshold=1.1).count() == 0
+    assert score_documents(docs.limit(0), train_quality(docs.limit(0), labels.limit(0))).collect() == []
+    assert len(train_quality(docs, labels, sample_rows=0).roots) == 0
