@@ -1,6 +1,6 @@
 """DataFrame to DataFrame building blocks."""
 
-from millrace.operators.anomalies import anomaly_rules, confirm_batch, describe
+from millrace.operators.anomalies import anomaly_rules, confirm_arrivals, confirm_batch, describe, last_arrivals
 from millrace.operators.joins import left_join
 from millrace.operators.keyed import latest_per_key
 from millrace.operators.layout import spread
@@ -16,10 +16,12 @@ from millrace.operators.quality import (
 __all__ = [
     "AuditError",
     "anomaly_rules",
+    "confirm_arrivals",
     "confirm_batch",
     "describe",
     "expect_no_nulls",
     "expect_unique_rows",
+    "last_arrivals",
     "latest_per_key",
     "left_join",
     "null_audit",

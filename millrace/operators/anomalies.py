@@ -38,6 +38,8 @@ SIMILAR_NEEDED = 3
 HISTORY = 20
 WITHIN_SECONDS = 3600
 
+NO_SLICE = -(2**40)
+
 NARROW = ["device_id", "timestamp", "message_id", "entry", "entries", "rule", "reading"]
 
 
@@ -45,7 +47,8 @@ def anomaly_rules(telemetry: DataFrame, message_id: str) -> DataFrame:
     """One narrow row per rule a reading breaks; missing readings break none.
 
     ``entry`` numbers the anomalies of one message in rule order and
-    ``entries`` is how many it has. Stateless, so it works on streams too.
+    ``entries`` is how many it has. A time that cannot be read is null.
+    Stateless, so it works on streams too.
     """
     limits = {
         "energy_usage": F.col("energy_usage") > ENERGY_LIMIT,
@@ -79,7 +82,7 @@ def anomaly_rules(telemetry: DataFrame, message_id: str) -> DataFrame:
         .filter(reduce(lambda a, b: a | b, [F.col(f"_broken_{name}") for name in broken]))
         .select(
             "device_id",
-            F.to_timestamp_ntz("timestamp").alias("timestamp"),
+            F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"),
             "message_id",
             so_far.alias("entries"),
             F.inline(F.array(*candidates)),
@@ -100,11 +103,12 @@ def confirm_batch(rules: DataFrame, slice_hours: int = 6, keep_slice: bool = Fal
     is thereby spread over many tasks, and the rows are shuffled once. With
     ``keep_slice`` the column ``time_slice`` stays, by which together with the
     device the rows are partitioned; later windows over these need no shuffle.
+    Anomalies without a time stay unconfirmed, in a slice of their own.
     """
     width = slice_hours * 3600
     seconds = epoch_seconds(F.col("timestamp"))
-    own = F.floor(seconds / width)
-    last = F.floor((seconds + WITHIN_SECONDS + 1) / width)
+    own = F.coalesce(F.floor(seconds / width), F.lit(NO_SLICE))
+    last = F.coalesce(F.floor((seconds + WITHIN_SECONDS + 1) / width), F.lit(NO_SLICE))
     sliced = rules.withColumn("_own", own).withColumn("time_slice", F.explode(F.sequence(own, last)))
     by_device = Window.partitionBy("device_id", "time_slice").orderBy("timestamp", "message_id", "entry")
     by_type = Window.partitionBy("device_id", "time_slice", "rule").orderBy("_seq")
@@ -126,6 +130,66 @@ def confirm_batch(rules: DataFrame, slice_hours: int = 6, keep_slice: bool = Fal
     )
 
 
+def confirm_arrivals(rules: DataFrame, parts: int = 16, hot_rows: int = 1_000_000) -> DataFrame:
+    """Add ``is_confirmed`` to rows of ``anomaly_rules``, taken as they arrived: by message_id and entry.
+
+    A row looks back at the entries of its own message and at the ``HISTORY`` ones
+    before it, so it needs no more than the 23 rows before it. A device with
+    more than ``hot_rows`` rows is cut into ``parts`` ranges of message_id with
+    about as many rows each; every range also gets the last rows of the ranges
+    before it. Other devices are one range. Anomalies without a time stay
+    unconfirmed and are nobody's history.
+    """
+    reach = HISTORY + len(TYPE_NAMES) - 1
+    cuts = (
+        rules.groupBy(F.col("device_id").alias("_device"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx("message_id", [i / parts for i in range(1, parts)], 10_000).alias("_cuts"),
+        )
+        .filter(F.col("_n") > hot_rows)
+    )
+    ranged = rules.join(cuts, F.col("device_id").eqNullSafe(F.col("_device")), "left").withColumn(
+        "_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("message_id"))), F.lit(0))
+    )
+    timed = F.col("timestamp").isNotNull()
+    back = Window.partitionBy("device_id", "_range", timed).orderBy(F.desc("message_id"), F.desc("entry"))
+    tails = (
+        ranged.filter(F.col("_device").isNotNull() & (F.col("_range") < parts - 1))
+        .withColumn("_back", F.row_number().over(back))
+        .filter(F.col("_back") <= reach)
+        .withColumn("_range", F.explode(F.sequence(F.col("_range") + 1, F.lit(parts - 1))))
+        .withColumn("_copy", F.lit(True))
+    )
+    rows = ranged.withColumn("_copy", F.lit(False)).unionByName(tails.drop("_back"))
+    order = Window.partitionBy("device_id", "_range", timed).orderBy("message_id", "entry")
+    similar = F.lit(1)
+    for distance in range(1, reach + 1):
+        alike = (
+            (F.lag("rule", distance).over(order) == F.col("rule"))
+            & (F.col("timestamp") <= F.lag("timestamp", distance).over(order) + F.expr(f"interval {WITHIN_SECONDS} seconds"))
+            & (F.lit(distance) < F.col("entry") + HISTORY)
+        )
+        similar = similar + F.coalesce(alike, F.lit(False)).cast("int")
+    return (
+        rows.withColumn("_similar", similar)
+        .filter(~F.col("_copy"))
+        .select(*rules.columns, (F.col("_similar") >= SIMILAR_NEEDED).alias("is_confirmed"))
+    )
+
+
+def last_arrivals(rules: DataFrame) -> DataFrame:
+    """What later arrivals have to know: the last ``HISTORY`` timed rows of each device.
+
+    Their message_id is replaced by numbers that come before all others, so
+    that they stay first whatever arrives next.
+    """
+    order = Window.partitionBy("device_id").orderBy(F.desc("message_id"), F.desc("entry"))
+    ranked = rules.filter(F.col("timestamp").isNotNull()).withColumn("_back", F.row_number().over(order))
+    first = F.lit(-(2**63)) + HISTORY - F.col("_back")
+    return ranked.filter(F.col("_back") <= HISTORY).withColumn("message_id", first).select(*NARROW)
+
+
 def _pick(values: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule"))
 

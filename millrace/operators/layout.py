@@ -7,18 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FILES_PER_FOLDER = 16
+STREAM_FILES = 16
 
 
-def spread(rows: DataFrame, folders: Sequence[str], files: int = FILES_PER_FOLDER) -> DataFrame:
-    """Shuffle so that a folder gets at most ``files`` files, written by as many tasks.
+def spread(rows: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """Bring the rows of a folder together, in as many tasks as their size asks for.
 
-    Uses all shuffle partitions, also where adaptive execution would merge them
-    by size: many small folders are better written side by side. Streams run
-    without adaptive execution, so large folders are not split later either.
-    Rows of one folder are dealt out by the task they come from, so a device
-    that holds much of the rows is not written by one task.
+    Spark measures the shuffled rows and makes tasks of its advisory partition
+    size: a folder with k times the rows gets about k times the tasks and files,
+    and small folders share one. Streams run without adaptive execution; there,
+    rows of a folder are dealt out by the task they come from, to at most
+    ``STREAM_FILES`` tasks, which bounds the files of a micro-batch.
     """
+    adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if adaptive and not rows.isStreaming:
+        return rows.hint("rebalance", *folders)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("_part", F.spark_partition_id() % files)
+    dealt = rows.withColumn("_part", F.spark_partition_id() % STREAM_FILES)
     return dealt.repartition(tasks, *folders, "_part").drop("_part")

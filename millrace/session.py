@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,17 +29,29 @@ def apply_scale_settings(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path for staged files, visible to every executor.
 
-    The parent is the session's ``spark.checkpoint.dir``. A machine-local
-    folder is used only when the session runs in local mode and names none.
+    The parent is the session's ``spark.checkpoint.dir``, or else the warehouse,
+    which executors share as well.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None)
-    if not parent:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        parent = tempfile.mkdtemp(prefix="millrace-")
+    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{parent.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made, if it is there."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to a scratch folder and read back, free of their lineage."""
     path = scratch_dir(df.sparkSession, label)

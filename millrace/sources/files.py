@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.layout import FILES_PER_FOLDER, spread
+from millrace.operators.layout import spread
 
 
 def scan_partitioned(
@@ -47,11 +47,10 @@ def write_partitioned(
     root: str,
     dataset: str,
     partition_by: Sequence[str] = ("date", "device_id"),
-    files: int = FILES_PER_FOLDER,
 ) -> None:
     """Append a dataset in the layout ``scan_partitioned`` reads, in few files per folder."""
     target = f"{root.rstrip('/')}/{dataset}"
-    spread(df, partition_by, files).write.mode("append").partitionBy(*partition_by).parquet(target)
+    spread(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(target)
 
 
 def load_csv_folder(

@@ -1,14 +1,13 @@
 """Structured Streaming jobs: ingest, anomaly confirmation, serving tables."""
 
-from millrace.streaming.anomalies import anomaly_messages, confirm_stream, detect_anomalies
+from millrace.streaming.anomalies import anomaly_messages, start_anomalies, start_confirmation, to_files, to_kafka
 from millrace.streaming.ingest import start_ingest
 from millrace.streaming.serving import (
     compact_days,
+    compact_rollup,
     read_keyed,
     read_rollup,
     refresh_rollup,
-    rollup_windows,
-    start_rollup,
     start_upsert,
 )
 from millrace.streaming.sinks import start_files, start_kafka
@@ -16,15 +15,16 @@ from millrace.streaming.sinks import start_files, start_kafka
 __all__ = [
     "anomaly_messages",
     "compact_days",
-    "confirm_stream",
-    "detect_anomalies",
+    "compact_rollup",
     "read_keyed",
     "read_rollup",
     "refresh_rollup",
-    "rollup_windows",
+    "start_anomalies",
+    "start_confirmation",
     "start_files",
     "start_ingest",
     "start_kafka",
-    "start_rollup",
     "start_upsert",
+    "to_files",
+    "to_kafka",
 ]

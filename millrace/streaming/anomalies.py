@@ -1,82 +1,88 @@
-"""Anomaly confirmation with per-device state."""
+"""Anomaly confirmation over micro-batches, with a stored history per device."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from millrace.operators.anomalies import (
-    HISTORY,
-    NARROW,
-    SIMILAR_NEEDED,
-    TYPE_NAMES,
-    WITHIN_SECONDS,
-    anomaly_rules,
-    describe,
-)
+from pyspark.sql.streaming import StreamingQuery
+
+from millrace.operators.anomalies import NARROW, anomaly_rules, confirm_arrivals, describe, last_arrivals
 from millrace.schemas import ANOMALIES, ANOMALIES_TOPIC
+from millrace.session import path_exists, remove_path
+from millrace.streaming.sinks import trigger
 
-STATE = "times array<bigint>, rules array<int>"
+Deliver = Callable[[DataFrame, int], None]
 
 
-def _confirmer(history: int, needed: int, within_us: int, most_per_message: int):
-    """The state function. Nested, so that executors need not import this package."""
+def start_confirmation(
+    rules: DataFrame, deliver: Deliver, checkpoint: str, interval: str | None = None, hot_rows: int = 1_000_000
+) -> StreamingQuery:
+    """Confirm a stream of ``anomaly_rules`` rows in the order they arrive.
 
-    def confirm(key, batches, state):
-        import numpy as np
-        import pandas as pd
+    Each micro-batch is confirmed by built-in windows over its rows and the
+    stored history: the last 20 anomalies of every device, a table below
+    ``checkpoint``. History is kept per micro-batch, so a repeated one finds
+    what it found before. ``deliver`` gets the rows with ``is_confirmed`` and the
+    id of the micro-batch, which may come twice after a failure. The order is
+    that of micro-batches, then of message_id and entry, so where the input is
+    cut makes no difference as long as message_ids ascend. A device with more
+    than ``hot_rows`` rows in a micro-batch is worked on by several tasks.
+    """
 
-        rows = pd.concat(list(batches), ignore_index=True)
-        rows = rows.sort_values(["timestamp", "message_id", "entry"], ignore_index=True)
-        times = rows["timestamp"].to_numpy().astype("datetime64[us]").astype("int64")
-        rules = rows["rule"].to_numpy().astype("int64")
-        old_times, old_rules = state.get if state.exists else ([], [])
-        kept = len(old_times)
-        times = np.concatenate([np.asarray(old_times, dtype="int64"), times])
-        rules = np.concatenate([np.asarray(old_rules, dtype="int64"), rules])
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark, tails = batch.sparkSession, f"{checkpoint}/history"
+        fresh = batch.select(*NARROW).withColumn("_fresh", F.lit(True)).persist()
+        rows = fresh
+        if batch_id:
+            before = spark.read.schema(batch.select(*NARROW).schema).parquet(f"{tails}/{batch_id - 1}")
+            rows = fresh.unionByName(before.withColumn("_fresh", F.lit(False)))
+        deliver(confirm_arrivals(rows, hot_rows=hot_rows).filter("_fresh").drop("_fresh"), batch_id)
+        last_arrivals(rows).write.mode("overwrite").parquet(f"{tails}/{batch_id}")
+        fresh.unpersist()
+        remove_path(spark, f"{tails}/{batch_id - 2}")
 
-        # Row i may look back to the `history` entries before its message and
-        # at its message's own entries: count those alike, one distance at a time.
-        at = np.arange(kept, len(times))
-        entry = rows["entry"].to_numpy().astype("int64")
-        oldest = np.maximum(at - (entry - 1) - history, 0)
-        similar = np.ones(len(at), dtype="int64")
-        for distance in range(1, history + most_per_message):
-            other = at - distance
-            seen = other >= oldest
-            other = np.maximum(other, 0)
-            alike = rules[other] == rules[at]
-            similar += seen & alike & (times[at] - times[other] <= within_us)
+    writer = rules.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    return trigger(writer, interval).start()
 
-        state.update((times[-history:].tolist(), rules[-history:].tolist()))
-        yield rows.assign(is_confirmed=similar >= needed)
 
-    return confirm
+def to_files(path: str) -> Deliver:
+    """Deliver each micro-batch into a folder of its own below ``path``, once.
 
+    Read it with ``recursiveFileLookup``.
+    """
 
-def confirm_stream(rules: DataFrame) -> DataFrame:
-    """Add ``is_confirmed`` to a stream of ``anomaly_rules`` rows.
+    def deliver(rows: DataFrame, batch_id: int) -> None:
+        folder = f"{path}/{batch_id:012d}"
+        if not path_exists(rows.sparkSession, f"{folder}/_SUCCESS"):
+            rows.write.mode("overwrite").parquet(folder)
 
-    State per device: times and rules of its last 20 anomalies, kept without
-    expiry and restored from the checkpoint. Rows of one micro-batch are taken
-    in (timestamp, message_id, entry) order. Only broken rules reach the
-    operator, seven narrow columns each, and a device's share of a micro-batch
-    is bounded by the bound on the micro-batch (see ``message_stream``).
-    """
-    output = T.StructType([*rules.select(*NARROW).schema.fields, T.StructField("is_confirmed", T.BooleanType())])
-    confirm = _confirmer(HISTORY, SIMILAR_NEEDED, WITHIN_SECONDS * 1_000_000, len(TYPE_NAMES))
-    return (
-        rules.select(*NARROW)
-        .groupBy("device_id")
-        .applyInPandasWithState(confirm, output, STATE, "append", GroupStateTimeout.NoTimeout)
-    )
+    return deliver
+
+
+def to_kafka(topic: str, **options: str) -> Deliver:
+    """Deliver (key, value) rows to a topic, at least once; needs the Kafka package on the cluster."""
+
+    def deliver(rows: DataFrame, batch_id: int) -> None:
+        rows.select("key", "value").write.format("kafka").options(**options).option("topic", topic).save()
+
+    return deliver
+
+
+def start_anomalies(
+    telemetry: DataFrame,
+    deliver: Deliver,
+    checkpoint: str,
+    message_id: str = "message_id",
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Rules, confirmation and wording for a stream of telemetry rows; delivers ``anomaly_messages``."""
 
+    def worded(rows: DataFrame, batch_id: int) -> None:
+        deliver(anomaly_messages(describe(rows)), batch_id)
 
-def detect_anomalies(telemetry: DataFrame, message_id: str = "message_id") -> DataFrame:
-    """Rules, confirmation and wording for a stream of telemetry rows."""
-    return describe(confirm_stream(anomaly_rules(telemetry, message_id)))
+    return start_confirmation(anomaly_rules(telemetry, message_id), worded, checkpoint, interval)
 
 
 def anomaly_messages(anomalies: DataFrame) -> DataFrame:

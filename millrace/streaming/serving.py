@@ -3,8 +3,8 @@
 Both are kept as versions: every micro-batch appends its rows with its
 ``batch_id``, and readers take the latest row per key. A micro-batch repeated
 after a failure appends equal rows, which readers merge, and no earlier data is
-rewritten while the stream runs. ``compact_days`` folds the versions of closed
-days together.
+rewritten while the stream runs. ``compact_days`` and ``compact_rollup`` fold the
+versions of closed days together.
 """
 
 from __future__ import annotations
@@ -18,19 +18,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.keyed import latest_per_key
-from millrace.operators.layout import FILES_PER_FOLDER, spread
+from millrace.operators.layout import spread
 from millrace.plans.serving import HIGH_VALUES, KEY, anomaly_rollup
-from millrace.session import written
+from millrace.schemas import ROLLUP
+from millrace.session import remove_path, scratch_dir
 from millrace.streaming.sinks import trigger
 
 ROLLUP_KEY = ["device_id", "hour_bucket"]
-ROLLUP_FILES = 2
+ARRIVAL = ("message_id", "entry")
 
 
-def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str], files: int) -> None:
+def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str]) -> None:
     versioned = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
-        spread(versioned, ["day"], files)
+        spread(versioned, ["day"])
         .sortWithinPartitions("day", *sort)
         .write.mode("append")
         .partitionBy("day")
@@ -44,35 +45,44 @@ def _read_versions(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(T.StructType(fields + keys)).parquet(path)
 
 
-def _start_versions(
-    rows: DataFrame,
+def start_upsert(
+    anomalies: DataFrame,
     path: str,
     checkpoint: str,
-    mode: str,
-    day: str,
-    sort: Sequence[str],
-    files: int,
-    interval: str | None,
+    interval: str | None = None,
+    rollup_path: str | None = None,
+    high_values: Sequence[str] = HIGH_VALUES,
 ) -> StreamingQuery:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _write_version(batch.withColumn("day", F.to_date(day)), batch_id, path, sort, files)
+    """Load anomalies into the keyed table at ``path``, by day, sorted by time and severity.
+
+    With ``rollup_path`` the hourly rollup follows: the hours that a micro-batch
+    touches, however old, are counted anew from the keyed table and appended as
+    a version of theirs. So late rows count, and equal keys count once.
+    """
+    schema = anomalies.schema
 
-    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("day", F.to_date("timestamp")).persist()
+        _write_version(rows, batch_id, path, ["timestamp", "severity"])
+        if rollup_path:
+            hours = rows.select("device_id", "day", _hour().alias("hour_bucket")).distinct()
+            days = [r.day for r in hours.select("day").distinct().collect() if r.day]  # one a calendar day
+            keyed = read_keyed(batch.sparkSession, path, schema).filter(F.col("day").isin(days))
+            touched = keyed.withColumn("hour_bucket", _hour()).join(hours.drop("day"), ROLLUP_KEY, "left_semi")
+            rollup = anomaly_rollup(touched, high_values).withColumn("day", F.to_date("hour_bucket"))
+            _write_version(rollup, batch_id, rollup_path, ROLLUP_KEY)
+        rows.unpersist()
+
+    writer = anomalies.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return trigger(writer, interval).start()
 
 
-def start_upsert(
-    anomalies: DataFrame, path: str, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Load anomalies into the keyed table at ``path``, by day, sorted by time and severity."""
-    return _start_versions(anomalies, path, checkpoint, "append", "timestamp", ["timestamp", "severity"], FILES_PER_FOLDER, interval)
+def _hour():
+    return F.date_trunc("hour", "timestamp").cast("timestamp_ntz")
 
 
 def read_keyed(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    arrival: Sequence[str] = ("message_id", "entry"),
+    spark: SparkSession, path: str, schema: T.StructType, arrival: Sequence[str] = ARRIVAL
 ) -> DataFrame:
     """The keyed table: per device and time the last row of the last micro-batch.
 
@@ -83,72 +93,49 @@ def read_keyed(
     return latest_per_key(versions, ["day", *KEY], ["batch_id", *arrival]).drop("batch_id")
 
 
-def compact_days(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    before: dt.date | str,
-    arrival: Sequence[str] = ("message_id", "entry"),
-) -> None:
-    """Fold the versions of the days before ``before`` into one each.
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    versions = _read_versions(spark, path, ROLLUP)
+    return latest_per_key(versions, ["day", *ROLLUP_KEY], ["batch_id"]).drop("day", "batch_id")
 
-    The folded rows go to a scratch folder first and then replace their days,
-    so that no file is read and overwritten in one job. Run it while no stream
-    writes to these days.
-    """
+
+def _compact(
+    spark: SparkSession, path: str, schema: T.StructType, before, keys: Sequence[str], arrival: Sequence[str], sort
+) -> None:
     closed = F.col("day") < F.lit(str(before)).cast("date")
     versions = _read_versions(spark, path, schema).filter(closed)
-    newest = latest_per_key(versions, ["day", *KEY], ["batch_id", *arrival])
+    several = versions.groupBy("day").agg(F.count_distinct("batch_id").alias("n")).filter("n > 1")
+    days = [r.day for r in several.collect()]
+    if not days:
+        return
+    newest = latest_per_key(versions.filter(F.col("day").isin(days)), ["day", *keys], ["batch_id", *arrival])
+    folder = scratch_dir(spark, "compact")
+    newest.write.parquet(folder)
     (
-        spread(written(newest, "compact"), ["day"])
-        .sortWithinPartitions("day", "timestamp", "severity")
+        spread(spark.read.schema(newest.schema).parquet(folder), ["day"])
+        .sortWithinPartitions("day", *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )
+    remove_path(spark, folder)
 
 
-def rollup_windows(
-    anomalies: DataFrame, high_values: Sequence[str] = HIGH_VALUES, delay: str = "1 day"
-) -> DataFrame:
-    """The hourly rollup as a streaming aggregate; state is dropped ``delay`` after an hour.
+def compact_days(
+    spark: SparkSession, path: str, schema: T.StructType, before: dt.date | str, arrival: Sequence[str] = ARRIVAL
+) -> None:
+    """Fold the versions of each day before ``before`` that has several into one.
 
-    Of several anomalies in one message only the last counts, as in the keyed
-    table. The watermark needs a zoned timestamp: keep the session zone on UTC.
+    The folded rows go to a scratch folder first and then replace their days,
+    so that no file is read and overwritten in one job. Run it while no stream
+    writes to these days. Days with one version are left alone.
     """
-    last = anomalies.filter(F.col("entry") == F.col("entries"))
-    return (
-        last.withColumn("at", F.col("timestamp").cast("timestamp"))
-        .withWatermark("at", delay)
-        .groupBy("device_id", F.window("at", "1 hour"))
-        .agg(
-            F.count(F.lit(1)).alias("total_anomalies"),
-            F.count_if(~F.col("is_confirmed")).alias("unconfirmed_count"),
-            F.count_if(F.col("severity").isin(list(high_values))).alias("high_severity_count"),
-            F.array_sort(F.collect_set("anomaly_type")).alias("anomaly_types"),
-        )
-        .select(
-            "device_id",
-            F.col("window.start").cast("timestamp_ntz").alias("hour_bucket"),
-            "total_anomalies",
-            "unconfirmed_count",
-            "high_severity_count",
-            "anomaly_types",
-        )
-    )
+    _compact(spark, path, schema, before, KEY, arrival, ["timestamp", "severity"])
 
 
-def start_rollup(
-    rollup: DataFrame, path: str, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Write every changed hour of ``rollup_windows``; read with ``read_rollup``."""
-    return _start_versions(rollup, path, checkpoint, "update", "hour_bucket", ROLLUP_KEY, ROLLUP_FILES, interval)
-
-
-def read_rollup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    versions = _read_versions(spark, path, schema)
-    return latest_per_key(versions, ["day", *ROLLUP_KEY], ["batch_id"]).drop("day", "batch_id")
+def compact_rollup(spark: SparkSession, path: str, before: dt.date | str) -> None:
+    """The same for the versions of a streamed rollup."""
+    _compact(spark, path, ROLLUP, before, ROLLUP_KEY, (), ROLLUP_KEY)
 
 
 def refresh_rollup(

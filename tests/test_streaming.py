@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import streaming
-from millrace.operators import describe
+from millrace.operators import anomaly_rules, confirm_batch, describe
 from millrace.plans import serving
 from millrace.plans.pipelines import load_iot, refresh_serving, run_iot_batch
 from millrace.schemas import ANOMALIES_TOPIC, ENVELOPE, EVENTS_TOPIC, TELEMETRY, TELEMETRY_TOPIC
@@ -28,13 +28,13 @@ def feed(spark, batches, folder, start):
         wait(start())
 
 
-def confirm(spark, batches, base):
+def confirm(spark, batches, base, **options):
     def start():
         source = spark.readStream.schema(HITS).parquet(f"{base}/in")
-        return streaming.start_files(streaming.confirm_stream(source), f"{base}/out", f"{base}/state")
+        return streaming.start_confirmation(source, streaming.to_files(f"{base}/out"), f"{base}/state", **options)
 
     feed(spark, batches, f"{base}/in", start)
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/out")
 
 
 @pytest.mark.parametrize("seed, parts", [(4, 1), (5, 4)])
@@ -45,13 +45,32 @@ def test_stream_equals_the_literal_model(spark, tmp_path, seed, parts):
     assert confirmations(confirm(spark, batches, tmp_path)) == expected_confirmations(messages)
 
 
-def test_late_batches_count_against_the_history(spark, tmp_path):
-    """Across micro-batches the order is that of arrival, also when times go back."""
+@pytest.mark.parametrize("parts, hot_rows", [(1, 10**6), (3, 10**6), (10, 10**6), (2, 10)])
+def test_where_the_input_is_cut_makes_no_difference(spark, tmp_path, parts, hot_rows):
+    """The order is that of arrival, also when times go back; hot devices are cut into ranges."""
     messages = random_messages(6, 200, ordered=False)
-    parts = [sorted(messages[i : i + 40], key=lambda m: (m[1], m[2])) for i in range(0, 200, 40)]
-    arrived = [m for part in parts for m in part]
-    out = confirm(spark, [hits(spark, p) for p in parts], tmp_path)
-    assert confirmations(out) == expected_confirmations(arrived)
+    size = 200 // parts
+    batches = [hits(spark, messages[i : i + size]) for i in range(0, 200, size)]
+    out = confirm(spark, batches, tmp_path, hot_rows=hot_rows)
+    assert confirmations(out) == expected_confirmations(messages)
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
+    messages = random_messages(8, 60)
+    batches = [hits(spark, messages[:30]), hits(spark, messages[30:])]
+    confirm(spark, batches, tmp_path)
+    (tmp_path / "state" / "commits" / "1").unlink()  # as if the second had failed at its end
+    (tmp_path / "state" / "commits" / ".1.crc").unlink(missing_ok=True)
+    assert confirmations(confirm(spark, [hits(spark, [])], tmp_path)) == expected_confirmations(messages)
+
+
+def test_a_time_that_cannot_be_read_stays_unconfirmed(spark, tmp_path):
+    data = [(k, "d", "soon" if k % 2 else "2024-01-01T00:00:00", 9.0, 1.0, 1.0, 50) for k in range(8)]
+    names = "message_id long, device_id string, timestamp string, energy_usage double, temperature double, vibration double, signal_strength int"
+    rules = anomaly_rules(spark.createDataFrame(data, names), "message_id")
+    expected = {(k, 1): k in (4, 6) for k in range(8)}
+    assert confirmations(confirm_batch(rules)) == expected
+    assert confirmations(confirm(spark, [rules], tmp_path)) == expected
 
 
 def test_future_history_counts_and_twenty_bound(spark, tmp_path):
@@ -141,7 +160,7 @@ def test_upsert_keeps_the_latest_and_survives_a_replay(spark, tmp_path):
 
     feed(spark, [first, second], f"{tmp_path}/in", start)
     # The first micro-batch is delivered again, as after a failure.
-    streaming.serving._write_version(first.withColumn("day", F.to_date("timestamp")), 0, path, ["timestamp"], 4)
+    streaming.serving._write_version(first.withColumn("day", F.to_date("timestamp")), 0, path, ["timestamp"])
     expected = {("d", at(1), "low_signal"): 1, ("d", at(2, day=2), "high_vibration"): 1}
     keyed = streaming.read_keyed(spark, path, schema)
     assert rows(keyed, "device_id", "timestamp", "anomaly_type") == expected
@@ -155,23 +174,28 @@ def test_upsert_keeps_the_latest_and_survives_a_replay(spark, tmp_path):
 def test_rollup_stream_equals_the_batch_rollup(spark, tmp_path):
     rng = random.Random(3)
     messages = [
-        (rng.choice("ab"), at(0) + dt.timedelta(minutes=7 * i), i, sorted(rng.sample([1, 2, 3, 4], rng.choice([1, 2]))))
+        (rng.choice("ab"), at(0, day=8) + dt.timedelta(minutes=7 * i), i, sorted(rng.sample([1, 2, 3, 4], rng.choice([1, 2]))))
         for i in range(60)
     ]
     batches = [anomaly_batch(spark, messages[:25]), anomaly_batch(spark, messages[25:], True)]
-    schemas = []
+    # Days late, and a second message of a device and time that are there already.
+    batches += [anomaly_batch(spark, [("a", at(3, day=1), 90, [2]), messages[0][:2] + (91, [3])])]
 
     def start():
-        rollup = streaming.rollup_windows(spark.readStream.schema(batches[0].schema).parquet(f"{tmp_path}/in"), ("HIGH",))
-        schemas.append(rollup.schema)
-        return streaming.start_rollup(rollup, f"{tmp_path}/hours", f"{tmp_path}/state")
+        source = spark.readStream.schema(batches[0].schema).parquet(f"{tmp_path}/in")
+        return streaming.start_upsert(
+            source, f"{tmp_path}/keyed", f"{tmp_path}/state", rollup_path=f"{tmp_path}/hours", high_values=("HIGH",)
+        )
 
     feed(spark, batches, f"{tmp_path}/in", start)
-    got = streaming.read_rollup(spark, f"{tmp_path}/hours", schemas[0])
-    keyed = serving.anomalies_latest(batches[0].unionAll(batches[1]))
-    names = got.columns
-    flat = [F.array_join(c, ",").alias(c) if c == "anomaly_types" else F.col(c) for c in names]
-    assert rows(got.select(*flat)) == rows(serving.anomaly_rollup(keyed, ("HIGH",)).select(*names).select(*flat))
+    keyed = serving.anomalies_latest(batches[0].unionAll(batches[1]).unionAll(batches[2]))
+    expected = serving.anomaly_rollup(keyed, ("HIGH",))
+    flat = [F.array_join(c, ",").alias(c) if c == "anomaly_types" else F.col(c) for c in expected.columns]
+    for _ in range(2):
+        got = streaming.read_rollup(spark, f"{tmp_path}/hours")
+        assert rows(got.select(*flat)) == rows(expected.select(*flat))
+        streaming.compact_rollup(spark, f"{tmp_path}/hours", before="2025-01-01")
+    assert spark.read.parquet(f"{tmp_path}/hours").count() == expected.count()
 
 
 def test_refresh_of_single_days(spark, tmp_path):

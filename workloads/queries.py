@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import epoch_seconds, round_scaled
+from millrace.functions import round_scaled
 from millrace.operators import (
     anomaly_rules,
     confirm_batch,
@@ -50,15 +48,12 @@ from millrace.sources import (
     write_partitioned,
 )
 from millrace.streaming import (
-    anomaly_messages,
-    detect_anomalies,
     read_keyed,
     read_rollup,
-    rollup_windows,
-    start_files,
+    start_anomalies,
     start_ingest,
-    start_rollup,
     start_upsert,
+    to_files,
 )
 from workloads.views import view
 
@@ -407,9 +402,9 @@ def ingest_rejects(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------
 
-LANDINGS = 3
-ROWS_PER_LANDING = 20_000_000
-ROWS_PER_STATE_PARTITION = 250_000
+# Files of landed messages hold so many rows at most, and each run of a stream
+# takes some of them, so that history is stored and found again in between.
+ROWS_PER_FILE = 1_000_000
 TELEMETRY_MESSAGE = T.StructType([T.StructField("event_id", T.LongType()), *TELEMETRY.fields])
 # The anomaly topic carries the time as text and the place within the message.
 ANOMALY_RECORD = T.StructType(
@@ -450,66 +445,29 @@ def stream_ingest(spark, sf_dir):
     )
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession, rows: int):
-    """Size a new stream's state by its input: it keeps its partition count for good.
-
-    Every partition commits its state in every micro-batch, so a small stream
-    should not have many; the session's setting stays the upper bound.
-    """
-    setting = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(setting)
-    spark.conf.set(setting, str(min(int(usual), max(8, math.ceil(rows / ROWS_PER_STATE_PARTITION)))))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, usual)
-
-
-def _landings(messages: DataFrame, rows: int, path: str):
-    """Append the messages to ``path`` in time order, yielding after each part.
-
-    The number of parts grows with the data, so that a device's share of one
-    part stays small.
-    """
-    parts = max(LANDINGS, math.ceil(rows / ROWS_PER_LANDING))
-    seconds = messages.select(epoch_seconds(F.col("at")).alias("s"))
-    cuts = seconds.approxQuantile("s", [i / parts for i in range(1, parts)], 0.01 / parts)
-    bounds = [None, *[int(c) for c in cuts], None]
-    at = epoch_seconds(F.col("at"))
-    for low, high in zip(bounds, bounds[1:]):
-        part = messages
-        if low is not None:
-            part = part.filter(at >= low)
-        if high is not None:
-            part = part.filter(at < high)
-        part.drop("at").write.mode("append").parquet(path)
-        yield
-
-
 def _run_anomalies(spark, sf_dir, root: str, follow: Callable[[DataFrame], object] | None = None) -> str:
-    """Feed telemetry messages part by part to the anomaly stream; returns its sink.
+    """Land telemetry messages in time order, then take them file by file through the anomaly stream.
 
-    Every part is a run of its own on one checkpoint, so the state is saved and
-    restored in between. ``follow`` starts a query on the anomaly topic.
+    ``follow`` starts a query on the anomaly topic. Returns the folder of that topic.
     """
     telemetry = view(spark, sf_dir, "telemetry")
     messages = telemetry.select(
         F.lit(TELEMETRY_TOPIC).alias("topic"),
         F.col("device_id").alias("key"),
         F.to_json(F.struct(*telemetry.columns)).alias("value"),
-        F.to_timestamp_ntz("timestamp").alias("at"),
+        F.col("timestamp").alias("at"),
     )
-    sink = f"{root}/anomalies"
-    rows = telemetry.count()
-    for _ in _landings(messages, rows, f"{root}/telemetry"):
-        with _state_partitions(spark, rows):
-            source = message_stream(spark, [TELEMETRY_TOPIC], fmt="parquet", path=f"{root}/telemetry")
-            anomalies = detect_anomalies(parse_payload(source, TELEMETRY_MESSAGE), "event_id")
-            _finish(start_files(anomaly_messages(anomalies), sink, f"{root}/state"))
-            if follow:
-                source = message_stream(spark, [ANOMALIES_TOPIC], fmt="parquet", path=sink)
-                _finish(follow(_anomaly_rows(source)))
+    landed, sink = f"{root}/telemetry", f"{root}/anomalies"
+    writer = messages.repartitionByRange("at").sortWithinPartitions("at").drop("at").write
+    writer.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(landed)
+    source = message_stream(spark, [TELEMETRY_TOPIC], fmt="parquet", path=landed, maxFilesPerTrigger="4")
+    records = parse_payload(source, TELEMETRY_MESSAGE)
+    _finish(start_anomalies(records, to_files(sink), f"{root}/state", "event_id"))
+    if follow:
+        topic = message_stream(
+            spark, [ANOMALIES_TOPIC], fmt="parquet", path=sink, recursiveFileLookup="true", maxFilesPerTrigger="4"
+        )
+        _finish(follow(_anomaly_rows(topic)))
     return sink
 
 
@@ -521,31 +479,29 @@ def _anomaly_rows(messages: DataFrame) -> DataFrame:
 @query("stream_anomalies")
 def stream_anomalies(spark, sf_dir):
     sink = _run_anomalies(spark, sf_dir, scratch_dir(spark, "anomalies"))
-    return _anomaly_rows(spark.read.schema(ENVELOPE).parquet(sink))
+    return _anomaly_rows(spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").parquet(sink))
 
 
-@query("stream_anomalies_upsert")
-def stream_anomalies_upsert(spark, sf_dir):
-    root = scratch_dir(spark, "upsert")
+def _upserted(spark, sf_dir, root: str):
     schemas = []
 
     def follow(anomalies):
         schemas.append(anomalies.schema)
-        return start_upsert(anomalies, f"{root}/keyed", f"{root}/keyed-state")
+        return start_upsert(anomalies, f"{root}/keyed", f"{root}/keyed-state", rollup_path=f"{root}/hours")
 
     _run_anomalies(spark, sf_dir, root, follow)
-    return read_keyed(spark, f"{root}/keyed", schemas[-1]).select(*ANOMALIES.fieldNames())
+    return schemas[-1]
+
+
+@query("stream_anomalies_upsert")
+def stream_anomalies_upsert(spark, sf_dir):
+    root = scratch_dir(spark, "upsert")
+    schema = _upserted(spark, sf_dir, root)
+    return read_keyed(spark, f"{root}/keyed", schema).select(*ANOMALIES.fieldNames())
 
 
 @query("stream_rollup")
 def stream_rollup(spark, sf_dir):
     root = scratch_dir(spark, "rollup")
-    schemas = []
-
-    def follow(anomalies):
-        rollup = rollup_windows(anomalies)
-        schemas.append(rollup.schema)
-        return start_rollup(rollup, f"{root}/hours", f"{root}/hours-state")
-
-    _run_anomalies(spark, sf_dir, root, follow)
-    return read_rollup(spark, f"{root}/hours", schemas[-1])
+    _upserted(spark, sf_dir, root)
+    return read_rollup(spark, f"{root}/hours")
