@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schemas import EVENTS_RAW, EVENTS_TOPIC, TELEMETRY, TELEMETRY_TOPIC
-from millrace.sources.messages import parse_payload
+
+_TEXTS = T.ArrayType(T.StringType())
+_WHOLE = (T.IntegerType, T.LongType)
+# Fields that hold a time as text; it is stored as it came, but has to be readable.
+_TIMES = {"timestamp", "event_timestamp"}
 
 
 class Routed(NamedTuple):
@@ -18,37 +22,85 @@ class Routed(NamedTuple):
     rejects: DataFrame
 
 
+def parse_records(messages: DataFrame) -> DataFrame:
+    """One row per record of the JSON payloads, as text in ``record``; null where there is none to read.
+
+    A payload is an object or an array of objects; an empty array counts as an object without fields.
+    """
+    listed = F.startswith(F.ltrim("value"), F.lit("["))
+    texts = F.when(listed, F.from_json("value", _TEXTS)).otherwise(F.array("value"))
+    some = F.when(F.size(texts) == 0, F.array(F.lit("{}"))).otherwise(texts)
+    return messages.withColumn("record", F.explode_outer(some))
+
+
+def _typed(field: T.StructField) -> tuple[Column, Column]:
+    """The value of a field read as text, and whether text is there that does not fit.
+
+    Whole numbers may be written with a fraction of zero, and numbers in quotes.
+    """
+    text = F.col("_texts").getField(field.name)
+    if isinstance(field.dataType, T.StringType):
+        bad = text.isNotNull() & text.try_cast("timestamp_ntz").isNull() if field.name in _TIMES else F.lit(False)
+        return text, bad
+    if isinstance(field.dataType, _WHOLE):
+        number = text.try_cast("decimal(38,10)")
+        value = F.when(number == F.floor(number), number).try_cast(field.dataType.simpleString())
+    else:
+        value = text.try_cast(field.dataType.simpleString())
+    return value, text.isNotNull() & value.isNull()
+
+
+def read_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds the fields of ``schema``, ``extra`` (all other fields, as text), and ``reason`` where a record is bad.
+
+    Reasons: bad_json (no object), missing_device_id (also an empty one), and
+    bad_value with the names of the fields whose text does not fit.
+    """
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    every = T.MapType(T.StringType(), T.StringType())
+    # Only an object becomes a map; a struct is also made of other JSON.
+    read = records.withColumn("_texts", F.from_json("record", texts)).withColumn("_every", F.from_json("record", every))
+    typed = {f.name: _typed(f) for f in schema.fields}
+    bad = F.array_compact(F.array(*[F.when(unfit, name) for name, (_, unfit) in typed.items()]))
+    reason = (
+        F.when(F.col("_every").isNull() | ~F.startswith(F.ltrim("record"), F.lit("{")), "bad_json")
+        .when(F.coalesce(F.trim(F.col("_texts.device_id")), F.lit("")) == "", "missing_device_id")
+        .when(F.size(bad) > 0, F.concat(F.lit("bad_value: "), F.array_join(bad, ", ")))
+    )
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    return read.select(
+        *records.columns,
+        *[value.alias(name) for name, (value, _) in typed.items()],
+        F.map_filter("_every", lambda k, _: ~F.array_contains(names, k)).alias("extra"),
+        reason.alias("reason"),
+    )
+
+
 def route_messages(envelopes: DataFrame, ingest_date: Column | None = None) -> Routed:
     """Split (topic, key, value) messages by topic into rows ready to be stored.
 
     Every record of a payload becomes a row under its own device, with the date
-    of processing in ``date``. What cannot be stored goes to ``rejects`` with a
-    ``reason``: bad_json (no object or array of objects), missing_device_id
-    (one row per such record), unknown_topic. Stateless, for batches and
-    streams. Each branch parses only the messages of its topic, and the rejects
-    branch only the device ids.
+    of processing in ``date`` and fields beyond the declared ones in the map
+    ``extra``. What cannot be stored goes to ``rejects`` with a ``reason``: those
+    of ``read_records``, one row per record, or unknown_topic. So the records
+    stored and rejected are all there are. Stateless, for batches and streams.
     """
     day = F.current_date() if ingest_date is None else ingest_date
 
-    def rows(topic: str, schema: T.StructType) -> DataFrame:
-        parsed = parse_payload(envelopes.filter(F.col("topic") == topic), schema)
-        return parsed.filter(F.col("device_id").isNotNull()).withColumn("date", day)
+    def of(topic: str, schema: T.StructType) -> DataFrame:
+        return read_records(parse_records(envelopes.filter(F.col("topic") == topic)), schema)
 
-    ids = F.from_json("value", T.ArrayType(T.StructType([T.StructField("device_id", T.StringType())])))
-    known = F.col("topic").isin(TELEMETRY_TOPIC, EVENTS_TOPIC)
-    # from_json gives null for text that is neither an object nor an array of objects.
-    devices = F.transform(ids, lambda r: r.getField("device_id"))
-    reason = (
-        F.when(~F.col("readable"), "bad_json")
-        .when(F.col("device_id").isNull(), "missing_device_id")
-        .when(~F.coalesce(known, F.lit(False)), "unknown_topic")
-    )
-    rejects = (
-        envelopes.withColumn("readable", ids.isNotNull())
-        .withColumn("device_id", F.explode_outer(devices))
-        .withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .select("topic", "key", "value", "reason")
-        .withColumn("date", day)
-    )
-    return Routed(rows(TELEMETRY_TOPIC, TELEMETRY), rows(EVENTS_TOPIC, EVENTS_RAW), rejects)
+    def stored(read: DataFrame, schema: T.StructType) -> DataFrame:
+        return read.filter(F.col("reason").isNull()).select(*schema.fieldNames(), "extra").withColumn("date", day)
+
+    known = {TELEMETRY_TOPIC: TELEMETRY, EVENTS_TOPIC: EVENTS_RAW}
+    read = {topic: of(topic, schema) for topic, schema in known.items()}
+    others = parse_records(envelopes.filter(~F.coalesce(F.col("topic").isin(*known), F.lit(False))))
+    others = read_records(others, T.StructType([TELEMETRY["device_id"]]))
+    others = others.withColumn("reason", F.coalesce("reason", F.lit("unknown_topic")))
+    columns = ["topic", "key", F.coalesce("record", "value").alias("value"), "reason"]
+    rejects = others.select(*columns)
+    for rows in read.values():
+        rejects = rejects.unionByName(rows.filter(F.col("reason").isNotNull()).select(*columns))
+    telemetry, events = (stored(read[topic], schema) for topic, schema in known.items())
+    return Routed(telemetry, events, rejects.withColumn("date", day))

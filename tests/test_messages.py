@@ -41,3 +41,33 @@ def test_routing(spark):
         ("other", "bad_json"): 1,
         (None, "unknown_topic"): 1,
     }
+
+
+def test_nothing_is_lost_or_silently_changed(spark):
+    t, e = "iot-telemetry", "iot-events"
+    messages = [
+        (t, '{"device_id": "a", "signal_strength": 45.5}'),
+        (t, '{"device_id": "b", "signal_strength": "x", "temperature": "hot"}'),
+        (t, '{"device_id": "c", "signal_strength": 99999999999}'),
+        (t, '{"device_id": "", "signal_strength": 1}'),
+        (t, '{"device_id": " ", "signal_strength": 1}'),
+        (t, '{"device_id": "d", "timestamp": "soon"}'),
+        (t, '{"device_id": "e", "signal_strength": 12.0, "energy_usage": "1.5", "firmware": {"v": 2}, "tags": [1]}'),
+        (e, '{"device_id": "f", "duration_min": "12"}'),
+        (e, '{"device_id": "g", "duration_min": 12.0, "event_timestamp": "2024-01-01T00:00:00", "note": null}'),
+        (e, '[{"device_id": "h"}, 5, "x", null, {"device_id": 7}]'),
+    ]
+    df = spark.createDataFrame([(topic, "k", v) for topic, v in messages], "topic string, key string, value string")
+    routed = route_messages(df, F.lit(DAY))
+    kept = {r.device_id: r for r in routed.telemetry.collect()}
+    assert kept.keys() == {"e"} and kept["e"].signal_strength == 12 and kept["e"].energy_usage == 1.5
+    assert kept["e"].extra == {"firmware": '{"v":2}', "tags": "[1]"}
+    events = {r.device_id: (r.duration_min, r.extra) for r in routed.events.collect()}
+    assert events == {"f": (12, {}), "g": (12, {"note": None}), "h": (None, {}), "7": (None, {})}
+    assert rows(routed.rejects, "reason") == {
+        ("bad_value: signal_strength",): 2,
+        ("bad_value: temperature, signal_strength",): 1,
+        ("missing_device_id",): 2,
+        ("bad_value: timestamp",): 1,
+        ("bad_json",): 3,
+    }

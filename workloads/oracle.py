@@ -313,29 +313,33 @@ FROM (SELECT cast(id AS integer) AS id, price, string_split(name, '·') AS p,
 )
 
 _KIND = """CASE WHEN event_id % 101 = 5 THEN 'broken' WHEN event_id % 103 = 7 THEN 'anonymous'
-  WHEN event_id % 107 = 9 THEN 'astray' WHEN event_id % 7 = 3 THEN 'pair' ELSE 'plain' END AS kind"""
+  WHEN event_id % 107 = 9 THEN 'astray' WHEN event_id % 109 = 3 THEN 'nameless' WHEN event_id % 113 = 8 THEN 'misfit'
+  WHEN event_id % 11 = 6 THEN 'wordy' WHEN event_id % 7 = 3 THEN 'pair' ELSE 'plain' END AS kind"""
+_FIRMWARE = "CASE kind WHEN 'wordy' THEN 'v2' END AS firmware"
 MESSAGES = f""",
 t AS (SELECT *, {_KIND} FROM telemetry),
 e AS (SELECT *, {_KIND} FROM iot_events),
 t_stored AS (
-  SELECT device_id, timestamp, energy_usage, temperature, vibration, signal_strength
-  FROM t WHERE kind IN ('pair', 'plain')
+  SELECT device_id, timestamp, energy_usage, temperature, vibration, signal_strength, {_FIRMWARE}
+  FROM t WHERE kind IN ('pair', 'plain', 'wordy')
   UNION ALL
-  SELECT device_id || '_spare', timestamp, energy_usage, temperature, vibration, signal_strength
+  SELECT device_id || '_spare', timestamp, energy_usage, temperature, vibration, signal_strength, NULL
   FROM t WHERE kind = 'pair'),
 e_stored AS (
-  SELECT device_id, event_timestamp, event_type, severity, component, duration_min
-  FROM e WHERE kind IN ('pair', 'plain')
+  SELECT device_id, event_timestamp, event_type, severity, component,
+    duration_min, {_FIRMWARE}
+  FROM e WHERE kind IN ('pair', 'plain', 'wordy')
   UNION ALL
-  SELECT device_id || '_spare', event_timestamp, event_type, severity, component, duration_min
+  SELECT device_id || '_spare', event_timestamp, event_type, severity, component, duration_min, NULL
   FROM e WHERE kind = 'pair'),
 rejected AS (
   SELECT CASE kind WHEN 'astray' THEN 'iot-debug' ELSE topic END AS topic, device_id AS "key",
     CASE kind WHEN 'broken' THEN 'bad_json' WHEN 'anonymous' THEN 'missing_device_id'
+      WHEN 'nameless' THEN 'missing_device_id' WHEN 'misfit' THEN 'bad_value: ' || number
       ELSE 'unknown_topic' END AS reason
-  FROM (SELECT 'iot-telemetry' AS topic, device_id, kind FROM t
-        UNION ALL SELECT 'iot-events', device_id, kind FROM e) m
-  WHERE kind IN ('broken', 'anonymous', 'astray'))
+  FROM (SELECT 'iot-telemetry' AS topic, device_id, kind, 'signal_strength' AS number FROM t
+        UNION ALL SELECT 'iot-events', device_id, kind, 'duration_min' FROM e) m
+  WHERE kind IN ('broken', 'anonymous', 'astray', 'nameless', 'misfit'))
 """
 ORACLE["ingest_telemetry"] = with_views(IOT, MESSAGES + "SELECT * FROM t_stored")
 ORACLE["ingest_events"] = with_views(IOT, MESSAGES + "SELECT * FROM e_stored")

@@ -355,21 +355,27 @@ def scan_partitioned_query(spark, sf_dir):
     return scan_partitioned(spark, root, "telemetry", telemetry.schema)
 
 
-# What becomes of a message: most are sound, some are bad in one of three ways,
-# and one in seven carries a list of two records.
+# What becomes of a message: most are sound, some are bad in one of five ways,
+# some have a field nobody declared, and one in seven carries a list of two records.
 MESSAGE_KIND = """CASE WHEN event_id % 101 = 5 THEN 'broken' WHEN event_id % 103 = 7 THEN 'anonymous'
-  WHEN event_id % 107 = 9 THEN 'astray' WHEN event_id % 7 = 3 THEN 'pair' ELSE 'plain' END"""
+  WHEN event_id % 107 = 9 THEN 'astray' WHEN event_id % 109 = 3 THEN 'nameless' WHEN event_id % 113 = 8 THEN 'misfit'
+  WHEN event_id % 11 = 6 THEN 'wordy' WHEN event_id % 7 = 3 THEN 'pair' ELSE 'plain' END"""
 ASTRAY_TOPIC = "iot-debug"
 
 
-def _messages(rows: DataFrame, topic: str) -> DataFrame:
-    fields = [c for c in rows.columns if c != "device_id"]
+def _messages(rows: DataFrame, topic: str, number: str) -> DataFrame:
+    """JSON messages of rows; ``number`` is the field that holds a word in misfits."""
+    fields = [c for c in rows.columns if c not in ("device_id", "event_id")]
     named = F.to_json(F.struct("device_id", *fields))
     spare = F.to_json(F.struct(F.concat("device_id", F.lit("_spare")).alias("device_id"), *fields))
+    misfit = [F.lit("many").alias(c) if c == number else F.col(c) for c in fields]
     kind = F.expr(MESSAGE_KIND)
     value = (
         F.when(kind == "broken", F.substring(named, 1, 20))
         .when(kind == "anonymous", F.to_json(F.struct(*fields)))
+        .when(kind == "nameless", F.to_json(F.struct(F.lit("").alias("device_id"), *fields)))
+        .when(kind == "misfit", F.to_json(F.struct("device_id", *misfit)))
+        .when(kind == "wordy", F.to_json(F.struct("device_id", *fields, F.lit("v2").alias("firmware"))))
         .when(kind == "pair", F.concat(F.lit("["), named, F.lit(","), spare, F.lit("]")))
         .otherwise(named)
     )
@@ -378,8 +384,12 @@ def _messages(rows: DataFrame, topic: str) -> DataFrame:
 
 
 def _envelopes(spark, sf_dir):
-    telemetry = _messages(view(spark, sf_dir, "telemetry"), TELEMETRY_TOPIC)
-    return telemetry.unionByName(_messages(view(spark, sf_dir, "iot_events"), EVENTS_TOPIC))
+    telemetry = _messages(view(spark, sf_dir, "telemetry"), TELEMETRY_TOPIC, "signal_strength")
+    return telemetry.unionByName(_messages(view(spark, sf_dir, "iot_events"), EVENTS_TOPIC, "duration_min"))
+
+
+def _with_firmware(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("firmware", F.col("extra")["firmware"]).drop("extra", "date")
 
 
 EVENT_FIELDS = ["device_id", "event_timestamp", "event_type", "severity", "component", "duration_min"]
@@ -387,12 +397,12 @@ EVENT_FIELDS = ["device_id", "event_timestamp", "event_type", "severity", "compo
 
 @query("ingest_telemetry")
 def ingest_telemetry(spark, sf_dir):
-    return route_messages(_envelopes(spark, sf_dir)).telemetry.drop("date")
+    return _with_firmware(route_messages(_envelopes(spark, sf_dir)).telemetry)
 
 
 @query("ingest_events")
 def ingest_events(spark, sf_dir):
-    return route_messages(_envelopes(spark, sf_dir)).events.select(*EVENT_FIELDS)
+    return _with_firmware(route_messages(_envelopes(spark, sf_dir)).events).select(*EVENT_FIELDS, "firmware")
 
 
 @query("ingest_rejects")

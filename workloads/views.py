@@ -22,9 +22,10 @@ VIEWS = {
     ),
     "geolocation": (
         ["nation", "region"],
-        """SELECT n_nationkey AS geolocation_zip_code_prefix, n_name AS geolocation_city,
-             r_name AS geolocation_state
-           FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey < 4""",
+        # The places of one region have a prefix that nobody lives in.
+        """SELECT CASE WHEN n_regionkey < 4 THEN n_nationkey ELSE n_nationkey + 1000 END AS geolocation_zip_code_prefix,
+             n_name AS geolocation_city, r_name AS geolocation_state
+           FROM nation JOIN region ON n_regionkey = r_regionkey""",
     ),
     "sellers": (
         ["supplier"],
@@ -56,16 +57,20 @@ VIEWS = {
     ),
     "payments": (
         ["orders"],
-        """SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_totalprice AS payment_value
-           FROM orders WHERE o_orderstatus <> 'P'
+        # Finished orders have two payments; those in progress have payments that belong to no order.
+        """SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS order_id,
+             1 AS payment_sequential, o_totalprice AS payment_value
+           FROM orders
            UNION ALL
            SELECT o_orderkey AS order_id, 2 AS payment_sequential, o_totalprice AS payment_value
            FROM orders WHERE o_orderstatus = 'F'""",
     ),
     "reviews": (
         ["orders"],
-        """SELECT o_orderkey AS order_id, cast(substr(o_orderpriority, 1, 1) AS int) AS review_score
-           FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""",
+        # Reviews of one priority belong to no order.
+        """SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN -o_orderkey ELSE o_orderkey END AS order_id,
+             cast(substr(o_orderpriority, 1, 1) AS int) AS review_score
+           FROM orders""",
     ),
     "telemetry": (
         ["events"],
@@ -84,15 +89,16 @@ VIEWS = {
         ["events"],
         """SELECT event_id, 'device_' || cast(user_id % 25 AS string) AS device_id,
              cast(ts AS string) AS event_timestamp,
-             CASE event_type WHEN 'error' THEN 'failure' WHEN 'purchase' THEN 'maintenance'
-                             ELSE 'inspection' END AS event_type,
+             CASE WHEN event_type = 'error' THEN 'failure'
+                  WHEN event_type = 'purchase' AND user_id % 25 NOT IN (3, 8) THEN 'maintenance'
+                  ELSE 'inspection' END AS event_type,
              CASE WHEN value > 60 THEN 'high' WHEN value > 20 THEN 'medium' ELSE 'low' END AS severity,
              CASE WHEN event_type = 'error' THEN
                CASE {k} % 4 WHEN 0 THEN 'motor' WHEN 1 THEN 'bearing' WHEN 2 THEN 'sensor'
                             ELSE 'battery' END END AS component,
-             CASE WHEN event_type = 'purchase' THEN cast(15 + {k} AS bigint) END AS duration_min
-           FROM events
-           WHERE event_type IN ('error', 'view') OR (event_type = 'purchase' AND user_id % 25 NOT IN (3, 8))""",
+             CASE WHEN event_type = 'purchase' AND user_id % 25 NOT IN (3, 8)
+                  THEN cast(15 + {k} AS bigint) END AS duration_min
+           FROM events""",
     ),
     # Packed listing names: with and without rating, complete and cut short.
     "listings": (
