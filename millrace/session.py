@@ -52,6 +52,14 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, such as a note or a journal, to any store."""
+    files, place = _file_system(spark, path)
+    out = files.create(place, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to a scratch folder and read back, free of their lineage."""
     path = scratch_dir(df.sparkSession, label)

@@ -1,6 +1,7 @@
 """Reading tables, files, topics and small local data."""
 
 from millrace.sources.files import (
+    damaged_files,
     enforce_schema,
     load_csv_folder,
     read_path,
@@ -23,6 +24,7 @@ from millrace.sources.tables import (
 __all__ = [
     "append_table",
     "create_namespace",
+    "damaged_files",
     "enforce_schema",
     "frame_from_columns",
     "import_parquet",

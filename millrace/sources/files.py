@@ -12,24 +12,57 @@ from pyspark.sql import types as T
 from millrace.operators.layout import spread
 
 
+#: More damaged files than this are taken for a failing store, not for damage.
+MOST_DAMAGED = 1000
+
+
+def damaged_files(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """(path) of the files below a dataset whose footer cannot be read.
+
+    One distributed pass over the footers. A file that holds no rows has
+    nothing to lose and is not told from a damaged one.
+    """
+    place = f"{root.rstrip('/')}/{prefix.strip('/')}"
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = listed.option("pathGlobFilter", "*.parquet").load(place).select(F.col("_metadata.file_path").alias("path"))
+    # Without data columns only footers are read, and those that fail give no row.
+    sound = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
+    sound = sound.option("pathGlobFilter", "*.parquet").parquet(place).select(F.col("_metadata.file_path").alias("path"))
+    return listed.join(sound.distinct(), "path", "left_anti")
+
+
 def scan_partitioned(
-    spark: SparkSession, root: str, prefix: str, schema: T.StructType | None = None
+    spark: SparkSession, root: str, prefix: str, schema: T.StructType | None = None, damaged: str = "skip"
 ) -> DataFrame:
-    """Scan a ``date=.../device_id=...`` Parquet folder, skipping corrupt files.
+    """Scan a ``date=.../device_id=...`` Parquet folder without the files that ``damaged_files`` names.
 
     ``prefix`` is a dataset ("telemetry") or one of its partitions
     ("telemetry/date=2024-01-01"); the partition columns are kept either way.
     Pass the schema of the files to save inference and to keep device ids text
     whatever they look like. Filters on the partition columns prune folders.
+    ``damaged`` is "skip", "fail" (raise if there are any) or "trust" (do not
+    look). A read error in a sound file always raises: no rows go missing.
     """
+    if damaged not in ("skip", "fail", "trust"):
+        raise ValueError(f"unknown choice {damaged!r}")
     dataset, root = prefix.strip("/").split("/")[0], root.rstrip("/")
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", f"{root}/{dataset}")
+    skipped = []
+    if damaged != "trust":
+        skipped = [r.path for r in damaged_files(spark, root, prefix).limit(MOST_DAMAGED + 1).collect()]
+        if skipped and (damaged == "fail" or len(skipped) > MOST_DAMAGED):
+            raise ValueError(f"damaged files below {root}/{prefix}, such as {skipped[0]}")
+    reader = spark.read.option("basePath", f"{root}/{dataset}")
+    if schema is None and skipped:  
+        one = spark.read.option("ignoreCorruptFiles", "true").option("basePath", f"{root}/{dataset}")
+        schema = one.parquet(f"{root}/{prefix.strip('/')}").schema
     if schema is not None:
         names = {"date", "device_id"}
         fields = [f for f in schema.fields if f.name not in names]
         keys = [T.StructField("date", T.DateType()), T.StructField("device_id", T.StringType())]
         reader = reader.schema(T.StructType(fields + keys))
-    return reader.parquet(f"{root}/{prefix.strip('/')}")
+    rows = reader.parquet(f"{root}/{prefix.strip('/')}")
+    # A condition on the file name leaves the file out of the scan.
+    return rows.filter(~F.col("_metadata.file_path").isin(skipped)) if skipped else rows
 
 
 def read_path(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:

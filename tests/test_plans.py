@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import anomaly_rules, confirm_batch, latest_per_key, previous_time
+from millrace.operators import anomaly_rules, confirm_batch, latest_per_key, layout, previous_time
 from millrace.plans import ecommerce, iot, serving
 from workloads.views import view
 
@@ -83,3 +83,17 @@ def test_rollup_groups_by_type_before_listing_types(spark):
     text = plan(serving.anomaly_rollup(describe(anomalies)))
     assert "HashAggregate(keys=[device_id" in text
     assert "Energy usage" not in text  # the wording is pruned
+
+
+def test_large_writes_get_tasks_by_size(spark, monkeypatch, tmp_path):
+    """A hot folder is cut, down to what each reading task put into it; others stay whole."""
+    monkeypatch.setattr(layout, "TASK_BYTES", 1)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        df = spark.range(0, 400_000, 1, 8).selectExpr("if(id % 40 = 0, id % 3 + 1, 0) AS folder", "id", "hash(id) AS h")
+        layout.spread(df, ["folder"]).write.partitionBy("folder").parquet(str(tmp_path / "t"))
+    finally:
+        spark.conf.unset(size)
+    files = {k: len(list((tmp_path / "t" / f"folder={k}").glob("*.parquet"))) for k in range(4)}
+    assert files[0] >= 8 and all(files[k] <= 3 for k in (1, 2, 3))

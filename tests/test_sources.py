@@ -31,6 +31,25 @@ def test_partitioned_scan_keeps_keys_and_skips_corrupt_files(spark, lake):
         (dt.date(2024, 1, 1), "d2", 2.0): 1,
         (dt.date(2024, 1, 2), "d2", 3.0): 1,
     }
+    assert [r.path.rsplit("/", 1)[1] for r in sources.damaged_files(spark, str(lake), "telemetry").collect()] == ["part-broken.parquet"]
+    assert sources.scan_partitioned(spark, str(lake), "telemetry").count() == 3
+    with pytest.raises(ValueError, match="part-broken"):
+        sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY, damaged="fail")
+
+
+def test_damage_within_a_file_raises(spark, tmp_path):
+    spark.range(200_000).selectExpr("id", "'d' AS device_id", "date'2024-01-01' AS date").coalesce(1).write.partitionBy(
+        "date", "device_id"
+    ).parquet(str(tmp_path / "telemetry"))
+    folder = tmp_path / "telemetry" / "date=2024-01-01" / "device_id=d"
+    (file,) = folder.glob("*.parquet")
+    content = bytearray(file.read_bytes())
+    content[100:2000] = b"\xff" * 1900
+    (folder / f".{file.name}.crc").unlink()
+    file.write_bytes(content)
+    assert sources.damaged_files(spark, str(tmp_path), "telemetry").count() == 0
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        sources.scan_partitioned(spark, str(tmp_path), "telemetry").selectExpr("sum(id)").collect()
 
 
 def test_partition_prefix_and_pruning(spark, lake):

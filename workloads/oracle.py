@@ -300,6 +300,8 @@ ORACLE["scan_partitioned"] = with_views(
   cast(cast(timestamp AS date) AS varchar) AS date, device_id FROM telemetry""",
 )
 
+ORACLE["scan_damaged"] = with_views(["telemetry"], "SELECT 'damaged.parquet' AS file, count(*) AS n_rows FROM telemetry")
+
 ORACLE["listings_parse"] = with_views(
     ["listings"],
     """SELECT id, price, trim(p[1]) AS description,

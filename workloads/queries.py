@@ -32,10 +32,11 @@ from millrace.schemas import (
     TELEMETRY,
     TELEMETRY_TOPIC,
 )
-from millrace.session import apply_scale_settings, scratch_dir
+from millrace.session import apply_scale_settings, put_text, scratch_dir
 from millrace.sources import (
     append_table,
     create_namespace,
+    damaged_files,
     enforce_schema,
     import_parquet,
     layer_name,
@@ -347,12 +348,29 @@ def listings_parse(spark, sf_dir):
     return spark.table(f"{ns}.listings")
 
 
-@query("scan_partitioned")
-def scan_partitioned_query(spark, sf_dir):
+def _stored_telemetry(spark, sf_dir):
+    """Telemetry in partition folders, one of which also has a file that is no Parquet."""
     root = scratch_dir(spark, "bronze")
     telemetry = view(spark, sf_dir, "telemetry").withColumn("date", F.to_date(F.to_timestamp_ntz("timestamp")))
     write_partitioned(telemetry, root, "telemetry")
-    return scan_partitioned(spark, root, "telemetry", telemetry.schema)
+    some = telemetry.select("date", "device_id").sort("date", "device_id").first()
+    put_text(spark, f"{root}/telemetry/date={some.date}/device_id={some.device_id}/damaged.parquet", "no table")
+    return root, telemetry.schema
+
+
+@query("scan_partitioned")
+def scan_partitioned_query(spark, sf_dir):
+    root, schema = _stored_telemetry(spark, sf_dir)
+    return scan_partitioned(spark, root, "telemetry", schema)
+
+
+@query("scan_damaged")
+def scan_damaged(spark, sf_dir):
+    """The damaged file is named, beside how many rows the others hold."""
+    root, schema = _stored_telemetry(spark, sf_dir)
+    rows = scan_partitioned(spark, root, "telemetry", schema).agg(F.count("*").alias("n_rows"))
+    name = F.element_at(F.split("path", "/"), -1)
+    return damaged_files(spark, root, "telemetry").select(name.alias("file"), rows.scalar().alias("n_rows"))
 
 
 # What becomes of a message: most are sound, some are bad in one of five ways,
