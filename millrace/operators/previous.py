@@ -11,9 +11,9 @@ from millrace.functions.times import epoch_seconds
 
 # A key is hot when it holds more than 1/HOT_KEYS of all rows, so there can be
 # at most HOT_KEYS of them however large the table is. That bounds the one
-# broadcast below.
-HOT_KEYS = 10_000
-SLICES_PER_SHARE = 4
+# broadcast below to HOT_KEYS * SLICES times.
+HOT_KEYS = 2_000
+SLICES = 500
 
 
 def previous_time(
@@ -26,9 +26,10 @@ def previous_time(
 ) -> DataFrame:
     """Add ``out``: ``time`` of the key's preceding row, null for its first.
 
-    A plain ``lag`` sorts all rows of a key in one task. Here the time range of
-    a hot key (more than ``hot_rows`` rows and more than 1/HOT_KEYS of the
-    table) is cut into slices which are sorted apart. Each slice gets one extra
+    A plain ``lag`` sorts all rows of a key in one task. Here the times of a hot
+    key (more than ``hot_rows`` rows and more than 1/HOT_KEYS of the table) are
+    cut at quantiles into slices of about as many rows each, which are sorted
+    apart; a burst is cut finer than a lull. Each slice gets one extra
     row carrying the last time before it, so ``lag`` needs nothing from another
     task. Other keys form one slice each. The rows are shuffled once.
     """
@@ -36,28 +37,22 @@ def previous_time(
     rows = df.select(F.count(F.lit(1))).scalar()
     hot = (
         df.groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(seconds).alias("_lo"), F.max(seconds).alias("_hi"))
-        .filter((F.col("_n") > hot_rows) & (F.col("_n") > rows / HOT_KEYS))
-        .select(
-            "_key",
-            "_lo",
-            "_hi",
-            F.ceil(F.col("_n") * (HOT_KEYS * SLICES_PER_SHARE) / rows).alias("_slices"),
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx(seconds, [i / SLICES for i in range(1, SLICES)], 20 * SLICES).alias("_cuts"),
         )
+        .filter((F.col("_n") > hot_rows) & (F.col("_n") > rows / HOT_KEYS))
+        .select("_key", F.array_distinct("_cuts").alias("_cuts"))
     )
     # At most HOT_KEYS rows by the definition of hot.
     sliced = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
-        "_slice",
-        F.coalesce(
-            F.width_bucket(seconds, F.col("_lo"), F.col("_hi") + 1, F.col("_slices")),
-            F.lit(0).cast("bigint"),
-        ),
+        "_slice", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < seconds)), F.lit(0))
     )
     # Last time of every slice of a hot key, handed to the key's next slice: at
-    # most HOT_KEYS * (SLICES_PER_SHARE + 2) rows in all.
+    # most HOT_KEYS * SLICES rows in all.
     by_slice = Window.partitionBy(key).orderBy("_slice")
     edges = (
-        sliced.filter(F.col("_slices").isNotNull())
+        sliced.filter(F.col("_cuts").isNotNull())
         .groupBy(key, "_slice")
         .agg(F.max(time).alias(time))
         .withColumn("_slice", F.lead("_slice").over(by_slice))
@@ -66,7 +61,7 @@ def previous_time(
     )
     within = Window.partitionBy(key, "_slice").orderBy(time, F.col("_edge").desc(), *ties)
     return (
-        sliced.drop("_key", "_lo", "_hi", "_slices")
+        sliced.drop("_key", "_cuts")
         .withColumn("_edge", F.lit(False))
         .unionByName(edges, allowMissingColumns=True)
         .withColumn(out, F.lag(time).over(within))

@@ -20,21 +20,25 @@ INTERVENTIONS = {"P0": ("within_4_hours", 5000), "P1": ("within_3_days", 2000)}
 ROUTINE = ("next_routine_cycle", 500)
 
 
-def silver_events(events: DataFrame) -> DataFrame:
-    """Events with their date, kind flags and the days since the device's event before."""
-    timed = previous_time(
-        events, "device_id", "event_timestamp", "_previous", ties=("event_type", "severity")
-    )
-    days = whole_days_between(F.col("_previous"), F.col("event_timestamp"))
-    return timed.select(
+def event_flags(events: DataFrame) -> DataFrame:
+    """Events with their date and kind flags; all that the statistics below need."""
+    return events.select(
         *events.columns,
         F.to_date("event_timestamp").alias("event_date"),
         (F.col("event_type") == "failure").alias("is_failure"),
         (F.col("event_type") == "maintenance").alias("is_maintenance"),
-        F.coalesce(days, F.lit(0).cast("bigint")).alias("days_since_last_event"),
     )
 
 
+def silver_events(events: DataFrame) -> DataFrame:
+    """Events with their date, kind flags and the days since the device's event before."""
+    timed = previous_time(
+        event_flags(events), "device_id", "event_timestamp", "_previous", ties=("event_type", "severity")
+    )
+    days = whole_days_between(F.col("_previous"), F.col("event_timestamp"))
+    return timed.withColumn("days_since_last_event", F.coalesce(days, F.lit(0).cast("bigint"))).drop("_previous")
+
+
 def silver_telemetry(telemetry: DataFrame) -> DataFrame:
     """Telemetry with parsed time, anomaly flags and a health score.
 
@@ -81,14 +85,14 @@ def telemetry_daily(silver_telemetry: DataFrame) -> DataFrame:
     )
 
 
-def failure_stats(silver_events: DataFrame) -> DataFrame:
+def failure_stats(event_flags: DataFrame) -> DataFrame:
     """Failures per device and day with the distinct components, sorted, nulls last.
 
     Grouping by component first keeps the large pass a plain hash count; only
     distinct components reach the list aggregate.
     """
     by_component = (
-        silver_events.filter("is_failure")
+        event_flags.filter("is_failure")
         .groupBy("device_id", "event_date", "component")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -100,10 +104,10 @@ def failure_stats(silver_events: DataFrame) -> DataFrame:
     )
 
 
-def maintenance_impact(silver_events: DataFrame) -> DataFrame:
+def maintenance_impact(event_flags: DataFrame) -> DataFrame:
     """Last maintenance and its mean duration per device."""
     return (
-        silver_events.filter("is_maintenance")
+        event_flags.filter("is_maintenance")
         .groupBy("device_id")
         .agg(
             F.max("event_date").alias("last_maintenance_date"),
@@ -112,17 +116,18 @@ def maintenance_impact(silver_events: DataFrame) -> DataFrame:
     )
 
 
-def device_health(silver_telemetry: DataFrame, silver_events: DataFrame) -> DataFrame:
+def device_health(silver_telemetry: DataFrame, event_flags: DataFrame) -> DataFrame:
     """Daily telemetry with that day's failures and the device's last maintenance.
 
+    ``event_flags`` may be any table with these columns, such as silver events.
     ``days_since_maintenance`` is negative for days before the last one.
     """
     health = left_join(
         telemetry_daily(silver_telemetry),
-        failure_stats(silver_events),
+        failure_stats(event_flags),
         {"device_id": "device_id", "date": "event_date"},
     )
-    health = left_join(health, maintenance_impact(silver_events), ["device_id"])
+    health = left_join(health, maintenance_impact(event_flags), ["device_id"])
     days = F.datediff("date", "last_maintenance_date")
     return health.withColumns(
         {

@@ -106,7 +106,7 @@ def run_iot_batch(
     create_namespace(spark, namespace)
     events, telemetry = load_iot(spark, root)
     silver = iot.silver_telemetry(telemetry)
-    health = written(iot.device_health(silver, iot.silver_events(events)), "health")
+    health = written(iot.device_health(silver, iot.event_flags(events)), "health")
     prediction = written(iot.failure_prediction(silver, as_of), "prediction")
     tables = {
         "gold_device_health": health,

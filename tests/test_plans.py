@@ -97,3 +97,12 @@ def test_large_writes_get_tasks_by_size(spark, monkeypatch, tmp_path):
         spark.conf.unset(size)
     files = {k: len(list((tmp_path / "t" / f"folder={k}").glob("*.parquet"))) for k in range(4)}
     assert files[0] >= 8
+
+
+def test_device_health_reads_events_twice_and_looks_for_no_hot_keys(spark):
+    events = view(spark, SF, "iot_events").withColumn("event_timestamp", F.to_timestamp_ntz("event_timestamp"))
+    silver = iot.silver_telemetry(view(spark, SF, "telemetry"))
+    text = plan(iot.device_health(silver, iot.event_flags(events)))
+    assert "_slice" not in text and "_cuts" not in text
+    # Telemetry and its limits come from the same file, so count what only events read.
+    assert len(re.findall(r"FileScan parquet [^\n]*ReadSchema: [^\n]*event_type", text)) <= 2

@@ -261,17 +261,17 @@ def telemetry_daily(spark, sf_dir):
 
 @query("failure_stats")
 def failure_stats(spark, sf_dir):
-    return iot.failure_stats(silver_events(spark, sf_dir))
+    return iot.failure_stats(iot.event_flags(_events(spark, sf_dir)))
 
 
 @query("maintenance_impact")
 def maintenance_impact(spark, sf_dir):
-    return iot.maintenance_impact(silver_events(spark, sf_dir))
+    return iot.maintenance_impact(iot.event_flags(_events(spark, sf_dir)))
 
 
 @query("device_health")
 def device_health(spark, sf_dir):
-    return iot.device_health(silver_telemetry(spark, sf_dir), silver_events(spark, sf_dir))
+    return iot.device_health(silver_telemetry(spark, sf_dir), iot.event_flags(_events(spark, sf_dir)))
 
 
 @query("failure_prediction")
