@@ -4,10 +4,16 @@ New rows are written to a staging table beside the target, the audits read the
 staged rows (with those already in the target, when appending), and only then
 does the target change. A failed audit leaves the target as it was and keeps
 the staging table for inspection.
+
+What is about to be released is written down first, as a property of the
+namespace, and struck out at the end. If a run is broken off in between,
+``recover`` (which every later publish into the namespace calls) finishes it:
+all audits had passed by then.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -45,29 +51,84 @@ def _check(staged: DataFrame, table: str, run_id: str, mode: str, audits: Sequen
         raise AuditError(table, staging_name(table, run_id), failures)
 
 
-def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str, partition_by: Sequence[str]) -> None:
+JOURNAL = "millrace.releases"
+
+
+def _namespace_of(table: str) -> str:
+    return table.rpartition(".")[0] or "default"
+
+
+def _journal(spark: SparkSession, namespace: str) -> dict[str, list]:
+    """Releases under way in a namespace: run id -> [[table, mode, format, partition columns], ...]."""
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {namespace}").filter("info_name = 'Properties'").collect()
+    entry = rows[0].info_value if rows else ""
+    at = entry.find(f"({JOURNAL},")
+    if at < 0:
+        return {}
+    text = entry[at + len(JOURNAL) + 2 :]
+    return json.loads(bytes.fromhex(text.split(")")[0].strip()) or b"{}")
+
+
+def _note(spark: SparkSession, namespace: str, run_id: str, steps: list | None) -> None:
+    """Write a release down before it begins, or strike it out (``steps`` None) when it is done."""
+    journal = _journal(spark, namespace)
+    journal.pop(run_id, None)
+    if steps:
+        journal[run_id] = steps
+    # As hexadecimal digits: catalogs print properties without quoting them.
+    text = json.dumps(journal).encode().hex()
+    spark.sql(f"ALTER DATABASE {namespace} SET DBPROPERTIES ('{JOURNAL}' = '{text}')")
+
+
+def recover(spark: SparkSession, namespace: str) -> list[str]:
+    """Finish releases that were broken off; returns the tables that had been left."""
+    finished = []
+    for run_id, steps in _journal(spark, namespace).items():
+        for table, mode, fmt, partition_by in steps:
+            if _release(spark, table, run_id, mode, fmt, partition_by):
+                finished.append(table)
+        _note(spark, namespace, run_id, None)
+    return finished
+
+
+def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str, partition_by: Sequence[str]) -> bool:
     """Make the staged rows visible in the target and remove the staging table.
 
     Replacing a table, or publishing it for the first time, renames the staging
     table and so does not write the rows again. Partitioned tables are written:
-    catalogs differ in whether a rename takes the partitions along.
+    catalogs differ in whether a rename takes the partitions along. Every step
+    leaves what the next one needs, so the release can be taken up again; it
+    does nothing, and says so, when it was finished before.
     """
-    staging = staging_name(table, run_id)
+    staging, old, done = staging_name(table, run_id), f"{table}__old_{run_id}", f"{table}__done_{run_id}"
     exists = spark.catalog.tableExists(table)
+    if spark.catalog.tableExists(done):  # all rows are in the target
+        spark.sql(f"DROP TABLE {done}")
+        return True
+    if not spark.catalog.tableExists(staging):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return False
     if partition_by or (exists and mode == "append"):
         rows = spark.table(staging)
         if exists and mode == "append":
             append_table(rows.select(*spark.table(table).columns), table, fmt, partition_by)
         else:
             replace_table(rows, table, fmt, partition_by)
-        spark.sql(f"DROP TABLE {staging}")
-    elif exists:
-        old = f"{table}__old_{run_id}"
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {done}")
+        spark.sql(f"DROP TABLE {done}")
+        return True
+    if exists:
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-        spark.sql(f"DROP TABLE {old}")
-    else:
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return True
+
+
+def _release_all(spark: SparkSession, namespace: str, run_id: str, steps: list) -> None:
+    _note(spark, namespace, run_id, steps)
+    for table, mode, fmt, partition_by in steps:
+        _release(spark, table, run_id, mode, fmt, partition_by)
+    _note(spark, namespace, run_id, None)
 
 
 def publish(
@@ -84,14 +145,17 @@ def publish(
 
     ``mode`` is "append" or "overwrite". With ``scope="table"`` the audits see
     the whole table as it would become, with ``scope="batch"`` only the new
-    rows. Raises ``AuditError`` when an audit fails.
+    rows. Raises ``AuditError`` when an audit fails. An append is one job of the
+    format's writer; if it is broken off after its commit and before the journal
+    is struck out, ``recover`` appends the rows again.
     """
     if mode not in ("append", "overwrite") or scope not in ("table", "batch"):
         raise ValueError(f"unknown mode {mode!r} or scope {scope!r}")
-    run_id = run_id or new_run_id()
+    run_id, namespace = run_id or new_run_id(), _namespace_of(table)
+    recover(df.sparkSession, namespace)
     staged = _stage(df, table, run_id, fmt, partition_by)
     _check(staged, table, run_id, mode, audits, scope)
-    _release(df.sparkSession, table, run_id, mode, fmt, partition_by)
+    _release_all(df.sparkSession, namespace, run_id, [[table, mode, fmt, list(partition_by)]])
     return df.sparkSession.table(table)
 
 
@@ -129,10 +193,12 @@ def publish_dag(
 
     A model that reads another one of the run reads its staged table, so every
     table is computed once. If any model or audit fails, no target changes and
-    the staging tables stay. The publishing itself is one step per table.
+    the staging tables stay. The publishing itself is one step per table; if it
+    is broken off, the next publish into the namespace, or ``recover``, ends it.
     """
     run_id = run_id or new_run_id()
     create_namespace(spark, namespace)
+    recover(spark, namespace)
     order = TopologicalSorter({n: [i for i in m.inputs if i in models] for n, m in models.items()})
     names = list(order.static_order())
     known = dict(inputs)
@@ -143,6 +209,6 @@ def publish_dag(
     for name in names:
         model = models[name]
         _check(known[name], layer_name(namespace, name), run_id, model.mode, model.audits, "table")
-    for name in names:
-        _release(spark, layer_name(namespace, name), run_id, models[name].mode, "parquet", ())
+    steps = [[layer_name(namespace, name), models[name].mode, "parquet", []] for name in names]
+    _release_all(spark, namespace, run_id, steps)
     return {name: spark.table(layer_name(namespace, name)) for name in names}

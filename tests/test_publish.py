@@ -1,7 +1,10 @@
+import re
+
 import pytest
 
 from millrace.operators import AuditError, expect_unique_rows, null_audit
-from millrace.plans.publish import Model, publish, publish_dag, publish_layer, staging_name
+from millrace.plans import publish as module
+from millrace.plans.publish import Model, publish, publish_dag, publish_layer, recover, staging_name
 from tests.helpers import rows
 
 
@@ -102,3 +105,26 @@ def test_dag_model_error_changes_no_table(spark, namespace):
     with pytest.raises(Exception, match="missing"):
         publish_dag(spark, broken, {"raw": frame(spark, 1)}, namespace, run_id="r3")
     assert not {"total", "doubled", "bad"} & names(spark, namespace)
+
+
+@pytest.mark.parametrize("before", ["RENAME TO {ns}.total__old", "RENAME TO {ns}.total$", "DROP TABLE IF EXISTS {ns}.total__old"])
+def test_a_release_broken_off_is_finished_by_the_next_run(spark, namespace, monkeypatch, before):
+    publish_dag(spark, models(), {"raw": frame(spark, 1)}, namespace)
+    usual, pattern = type(spark).sql, re.compile(before.format(ns=namespace).replace(".", r"\."))
+
+    def breaks(self, text, *args, **kwargs):
+        if pattern.search(text):
+            raise RuntimeError("lost")
+        return usual(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", breaks)
+    with pytest.raises(RuntimeError, match="lost"):
+        publish_dag(spark, models(), {"raw": frame(spark, 5)}, namespace, run_id="r7")
+    monkeypatch.setattr(type(spark), "sql", usual)
+    recover(spark, namespace)
+    assert rows(spark.table(f"{namespace}.total"), "id") == {(10,): 1, (5,): 1}
+    assert rows(spark.table(f"{namespace}.doubled"), "id") == {(10,): 1}
+    assert names(spark, namespace) == {"total", "doubled"}
+    assert recover(spark, namespace) == [] and module._journal(spark, namespace) == {}
+    publish_dag(spark, models(), {"raw": frame(spark, 2)}, namespace)
+    assert rows(spark.table(f"{namespace}.doubled"), "id") == {(4,): 1}
