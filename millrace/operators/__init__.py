@@ -1,7 +1,7 @@
 """DataFrame to DataFrame building blocks."""
 
 from millrace.operators.anomalies import anomaly_rules, confirm_arrivals, confirm_batch, describe, last_arrivals
-from millrace.operators.joins import left_join
+from millrace.operators.joins import HotLimits, left_join
 from millrace.operators.keyed import latest_per_key
 from millrace.operators.layout import spread
 from millrace.operators.previous import previous_time
@@ -15,6 +15,7 @@ from millrace.operators.quality import (
 
 __all__ = [
     "AuditError",
+    "HotLimits",
     "anomaly_rules",
     "confirm_arrivals",
     "confirm_batch",

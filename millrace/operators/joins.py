@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +16,19 @@ HOT_SHARE = 1 / 1000
 HOT_ROWS = 1_000_000
 
 
+@dataclass(frozen=True)
+class HotLimits:
+    """When a key is hot: so many rows, and this share of all rows (which bounds how many keys can be)."""
+
+    rows: int
+    share: float
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
     on: Mapping[str, str] | Sequence[str],
-    split_hot: bool = False,
+    split_hot: bool | HotLimits = False,
     look_in: DataFrame | None = None,
 ) -> DataFrame:
     """Left equi-join that keeps fan-out and lets the left side's names win.
@@ -30,7 +39,7 @@ def left_join(
     small sides are broadcast by their measured size, and skewed partitions of
     the left side are split at run time. The right side of a left join cannot
     be split that way; for right tables where one key may hold many rows set
-    ``split_hot``, which looks for such keys first (see ``hot_keys``). If the
+    ``split_hot``, to True or to limits, which looks for such keys first (see ``hot_keys``). If the
     right side is itself a long plan, ``look_in`` can name a table it keeps all
     rows of, with the same key column.
     """
@@ -42,7 +51,8 @@ def left_join(
     if split_hot and len(keys) == 1:
         ((name, right_name),) = keys.items()
         searched = right if look_in is None else look_in
-        hot = hot_keys(searched.select(F.col(right_name).alias(name)), name)
+        limits = split_hot if isinstance(split_hot, HotLimits) else HotLimits(HOT_ROWS, HOT_SHARE)
+        hot = hot_keys(searched.select(F.col(right_name).alias(name)), name, limits.rows, limits.share)
     if hot is None:
         return left.join(lookup, list(keys), "left").select(*left.columns, *extra)
     return _salted(left, lookup, name, hot).select(*left.columns, *extra)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import left_join
+from millrace.operators.joins import HotLimits, left_join
 
 
-def orders_fct(orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+def orders_fct(
+    orders: DataFrame, customers: DataFrame, payments: DataFrame, reviews: DataFrame, hot: bool | HotLimits = True
+) -> DataFrame:
     """Orders of known customers, one row per payment and review of the order."""
     known = orders.join(customers.select("customer_id"), "customer_id", "inner")
-    paid = left_join(known, payments.select("order_id", "payment_value"), ["order_id"], split_hot=True)
-    rated = left_join(paid, reviews.select("order_id", "review_score"), ["order_id"], split_hot=True)
+    paid = left_join(known, payments.select("order_id", "payment_value"), ["order_id"], split_hot=hot)
+    rated = left_join(paid, reviews.select("order_id", "review_score"), ["order_id"], split_hot=hot)
     return rated.select(
         "order_id",
         "customer_id",
@@ -97,6 +99,7 @@ def sales_summary(
     sellers_dim: DataFrame,
     products_dim: DataFrame,
     order_items: DataFrame | None = None,
+    hot: bool | HotLimits = True,
 ) -> DataFrame:
     """Every order row with its items and the customer's place.
 
@@ -105,7 +108,7 @@ def sales_summary(
     ``order_items_fct`` is not stored but a plan, pass the ``order_items`` it is
     made from: orders with very many items are looked for there.
     """
-    sold = left_join(orders_fct, order_items_fct, ["order_id"], split_hot=True, look_in=order_items)
+    sold = left_join(orders_fct, order_items_fct, ["order_id"], split_hot=hot, look_in=order_items)
     sold = left_join(sold, customers_dim, ["customer_id"])
     sold = left_join(sold, sellers_dim, ["seller_id"])
     sold = left_join(sold, products_dim, ["product_id"])

@@ -30,11 +30,10 @@ def event_flags(events: DataFrame) -> DataFrame:
     )
 
 
-def silver_events(events: DataFrame) -> DataFrame:
+def silver_events(events: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """Events with their date, kind flags and the days since the device's event before."""
-    timed = previous_time(
-        event_flags(events), "device_id", "event_timestamp", "_previous", ties=("event_type", "severity")
-    )
+    flags, ties = event_flags(events), ("event_type", "severity")
+    timed = previous_time(flags, "device_id", "event_timestamp", "_previous", ties, hot_rows)
     days = whole_days_between(F.col("_previous"), F.col("event_timestamp"))
     return timed.withColumn("days_since_last_event", F.coalesce(days, F.lit(0).cast("bigint"))).drop("_previous")
 

@@ -91,20 +91,21 @@ def load_csv_folder(
 ) -> dict[str, DataFrame]:
     """Every ``.csv`` file of a folder by its base name, header row first.
 
+    A folder called ``.csv`` that holds part files is one table, like a file.
     Types are inferred, which reads a file twice, unless ``schemas`` names the
-    table. Only the list of file names comes to the driver.
+    table. Only the list of table names comes to the driver.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    below = F.element_at(F.split("path", f"/{os.path.basename(folder.rstrip('/'))}/", -1), -1)
+    entries = files.load(folder).select(F.split(below, "/")[0].alias("entry")).distinct()
     tables = {}
-    for row in files.sort("path").collect():
-        name = os.path.splitext(os.path.basename(row.path))[0]
-        reader = spark.read.option("header", "true")
+    for row in entries.sort("entry").collect():
+        name, reader = os.path.splitext(row.entry)[0], spark.read.option("header", "true")
+        path = f"{folder.rstrip('/')}/{row.entry}"
         if schemas and name in schemas:
-            tables[name] = reader.schema(schemas[name]).csv(row.path)
+            tables[name] = reader.schema(schemas[name]).csv(path)
         else:
-            tables[name] = reader.csv(row.path, inferSchema=True)
+            tables[name] = reader.csv(path, inferSchema=True)
     return tables
 
 

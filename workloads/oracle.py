@@ -69,6 +69,13 @@ ORACLE["sellers_dim_pruned"] = _shop(
 FROM sellers s LEFT JOIN geolocation g ON s.seller_zip_code_prefix = g.geolocation_zip_code_prefix"""
 )
 ORACLE["lake_roundtrip"] = "SELECT * FROM orders UNION ALL SELECT * FROM orders"
+ORACLE["sales_summary_hot"] = ORACLE["sales_summary"]
+ORACLE["wap_publish_fail"] = _shop(
+    """SELECT place, order_status, count(*) AS n,
+  count(CASE WHEN place = 'target' OR order_status <> 'P' THEN order_id END) AS named
+FROM orders_fct, (VALUES ('target'), ('staging')) places(place) GROUP BY place, order_status"""
+)
+ORACLE["wap_publish_batch_scope"] = _shop("SELECT * FROM customers_dim UNION ALL SELECT * FROM customers_dim")
 ORACLE["wap_publish_pass"] = _shop("SELECT * FROM orders_fct UNION ALL SELECT * FROM orders_fct")
 
 ORACLE["null_audit"] = _shop(
@@ -300,6 +307,14 @@ ORACLE["scan_partitioned"] = with_views(
   cast(cast(timestamp AS date) AS varchar) AS date, device_id FROM telemetry""",
 )
 
+ORACLE["silver_events_hot"] = ORACLE["silver_events"]
+ORACLE["csv_folder"] = with_views(
+    ["customers", "sellers"],
+    """SELECT customer_id AS id, customer_city AS place FROM customers
+UNION ALL SELECT seller_id, seller_city FROM sellers""",
+)
+ORACLE["path_roundtrip"] = with_views(["orders_b"], "SELECT * FROM orders_b")
+
 ORACLE["scan_damaged"] = with_views(["telemetry"], "SELECT 'damaged.parquet' AS file, count(*) AS n_rows FROM telemetry")
 
 ORACLE["listings_parse"] = with_views(

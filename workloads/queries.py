@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from millrace.functions import round_scaled
 from millrace.operators import (
+    AuditError,
+    HotLimits,
     anomaly_rules,
     confirm_batch,
     describe,
@@ -19,9 +21,8 @@ from millrace.operators import (
     require_rows,
 )
 from millrace.plans import ecommerce, iot, serving
-from millrace.plans import listings as listing_plans
 from millrace.plans.messages import route_messages
-from millrace.plans.pipelines import GOLD_MODELS, SILVER_MODELS
+from millrace.plans.pipelines import GOLD_MODELS, SILVER_MODELS, load_listings
 from millrace.plans.publish import publish, publish_dag
 from millrace.schemas import (
     ANOMALIES,
@@ -40,13 +41,16 @@ from millrace.sources import (
     enforce_schema,
     import_parquet,
     layer_name,
+    load_csv_folder,
     message_stream,
     parse_payload,
     read_layer,
     read_model,
+    read_path,
     replace_table,
     scan_partitioned,
     write_partitioned,
+    write_path,
 )
 from millrace.streaming import (
     read_keyed,
@@ -128,6 +132,16 @@ def sales_summary(spark, sf_dir):
     )
 
 
+@query("sales_summary_hot")
+def sales_summary_hot(spark, sf_dir):
+    """With limits so low that orders of seven items and two payments are dealt to several tasks."""
+    hot = HotLimits(rows=1, share=1 / 10_000)
+    orders = ecommerce.orders_fct(*[view(spark, sf_dir, n) for n in ("orders_b", "customers", "payments", "reviews")], hot)
+    items = view(spark, sf_dir, "order_items")
+    dims = [fn(spark, sf_dir) for fn in (order_items_fct, customers_dim, sellers_dim, products_dim)]
+    return ecommerce.sales_summary(orders, *dims, order_items=items, hot=hot)
+
+
 def _cents(df: DataFrame) -> DataFrame:
     """Round the money sum: the last digits of a sum of doubles depend on its order."""
     return df.withColumn("total_spent", round_scaled(F.col("total_spent"), 2))
@@ -187,6 +201,34 @@ def wap_publish_pass(spark, sf_dir):
     return publish(fact, table, mode="append")
 
 
+@query("wap_publish_fail")
+def wap_publish_fail(spark, sf_dir):
+    """Rows without an order are refused: the target stays, and what was staged is kept."""
+    table = layer_name(_namespace(spark, "refused"), "orders_fct", "silver")
+    fact = orders_fct(spark, sf_dir)
+    publish(fact, table)
+    nameless = F.when(F.col("order_status") == "P", None).otherwise(F.col("order_id"))
+    try:
+        publish(fact.withColumn("order_id", nameless), table)
+    except AuditError as e:
+        kept = spark.table(e.staging)
+    found = spark.table(table).withColumn("place", F.lit("target")).unionAll(kept.withColumn("place", F.lit("staging")))
+    return found.groupBy("place", "order_status").agg(F.count("*").alias("n"), F.count("order_id").alias("named"))
+
+
+@query("wap_publish_batch_scope")
+def wap_publish_batch_scope(spark, sf_dir):
+    """The same rows again pass an audit of the batch, and not one of the whole table."""
+    table = layer_name(_namespace(spark, "scope"), "customers_dim", "silver")
+    rows = customers_dim(spark, sf_dir)
+    publish(rows, table, audits=[expect_unique_rows])
+    publish(rows, table, audits=[expect_unique_rows], scope="batch")
+    try:
+        publish(rows, table, audits=[expect_unique_rows])
+    except AuditError:
+        return spark.table(table)
+
+
 @query("wap_publish_dag")
 def wap_publish_dag(spark, sf_dir):
     """All silver and gold models in one audited run."""
@@ -249,6 +291,12 @@ def silver_events(spark, sf_dir):
     return iot.silver_events(_events(spark, sf_dir))
 
 
+@query("silver_events_hot")
+def silver_events_hot(spark, sf_dir):
+    """With a limit so low that every device is cut into slices."""
+    return iot.silver_events(_events(spark, sf_dir), hot_rows=10)
+
+
 @query("silver_telemetry")
 def silver_telemetry(spark, sf_dir):
     return iot.silver_telemetry(view(spark, sf_dir, "telemetry"))
@@ -341,11 +389,29 @@ def listings_parse(spark, sf_dir):
     """Through a CSV folder and a replaced table, as the listings arrive."""
     folder = scratch_dir(spark, "csv")
     view(spark, sf_dir, "listings").write.option("header", "true").csv(f"{folder}/listings.csv")
-    # Spark writes a folder of part files; read it as the one table it is.
-    raw = spark.read.csv(f"{folder}/listings.csv", header=True, inferSchema=True)
     ns = _namespace(spark, "listings")
-    replace_table(listing_plans.listings_parse(raw), f"{ns}.listings")
-    return spark.table(f"{ns}.listings")
+    return load_listings(spark, folder, ns)["listings"]
+
+
+@query("csv_folder")
+def csv_folder(spark, sf_dir):
+    """Two tables of one folder, one with declared types."""
+    folder = scratch_dir(spark, "csv")
+    for name, v in {"customers": "customers", "sellers": "sellers"}.items():
+        view(spark, sf_dir, v).write.option("header", "true").csv(f"{folder}/{name}.csv")
+    tables = load_csv_folder(spark, folder, {"sellers": view(spark, sf_dir, "sellers").schema})
+    sellers = tables["sellers"].select("seller_id", F.col("seller_city").alias("place"))
+    return tables["customers"].selectExpr("customer_id AS id", "customer_city AS place").unionAll(sellers)
+
+
+@query("path_roundtrip")
+def path_roundtrip(spark, sf_dir):
+    """Written under a path twice, the second time in place of the first."""
+    path = f"{scratch_dir(spark, 'path')}/orders"
+    orders = view(spark, sf_dir, "orders_b")
+    write_path(orders.limit(1), path)
+    write_path(orders, path)
+    return read_path(spark, path)
 
 
 def _stored_telemetry(spark, sf_dir):
