@@ -109,7 +109,9 @@ def _later_windows(windows: DataFrame, rows: DataFrame, level: int) -> DataFrame
     named = written(named, "windows")
     keys = ["head", "tail", "lines"]
     original = named.groupBy(*keys).agg(F.min("place").alias("original"), F.count("*").alias("n")).where("n > 1")
-    later = named.join(original.select(*keys, "original"), keys).where("place > original")
+    # Written first, so that the join finds two shuffled sides and can split a run with very many copies.
+    original = written(original.select(*keys, "original"), "originals")
+    later = named.join(original, keys).where("place > original")
     return later.select(*_DOC, "first", "last")
 
 
