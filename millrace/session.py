@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +63,34 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+_SHIPPED = "_millrace_shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per session: it goes to them as a zip file.
+
+    Nothing is sent if the workers find it on ``PYTHONPATH`` anyway.
+    """
+    context = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(package)
+    if getattr(context, _SHIPPED, False) or parent in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, parent))
+    target = f"{scratch_dir(spark, 'package')}/millrace.zip"
+    files, place = _file_system(spark, target)
+    out = files.create(place, True)
+    out.write(bytearray(content.getvalue()))
+    out.close()
+    context.addPyFile(target)
+    setattr(context, _SHIPPED, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to a scratch folder and read back, free of their lineage."""
     path = scratch_dir(df.sparkSession, label)
