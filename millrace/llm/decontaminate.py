@@ -39,7 +39,7 @@ LEAST_STRIDE = 64
 #: Cells (passages by blocks or items) that are added up at a time.
 CELLS = 1 << 22
 
-#: Words here are runs of letters and digits: all ASCII bytes but those separate.
+#: Words here are runs of letters and digits in lower case: all ASCII bytes but those separate.
 SEPARATORS = np.ones(256, bool)
 SEPARATORS[0x80:] = False
 for _a, _b in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)):
@@ -48,9 +48,14 @@ for _a, _b in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)):
 LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
 
 
+def _lower_chunks(column: pa.Array):
+    """Texts in lower case, in all scripts."""
+    return text_chunks(pc.utf8_lower(column))
+
+
 def _hashes(texts: list[str | None]) -> list[np.ndarray]:
     out = []
-    for chunk in text_chunks(pa.array(texts, pa.string())):
+    for chunk in _lower_chunks(pa.array(texts, pa.string())):
         words = words_of(chunk, SEPARATORS)
         out += [words.hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
     return out
@@ -227,7 +232,7 @@ def _leaks_of(index: Index, hashes: np.ndarray, bounds: np.ndarray, overlap: flo
 
 def _leak_batch(batch: pa.RecordBatch, index, overlap: float) -> pa.RecordBatch | None:
     rows = []
-    for texts in text_chunks(batch.column(1)):
+    for texts in _lower_chunks(batch.column(1)):
         words = words_of(texts, SEPARATORS)
         rows += [(texts.first + r[0], *r[1:]) for r in _leaks_of(index.value, words.hashes, words.bounds, overlap)]
     if not rows:
@@ -294,7 +299,7 @@ def find_leaks(
 
 def _clean_batch(batch: pa.RecordBatch, index, overlap: float, at: int) -> pa.RecordBatch:
     clean = np.ones(batch.num_rows, bool)
-    for texts in text_chunks(pc.cast(batch.column(at), pa.string())):
+    for texts in _lower_chunks(pc.cast(batch.column(at), pa.string())):
         words = words_of(texts, SEPARATORS)
         for row in _leaks_of(index.value, words.hashes, words.bounds, overlap):
             clean[texts.first + row[0]] = False

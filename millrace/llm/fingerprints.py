@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import pick, written
+from millrace.llm.frames import pick, ship_package, written
 
 #: Leaves begin at the beginning of a sentence and behind every 32 characters of one.
 _LEAF = re.compile(r"[^.!?]{1,32}[.!?]*|[.!?]+")
@@ -178,6 +178,7 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
     Documents are dealt out by ranges of doc_id, so a document and its next one meet in one task,
     but for the last of each range; these few meet the first of the next range afterwards.
     """
+    ship_package(documents.sparkSession)
     rows = pick(documents, doc_id="long", text="string").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_hash"), F.rand(7).alias("tie")
     )

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import written
+from millrace.session import ship_package, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +32,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             if out is not None and out.num_rows:
                 yield out
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-__all__ = ["map_batches", "pick", "table", "written"]
+__all__ = ["map_batches", "pick", "ship_package", "table", "written"]

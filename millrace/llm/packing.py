@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import map_batches, pick, written
+from millrace.llm.frames import map_batches, pick, ship_package, written
 from millrace.llm.words import CHUNK_BYTES
 
 CAPACITY = 4096
@@ -269,6 +269,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     ``pieces`` is a stored table with the columns of ``token_pieces``. Whole pieces are sequences of
     their own. An empty table gives an empty result.
     """
+    ship_package(pieces.sparkSession)
     columns = [c.strip().split()[0] for c in PIECES.split(",")]
     whole = pieces.where(F.col("length") == capacity).select(
         *columns,

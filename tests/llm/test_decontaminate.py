@@ -11,7 +11,7 @@ DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
 
 
 def words(text):
-    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
 
 
 def grams(w, n):
