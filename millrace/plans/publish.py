@@ -22,6 +22,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.quality import Audit, AuditError, failed_checks, null_audit
+from millrace.session import move_files
 from millrace.sources.tables import append_table, create_namespace, layer_name, replace_table
 
 DEFAULT_AUDITS: tuple[Audit, ...] = (null_audit,)
@@ -91,11 +92,24 @@ def recover(spark: SparkSession, namespace: str) -> list[str]:
     return finished
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first().data_type
+
+
+def _same_files(spark: SparkSession, staging: str, table: str, fmt: str) -> bool:
+    """Whether files of one table can be files of the other: plain Parquet with the same columns."""
+    if fmt != "parquet" or table.count(".") >= 2:
+        return False
+    fields = [{(f.name, f.dataType) for f in spark.table(t).schema} for t in (staging, table)]
+    return fields[0] == fields[1] and not any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
 def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str, partition_by: Sequence[str]) -> bool:
     """Make the staged rows visible in the target and remove the staging table.
 
     Replacing a table, or publishing it for the first time, renames the staging
-    table and so does not write the rows again. Partitioned tables are written:
+    table, and an append to a Parquet table of equal columns moves its files; so
+    neither writes the rows again. Partitioned tables are written:
     catalogs differ in whether a rename takes the partitions along. Every step
     leaves what the next one needs, so the release can be taken up again; it
     does nothing, and says so, when it was finished before.
@@ -108,6 +122,11 @@ def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str,
     if not spark.catalog.tableExists(staging):
         spark.sql(f"DROP TABLE IF EXISTS {old}")
         return False
+    if exists and mode == "append" and not partition_by and _same_files(spark, staging, table, fmt):
+        move_files(spark, _location(spark, staging), _location(spark, table))
+        spark.catalog.refreshTable(table)
+        spark.sql(f"DROP TABLE {staging}")
+        return True
     if partition_by or (exists and mode == "append"):
         rows = spark.table(staging)
         if exists and mode == "append":
@@ -145,9 +164,10 @@ def publish(
 
     ``mode`` is "append" or "overwrite". With ``scope="table"`` the audits see
     the whole table as it would become, with ``scope="batch"`` only the new
-    rows. Raises ``AuditError`` when an audit fails. An append is one job of the
-    format's writer; if it is broken off after its commit and before the journal
-    is struck out, ``recover`` appends the rows again.
+    rows. Raises ``AuditError`` when an audit fails. An append that cannot move
+    files is one job of the format's writer; if it is broken off after its
+    commit and before the journal is struck out, ``recover`` appends the rows
+    again.
     """
     if mode not in ("append", "overwrite") or scope not in ("table", "batch"):
         raise ValueError(f"unknown mode {mode!r} or scope {scope!r}")

@@ -55,6 +55,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of one folder into another; what has moved before is not missed."""
+    files, place = _file_system(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name[0] not in "_." and not files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(to, name)):
+            raise OSError(f"cannot move {name} to {target}")
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file, such as a note or a journal, to any store."""
     files, place = _file_system(spark, path)

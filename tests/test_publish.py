@@ -128,3 +128,23 @@ def test_a_release_broken_off_is_finished_by_the_next_run(spark, namespace, monk
     assert recover(spark, namespace) == [] and module._journal(spark, namespace) == {}
     publish_dag(spark, models(), {"raw": frame(spark, 2)}, namespace)
     assert rows(spark.table(f"{namespace}.doubled"), "id") == {(4,): 1}
+
+
+def test_an_append_moves_files_and_can_be_broken_off(spark, namespace, monkeypatch):
+    table = f"{namespace}.facts"
+    publish(frame(spark, 1, 2), table)
+    usual = module.move_files
+
+    def half(session, source, target):
+        usual(session, source, target)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "move_files", half)
+    with pytest.raises(RuntimeError, match="lost"):
+        publish(frame(spark, 3), table)
+    monkeypatch.setattr(module, "move_files", usual)
+    publish(frame(spark, 4).selectExpr("v", "id"), table)
+    assert rows(spark.table(table), "id", "v") == {(k, k): 1 for k in (1, 2, 3, 4)}
+    assert names(spark, namespace) == {"facts"}
+    out = publish(frame(spark, 5).selectExpr("cast(id AS bigint) AS id", "v"), table)  # other types: written
+    assert rows(out, "id") == {(k,): 1 for k in range(1, 6)}
