@@ -1,7 +1,8 @@
 """URLs allowed or blocked: rules first, boosted trees over lexical features for the rest.
 
-The trees learn from labelled URLs: those that a rule decides, and hosts that hold a word known
-from bad hosts. Only what a URL looks like is an input, never which host it is.
+The trees learn from labelled URLs. Without a list of such, a URL is labelled by the rule that
+decides it, else as bad if its host holds a word known from bad hosts, else as good. Only what a
+URL looks like is an input, never which host it is.
 """
 
 from __future__ import annotations
@@ -99,11 +100,13 @@ def ruled(urls: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
 
 
 def labelled(urls: DataFrame, bad_words=BAD_WORDS) -> DataFrame:
-    """URLs with ``blocked`` 0 or 1: those a rule decides, unless a bad word speaks against it, and those with one."""
+    """URLs with ``blocked`` 0 or 1; where a rule allows what a bad word speaks against, there is no label."""
     parts = F.split("host", r"[.\-_]")
     bad = reduce(lambda a, b: a | b, [F.array_contains(parts, w) for w in bad_words])
-    blocked = F.when((F.col("ruling") == "block") | (bad & F.col("ruling").isNull()), 1).when(
-        (F.col("ruling") == "allow") & ~bad, 0
+    blocked = (
+        F.when((F.col("ruling") == "allow") & bad, None)
+        .when((F.col("ruling") == "block") | bad, 1)
+        .otherwise(0)
     )
     return urls.withColumn("blocked", blocked).where("blocked IS NOT NULL")
 
