@@ -104,4 +104,5 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 ORACLE["op5_license_scan"] = sql.op5_license_scan(license_texts.TEMPLATES)
+ORACLE["op7_minhash_near_dedup"] = sql.OP7_NEAR_DUPLICATES
 ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP

@@ -76,3 +76,24 @@ SELECT b.doc_id, n_words, len(every) AS n_base, list_min(every) AS first_word, l
        CASE WHEN len(b.labels) > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0::DOUBLE) END AS score
 FROM base b LEFT JOIN found f ON b.doc_id = f.doc_id
 """
+
+
+OP7_NEAR_DUPLICATES = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+  FROM texts),
+members AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, len(shingles) AS n_shingles, min(other) AS component_id, s.doc_id = min(other) AS kept
+FROM sets s JOIN reach r ON s.doc_id = r.doc_id GROUP BY s.doc_id, shingles
+"""
