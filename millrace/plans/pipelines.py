@@ -12,7 +12,7 @@ from millrace.plans import ecommerce, iot, serving
 from millrace.plans.listings import listings_parse
 from millrace.plans.publish import Model, publish_layer
 from millrace.schemas import EVENTS, EVENTS_RAW, TELEMETRY
-from millrace.session import written
+from millrace.session import remove_path, scratch_dir, written
 from millrace.sources.files import enforce_schema, load_csv_folder, scan_partitioned
 from millrace.sources.tables import create_namespace, layer_name, read_layer, replace_table
 
@@ -99,21 +99,23 @@ def run_iot_batch(
 ) -> dict[str, DataFrame]:
     """Device health, failure prediction and maintenance plan, published one by one.
 
-    Health and prediction are written once to the scratch folder, since each is
+    Health and prediction are written once to a scratch folder, since each is
     both published and read for the plan, and the published tables also hold
-    the rows of earlier runs.
+    the rows of earlier runs. The folder goes when all are published.
     """
     create_namespace(spark, namespace)
     events, telemetry = load_iot(spark, root)
-    silver = iot.silver_telemetry(telemetry)
-    health = written(iot.device_health(silver, iot.event_flags(events)), "health")
-    prediction = written(iot.failure_prediction(silver, as_of), "prediction")
+    silver, scratch = iot.silver_telemetry(telemetry), scratch_dir(spark, "iot")
+    health = written(iot.device_health(silver, iot.event_flags(events)), f"{scratch}/health")
+    prediction = written(iot.failure_prediction(silver, as_of), f"{scratch}/prediction")
     tables = {
         "gold_device_health": health,
         "gold_failure_prediction": prediction,
         "gold_maintenance_schedule": iot.maintenance_schedule(health, prediction),
     }
-    return publish_layer(tables, namespace)
+    published = publish_layer(tables, namespace)
+    remove_path(spark, scratch)
+    return published
 
 
 def refresh_serving(

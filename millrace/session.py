@@ -101,8 +101,11 @@ def ship_package(spark: SparkSession) -> None:
     setattr(context, _SHIPPED, True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows written once to a scratch folder and read back, free of their lineage."""
-    path = scratch_dir(df.sparkSession, label)
+def written(df: DataFrame, place: str) -> DataFrame:
+    """The rows written once and read back, free of their lineage.
+
+    ``place`` is a path, or a label for a new scratch folder.
+    """
+    path = place if "/" in place else scratch_dir(df.sparkSession, place)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
