@@ -40,8 +40,10 @@ NAMES = frozenset(
     login search comment comments commentlist disqus reply replies respond share sharing social related recommended
     widget toolbar pagination pager skip""".split()
 )
-#: The same for elements that hold content by their own name, and for the page as a whole.
+#: Names of which one alone makes furniture of an element that holds content by its tag.
 CONTENT_NAMES = frozenset("comment comments reply ad ads advert advertisement sponsored promo related".split())
+#: A name that begins so says what the element has or is, not what it is for.
+STATES = frozenset("has is no not with without".split())
 _WORD = re.compile(r"[a-z]+")
 _WIDTH = 2  # of the Gaussian, in blocks
 
@@ -72,9 +74,13 @@ class _Blocks(HTMLParser):
             return False
         for name, value in attrs:
             if name in ("class", "id", "role"):
-                names = CONTENT_NAMES if tag in CONTENT else NAMES
-                if value and not names.isdisjoint(_WORD.findall(value.lower())):
-                    return True
+                for one in (value or "").lower().split():
+                    words = _WORD.findall(one)
+                    if tag in CONTENT:
+                        if one in CONTENT_NAMES:
+                            return True
+                    elif words and words[0] not in STATES and not NAMES.isdisjoint(words):
+                        return True
             elif name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             elif name == "style" and value and re.search(r"display\s*:\s*none", value):

@@ -21,6 +21,12 @@ def test_furniture_goes_and_content_stays():
     assert main_text(PAGE) == "Title & more\nOne two three four five.\nShort\nLast <p> é."
 
 
+def test_names_that_are_not_what_an_element_is_for():
+    page = '<div class="page has-sidebar no-ads"><article class="post comments-open"><p>Stays</p></article>{}</div>'
+    assert main_text(page.format('<article class="comment odd"><p>Nice!</p></article>')) == "Stays"
+    assert main_text(page.format('<div id="ad-top" class="box">Buy</div><p role="alert">Look</p>')) == "Stays"
+
+
 def test_text_to_tag_ratio_finds_the_region():
     links = "".join(f"<div><a href=x>link {i}</a> | <a href=y>b</a></div>" for i in range(12))
     body = "".join(f"<p>{'long words of a paragraph ' * 12}{i}</p>" for i in range(6)) + "<p>short</p>"
