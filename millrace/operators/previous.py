@@ -14,6 +14,8 @@ from millrace.functions.times import epoch_seconds
 # broadcast below to HOT_KEYS * SLICES times.
 HOT_KEYS = 2_000
 SLICES = 500
+# Cuts are looked up in blocks of so many, so that a row is compared with few.
+BLOCK = 23
 
 
 def previous_time(
@@ -43,11 +45,16 @@ def previous_time(
         )
         .filter((F.col("_n") > hot_rows) & (F.col("_n") > rows / HOT_KEYS))
         .select("_key", F.array_distinct("_cuts").alias("_cuts"))
+        .withColumn("_last", F.filter("_cuts", lambda _, i: i % BLOCK == BLOCK - 1))
     )
     # At most HOT_KEYS rows by the definition of hot.
-    sliced = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
-        "_slice", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < seconds)), F.lit(0))
-    )
+    sliced = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_second", seconds)
+    # Blocks that lie before the row whole, then what lies before it in the next one.
+    sliced = sliced.withColumn("_whole", F.size(F.filter("_last", lambda cut: cut < F.col("_second"))) * BLOCK)
+    rest = F.filter(F.slice("_cuts", F.col("_whole") + 1, F.lit(BLOCK)), lambda cut: cut < F.col("_second"))
+    sliced = sliced.withColumn(
+        "_slice", F.when(F.col("_cuts").isNotNull(), F.col("_whole") + F.size(rest)).otherwise(0)
+    ).drop("_last", "_second", "_whole")
     # Last time of every slice of a hot key, handed to the key's next slice: at
     # most HOT_KEYS * SLICES rows in all.
     by_slice = Window.partitionBy(key).orderBy("_slice")

@@ -38,13 +38,13 @@ def _typed(field: T.StructField) -> tuple[Column, Column]:
 
     Whole numbers may be written with a fraction of zero, and numbers in quotes.
     """
-    text = F.col("_texts").getField(field.name)
+    text = F.col("_every")[field.name]
     if isinstance(field.dataType, T.StringType):
         bad = text.isNotNull() & text.try_cast("timestamp_ntz").isNull() if field.name in _TIMES else F.lit(False)
         return text, bad
     if isinstance(field.dataType, _WHOLE):
-        number = text.try_cast("decimal(38,10)")
-        value = F.when(number == F.floor(number), number).try_cast(field.dataType.simpleString())
+        kind, number = field.dataType.simpleString(), text.try_cast("double")
+        value = F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
     else:
         value = text.try_cast(field.dataType.simpleString())
     return value, text.isNotNull() & value.isNull()
@@ -56,15 +56,13 @@ def read_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     Reasons: bad_json (no object), missing_device_id (also an empty one), and
     bad_value with the names of the fields whose text does not fit.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     every = T.MapType(T.StringType(), T.StringType())
-    # Only an object becomes a map; a struct is also made of other JSON.
-    read = records.withColumn("_texts", F.from_json("record", texts)).withColumn("_every", F.from_json("record", every))
+    read = records.withColumn("_every", F.from_json("record", every))
     typed = {f.name: _typed(f) for f in schema.fields}
     bad = F.array_compact(F.array(*[F.when(unfit, name) for name, (_, unfit) in typed.items()]))
     reason = (
         F.when(F.col("_every").isNull() | ~F.startswith(F.ltrim("record"), F.lit("{")), "bad_json")
-        .when(F.coalesce(F.trim(F.col("_texts.device_id")), F.lit("")) == "", "missing_device_id")
+        .when(F.coalesce(F.trim(F.col("_every")["device_id"]), F.lit("")) == "", "missing_device_id")
         .when(F.size(bad) > 0, F.concat(F.lit("bad_value: "), F.array_join(bad, ", ")))
     )
     names = F.array(*[F.lit(f.name) for f in schema.fields])
