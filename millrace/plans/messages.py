@@ -57,7 +57,8 @@ def read_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     bad_value with the names of the fields whose text does not fit.
     """
     every = T.MapType(T.StringType(), T.StringType())
-    read = records.withColumn("_every", F.from_json("record", every))
+    # As a generated column, so that the filter on the reason does not parse the text again for every field.
+    read = records.withColumn("_every", F.explode(F.array(F.from_json("record", every))))
     typed = {f.name: _typed(f) for f in schema.fields}
     bad = F.array_compact(F.array(*[F.when(unfit, name) for name, (_, unfit) in typed.items()]))
     reason = (
