@@ -17,6 +17,10 @@ from millrace.llm.queries import tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+NEAR_PERCENT = 80
+#: 46 bands of 6: two documents at similarity 0.80 share no band in one of a million cases.
+NEAR_BANDS, NEAR_ROWS = 46, 6
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -36,8 +40,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    """One document of each group of near copies, linked from a similarity of 0.80 up."""
+    gone = near_duplicates(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS, band_rows=NEAR_ROWS).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -53,6 +53,28 @@ def test_near_dedup_keeps_one_of_each_group(steps):
     assert texts(steps[3][1]) == {d: before[d] for d, (_, c) in near(list(before.items())).items() if d == c}
 
 
+def test_near_dedup_links_from_80_hundredths(spark, steps):
+    before = texts(steps[2][1])
+    rows = [(d, t, len(t)) for d, t in before.items()]
+    first = max(before) + 1
+    for k in range(40):  # 200 words, so 196 shingles; a changed word takes 5 of them, the last k % 5 only one each
+        words = [f"w{k}x{i}" for i in range(200)]
+        rows.append((first + 2 * k, " ".join(words), 0))
+        changed = [f"y{k}x{i}" if i in (20, 60, 100, 140) or i >= 200 - k % 5 else w for i, w in enumerate(words)]
+        rows.append((first + 2 * k + 1, " ".join(changed), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    expected = near([(d, t) for d, t, _ in rows], percent=80)
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()}
+    assert got == {d for d, (_, c) in expected.items() if d == c}
+    # At 85 they would all have stayed.
+    assert {first + 2 * k + 1 for k in range(0, 40, 5)}.isdisjoint(got)
+
+
+def test_near_dedup_bands_miss_at_most_one_in_a_million():
+    rows, bands = corpus_pipeline.NEAR_ROWS, corpus_pipeline.NEAR_BANDS
+    assert (1 - (corpus_pipeline.NEAR_PERCENT / 100) ** rows) ** bands < 1e-6
+
+
 def test_decontaminate_drops_documents_with_items(spark, steps):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     before = texts(steps[3][1])
