@@ -3,7 +3,8 @@
 The parser's events are cut into blocks of text. Each block remembers how much text and how many
 tags it has, the content element (article or main) it stands in, and whether an element around it
 is furniture: menus, headers, footers, sidebars, notices, adverts, forms, comments. Furniture and
-markup are left out. In a page with content elements, these are the regions; otherwise the
+markup are left out. Names (class, id, role) make no furniture of an element that holds an article or
+main; only with a whole name such as ``comments`` it goes with its articles, if the page has others. In a page with content elements, these are the regions; otherwise the
 text-to-tag ratio of the blocks, smoothed by a Gaussian, is split in two clusters, and the region
 goes from the first to the last block of the upper one whose own ratio is high.
 """
@@ -31,6 +32,7 @@ FURNITURE = frozenset(
     select style svg template textarea title canvas audio video""".split()
 )
 CONTENT = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class, id and role that name furniture.
 NAMES = frozenset(
@@ -42,28 +44,42 @@ NAMES = frozenset(
 )
 #: Names of which one alone makes furniture of an element that holds content by its tag.
 CONTENT_NAMES = frozenset("comment comments reply ad ads advert advertisement sponsored promo related".split())
+#: Names that make no furniture of headings and within content.
+HEAD_NAMES = frozenset(("header", "masthead"))
 #: A name that begins so says what the element has or is, not what it is for.
 STATES = frozenset("has is no not with without".split())
 _WORD = re.compile(r"[a-z]+")
 _WIDTH = 2  # of the Gaussian, in blocks
 
 
+class _Named:
+    """An element that its names make furniture of, unless it turns out to hold content."""
+
+    __slots__ = ("around", "strong", "article", "main")
+
+    def __init__(self, around: _Named | None, strong: bool):
+        self.around, self.strong = around, strong
+        self.article = self.main = False
+
+
 class _Blocks(HTMLParser):
-    """Collects (text, tags, region) of the blocks outside furniture; region 0 is none."""
+    """Collects (pieces, tags, region) of the blocks outside furniture; region 0 is none.
+
+    A piece is (text, innermost named element around it); whether that is furniture is known at
+    the end of the page.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int]] = []
-        self.open: list[tuple[str, bool, int]] = []  # tag, furniture, region
-        self.text: list[str] = []
+        self.blocks: list[tuple[list, int, int]] = []
+        self.open: list[tuple[str, bool, int, _Named | None]] = []  # tag, furniture, region, named
+        self.text: list[tuple[str, _Named | None]] = []
         self.tags = self.regions = 0
-        self.skip, self.region = False, 0
+        self.skip, self.region, self.named = False, 0, None
 
     def _end_block(self) -> None:
         if self.text:
-            text = " ".join("".join(self.text).split())
-            if text:
-                self.blocks.append((text, self.tags, self.region))
+            self.blocks.append((self.text, self.tags, self.region))
             self.text = []
         self.tags = 0
 
@@ -74,19 +90,56 @@ class _Blocks(HTMLParser):
             return False
         for name, value in attrs:
             if name in ("class", "id", "role"):
-                for one in (value or "").lower().split():
-                    words = _WORD.findall(one)
-                    if tag in CONTENT:
-                        if one in CONTENT_NAMES:
-                            return True
-                    elif words and words[0] not in STATES and not NAMES.isdisjoint(words):
-                        return True
+                if tag in CONTENT and not CONTENT_NAMES.isdisjoint((value or "").lower().split()):
+                    return True
             elif name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             elif name == "style" and value and re.search(r"display\s*:\s*none", value):
                 return True
         return False
 
+    def _names(self, tag: str, attrs) -> _Named | None:
+        """The innermost named element within an element that begins."""
+        if not attrs or tag in ("html", "body") or tag in CONTENT:
+            return self.named
+        # A title block within content is content, as the header element is there.
+        fine = HEAD_NAMES if self.region or tag in HEADINGS else frozenset()
+        met = strong = False
+        for name, value in attrs:
+            # The id of a heading or paragraph is made from its text.
+            if name in ("class", "role") or name == "id" and tag != "p" and tag not in HEADINGS:
+                for one in (value or "").lower().split():
+                    words = _WORD.findall(one)
+                    if words and words[0] not in STATES and not (NAMES - fine).isdisjoint(words):
+                        met, strong = True, strong or one in CONTENT_NAMES
+        return _Named(self.named, strong) if met else self.named
+
+    def texts(self) -> list[tuple[str, int, int]]:
+        """(text, tags, region) of the blocks, without furniture."""
+        found = self._alive(False)
+        return found if any(b[2] for b in found) else self._alive(True)
+
+    def _alive(self, strong: bool) -> list[tuple[str, int, int]]:
+        furniture: dict[_Named | None, bool] = {None: False}
+
+        def goes(named: _Named | None) -> bool:
+            way = []
+            while named not in furniture:
+                way.append(named)
+                named = named.around
+            out = furniture[named]
+            for one in reversed(way):
+                out = out or not (one.main or one.article and (strong or not one.strong))
+                furniture[one] = out
+            return out
+
+        out = []
+        for pieces, tags, region in self.blocks:
+            text = " ".join("".join(t for t, named in pieces if not goes(named)).split())
+            if text:
+                out.append((text, tags, region))
+        return out
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag in BLOCKS:
@@ -95,16 +148,30 @@ class _Blocks(HTMLParser):
             if self.open and self.open[-1][0] == "p" or tag in ("li", "dt", "dd", "tr") and self._last(tag):
                 self._close("p" if self.open[-1][0] == "p" else tag)
         elif tag in ("br", "td", "th"):
-            self.text.append(" ")
+            self.text.append((" ", self.named))
         if tag in VOID:
             return
         skip = self.skip or self._is_furniture(tag, attrs)
-        if tag in CONTENT and not skip and not self.region:
-            self.regions += 1
-            self.region = self.regions
-        self.open.append((tag, skip, self.region))
+        if not skip:
+            self.named = self._names(tag, attrs)
+        if tag in CONTENT and not skip:
+            self._hold(tag)
+            if not self.region:
+                self.regions += 1
+                self.region = self.regions
+        self.open.append((tag, skip, self.region, self.named))
         self.skip = skip
 
+    def _hold(self, tag: str) -> None:
+        """Notes in the named elements around that they hold content."""
+        named = self.named
+        while named is not None and not getattr(named, tag):
+            setattr(named, tag, True)
+            named = named.around
+
+    def _back(self) -> None:
+        _, self.skip, self.region, self.named = self.open[-1] if self.open else ("", False, 0, None)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -117,7 +184,7 @@ class _Blocks(HTMLParser):
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 del self.open[k:]
-                _, self.skip, self.region = self.open[-1] if self.open else ("", False, 0)
+                self._back()
                 return
 
     def handle_endtag(self, tag):
@@ -127,13 +194,13 @@ class _Blocks(HTMLParser):
             return
         if self.open[-1][0] == tag:
             self.open.pop()
-            _, self.skip, self.region = self.open[-1] if self.open else ("", False, 0)
+            self._back()
         else:
             self._close(tag)
 
     def handle_data(self, data):
         if not self.skip:
-            self.text.append(data)
+            self.text.append((data, self.named))
 
 
 def _upper_cluster(ratios: np.ndarray) -> np.ndarray:
@@ -162,7 +229,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser._end_block()
-    blocks = parser.blocks
+    blocks = parser.texts()
     in_region = [b for b in blocks if b[2]]
     if not in_region and blocks:
         upper = np.flatnonzero(_upper_cluster(np.array([len(t) / max(1, n) for t, n, _ in blocks])))

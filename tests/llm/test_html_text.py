@@ -27,6 +27,28 @@ def test_names_that_are_not_what_an_element_is_for():
     assert main_text(page.format('<div id="ad-top" class="box">Buy</div><p role="alert">Look</p>')) == "Stays"
 
 
+def test_wrappers_that_hold_content_are_no_furniture():
+    for wrapper in ('<div class="content-sidebar-wrap">{}</div>', '<div class="layout-sidebar-right"><div id="nav-ok">{}</div></div>'):
+        for tag in ("main", "article"):
+            page = wrapper.format(f'<div class="sidebar">Links</div><{tag}><h1>Title</h1><p>Text</p></{tag}>')
+            assert main_text(f"<body>{page}<div id=footer>by me</div></body>") == "Title\nText"
+            assert main_text(f"<main>{page}</main>") == "Title\nText"
+    both = '<div class="page-menu-left"><article>One</article></div><article>Two</article>'
+    assert main_text(both) == "One\nTwo"
+
+
+def test_comments_go_with_their_articles_if_there_are_others():
+    comments = '<div id="comments" class="comments-area"><article class="comment-body">Nice</article></div>'
+    assert main_text(f"<article>Text</article>{comments}") == "Text"
+    assert main_text(comments) == "Nice"
+
+
+def test_headings_within_content_stay():
+    page = """<article><div class="post-header"><h1>Title</h1><div class="share">Tweet</div></div><h2 id="related-work">Related</h2>
+    <p id="search-1">One</p><h2 id="search-algorithms">Search</h2><p>Two</p><p class="ad">Buy</p></article>"""
+    assert main_text(page) == "Title\nRelated\nOne\nSearch\nTwo"
+
+
 def test_text_to_tag_ratio_finds_the_region():
     links = "".join(f"<div><a href=x>link {i}</a> | <a href=y>b</a></div>" for i in range(12))
     body = "".join(f"<p>{'long words of a paragraph ' * 12}{i}</p>" for i in range(6)) + "<p>short</p>"
