@@ -5,8 +5,10 @@ tags it has, the content element (article or main) it stands in, and whether an
 is furniture: menus, headers, footers, sidebars, notices, adverts, forms, comments. Furniture and
 markup are left out. Names (class, id, role) make no furniture of an element that holds an article or
 main; only with a whole name such as ``comments`` it goes with its articles, if the page has others. In a page with content elements, these are the regions; otherwise the
-text-to-tag ratio of the blocks, smoothed by a Gaussian, is split in two clusters, and the region
-goes from the first to the last block of the upper one whose own ratio is high.
+text-to-tag ratio of the blocks, smoothed by a Gaussian, is split in two clusters. From the first to
+the last block of the upper one whose own ratio is high, all is content, and so are the other blocks
+of the innermost container around these, however short, and the headings right before it. Only lists
+and parts of the container that are links for the most part stay out.
 """
 
 from __future__ import annotations
@@ -48,6 +50,10 @@ CONTENT_NAMES = frozenset("comment comments reply ad ads advert advertisement sp
 HEAD_NAMES = frozenset(("header", "masthead"))
 #: A name that begins so says what the element has or is, not what it is for.
 STATES = frozenset("has is no not with without".split())
+#: Elements that are text of their container, and those that only group such.
+LINES = HEADINGS | frozenset("p pre address summary legend caption figcaption dt dd li".split())
+GROUPS = frozenset("ul ol dl table thead tbody tfoot tr blockquote figure hgroup".split())
+_PLACES = BLOCKS | frozenset(("body", "td", "th"))
 _WORD = re.compile(r"[a-z]+")
 _WIDTH = 2  # of the Gaussian, in blocks
 
@@ -63,23 +69,25 @@ class _Named:
 
 
 class _Blocks(HTMLParser):
-    """Collects (pieces, tags, region) of the blocks outside furniture; region 0 is none.
+    """Collects (pieces, tags, region, place) of the blocks outside furniture; region 0 is none.
 
-    A piece is (text, innermost named element around it); whether that is furniture is known at
-    the end of the page.
+    A piece is (text, innermost named element around it, whether it is a link); whether a named
+    element is furniture is known at the end of the page. Places are the elements that hold blocks,
+    numbered as they begin; 0 is the page.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[list, int, int]] = []
-        self.open: list[tuple[str, bool, int, _Named | None]] = []  # tag, furniture, region, named
-        self.text: list[tuple[str, _Named | None]] = []
+        self.blocks: list[tuple[list, int, int, int]] = []
+        self.open: list[tuple[str, bool, int, _Named | None, int, bool]] = []  # tag, furniture, region, named, place, link
+        self.text: list[tuple[str, _Named | None, bool]] = []
+        self.places: list[tuple[str, int]] = [("body", 0)]  # tag, place around
         self.tags = self.regions = 0
-        self.skip, self.region, self.named = False, 0, None
+        self.skip, self.region, self.named, self.place, self.link = False, 0, None, 0, False
 
     def _end_block(self) -> None:
         if self.text:
-            self.blocks.append((self.text, self.tags, self.region))
+            self.blocks.append((self.text, self.tags, self.region, self.place))
             self.text = []
         self.tags = 0
 
@@ -114,12 +122,12 @@ class _Blocks(HTMLParser):
                         met, strong = True, strong or one in CONTENT_NAMES
         return _Named(self.named, strong) if met else self.named
 
-    def texts(self) -> list[tuple[str, int, int]]:
-        """(text, tags, region) of the blocks, without furniture."""
+    def texts(self) -> list[tuple[str, int, int, int, bool]]:
+        """(text, tags, region, place, whether it is links for the most part) of the blocks, without furniture."""
         found = self._alive(False)
         return found if any(b[2] for b in found) else self._alive(True)
 
-    def _alive(self, strong: bool) -> list[tuple[str, int, int]]:
+    def _alive(self, strong: bool) -> list[tuple[str, int, int, int, bool]]:
         furniture: dict[_Named | None, bool] = {None: False}
 
         def goes(named: _Named | None) -> bool:
@@ -134,10 +142,12 @@ class _Blocks(HTMLParser):
             return out
 
         out = []
-        for pieces, tags, region in self.blocks:
-            text = " ".join("".join(t for t, named in pieces if not goes(named)).split())
+        for pieces, tags, region, place in self.blocks:
+            stays = [(t, link) for t, named, link in pieces if not goes(named)]
+            text = " ".join("".join(t for t, _ in stays).split())
             if text:
-                out.append((text, tags, region))
+                links = sum(len(t.strip()) for t, link in stays if link)
+                out.append((text, tags, region, place, 2 * links >= len(text)))
         return out
 
     def handle_starttag(self, tag, attrs):
@@ -148,7 +158,7 @@ class _Blocks(HTMLParser):
             if self.open and self.open[-1][0] == "p" or tag in ("li", "dt", "dd", "tr") and self._last(tag):
                 self._close("p" if self.open[-1][0] == "p" else tag)
         elif tag in ("br", "td", "th"):
-            self.text.append((" ", self.named))
+            self.text.append((" ", self.named, False))
         if tag in VOID:
             return
         skip = self.skip or self._is_furniture(tag, attrs)
@@ -159,7 +169,11 @@ class _Blocks(HTMLParser):
             if not self.region:
                 self.regions += 1
                 self.region = self.regions
-        self.open.append((tag, skip, self.region, self.named))
+        if tag in _PLACES:
+            self.places.append((tag, self.place))
+            self.place = len(self.places) - 1
+        self.link = self.link or tag == "a"
+        self.open.append((tag, skip, self.region, self.named, self.place, self.link))
         self.skip = skip
 
     def _hold(self, tag: str) -> None:
@@ -170,7 +184,8 @@ class _Blocks(HTMLParser):
             named = named.around
 
     def _back(self) -> None:
-        _, self.skip, self.region, self.named = self.open[-1] if self.open else ("", False, 0, None)
+        state = self.open[-1][1:] if self.open else (False, 0, None, 0, False)
+        self.skip, self.region, self.named, self.place, self.link = state
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -200,7 +215,7 @@ class _Blocks(HTMLParser):
 
     def handle_data(self, data):
         if not self.skip:
-            self.text.append((data, self.named))
+            self.text.append((data, self.named, self.link))
 
 
 def _upper_cluster(ratios: np.ndarray) -> np.ndarray:
@@ -218,7 +233,34 @@ def _upper_cluster(ratios: np.ndarray) -> np.ndarray:
         if means == (low, high):
             break
         low, high = means
-    return upper & (ratios >= (low + high) / 2)
+    both = upper & (ratios >= (low + high) / 2)
+    return both if both.any() else upper
+
+
+def _region(blocks: list[tuple[str, int, int, int, bool]], places: list[tuple[str, int]]) -> list:
+    """The blocks of the main text of a page without content elements."""
+    upper = np.flatnonzero(_upper_cluster(np.array([len(b[0]) / max(1, b[1]) for b in blocks])))
+    first, last = int(upper[0]), int(upper[-1])
+    ends = list(range(len(places)))  # last place within each
+    for k in range(len(places) - 1, 0, -1):
+        around = places[k][1]
+        ends[around] = max(ends[around], ends[k])
+    held = [blocks[k][3] for k in upper]
+    inner = held[0]
+    while inner and (places[inner][0] in LINES | GROUPS or not inner <= min(held) <= max(held) <= ends[inner]):
+        inner = places[inner][1]
+    within = [inner <= b[3] <= ends[inner] for b in blocks]
+    start = within.index(True)
+    while start and places[blocks[start - 1][3]][0] in HEADINGS:
+        start -= 1
+        within[start] = True
+    out = []
+    for k, (block, inside) in enumerate(zip(blocks, within, strict=True)):
+        tag, around = places[block[3]]
+        own = block[3] == inner or around == inner and tag in LINES
+        if first <= k <= last or inside and (own or tag in HEADINGS or not block[4]):
+            out.append(block)
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -232,8 +274,7 @@ def main_text(html: str | None) -> str:
     blocks = parser.texts()
     in_region = [b for b in blocks if b[2]]
     if not in_region and blocks:
-        upper = np.flatnonzero(_upper_cluster(np.array([len(t) / max(1, n) for t, n, _ in blocks])))
-        in_region = blocks[upper[0] : upper[-1] + 1]
+        in_region = _region(blocks, parser.places)
     return "\n".join(b[0] for b in in_region)
 
 
@@ -250,7 +291,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     ``pages`` has page_id, url and html; other columns are left out. Null, empty and text-free
     pages have the empty text. White space in a block becomes one space. Nothing of the content is
-    cut, however long. Repeated rows stay; an empty table gives an empty result.
+    cut, however long or short. Repeated rows stay; an empty table gives an empty result.
     """
     rows = pick(pages, page_id="long", url="string", html="string")
     return map_batches(rows, _batch, "page_id long, url string, text string, n_chars long")

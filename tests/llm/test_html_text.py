@@ -58,6 +58,26 @@ def test_text_to_tag_ratio_finds_the_region():
     assert len(got) == 8
 
 
+def test_region_keeps_short_blocks_at_its_edges():
+    long = "".join(f"<p>{'long words of a paragraph ' * 12}{i}</p>" for i in range(8))
+    links = "<div>" + "".join(f"<div><a href=x>link {i}</a> | <a href=y>b</a></div>" for i in range(12)) + "</div>"
+    for before, after in (("", ""), (links, links)):
+        for body in ("<div><h1>Title</h1><p>A lead.</p>{}<p>Short end.</p></div>", "<section><h2>Title</h2><ul><li>A lead.</ul>{}<p>Short <i>end</i>.</section>"):
+            got = main_text(f"<body>{before}{body.format(long)}{after}</body>").split("\n")
+            assert got[:2] == ["Title", "A lead."] and got[-1] == "Short end." and len(got) == 11
+    parts = f"<div><div><h2>One</h2>{long}</div><div><h2>Two</h2>{long}<p>End.</p></div><div><p>By me</p></div></div>"
+    got = main_text(f"<body>{links}<h1>Title</h1>{parts}{links}</body>").split("\n")
+    assert got[:2] == ["Title", "One"] and got[-2:] == ["End.", "By me"] and len(got) == 21
+    assert main_text("<h1>Title</h1><p>Short end.</p>") == "Title\nShort end."
+
+
+def test_region_in_the_body_itself():
+    long = "".join(f"<p>{'long words of a paragraph ' * 12}{i}</p>" for i in range(8))
+    links = "<ul>" + "".join(f"<li><a href=x>link {i}</a>" for i in range(12)) + "</ul>"
+    got = main_text(f"<html><body>{links}<h1>Title</h1>{long}<p><a href=z>Source</a></p>{links}</body></html>").split("\n")
+    assert got[0] == "Title" and got[-1] == "Source" and len(got) == 10
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in extract_text(pages).collect()}
