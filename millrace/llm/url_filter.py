@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.boosting import Forest, train
-from millrace.llm.frames import map_batches, pick
+from millrace.llm.frames import map_batches, pick, written
 from millrace.llm.words import text_chunks
 
 SAMPLE_ROWS = 20_000
@@ -34,8 +34,8 @@ def _entropy(counts: np.ndarray) -> float:
     return float(-(share * np.log2(share)).sum())
 
 
-def features(urls: pa.Array, hosts: pa.Array, paths: pa.Array, suffixes: dict[str, tuple[float, float]]) -> np.ndarray:
-    """One row of ``FEATURES`` for each URL; ``suffixes`` has the share and the blocked share of host suffixes."""
+def features(urls: pa.Array, hosts: pa.Array, paths: pa.Array, share: pa.Array, blocked: pa.Array) -> np.ndarray:
+    """One row of ``FEATURES`` for each URL; ``share`` and ``blocked`` are those of its host suffix."""
     counts = [np.zeros((0, 256), np.int64)]
     for column in (urls, hosts):
         for texts in text_chunks(column):
@@ -68,8 +68,8 @@ def features(urls: pa.Array, hosts: pa.Array, paths: pa.Array, suffixes: dict[st
         "fragment": of(whole, "#") > 0,
         "secure": [(u or "").startswith("https:") for u in full],
         "file_suffix": ["." in p.rpartition("/")[2] for p in roads],
-        "suffix_share": [suffixes.get(h.rpartition(".")[2], (0.0, 0.5))[0] for h in names],
-        "suffix_blocked": [suffixes.get(h.rpartition(".")[2], (0.0, 0.5))[1] for h in names],
+        "suffix_share": share.to_numpy(zero_copy_only=False),
+        "suffix_blocked": blocked.to_numpy(zero_copy_only=False),
     }
     for k, name in enumerate(FEATURES):
         out[:, k] = columns[name]
@@ -111,23 +111,48 @@ def labelled(urls: DataFrame, bad_words=BAD_WORDS) -> DataFrame:
     return urls.withColumn("blocked", blocked).where("blocked IS NOT NULL")
 
 
-def train_urls(examples: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Forest, dict]:
-    """Trees and suffix shares from at most ``sample_rows`` distinct URLs (url, host, path, blocked), by hash order."""
-    rows = examples.select("url", "host", "path", "blocked").distinct()
-    found = rows.orderBy(F.xxhash64("url"), "url", "blocked").limit(sample_rows).toArrow().combine_chunks()
-    y = found["blocked"].to_numpy().astype(float)
-    urls, hosts, paths = (found[c].combine_chunks() for c in ("url", "host", "path"))
-    names = np.array([h.rpartition(".")[2] for h in hosts.to_pylist()], object)
-    suffixes = {
-        s: (float((names == s).mean()), float((y[names == s].sum() + 1) / ((names == s).sum() + 2))) for s in set(names)
-    }
-    return train(features(urls, hosts, paths, suffixes), y, trees=60), suffixes
+def suffix_shares(urls: DataFrame, seen: DataFrame) -> DataFrame:
+    """suffix, suffix_share of all ``urls``, and suffix_blocked of all ``seen`` (blocked 1, 0 or null for unknown)."""
+    suffix = F.substring_index("host", ".", -1).alias("suffix")
+    both = (
+        urls.select(suffix, F.lit(1).alias("n"), F.lit(0).alias("seen"), F.lit(0).alias("bad"))
+        .unionByName(seen.select(suffix, F.lit(0).alias("n"), F.lit(1).alias("seen"), F.coalesce("blocked", F.lit(0)).alias("bad")))
+        .groupBy("suffix")
+        .agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
+    )
+    counts = written(both, "suffixes")
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    return counts.select(
+        "suffix",
+        (F.col("n") / total).alias("suffix_share"),
+        ((F.col("bad") + 1) / (F.col("seen") + 2)).alias("suffix_blocked"),
+    )
+
+
+def _with_shares(urls: DataFrame, shares: DataFrame) -> DataFrame:
+    """Adds suffix_share and suffix_blocked; a suffix that was never counted has 0.0 and 0.5."""
+    joined = urls.withColumn("suffix", F.substring_index("host", ".", -1)).join(shares, "suffix", "left")
+    return joined.withColumns(
+        {
+            "suffix_share": F.coalesce("suffix_share", F.lit(0.0)),
+            "suffix_blocked": F.coalesce("suffix_blocked", F.lit(0.5)),
+        }
+    ).drop("suffix")
+
+
+def train_urls(examples: DataFrame, shares: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Forest:
+    """Trees from at most ``sample_rows`` distinct URLs (url, host, path, blocked), by hash order."""
+    order = [F.xxhash64("url"), F.col("url"), F.col("blocked")]
+    rows = examples.select("url", "host", "path", "blocked").distinct().orderBy(*order).limit(sample_rows)
+    found = _with_shares(rows, shares).orderBy(*order).toArrow().combine_chunks()
+    columns = ("url", "host", "path", "suffix_share", "suffix_blocked")
+    x = features(*(found[c].combine_chunks() for c in columns))
+    return train(x, found["blocked"].to_numpy().astype(float), trees=60)
 
 
 def _score_batch(batch: pa.RecordBatch, model) -> pa.RecordBatch:
-    forest, suffixes = model.value
-    x = features(batch.column(1), batch.column(2), batch.column(3), suffixes)
-    scores = pa.array(forest.scores(x))
+    x = features(batch.column(1), batch.column(2), batch.column(3), batch.column(6), batch.column(7))
+    scores = pa.array(model.value.scores(x))
     arrays = [batch.column(i) for i in (0, 2, 3, 4, 5)]
     return pa.RecordBatch.from_arrays([*arrays, scores], ["page_id", "host", "path", "rule", "ruling", "score"])
 
@@ -143,17 +168,25 @@ def judge_urls(
 
     ``examples`` are labelled URLs (url, blocked); without them, those of ``labelled``. The verdict
     is that of the longest fitting rule, else ``block`` from ``threshold`` up. A null url and one
-    without ``://`` have an empty host and path and are judged by the trees. Repeated rows stay;
+    without ``://`` have an empty host and path and are judged by the trees. Shares of host suffixes count all
+    URLs, of pages and examples, and the blocked share all that have or could have a label. Repeated rows stay;
     other columns are left out; an empty table gives an empty result.
     """
     urls = ruled(parsed(pages), rules)
+    every = urls.select("url", "host")
     if examples is None:
         known = labelled(urls)
     else:
         known = parsed(pick(examples, url="string", blocked="int").withColumn("page_id", F.col("blocked")))
         known = known.withColumnRenamed("page_id", "blocked").where("blocked IN (0, 1)")
-    model = pages.sparkSession.sparkContext.broadcast(train_urls(known.where("url IS NOT NULL"), sample_rows))
+        every = every.unionByName(known.select("url", "host"))
+    known = known.where("url IS NOT NULL")
+    shares = suffix_shares(every.where("url IS NOT NULL"), known)
+    model = pages.sparkSession.sparkContext.broadcast(train_urls(known.where("blocked IS NOT NULL"), shares, sample_rows))
     fields = "page_id long, host string, path string, rule string, ruling string, score double"
+    urls = _with_shares(urls, shares).select(
+        "page_id", "url", "host", "path", "rule", "ruling", "suffix_share", "suffix_blocked"
+    )
     scored = map_batches(urls, partial(_score_batch, model=model), fields)
     verdict = F.coalesce("ruling", F.when(F.col("score") >= threshold, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")

@@ -2,8 +2,12 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from millrace.llm import url_filter
+from millrace.llm.boosting import train
 from millrace.llm.queries import QUERIES, URL_RULES
-from millrace.llm.url_filter import judge_urls
+from millrace.llm.url_filter import judge_urls, parsed, suffix_shares
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +62,25 @@ def test_trees_tell_bad_from_good_urls(spark):
     pages = spark.createDataFrame(list(enumerate(fresh)), "page_id long, url string")
     got = {r.page_id: r.verdict for r in judge_urls(pages, [], known).collect()}
     assert got == {0: "allow", 1: "block"}
+
+
+def test_suffix_shares_count_all_urls_whatever_the_sample(spark):
+    rows = [(f"http://h{k}.{'rare' if k % 50 == 0 else 'com'}/{k}", int(k % 100 == 0)) for k in range(1000)]
+    known = spark.createDataFrame(rows, "url string, blocked int")
+    pages = spark.createDataFrame([(1, "http://x.org/"), (2, "http://y.org/"), (3, None)], "page_id long, url string")
+    seen = parsed(known.withColumn("page_id", F.col("blocked"))).withColumnRenamed("page_id", "blocked")
+    every = parsed(pages).where("url IS NOT NULL").select("url", "host").unionByName(seen.select("url", "host"))
+    got = {r.suffix: (r.suffix_share, r.suffix_blocked) for r in suffix_shares(every, seen).collect()}
+    assert got == {"rare": (20 / 1002, 11 / 22), "com": (980 / 1002, 1 / 982), "org": (2 / 1002, 0.5)}
+
+
+def test_sample_bounds_the_fit_alone(spark, monkeypatch):
+    """What the trees are given of a suffix is that of all URLs, also of one outside the sample."""
+    rows = [(k, f"http://h{k}.{'rare' if k % 50 == 0 else 'com'}/{k}") for k in range(1000)]
+    known = spark.createDataFrame([(u, k % 2) for k, u in rows], "url string, blocked int")
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    given = []
+    monkeypatch.setattr(url_filter, "train", lambda x, y, trees: given.append((x, y)) or train(x, y, trees=trees))
+    judge_urls(pages, [], known, sample_rows=10)
+    shares = {(round(a, 6), round(b, 6)) for a, b in given[0][0][:, -2:]}
+    assert len(given[0][1]) == 10 and shares <= {(0.02, round(1 / 22, 6)), (0.98, round(501 / 982, 6))}
