@@ -1,13 +1,15 @@
 """URLs allowed or blocked: rules first, boosted trees over lexical features for the rest.
 
 The trees learn from labelled URLs. Without a list of such, a URL is labelled by the rule that
-decides it, else as bad if its host holds a word known from bad hosts, else as good. Only what a
-URL looks like is an input, never which host it is.
+decides it, else as bad if its host holds a word known from bad hosts in any form; URLs that nothing
+speaks for or against are left out of the fit. Only what a URL looks like is an input, never which
+host it is.
 """
 
 from __future__ import annotations
 
-from functools import partial, reduce
+import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -99,16 +101,26 @@ def ruled(urls: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return urls.withColumn("rule", rule).withColumn("ruling", ruling)
 
 
+def _forms(word: str) -> str:
+    """A pattern for a word, its singular and plural, and its form in -ing."""
+    stem = re.escape(word[:-1] if word.endswith("s") and not word.endswith("ss") else word)
+    return f"{stem}(?:e?s|{stem[-1]}?ing)?"
+
+
 def labelled(urls: DataFrame, bad_words=BAD_WORDS) -> DataFrame:
-    """URLs with ``blocked`` 0 or 1; where a rule allows what a bad word speaks against, there is no label."""
-    parts = F.split("host", r"[.\-_]")
-    bad = reduce(lambda a, b: a | b, [F.array_contains(parts, w) for w in bad_words])
+    """Adds ``blocked``: 1 by a bad word or a block rule for whole hosts, 0 by an allow rule, null if both or nothing speak.
+
+    A bad word counts in any form, as a part of the host between dots, hyphens, underscores or digits. A
+    block rule for a path alone leaves no label, as it says nothing of how a bad URL looks.
+    """
+    forms = "|".join(_forms(w) for w in bad_words)
+    bad = F.col("host").rlike(rf"(?:^|[.\-_0-9])(?:{forms})(?:$|[.\-_0-9:])") if bad_words else F.lit(False)
     blocked = (
         F.when((F.col("ruling") == "allow") & bad, None)
-        .when((F.col("ruling") == "block") | bad, 1)
-        .otherwise(0)
+        .when(bad | (F.col("ruling") == "block") & F.col("rule").rlike("^[^/]*/?$"), 1)
+        .when(F.col("ruling") == "allow", 0)
     )
-    return urls.withColumn("blocked", blocked).where("blocked IS NOT NULL")
+    return urls.withColumn("blocked", blocked)
 
 
 def suffix_shares(urls: DataFrame, seen: DataFrame) -> DataFrame:
@@ -140,13 +152,21 @@ def _with_shares(urls: DataFrame, shares: DataFrame) -> DataFrame:
     ).drop("suffix")
 
 
-def train_urls(examples: DataFrame, shares: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Forest:
-    """Trees from at most ``sample_rows`` distinct URLs (url, host, path, blocked), by hash order."""
+def train_urls(
+    examples: DataFrame, shares: DataFrame, sample_rows: int = SAMPLE_ROWS, by_rules: bool = False
+) -> Forest:
+    """Trees from at most ``sample_rows`` distinct URLs (url, host, path, blocked), by hash order.
+
+    Labels ``by_rules`` go by suffix as the rules do: one that no allow rule names has bad examples
+    alone. Then the trees are not given the suffixes, or they would block all of such a suffix.
+    """
     order = [F.xxhash64("url"), F.col("url"), F.col("blocked")]
     rows = examples.select("url", "host", "path", "blocked").distinct().orderBy(*order).limit(sample_rows)
     found = _with_shares(rows, shares).orderBy(*order).toArrow().combine_chunks()
     columns = ("url", "host", "path", "suffix_share", "suffix_blocked")
     x = features(*(found[c].combine_chunks() for c in columns))
+    if by_rules:
+        x[:, [FEATURES.index("suffix_share"), FEATURES.index("suffix_blocked")]] = 0
     return train(x, found["blocked"].to_numpy().astype(float), trees=60)
 
 
@@ -182,7 +202,8 @@ def judge_urls(
         every = every.unionByName(known.select("url", "host"))
     known = known.where("url IS NOT NULL")
     shares = suffix_shares(every.where("url IS NOT NULL"), known)
-    model = pages.sparkSession.sparkContext.broadcast(train_urls(known.where("blocked IS NOT NULL"), shares, sample_rows))
+    forest = train_urls(known.where("blocked IS NOT NULL"), shares, sample_rows, by_rules=examples is None)
+    model = pages.sparkSession.sparkContext.broadcast(forest)
     fields = "page_id long, host string, path string, rule string, ruling string, score double"
     urls = _with_shares(urls, shares).select(
         "page_id", "url", "host", "path", "rule", "ruling", "suffix_share", "suffix_blocked"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.llm import url_filter
 from millrace.llm.boosting import train
 from millrace.llm.queries import QUERIES, URL_RULES
-from millrace.llm.url_filter import judge_urls, parsed, suffix_shares
+from millrace.llm.url_filter import BAD_WORDS, judge_urls, labelled, parsed, ruled, suffix_shares
 
 SF = "/root/testdata/sf0.001"
 
@@ -84,3 +84,28 @@ def test_sample_bounds_the_fit_alone(spark, monkeypatch):
     judge_urls(pages, [], known, sample_rows=10)
     shares = {(round(a, 6), round(b, 6)) for a, b in given[0][0][:, -2:]}
     assert len(given[0][1]) == 10 and shares <= {(0.02, round(1 / 22, 6)), (0.98, round(501 / 982, 6))}
+
+
+def test_labels_need_a_sign(spark):
+    expected = {
+        "http://www.house.net/a": None, "http://free-bets.example.net/": 1, "http://betting.net/": 1, "http://x.casinos2.net/": 1,
+        "http://pill-shop.net/": 1, "http://alphabet.net/": None, "http://better.net/": None, "http://house.org/": 0,
+        "http://bets.org/": None, "http://house.example.org/es/1": None, "http://shop.com/de/1": None, "http://shop.com/fr/1": 0,
+        "http://evil.net/x": 1,
+    }
+    pages = spark.createDataFrame(list(enumerate(expected)), "page_id long, url string")
+    got = {r.url: r.blocked for r in labelled(ruled(parsed(pages), [*URL_RULES, ("block", "evil.net/")])).collect()}
+    assert got == expected
+
+
+def test_rates_on_a_host_family_kept_out_of_the_labels(spark, monkeypatch):
+    """The trees block free-bets without having seen it or its word, and allow hosts that nothing speaks against."""
+    words = tuple(w for w in BAD_WORDS if w != "bet")
+    known = lambda urls: labelled(urls, words).where("NOT contains(host, 'free-bets')")
+    monkeypatch.setattr(url_filter, "labelled", known)
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = [r for r in judge_urls(pages, URL_RULES).collect() if r.rule is None]
+    bets = [r.verdict for r in rows if "free-bets" in r.host]
+    plain = [r.verdict for r in rows if not re.search("casino|bets|ads-|spam|pills|adult", r.host)]
+    assert len(bets) > 10 and bets.count("block") >= 0.9 * len(bets)
+    assert len(plain) > 1000 and plain.count("allow") >= 0.95 * len(plain)
