@@ -24,6 +24,8 @@ from millrace.llm.frames import pick, written
 MIN_WORDS = 50
 
 _DOC = ["doc_id", "text_hash"]
+#: A run of characters that are not white space: neither ASCII's nor Unicode's, as the no-break space.
+_WORD = r"[^\s\x1C-\x1F\x85\p{Z}]+"
 
 
 def _lines(documents: DataFrame) -> DataFrame:
@@ -33,14 +35,14 @@ def _lines(documents: DataFrame) -> DataFrame:
     rows = texts.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.filter(numbered, lambda x: F.trim(x["line"]) != "")).alias("seq", "at"),
+        F.posexplode(F.filter(numbered, lambda x: x["line"].rlike(_WORD))).alias("seq", "at"),
     )
     line = F.col("at.line")
     return rows.select(
         *_DOC,
         "seq",
         F.col("at.line_no").alias("line_no"),
-        (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("words"),
+        F.regexp_count(line, F.lit(_WORD)).alias("words"),
         F.xxhash64(line).alias("id_a"),
         F.xxhash64(F.lit(1), line).alias("id_b"),
     )
@@ -119,8 +121,8 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     """Runs of lines that an earlier place holds too: doc_id, text_hash, first_line, last_line.
 
     Earlier means a smaller doc_id, or further up in the same document (a copy may overlap its
-    original). Lines count from 0 and are equal when all their characters are; words are the parts
-    between spaces; blank lines are passed over but belong to a run that goes on behind them. A
+    original). Lines count from 0 and are equal when all their characters are; words are the
+    runs of characters other than white space; lines without one are blank, which are passed over but belong to a run that goes on behind them. A
     run lies within one document. Rows with equal doc_id and text are one document; of different
     texts with one doc_id, the one with the smaller hash is earlier. Rows without doc_id or text
     have no runs.

@@ -58,6 +58,20 @@ def test_runs_are_maximal_and_may_overlap_their_original(spark):
     assert got == {(1, 1, 5), (2, 1, 3)}
 
 
+def test_words_are_runs_of_other_than_white_space(spark):
+    code = "\n".join(" " * 12 + f"return x{i}" for i in range(4))  # 8 words, 48 leading spaces
+    table = "\n".join("a" + " " * 20 + f"{i}" for i in range(3))
+    tabs = "\n".join("\t".join(f"t{i}x{k}" for k in range(30)) for i in range(2))
+    hard = "\n".join("\u00a0".join(f"h{i}x{k}" for k in range(30)) for i in range(2))
+    blank = " ".join(f"b{k}" for k in range(30)) + "\n\t\n\u00a0\n" + " ".join(f"c{k}" for k in range(30))
+    shared = [code, table, tabs, hard, blank]
+    docs = [(2 * i + k, f"{t}\nown {2 * i + k}") for i, t in enumerate(shared) for k in range(2)]
+    got = {r.row.doc_id: (r.n_removed, r.cleaned) for r in dedup_lines(spark.createDataFrame(docs, FIELDS)).collect()}
+    texts = dict(docs)
+    assert all(got[d] == (0, texts[d]) for d in (0, 1, 2, 3, 4, 6, 8))
+    assert got[5] == (2, "own 5") and got[7] == (2, "own 7") and got[9] == (4, "own 9")
+
+
 def test_edge_cases(spark):
     long = "one two three\n" * 30_000
     rows = [
