@@ -57,7 +57,8 @@ def start_upsert(
 
     With ``rollup_path`` the hourly rollup follows: the hours that a micro-batch
     touches, however old, are counted anew from the keyed table and appended as
-    a version of theirs. So late rows count, and equal keys count once.
+    a version of theirs. So late rows count, and equal keys count once. Rows
+    without a readable time have a null day, and each device a null hour for them.
     """
     schema = anomalies.schema
 
@@ -66,9 +67,14 @@ def start_upsert(
         _write_version(rows, batch_id, path, ["timestamp", "severity"])
         if rollup_path:
             hours = rows.select("device_id", "day", _hour().alias("hour_bucket")).distinct()
-            days = [r.day for r in hours.select("day").distinct().collect() if r.day]  # one a calendar day
-            keyed = read_keyed(batch.sparkSession, path, schema).filter(F.col("day").isin(days))
-            touched = keyed.withColumn("hour_bucket", _hour()).join(hours.drop("day"), ROLLUP_KEY, "left_semi")
+            days = [r.day for r in hours.select("day").distinct().collect()]  # one a calendar day
+            touched_day = F.col("day").isin([d for d in days if d])
+            if None in days:
+                touched_day = touched_day | F.col("day").isNull()
+            keyed = read_keyed(batch.sparkSession, path, schema).filter(touched_day).withColumn("hour_bucket", _hour())
+            named = hours.select(*[F.col(c).alias(f"touched_{c}") for c in ROLLUP_KEY])
+            same = [F.col(c).eqNullSafe(F.col(f"touched_{c}")) for c in ROLLUP_KEY]
+            touched = keyed.join(named, same, "left_semi")
             rollup = anomaly_rollup(touched, high_values).withColumn("day", F.to_date("hour_bucket"))
             _write_version(rollup, batch_id, rollup_path, ROLLUP_KEY)
         rows.unpersist()

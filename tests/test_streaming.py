@@ -198,6 +198,28 @@ def test_rollup_stream_equals_the_batch_rollup(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/hours").count() == expected.count()
 
 
+def test_rollup_stream_keeps_rows_without_time(spark, tmp_path):
+    batches = [
+        anomaly_batch(spark, [("a", None, 1, [1]), ("a", at(1), 2, [1]), ("b", None, 3, [2])]),
+        anomaly_batch(spark, [("a", None, 4, [3]), ("b", at(2), 5, [1])], True),
+        anomaly_batch(spark, [(None, None, 6, [1]), (None, at(3), 7, [2])]),
+    ]
+
+    def start():
+        source = spark.readStream.schema(batches[0].schema).parquet(f"{tmp_path}/in")
+        return streaming.start_upsert(
+            source, f"{tmp_path}/keyed", f"{tmp_path}/state", rollup_path=f"{tmp_path}/hours", high_values=("HIGH",)
+        )
+
+    feed(spark, batches, f"{tmp_path}/in", start)
+    keyed = serving.anomalies_latest(batches[0].unionAll(batches[1]).unionAll(batches[2]))
+    expected = serving.anomaly_rollup(keyed, ("HIGH",))
+    flat = [F.array_join(c, ",").alias(c) if c == "anomaly_types" else F.col(c) for c in expected.columns]
+    got = streaming.read_rollup(spark, f"{tmp_path}/hours")
+    assert rows(got.select(*flat)) == rows(expected.select(*flat))
+    assert got.filter("hour_bucket IS NULL").count() == 3
+
+
 def test_refresh_of_single_days(spark, tmp_path):
     path = f"{tmp_path}/rollup"
     one = anomaly_batch(spark, [("d", at(1), 1, [1]), ("d", at(1, day=2), 2, [1])])
