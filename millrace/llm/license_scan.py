@@ -73,7 +73,7 @@ def scan_licenses(
     largest start of one, words from 0, else null), base_labels (of the phrases), labels (of phrases
     and templates; both distinct, sorted, comma-joined, empty if none) and score: 1 with a base
     label, else the best containment of a met template, else 0. Null and empty texts have no words.
-    Rows with equal doc_id and text have equal results; other columns are left out; an empty table
+    Rows with equal text have equal results, with and without doc_id; other columns are left out; an empty table
     gives an empty result.
     """
     spark = documents.sparkSession
@@ -116,8 +116,8 @@ def scan_licenses(
     whole = spark.createDataFrame(known, "template int, template_tokens array<string>, needed int")
     least = min([n for _, _, n in known], default=1)
     blocks = (
-        scanned.where("blocks IS NOT NULL AND doc_id IS NOT NULL")
-        .select("doc_id", "text_hash", F.explode("blocks").alias("block"))
+        scanned.where("blocks IS NOT NULL")
+        .select("text_hash", F.explode("blocks").alias("block"))
         .where(F.size("block") >= least)
     )
     met = (
@@ -127,13 +127,15 @@ def scan_licenses(
         .where((F.size("block") >= F.col("needed")) & (F.size("template_tokens") - F.col("place") >= F.col("needed")))
         .withColumn("common", F.size(F.array_intersect("block", "template_tokens")))
         .where("common >= needed")
-        .select("doc_id", "text_hash", "template", (F.col("common") / F.size("template_tokens")).alias("containment"))
+        .select("text_hash", "template", (F.col("common") / F.size("template_tokens")).alias("containment"))
     )
     names = F.create_map(*[x for k, (label, _) in enumerate(sets) for x in (F.lit(k), F.lit(label))]) if sets else None
-    found = met.groupBy("doc_id", "text_hash").agg(
+    found = met.groupBy("text_hash").agg(
         F.collect_set(F.element_at(names, F.col("template")) if sets else F.lit("")).alias("template_labels"),
         F.max("containment").alias("containment"),
     )
+    # Written first, so that the join is sized by what was found and can split a text with very many copies.
+    found = written(found, "found")
     base = F.filter(
         F.array(*[F.when(F.size(F.get("places", F.lit(k))) > 0, label) for k, (_, label) in enumerate(phrases)]).cast(
             "array<string>"
@@ -143,7 +145,7 @@ def scan_licenses(
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     every = F.flatten("places")
     return (
-        scanned.join(found, ["doc_id", "text_hash"], "left")
+        scanned.join(found, "text_hash", "left")
         .withColumn("base", base)
         .select(
             "doc_id",

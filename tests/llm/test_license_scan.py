@@ -65,3 +65,11 @@ def test_edge_cases(spark):
     null_id = spark.createDataFrame([(None, "mit license")], FIELDS)
     assert result(null_id)[None][4] == "mit"
     assert result(df.limit(0)) == {}
+
+
+def test_rows_without_doc_id_have_the_labels_of_templates(spark):
+    label, text = TEMPLATES[0]
+    rows = [(1, text), (None, text), (None, "nothing"), (None, TEMPLATES[1][1])]
+    got = scan_licenses(spark.createDataFrame(rows, FIELDS), PHRASES, TEMPLATES).collect()
+    assert sorted((r.doc_id or 0, r.labels, r.score) for r in got) == sorted((d or 0, *brute_force(t)[5:]) for d, t in rows)
+    assert sum(label in r.labels.split(",") for r in got) == 2
