@@ -11,6 +11,7 @@ from millrace.llm import license_texts, sql
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.fingerprints import fingerprint_documents
 from millrace.llm.frames import table
+from millrace.llm.hard_negatives import mine_hard_negatives
 from millrace.llm.html_text import extract_text
 from millrace.llm.license_scan import scan_licenses
 from millrace.llm.line_dedup import dedup_lines
@@ -103,6 +104,15 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return mine_hard_negatives(embeddings, anchors="vec_id % 100 = 0")
+
+
 ORACLE["op5_license_scan"] = sql.op5_license_scan(license_texts.TEMPLATES)
 ORACLE["op7_minhash_near_dedup"] = sql.OP7_NEAR_DUPLICATES
 ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP
+ORACLE["op11_hard_negatives"] = sql.OP11_HARD_NEGATIVES

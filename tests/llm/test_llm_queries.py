@@ -20,5 +20,5 @@ def test_registered():
     import __spark_entry__ as driver
 
     names = [n.split("_")[0] for n in QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
