@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import license_texts, sql
+from millrace.llm.byte_bpe import Vocabulary, decode_documents, encode_documents
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.fingerprints import fingerprint_documents
 from millrace.llm.frames import table
@@ -112,6 +113,20 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(embeddings, anchors="vec_id % 100 = 0")
 
 
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary.read(tokenizer_file("byte_bpe_50k.tiktoken"))
+    encoded = encode_documents(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return decode_documents(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 ORACLE["op5_license_scan"] = sql.op5_license_scan(license_texts.TEMPLATES)
 ORACLE["op7_minhash_near_dedup"] = sql.OP7_NEAR_DUPLICATES
 ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP
