@@ -19,6 +19,7 @@ from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_documents, train_quality
+from millrace.llm.spelling import spelling_variants
 from millrace.llm.token_counts import count_tokens, piece_file
 from millrace.llm.url_filter import judge_urls
 
@@ -127,6 +128,11 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op5_license_scan"] = sql.op5_license_scan(license_texts.TEMPLATES)
 ORACLE["op7_minhash_near_dedup"] = sql.OP7_NEAR_DUPLICATES
 ORACLE["op4_line_dedup"] = sql.OP4_LINE_DEDUP
