@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,17 +26,52 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
 
 
+T = TypeVar("T")
+_KEPT: dict[str, object] = {}
+_STAGE: list[int | None] = [None]
+
+
+def enter_stage() -> None:
+    """Drop what tasks of other stages have kept in this Python worker."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if stage != _STAGE[0]:
+        _KEPT.clear()
+        _STAGE[0] = stage
+
+
+def kept_in_worker(key: str, make: Callable[[], T]) -> T:
+    """What the tasks of one stage share in a Python worker; it goes when a task of another stage begins."""
+    enter_stage()
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release_memory() -> None:
+    """Give memory that is free back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` over the Arrow batches of each partition; it may give no batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None and out.num_rows:
-                yield out
+        enter_stage()
+        try:
+            for batch in batches:
+                out = fn(batch)
+                if out is not None and out.num_rows:
+                    yield out
+        finally:
+            release_memory()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
-__all__ = ["map_batches", "pick", "ship_package", "table", "written"]
+__all__ = ["enter_stage", "kept_in_worker", "map_batches", "pick", "release_memory", "ship_package", "table", "written"]

@@ -4,7 +4,7 @@ Pieces are dealt into groups of bounded size. Each group packs by best-fit decre
 feasible functions give it a lower bound: a group that needs as many sequences as its bound is
 certified. Groups with a gap give all their sequences with room back, certified ones those with
 much room; these pieces are dealt anew, across groups, and packed again. This goes on until the
-sequences are as few as the bound over all pieces allows, or one group remains.
+sequences are as few as the bound over all pieces allows, one group remains, or their number no longer falls.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 import os
 import zlib
 from functools import partial
-from itertools import repeat
+from itertools import compress, repeat
+from itertools import count as count_from
 
 import numpy as np
 import pandas as pd
@@ -21,15 +22,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import map_batches, pick, ship_package, written
+from millrace.llm.frames import kept_in_worker, map_batches, pick, ship_package, written
 from millrace.llm.words import CHUNK_BYTES
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces that one task packs at a time.
 GROUP_PIECES = 32_768
-#: Dealing rounds at most; the last one keeps what it packs.
-ROUNDS = 5
+#: Known parts of a worker are forgotten beyond this size; each counts as its length, its ids and a fixed part.
+KNOWN_BYTES, PART_BYTES = 112 << 20, 170
 #: A certified group gives sequences back that are filled less than this.
 WELL_FILLED = 0.95
 
@@ -39,101 +40,79 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordIds:
     """Token ids of texts, looked up by the parts between spaces and line feeds.
 
-    The tokenizer drops white space and its tokens never cross any, so the ids of a text are those
-    of its parts in order. Nor does a token cross from a letter or digit to the stops behind it, so
-    a part is a core and its stops, and many parts share their cores. What is known is kept up to a
-    bound and then begun anew.
+    The tokenizer drops white space and its tokens never cross any, so the ids of a text are those of its
+    parts in order. What is known is kept up to ``most`` bytes, about, and then begun anew.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 700_000):
+    def __init__(self, tokenizer_json: str, most: int = KNOWN_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_str(tokenizer_json), most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.parts, self.units = {"": 0}, {"": 0}
-        self.cores, self.stops = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.starts, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(4096, np.uint32), 0
-
-    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n, upto = len(self.units), self.used + len(ids)
-        if n + len(units) > len(self.starts):
-            room = 2 * (n + len(units))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts, self.size = {"": 0}, 0
+        self.starts, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.flat, self.used = np.zeros(4096, np.uint16), 0
+
+    def _add(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, upto = len(self.parts), self.used + len(ids)
+        if n + len(parts) > len(self.starts):
+            room = (n + len(parts)) * 5 // 4
             self.starts, self.counts = np.resize(self.starts, room), np.resize(self.counts, room)
+        if len(ids) and ids.max() > np.iinfo(self.flat.dtype).max:
+            self.flat = self.flat.astype(np.uint32)
         if upto > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * upto)
-        self.starts[n : n + len(units)] = self.used + np.cumsum(sizes) - sizes
-        self.counts[n : n + len(units)] = sizes
+            self.flat = np.resize(self.flat, upto * 5 // 4)
+        self.starts[n : n + len(parts)] = self.used + np.cumsum(sizes) - sizes
+        self.counts[n : n + len(parts)] = sizes
         self.flat[self.used : upto] = ids
         self.used = upto
-        self.units.update(zip(units, range(n, n + len(units)), strict=True))
+        self.parts.update(zip(parts, range(n, n + len(parts)), strict=True))
+        self.size += PART_BYTES * len(parts) + sum(map(len, parts)) + self.flat.itemsize * len(ids)
 
-    def _learn_units(self, units: list[str]) -> None:
-        # Units of letters only are one word each, so one call can take them all.
-        plain = [u for u in units if u.isalpha()]
-        if plain:
-            encoded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+    def _learn(self, parts: list[str]) -> None:
+        # Latin letters with stops behind them are one word or two in the tokenizer's eyes, so one call can
+        # take many of them. Scripts whose letters fall apart into marks when normalized go one by one.
+        cores = [p.rstrip(".,!?") for p in parts]
+        plain = [c.isalpha() and (c.isascii() or max(c) < "\u0250" and "\u0130" not in c) for c in cores]
+        simple = list(compress(parts, plain))
+        if simple:
+            words = np.fromiter(map(len, simple), np.int64, len(simple)) > np.fromiter(map(len, compress(cores, plain)), np.int64, len(simple))
+            last = np.cumsum(words + 1)
+            encoded = self.tokenizer.encode(" ".join(simple), add_special_tokens=False)
             word = np.array(encoded.word_ids, np.int64)
-            if word[-1] + 1 == len(plain):
-                self._add(plain, np.array(encoded.ids, np.uint32), np.bincount(word, minlength=len(plain)))
-        rest = [u for u in units if u not in self.units]
+            if word[-1] + 1 != last[-1]:
+                raise AssertionError("the tokenizer cuts words otherwise")
+            upto = np.searchsorted(word, last)
+            self._add(simple, np.array(encoded.ids, np.uint32), np.diff(upto, prepend=0))
+        rest = [p for p, easy in zip(parts, plain, strict=True) if not easy]
         if rest:
             ids = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
-            flat = np.array([x for one in ids for x in one], np.uint32)
-            self._add(rest, flat, np.array([len(x) for x in ids], np.int64))
-
-    def _learn(self, parts: list[str]) -> None:
-        cores, stops = [], []
-        for part in parts:
-            core = part.rstrip(".,!?")
-            if core and not core[-1].isalnum():
-                core = part
-            stops.append(part[len(core) :])
-            cores.append(core.lower() if core.isascii() and core.isalpha() else core)
-        fresh = [u for u in dict.fromkeys(cores + stops) if u not in self.units]
-        if fresh:
-            self._learn_units(fresh)
-        n = len(self.parts)
-        if n + len(parts) > len(self.cores):
-            room = 2 * (n + len(parts))
-            self.cores, self.stops = np.resize(self.cores, room), np.resize(self.stops, room)
-        self.cores[n : n + len(parts)] = [self.units[u] for u in cores]
-        self.stops[n : n + len(parts)] = [self.units[u] for u in stops]
-        self.parts.update(zip(parts, range(n, n + len(parts)), strict=True))
+            self._add(rest, np.array([x for one in ids for x in one], np.uint32), np.array([len(x) for x in ids], np.int64))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and each text's bounds in them."""
-        if len(self.parts) > self.most:
-            self._clear()
+        if self.size > self.most:
+            self._forget()
         parts = " ".join(texts).replace("\n", " ").split(" ")
         codes = np.fromiter(map(self.parts.get, parts, repeat(-1)), np.int64, len(parts))
         unknown = np.flatnonzero(codes < 0).tolist()
         if unknown:
             self._learn(list(dict.fromkeys(parts[i] for i in unknown)))
             codes[unknown] = [self.parts[parts[i]] for i in unknown]
-        units = np.stack([self.cores[codes], self.stops[codes]], axis=1).ravel()
-        counts = self.counts[units]
+        counts = self.counts[codes].astype(np.int64)
         ends = np.cumsum(counts)
-        ids = self.flat[np.repeat(self.starts[units] - (ends - counts), counts) + np.arange(ends[-1])]
+        ids = self.flat[np.repeat(self.starts[codes] - (ends - counts), counts) + np.arange(ends[-1])]
         sizes = [t.count(" ") + t.count("\n") + 1 for t in texts]
         upto = np.concatenate([[0], ends])
-        return ids, upto[2 * np.concatenate([[0], np.cumsum(sizes)])]
-
-
-_ENCODERS: dict[int, WordIds] = {}
+        return ids, upto[np.concatenate([[0], np.cumsum(sizes)])]
 
 
 def _encoder(tokenizer: Broadcast) -> WordIds:
-    """One for each Python worker, so that known parts serve all its tasks."""
-    text = tokenizer.value
-    key = zlib.crc32(text.encode())
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = WordIds(text)
-    return _ENCODERS[key]
+    """One for the tasks of a stage in a Python worker, so that known parts serve all of them."""
+    return kept_in_worker("word_ids", lambda: WordIds(tokenizer.value))
 
 
 def _text_groups(texts: list[str]):
@@ -246,7 +225,7 @@ def _pack_group(frame: pd.DataFrame, capacity: int, turn: int, last: bool) -> pd
     if not last:
         given = filled < (capacity * WELL_FILLED if certified else capacity)
     return frame.assign(
-        sequence_id=(turn << 56) + (int(frame["pack"].iloc[0]) << 24) + bins,
+        sequence_id=(turn << 48) + (int(frame["pack"].iloc[0]) << 24) + bins,
         offset=offsets,
         certified=certified,
         given=given[bins],
@@ -282,24 +261,28 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     size, n = (lengths[c].to_numpy() for c in ("length", "n"))
     needed, count, used = lower_bound(size, capacity, n), int(n.sum()), 0
     parts, rest = [whole], pieces.where(F.col("length") < capacity).select(*columns, "deal")
-    for turn in range(ROUNDS):
+    before, open_before, placed = None, 0, [*columns, "sequence_id", "offset", "certified"]
+    for turn in count_from(0):
         groups = max(1, -(-count // group_pieces))
-        last = groups == 1 or turn == ROUNDS - 1
         packed = written(
             rest.withColumn("pack", F.pmod(F.xxhash64("deal", F.lit(turn)), F.lit(groups)))
             .groupBy("pack")
-            .applyInPandas(_packer(capacity, turn, last), _PACKED),
+            .applyInPandas(_packer(capacity, turn, groups == 1), _PACKED),
             "packed",
         )
         found = packed.groupBy("given").agg(F.count("*").alias("n"), F.count_distinct("sequence_id").alias("bins"))
         found = {r.given: (r.n, r.bins) for r in found.collect()}
         count, open_bins = found.get(True, (0, 0))
-        used += found.get(False, (0, 0))[1]
+        closed = found.get(False, (0, 0))[1]
+        if before is not None and closed + open_bins >= open_before:
+            parts.append(before.where("given").select(*placed))  # dealing anew has gained nothing: as it was
+            break
+        used += closed
         done = not count or used + open_bins == needed
-        parts.append((packed if done else packed.where("NOT given")).select(*columns, "sequence_id", "offset", "certified"))
+        parts.append((packed if done else packed.where("NOT given")).select(*placed))
         if done:
             break
-        rest = packed.where("given").select(*columns, "deal")
+        before, open_before, rest = packed, open_bins, packed.where("given").select(*columns, "deal")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

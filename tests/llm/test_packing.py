@@ -65,13 +65,26 @@ def test_ids_by_parts_are_those_of_the_text(text):
     assert ids[bounds[1] :].tolist() == ids_of("a " + text + "\n\nb")[:-1]
 
 
+def test_all_letters_with_each_stop():
+    """Letters that fall apart into marks take the stop behind them into one token."""
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()]
+    for stop in ".,!?":
+        texts = [c + stop for c in letters] + [f"a{c}{stop}" for c in letters]
+        expected = [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+        encoder = _encoder()
+        for at in range(0, len(texts), 50_000):
+            ids, bounds = encoder.encode(texts[at : at + 50_000])
+            got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            assert got == expected[at : at + 50_000]
+
+
 _KEPT = []
 
 
 def _encoder():
     if not _KEPT:
         with open(FILE, encoding="utf-8") as f:
-            _KEPT.append(WordIds(f.read(), most=50))
+            _KEPT.append(WordIds(f.read(), most=9000))
     return _KEPT[0]
 
 
@@ -103,6 +116,16 @@ def test_groups_exchange_what_does_not_fit(spark):
     assert needed <= used <= needed * 1.015
 
 
+def test_dealing_goes_on_while_it_gains(spark):
+    """More rounds than one worker could foresee, and never more sequences than the first round gave."""
+    random.seed(7)
+    rows = [(i, 0, 0, random.randint(34, 66), i, random.getrandbits(31)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, deal long")
+    got = pack_pieces(df, capacity=100, group_pieces=25).collect()
+    assert sorted((r.doc_id, r.length) for r in got) == [(r[0], r[3]) for r in rows]
+    assert check_sequences(got, 100) <= len(rows) * 0.62
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n "), (4, "a"), (4, "a"), (None, "b c"), (5, "word " * 9000), (6, "x" * 30_000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, length int")

@@ -50,7 +50,7 @@ def test_line_dedup_equals_sql(steps):
 
 def test_near_dedup_keeps_one_of_each_group(steps):
     before = texts(steps[2][1])
-    assert texts(steps[3][1]) == {d: before[d] for d, (_, c) in near(list(before.items())).items() if d == c}
+    assert texts(steps[3][1]) == {d: before[d] for d, (_, c) in near(list(before.items()), percent=corpus_pipeline.NEAR_PERCENT).items() if d == c}
 
 
 def test_near_dedup_links_from_80_hundredths(spark, steps):
