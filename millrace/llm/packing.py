@@ -30,7 +30,7 @@ END_ID = 1
 #: Pieces that one task packs at a time.
 GROUP_PIECES = 32_768
 #: Known parts of a worker are forgotten beyond this size; each counts as its length, its ids and a fixed part.
-KNOWN_BYTES, PART_BYTES = 112 << 20, 170
+KNOWN_BYTES, PART_BYTES = 160 << 20, 170
 #: A certified group gives sequences back that are filled less than this.
 WELL_FILLED = 0.95
 
