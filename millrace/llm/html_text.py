@@ -4,16 +4,22 @@ The parser's events are cut into blocks of text. Each block remembers how much t
 tags it has, the content element (article or main) it stands in, and whether an element around it
 is furniture: menus, headers, footers, sidebars, notices, adverts, forms, comments. Furniture and
 markup are left out. Names (class, id, role) make no furniture of an element that holds an article or
-main; only with a whole name such as ``comments`` it goes with its articles, if the page has others. In a page with content elements, these are the regions; otherwise the
-text-to-tag ratio of the blocks, smoothed by a Gaussian, is split in two clusters. From the first to
-the last block of the upper one whose own ratio is high, all is content, and so are the other blocks
-of the innermost container around these, however short, and the headings right before it. Only lists
-and parts of the container that are links for the most part stay out.
+main; only with a whole name such as ``comments`` it goes with its articles, if the page has others. A
+form, noscript or template that holds an article or main is no furniture either, nor is a form around
+most of the page's text.
+
+The text-to-tag ratio of the blocks, smoothed by a Gaussian, is split in two clusters. What stands outside
+of content elements is the main text if its upper cluster has more text than four times these elements.
+A content element stays whole, but for those of links only. Outside, all is content from the first to
+the last block of the upper cluster whose own ratio is high, and so are the other blocks of the innermost
+container around these, however short, and the headings right before it. Only lists and parts of the
+container that are links for the most part stay out. A list under a heading that counts comments goes.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -30,9 +36,11 @@ BLOCKS = frozenset(
 )
 #: Elements whose text is never content.
 FURNITURE = frozenset(
-    """aside button datalist dialog footer form head iframe input label menu nav noscript object option script
-    select style svg template textarea title canvas audio video""".split()
+    """aside button datalist dialog footer head iframe input label menu nav object option script
+    select style svg textarea title canvas audio video""".split()
 )
+#: Elements that are furniture unless they hold content.
+WRAPPERS = frozenset(("form", "noscript", "template"))
 CONTENT = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,16 +64,27 @@ GROUPS = frozenset("ul ol dl table thead tbody tfoot tr blockquote figure hgroup
 _PLACES = BLOCKS | frozenset(("body", "td", "th"))
 _WORD = re.compile(r"[a-z]+")
 _WIDTH = 2  # of the Gaussian, in blocks
+#: A character in a content element counts as so many outside.
+CONTENT_WEIGHT = 4
+#: Headings and paragraphs that a form around the page has at least.
+PAGE_LINES = 3
+LISTS = frozenset(("ul", "ol", "dl"))
+#: Headings of reader comments, if a list follows.
+_COMMENTS = re.compile(
+    r"""\(?(\d[\d.,]*|no)\)?\s+(comments?|responses?|replies|reactions?)(\s+(to|on)\s+["'“‘«„].*)?:?|(reader\s+)?comments?(\s*\(\d+\))?:?""",
+    re.IGNORECASE,
+)
 
 
 class _Named:
-    """An element that its names make furniture of, unless it turns out to hold content."""
+    """An element that its names or its tag make furniture of, unless it turns out to hold content."""
 
-    __slots__ = ("around", "strong", "article", "main")
+    __slots__ = ("around", "strong", "article", "main", "form", "lines")
 
-    def __init__(self, around: _Named | None, strong: bool):
-        self.around, self.strong = around, strong
+    def __init__(self, around: _Named | None, strong: bool, form: bool = False):
+        self.around, self.strong, self.form = around, strong, form
         self.article = self.main = False
+        self.lines = 0  # headings and paragraphs in a form
 
 
 class _Blocks(HTMLParser):
@@ -84,6 +103,12 @@ class _Blocks(HTMLParser):
         self.places: list[tuple[str, int]] = [("body", 0)]  # tag, place around
         self.tags = self.regions = 0
         self.skip, self.region, self.named, self.place, self.link = False, 0, None, 0, False
+        self.counts: Counter[str] = Counter()  # of open elements
+        self.forms: list[_Named] = []
+
+    def parse_html_declaration(self, i):
+        # All of these end with the next ">" in HTML; the parser's own rules raise on most marked sections.
+        return self.rawdata.find(">", i) + 1 or len(self.rawdata)
 
     def _end_block(self) -> None:
         if self.text:
@@ -124,10 +149,21 @@ class _Blocks(HTMLParser):
 
     def texts(self) -> list[tuple[str, int, int, int, bool]]:
         """(text, tags, region, place, whether it is links for the most part) of the blocks, without furniture."""
-        found = self._alive(False)
-        return found if any(b[2] for b in found) else self._alive(True)
-
-    def _alive(self, strong: bool) -> list[tuple[str, int, int, int, bool]]:
+        wrapper = self._page_form()
+        found = self._alive(False, wrapper)
+        return found if any(b[2] for b in found) else self._alive(True, wrapper)
+
+    def _page_form(self) -> _Named | None:
+        """The form around more than half of the page's text that is not in other furniture or links."""
+        for form in self.forms:
+            if form.lines >= PAGE_LINES:
+                rest = sum(len(b[0]) for b in self._alive(False, None) if not b[4])
+                every = sum(len(b[0]) for b in self._alive(False, form) if not b[4])
+                if every > 2 * rest:
+                    return form
+        return None
+
+    def _alive(self, strong: bool, wrapper: _Named | None) -> list[tuple[str, int, int, int, bool]]:
         furniture: dict[_Named | None, bool] = {None: False}
 
         def goes(named: _Named | None) -> bool:
@@ -137,7 +173,7 @@ class _Blocks(HTMLParser):
                 named = named.around
             out = furniture[named]
             for one in reversed(way):
-                out = out or not (one.main or one.article and (strong or not one.strong))
+                out = out or one is not wrapper and not (one.main or one.article and (strong or not one.strong))
                 furniture[one] = out
             return out
 
@@ -164,6 +200,12 @@ class _Blocks(HTMLParser):
         skip = self.skip or self._is_furniture(tag, attrs)
         if not skip:
             self.named = self._names(tag, attrs)
+            if tag in WRAPPERS:
+                self.named = _Named(self.named, False, tag == "form")
+                if tag == "form":
+                    self.forms.append(self.named)
+            elif self.forms and self.counts["form"] and (tag == "p" or tag in HEADINGS):
+                self.forms[-1].lines += 1
         if tag in CONTENT and not skip:
             self._hold(tag)
             if not self.region:
@@ -174,6 +216,7 @@ class _Blocks(HTMLParser):
             self.place = len(self.places) - 1
         self.link = self.link or tag == "a"
         self.open.append((tag, skip, self.region, self.named, self.place, self.link))
+        self.counts[tag] += 1
         self.skip = skip
 
     def _hold(self, tag: str) -> None:
@@ -196,22 +239,19 @@ class _Blocks(HTMLParser):
         return self.open[-1][0] == tag if self.open else False
 
     def _close(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                self._back()
-                return
+        if not self.counts[tag]:
+            return
+        while True:
+            last = self.open.pop()[0]
+            self.counts[last] -= 1
+            if last == tag:
+                break
+        self._back()
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._end_block()
-        if not self.open:
-            return
-        if self.open[-1][0] == tag:
-            self.open.pop()
-            self._back()
-        else:
-            self._close(tag)
+        self._close(tag)
 
     def handle_data(self, data):
         if not self.skip:
@@ -237,14 +277,19 @@ def _upper_cluster(ratios: np.ndarray) -> np.ndarray:
     return both if both.any() else upper
 
 
-def _region(blocks: list[tuple[str, int, int, int, bool]], places: list[tuple[str, int]]) -> list:
-    """The blocks of the main text of a page without content elements."""
-    upper = np.flatnonzero(_upper_cluster(np.array([len(b[0]) / max(1, b[1]) for b in blocks])))
-    first, last = int(upper[0]), int(upper[-1])
-    ends = list(range(len(places)))  # last place within each
+def _last_within(places: list[tuple[str, int]]) -> list[int]:
+    """The last place within each."""
+    ends = list(range(len(places)))
     for k in range(len(places) - 1, 0, -1):
         around = places[k][1]
         ends[around] = max(ends[around], ends[k])
+    return ends
+
+
+def _region(blocks: list, high: np.ndarray, places: list[tuple[str, int]], ends: list[int]) -> list:
+    """The blocks of the main text outside of content elements; ``high`` are those of high ratio."""
+    upper = np.flatnonzero(high)
+    first, last = int(upper[0]), int(upper[-1])
     held = [blocks[k][3] for k in upper]
     inner = held[0]
     while inner and (places[inner][0] in LINES | GROUPS or not inner <= min(held) <= max(held) <= ends[inner]):
@@ -263,6 +308,27 @@ def _region(blocks: list[tuple[str, int, int, int, bool]], places: list[tuple[st
     return out
 
 
+def _without_comments(blocks: list, places: list[tuple[str, int]], ends: list[int]) -> list:
+    """Leaves out headings that count comments, with the lists right behind them."""
+    out, k = [], 0
+    while k < len(blocks):
+        tag, around = places[blocks[k][3]]
+        upto = k + 1
+        if tag in HEADINGS and _COMMENTS.fullmatch(blocks[k][0]):
+            while upto < len(blocks):
+                # The list that is a child of the heading's container.
+                place = blocks[upto][3]
+                while place and places[place][1] != around:
+                    place = places[place][1]
+                if not place or places[place][0] not in LISTS or blocks[upto][3] > ends[around]:
+                    break
+                upto += 1
+        if upto == k + 1:
+            out.append(blocks[k])
+        k = upto
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the page's main text, in order, one a line; empty if there is none."""
     if not html:
@@ -271,11 +337,21 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser._end_block()
-    blocks = parser.texts()
-    in_region = [b for b in blocks if b[2]]
-    if not in_region and blocks:
-        in_region = _region(blocks, parser.places)
-    return "\n".join(b[0] for b in in_region)
+    ends = _last_within(parser.places)
+    blocks = _without_comments(parser.texts(), parser.places, ends)
+    if not blocks:
+        return ""
+    high = _upper_cluster(np.array([len(b[0]) / max(1, b[1]) for b in blocks]))
+    inside = sum(len(b[0]) for b in blocks if b[2] and not b[4])
+    outside = sum(len(b[0]) for b, h in zip(blocks, high, strict=True) if h and not b[2] and not b[4])
+    if any(b[2] for b in blocks) and CONTENT_WEIGHT * inside >= outside:
+        read = {b[2] for b in blocks if b[2] and not b[4]}
+        chosen = [b for b in blocks if b[2] and (b[2] in read or not read)]
+    else:
+        out = [k for k, b in enumerate(blocks) if not b[2]]
+        blocks, high = [blocks[k] for k in out], high[out]
+        chosen = _region(blocks, high if high.any() else np.ones(len(blocks), bool), parser.places, ends)
+    return "\n".join(b[0] for b in chosen)
 
 
 def _batch(batch: pa.RecordBatch) -> pa.RecordBatch:

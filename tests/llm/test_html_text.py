@@ -2,6 +2,11 @@
 
 import html as entities
 import re
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from millrace.llm.html_text import extract_text, main_text
 
@@ -78,6 +83,60 @@ def test_region_in_the_body_itself():
     assert got[0] == "Title" and got[-1] == "Source" and len(got) == 10
 
 
+MARKUP = ["<![", "<![foo[ x ]]>", "<![CDATA[x]]>", "<!", "<!--", "-->", "<!doctype", "<?", "</", "<p", "<a href='", "&#", "&#x", "&", "<", ">", "]]>", "]", "--", "x", " ", "=", "'", '"', "/", "<script>", "</script>", "<form>", "</form>", "<article>", "</article>", "<template>", "\x00"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(MARKUP) | st.text(max_size=3), max_size=25).map("".join))
+def test_no_markup_breaks_the_parser(html):
+    main_text(html)
+    assert main_text(f"<article><p>{'Stays. ' * 40}</p></article>{html}").startswith("Stays")
+
+
+@pytest.mark.parametrize("odd", ["<![foo[ x ]]>", "<![[", "<![a]", "<![endif]-->", "<!ELEMENT x>", "<![CDATA[y]]>"])
+def test_marked_sections_are_comments(odd):
+    assert main_text(f"<article><p>One</p>{odd}<p>Two</p></article>").split("\n")[0] == "One"
+
+
+def test_wrappers_by_tag():
+    long = "".join(f"<p>{'long words of a paragraph ' * 12}{i}</p>" for i in range(4))
+    for tag in ("form", "noscript", "template"):
+        page = f"<body><{tag} id=aspnet><div>Menu</div><article><h1>Title</h1><p>Text</p><form><p>Mail</p></form></article></{tag}></body>"
+        assert main_text(page) == "Title\nText"
+        assert main_text(f"<article><p>Text</p><{tag}><p>Not this</p></{tag}></article>") == "Text"
+    got = main_text(f"<body><form action=x><div><h1>Title</h1>{long}<label>Mail</label></div></form></body>").split("\n")
+    assert got[0] == "Title" and len(got) == 5
+    assert main_text(f"<div>{long}</div><form><p>Write</p><p>to</p><p>us</p></form>").count("\n") == 3
+
+
+def test_ratio_chooses_between_content_elements_and_the_rest():
+    long = "".join(f"<p>{'long words of a paragraph ' * 12}{i}</p>" for i in range(6))
+    card = "<article><h3><a href=x>Another story</a></h3><p>Teaser <a href=y>more</a></p></article>"
+    got = main_text(f"<body><div><h1>Title</h1>{long}<p>End.</p></div><div>{card}{card}</div></body>").split("\n")
+    assert got[0] == "Title" and got[-1] == "End." and len(got) == 8
+    links = "<article><a href=x>Another story</a></article>"
+    got = main_text(f"<article><h1>Title</h1>{long}</article><div>{links}{links}</div><p>Imprint of the page</p>").split("\n")
+    assert got[0] == "Title" and len(got) == 7
+    short = f"<div>{'A notice that nobody named as one. ' * 3}</div><article><p>A short piece of forty letters or so.</p></article>"
+    assert main_text(short) == "A short piece of forty letters or so."
+
+
+def test_comments_without_a_telling_name():
+    items = "<ol><li>Nice.<ul><li>Indeed</ul><li><p>First!</p></ol>"
+    for heading in ("3 Responses", "12 comments", "Comments (2)", "3 Responses to “Title”", "Comments"):
+        assert main_text(f"<article><p>Text</p><div><h3>{heading}</h3>{items}</div><p>Note</p></article>") == "Text\nNote"
+        assert main_text(f"<article><p>Text</p><h3>{heading}</h3>{items}</article>") == "Text"
+    for heading in ("Three responses to heat", "Comments on the method", "10 reactions in acids"):
+        assert main_text(f"<article><h3>{heading}</h3><ul><li>One</ul></article>") == f"{heading}\nOne"
+    assert main_text("<article><h3>Comments</h3><p>As follows.</p></article>") == "Comments\nAs follows."
+
+
+def test_stray_end_tags_take_linear_time():
+    page = "<article><p>x</p>" + "<b>" * 50_000 + "</i>" * 50_000 + "</article>"
+    begin = time.perf_counter()
+    assert main_text(page) == "x" and time.perf_counter() - begin < 5
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in extract_text(pages).collect()}
