@@ -1,6 +1,7 @@
 """Reading tables, files, topics and small local data."""
 
 from millrace.sources.files import (
+    checked_files,
     damaged_files,
     enforce_schema,
     load_csv_folder,
@@ -23,6 +24,7 @@ from millrace.sources.tables import (
 
 __all__ = [
     "append_table",
+    "checked_files",
     "create_namespace",
     "damaged_files",
     "enforce_schema",

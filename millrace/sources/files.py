@@ -3,36 +3,103 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.layout import spread
+from millrace.session import path_exists, ship_package
 
+REGISTER = "path string, length long, modified long, n_rows long"
+#: A sound file without rows is hardly more than its footer; larger files that give no row are damaged.
+EMPTY_BYTES = 64 << 20
 
-#: More damaged files than this are taken for a failing store, not for damage.
-MOST_DAMAGED = 1000
 
+def _places(root: str, prefix: str) -> tuple[str, str]:
+    """The folder to look into, and the register of its dataset; readers of ``root`` skip names with an underscore."""
+    root, prefix = root.rstrip("/"), prefix.strip("/")
+    return f"{root}/{prefix}", f"{root}/_footers/{prefix.split('/')[0]}"
 
-def damaged_files(spark: SparkSession, root: str, prefix: str) -> DataFrame:
-    """(path) of the files below a dataset whose footer cannot be read.
 
-    One distributed pass over the footers. A file that holds no rows has
-    nothing to lose and is not told from a damaged one.
-    """
-    place = f"{root.rstrip('/')}/{prefix.strip('/')}"
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = listed.option("pathGlobFilter", "*.parquet").load(place).select(F.col("_metadata.file_path").alias("path"))
+def _files(spark: SparkSession, place: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", "*.parquet").load(place)
+
+
+def _no_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The paths of the files that are sound and have no rows."""
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        sound = []
+        for path, content in zip(batch.column(0), batch.column(1), strict=True):
+            try:
+                if pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows == 0:
+                    sound.append(path.as_py())
+            except (pa.ArrowInvalid, OSError):
+                pass
+        yield pa.RecordBatch.from_arrays([pa.array(sound, pa.string())], ["path"])
+
+
+def _examined(spark: SparkSession, place: str, fresh: DataFrame, since: int) -> DataFrame:
+    """``fresh`` files (changed at ``since`` or later) with their ``n_rows``; null for damaged ones."""
     # Without data columns only footers are read, and those that fail give no row.
-    sound = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
-    sound = sound.option("pathGlobFilter", "*.parquet").parquet(place).select(F.col("_metadata.file_path").alias("path"))
-    return listed.join(sound.distinct(), "path", "left_anti")
+    reader = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
+    rows = reader.option("pathGlobFilter", "*.parquet").parquet(place)
+    rows = rows.where(F.unix_micros("_metadata.file_modification_time") >= since)
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_rows"))
+    counted = fresh.join(counts, "path", "left")
+    unclear = [r.path for r in counted.where(F.col("n_rows").isNull() & (F.col("length") <= EMPTY_BYTES)).select("path").collect()]
+    if not unclear:
+        return counted
+    ship_package(spark)
+    content = _files(spark, place).where(F.col("_metadata.file_path").isin(unclear))
+    empty = content.select(F.col("_metadata.file_path").alias("path"), "content").mapInArrow(_no_rows, "path string")
+    counted = counted.join(empty.withColumn("none", F.lit(0).cast("long")), "path", "left")
+    return counted.select("path", "length", "modified", F.coalesce("n_rows", "none").alias("n_rows"))
+
+
+def checked_files(spark: SparkSession, root: str, prefix: str, register: bool = True) -> DataFrame:
+    """(path, length, modified, n_rows) of the Parquet files of a dataset; n_rows is null where a footer is damaged.
+
+    Verdicts are kept in a register beside the dataset, so that a footer is read once for each path, length
+    and time of change. Without ``register`` nothing is written there, and all footers are read. Only
+    the paths of files that give no row come to the driver.
+    """
+    place, kept = _places(root, prefix)
+    meta = {"path": "file_path", "length": "file_size", "modified": "file_modification_time"}
+    listed = _files(spark, place).select(*[F.col(f"_metadata.{x}").alias(n) for n, x in meta.items()])
+    listed = listed.withColumn("modified", F.unix_micros("modified"))
+    known = spark.createDataFrame([], REGISTER)
+    if register and path_exists(spark, kept):
+        known = spark.read.schema(REGISTER).parquet(kept).dropDuplicates(["path", "length", "modified"])
+    fresh = listed.join(known, ["path", "length", "modified"], "left_anti")
+    since = fresh.agg(F.min("modified")).first()[0]
+    if since is not None:
+        verdicts = _examined(spark, place, fresh, since).select("path", "length", "modified", "n_rows")
+        if register:
+            verdicts.coalesce(1).write.mode("append").parquet(kept)
+            known = spark.read.schema(REGISTER).parquet(kept).dropDuplicates(["path", "length", "modified"])
+        else:
+            known = verdicts
+    return listed.join(known, ["path", "length", "modified"])
+
+
+def damaged_files(spark: SparkSession, root: str, prefix: str, register: bool = True) -> DataFrame:
+    """(path) of the files below a dataset whose footer cannot be read; see ``checked_files``."""
+    return checked_files(spark, root, prefix, register).where("n_rows IS NULL").select("path")
 
 
 def scan_partitioned(
-    spark: SparkSession, root: str, prefix: str, schema: T.StructType | None = None, damaged: str = "skip"
+    spark: SparkSession,
+    root: str,
+    prefix: str,
+    schema: T.StructType | None = None,
+    damaged: str = "skip",
+    register: bool = True,
 ) -> DataFrame:
     """Scan a ``date=.../device_id=...`` Parquet folder without the files that ``damaged_files`` names.
 
@@ -41,18 +108,19 @@ def scan_partitioned(
     Pass the schema of the files to save inference and to keep device ids text
     whatever they look like. Filters on the partition columns prune folders.
     ``damaged`` is "skip", "fail" (raise if there are any) or "trust" (do not
-    look). A read error in a sound file always raises: no rows go missing.
+    look). A read error in a sound file always raises: no rows go missing. Files
+    without rows are sound. Verdicts are kept beside the dataset if ``register``.
     """
     if damaged not in ("skip", "fail", "trust"):
         raise ValueError(f"unknown choice {damaged!r}")
     dataset, root = prefix.strip("/").split("/")[0], root.rstrip("/")
     skipped = []
     if damaged != "trust":
-        skipped = [r.path for r in damaged_files(spark, root, prefix).limit(MOST_DAMAGED + 1).collect()]
-        if skipped and (damaged == "fail" or len(skipped) > MOST_DAMAGED):
+        skipped = [r.path for r in damaged_files(spark, root, prefix, register).collect()]
+        if skipped and damaged == "fail":
             raise ValueError(f"damaged files below {root}/{prefix}, such as {skipped[0]}")
     reader = spark.read.option("basePath", f"{root}/{dataset}")
-    if schema is None and skipped:  
+    if schema is None and skipped:
         one = spark.read.option("ignoreCorruptFiles", "true").option("basePath", f"{root}/{dataset}")
         schema = one.parquet(f"{root}/{prefix.strip('/')}").schema
     if schema is not None:

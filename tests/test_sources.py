@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from millrace import sources
 from millrace.operators import require_rows
 from millrace.schemas import EVENTS, EVENTS_RAW, TELEMETRY
+from millrace.sources import files
 from tests.helpers import rows
 
 
@@ -37,6 +38,50 @@ def test_partitioned_scan_keeps_keys_and_skips_corrupt_files(spark, lake):
         sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY, damaged="fail")
 
 
+def test_files_without_rows_are_sound(spark, lake):
+    folder = str(lake / "telemetry" / "date=2024-01-01" / "device_id=d2")
+    empty = spark.createDataFrame([], "timestamp string, energy_usage double").coalesce(1)
+    for _ in range(3):
+        empty.write.mode("append").parquet(folder)
+    assert sources.damaged_files(spark, str(lake), "telemetry").count() == 0
+    assert sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY, damaged="fail").count() == 3
+    found = {r.n_rows for r in sources.checked_files(spark, str(lake), "telemetry", register=False).collect()}
+    assert found == {0, 1}
+
+
+def test_footers_are_read_once(spark, lake, monkeypatch):
+    opened = []
+    examined = files._examined
+
+    def watched(spark, place, fresh, since):
+        out = examined(spark, place, fresh, since)
+        opened.append(sorted(r.path.rsplit("/", 1)[1] for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(files, "_examined", watched)
+    assert sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY).count() == 3
+    assert sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY).count() == 3
+    assert [len(o) for o in opened] == [3]  # nothing is opened the second time
+    folder = lake / "telemetry" / "date=2024-01-02" / "device_id=d2"
+    (folder / "later.parquet").write_text("no table")
+    assert sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY).count() == 3
+    assert [r.path.rsplit("/", 1)[1] for r in sources.damaged_files(spark, str(lake), "telemetry").collect()] == ["later.parquet"]
+    assert opened[1:] == [["later.parquet"]]
+    # A file that is mended has another length and time, and is looked at again.
+    spark.createDataFrame([("2024-01-02T12:00:00", 4.0)], "timestamp string, energy_usage double").coalesce(1).write.parquet(str(lake / "new"))
+    (part,) = (lake / "new").glob("*.parquet")
+    (folder / "later.parquet").write_bytes(part.read_bytes())
+    assert sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY).count() == 4
+    assert opened[2:] == [["later.parquet"]] and not (lake / "telemetry" / "_footers").exists()
+
+
+def test_many_damaged_files(spark, lake):
+    folder = lake / "telemetry" / "date=2024-01-01" / "device_id=d2"
+    for i in range(1005):
+        (folder / f"bad{i}.parquet").write_text("no table")
+    assert sources.scan_partitioned(spark, str(lake), "telemetry", TELEMETRY).count() == 3
+
+
 def test_damage_within_a_file_raises(spark, tmp_path):
     spark.range(200_000).selectExpr("id", "'d' AS device_id", "date'2024-01-01' AS date").coalesce(1).write.partitionBy(
         "date", "device_id"

@@ -415,12 +415,14 @@ def path_roundtrip(spark, sf_dir):
 
 
 def _stored_telemetry(spark, sf_dir):
-    """Telemetry in partition folders, one of which also has a file that is no Parquet."""
+    """Telemetry in partition folders, one of which also has a file that is no Parquet and one without rows."""
     root = scratch_dir(spark, "bronze")
     telemetry = view(spark, sf_dir, "telemetry").withColumn("date", F.to_date(F.to_timestamp_ntz("timestamp")))
     write_partitioned(telemetry, root, "telemetry")
     some = telemetry.select("date", "device_id").sort("date", "device_id").first()
-    put_text(spark, f"{root}/telemetry/date={some.date}/device_id={some.device_id}/damaged.parquet", "no table")
+    folder = f"{root}/telemetry/date={some.date}/device_id={some.device_id}"
+    telemetry.drop("date", "device_id").limit(0).coalesce(1).write.mode("append").parquet(folder)
+    put_text(spark, f"{folder}/damaged.parquet", "no table")
     return root, telemetry.schema
 
 
@@ -434,7 +436,7 @@ def scan_partitioned_query(spark, sf_dir):
 def scan_damaged(spark, sf_dir):
     """The damaged file is named, beside how many rows the others hold."""
     root, schema = _stored_telemetry(spark, sf_dir)
-    rows = scan_partitioned(spark, root, "telemetry", schema).agg(F.count("*").alias("n_rows"))
+    rows = scan_partitioned(spark, root, "telemetry", schema).agg(F.count("*").alias("n_rows"))  # fills the register
     name = F.element_at(F.split("path", "/"), -1)
     return damaged_files(spark, root, "telemetry").select(name.alias("file"), rows.scalar().alias("n_rows"))
 
