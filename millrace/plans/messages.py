@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from millrace.schemas import EVENTS_RAW, EVENTS_TOPIC, TELEMETRY, TELEMETRY_TOPIC
 
-_TEXTS = T.ArrayType(T.StringType())
 _WHOLE = (T.IntegerType, T.LongType)
 # Fields that hold a time as text; it is stored as it came, but has to be readable.
 _TIMES = {"timestamp", "event_timestamp"}
@@ -23,14 +22,20 @@ class Routed(NamedTuple):
 
 
 def parse_records(messages: DataFrame) -> DataFrame:
-    """One row per record of the JSON payloads, as text in ``record``; null where there is none to read.
+    """One row per record of the JSON payloads, as a variant in ``record``; null where there is none to read.
 
     A payload is an object or an array of objects; an empty array counts as an object without fields.
+    Each payload is parsed once. One that names a field twice, or is larger than a variant can be, is unreadable.
     """
-    listed = F.startswith(F.ltrim("value"), F.lit("["))
-    texts = F.when(listed, F.from_json("value", _TEXTS)).otherwise(F.array("value"))
-    some = F.when(F.size(texts) == 0, F.array(F.lit("{}"))).otherwise(texts)
-    return messages.withColumn("record", F.explode_outer(some))
+    read = messages.withColumn("_payload", F.explode_outer(F.array(F.try_parse_json("value"))))
+    listed = F.try_variant_get("_payload", "$", "array<variant>")
+    some = F.when(F.size(listed) == 0, F.array(F.parse_json(F.lit("{}")))).otherwise(listed)
+    records = F.when(listed.isNotNull(), some).otherwise(F.array("_payload"))
+    return read.withColumn("record", F.explode_outer(records)).drop("_payload")
+
+
+def _text(name: str) -> Column:
+    return F.try_variant_get("record", f"$.{name}", "string")
 
 
 def _typed(field: T.StructField) -> tuple[Column, Column]:
@@ -38,7 +43,7 @@ def _typed(field: T.StructField) -> tuple[Column, Column]:
 
     Whole numbers may be written with a fraction of zero, and numbers in quotes.
     """
-    text = F.col("_every")[field.name]
+    text = _text(field.name)
     if isinstance(field.dataType, T.StringType):
         bad = text.isNotNull() & text.try_cast("timestamp_ntz").isNull() if field.name in _TIMES else F.lit(False)
         return text, bad
@@ -51,26 +56,24 @@ def _typed(field: T.StructField) -> tuple[Column, Column]:
 
 
 def read_records(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Adds the fields of ``schema``, ``extra`` (all other fields, as text), and ``reason`` where a record is bad.
+    """Adds the fields of ``schema``, ``extra`` (all other fields, nested and typed), and ``reason`` where a record is bad.
 
     Reasons: bad_json (no object), missing_device_id (also an empty one), and
     bad_value with the names of the fields whose text does not fit.
     """
-    every = T.MapType(T.StringType(), T.StringType())
-    # As a generated column, so that the filter on the reason does not parse the text again for every field.
-    read = records.withColumn("_every", F.explode(F.array(F.from_json("record", every))))
+    every = F.try_variant_get("record", "$", "map<string,variant>")
     typed = {f.name: _typed(f) for f in schema.fields}
     bad = F.array_compact(F.array(*[F.when(unfit, name) for name, (_, unfit) in typed.items()]))
     reason = (
-        F.when(F.col("_every").isNull() | ~F.startswith(F.ltrim("record"), F.lit("{")), "bad_json")
-        .when(F.coalesce(F.trim(F.col("_every")["device_id"]), F.lit("")) == "", "missing_device_id")
+        F.when(every.isNull(), "bad_json")
+        .when(F.coalesce(F.trim(_text("device_id")), F.lit("")) == "", "missing_device_id")
         .when(F.size(bad) > 0, F.concat(F.lit("bad_value: "), F.array_join(bad, ", ")))
     )
     names = F.array(*[F.lit(f.name) for f in schema.fields])
-    return read.select(
+    return records.select(
         *records.columns,
         *[value.alias(name) for name, (value, _) in typed.items()],
-        F.map_filter("_every", lambda k, _: ~F.array_contains(names, k)).alias("extra"),
+        F.map_filter(every, lambda k, _: ~F.array_contains(names, k)).alias("extra"),
         reason.alias("reason"),
     )
 
@@ -80,7 +83,7 @@ def route_messages(envelopes: DataFrame, ingest_date: Column | None = None) -> R
 
     Every record of a payload becomes a row under its own device, with the date
     of processing in ``date`` and fields beyond the declared ones in the map
-    ``extra``. What cannot be stored goes to ``rejects`` with a ``reason``: those
+    ``extra`` of variants. What cannot be stored goes to ``rejects`` with a ``reason``: those
     of ``read_records``, one row per record, or unknown_topic. So the records
     stored and rejected are all there are. Stateless, for batches and streams.
     """
@@ -97,7 +100,8 @@ def route_messages(envelopes: DataFrame, ingest_date: Column | None = None) -> R
     others = parse_records(envelopes.filter(~F.coalesce(F.col("topic").isin(*known), F.lit(False))))
     others = read_records(others, T.StructType([TELEMETRY["device_id"]]))
     others = others.withColumn("reason", F.coalesce("reason", F.lit("unknown_topic")))
-    columns = ["topic", "key", F.coalesce("record", "value").alias("value"), "reason"]
+    listed = F.startswith(F.ltrim("value"), F.lit("[")) & F.col("record").isNotNull()
+    columns = ["topic", "key", F.when(listed, F.to_json("record")).otherwise(F.col("value")).alias("value"), "reason"]
     rejects = others.select(*columns)
     for rows in read.values():
         rejects = rejects.unionByName(rows.filter(F.col("reason").isNotNull()).select(*columns))

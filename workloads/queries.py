@@ -475,7 +475,7 @@ def _envelopes(spark, sf_dir):
 
 
 def _with_firmware(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("firmware", F.col("extra")["firmware"]).drop("extra", "date")
+    return rows.withColumn("firmware", F.try_variant_get(F.col("extra")["firmware"], "$", "string")).drop("extra", "date")
 
 
 EVENT_FIELDS = ["device_id", "event_timestamp", "event_type", "severity", "component", "duration_min"]
