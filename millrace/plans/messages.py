@@ -34,16 +34,12 @@ def parse_records(messages: DataFrame) -> DataFrame:
     return read.withColumn("record", F.explode_outer(records)).drop("_payload")
 
 
-def _text(name: str) -> Column:
-    return F.try_variant_get("record", f"$.{name}", "string")
-
-
 def _typed(field: T.StructField) -> tuple[Column, Column]:
     """The value of a field read as text, and whether text is there that does not fit.
 
     Whole numbers may be written with a fraction of zero, and numbers in quotes.
     """
-    text = _text(field.name)
+    text = F.col("_read.texts")[field.name]
     if isinstance(field.dataType, T.StringType):
         bad = text.isNotNull() & text.try_cast("timestamp_ntz").isNull() if field.name in _TIMES else F.lit(False)
         return text, bad
@@ -61,19 +57,32 @@ def read_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     Reasons: bad_json (no object), missing_device_id (also an empty one), and
     bad_value with the names of the fields whose text does not fit.
     """
+    texts = ", ".join(f"{f.name}: string" for f in schema.fields)
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
     every = F.try_variant_get("record", "$", "map<string,variant>")
+    # As a generated column, so that no field is looked up again for the conditions on it.
+    read = records.withColumn(
+        "_read",
+        F.explode(
+            F.array(
+                F.struct(
+                    F.try_variant_get("record", "$", f"struct<{texts}>").alias("texts"),
+                    F.map_filter(every, lambda k, _: ~F.array_contains(names, k)).alias("extra"),
+                )
+            )
+        ),
+    )
     typed = {f.name: _typed(f) for f in schema.fields}
     bad = F.array_compact(F.array(*[F.when(unfit, name) for name, (_, unfit) in typed.items()]))
     reason = (
-        F.when(every.isNull(), "bad_json")
-        .when(F.coalesce(F.trim(_text("device_id")), F.lit("")) == "", "missing_device_id")
+        F.when(F.col("_read.texts").isNull(), "bad_json")
+        .when(F.coalesce(F.trim("_read.texts.device_id"), F.lit("")) == "", "missing_device_id")
         .when(F.size(bad) > 0, F.concat(F.lit("bad_value: "), F.array_join(bad, ", ")))
     )
-    names = F.array(*[F.lit(f.name) for f in schema.fields])
-    return records.select(
+    return read.select(
         *records.columns,
         *[value.alias(name) for name, (value, _) in typed.items()],
-        F.map_filter(every, lambda k, _: ~F.array_contains(names, k)).alias("extra"),
+        F.col("_read.extra").alias("extra"),
         reason.alias("reason"),
     )
 
