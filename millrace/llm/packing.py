@@ -110,9 +110,9 @@ class WordIds:
         return ids, upto[np.concatenate([[0], np.cumsum(sizes)])]
 
 
-def _encoder(tokenizer: Broadcast) -> WordIds:
+def _encoder(tokenizer: Broadcast, known_bytes: int) -> WordIds:
     """One for the tasks of a stage in a Python worker, so that known parts serve all of them."""
-    return kept_in_worker("word_ids", lambda: WordIds(tokenizer.value))
+    return kept_in_worker("word_ids", lambda: WordIds(tokenizer.value, known_bytes))
 
 
 def _text_groups(texts: list[str]):
@@ -127,8 +127,10 @@ def _text_groups(texts: list[str]):
         yield first, len(texts)
 
 
-def _piece_batch(batch: pa.RecordBatch, tokenizer: Broadcast, capacity: int, end_id: int, keep_ids: bool) -> pa.RecordBatch:
-    encoder = _encoder(tokenizer)
+def _piece_batch(
+    batch: pa.RecordBatch, tokenizer: Broadcast, capacity: int, end_id: int, keep_ids: bool, known_bytes: int
+) -> pa.RecordBatch:
+    encoder = _encoder(tokenizer, known_bytes)
     doc, piece, start, length, crc, kept, deal = [], [], [], [], [], [], []
     texts = [t or "" for t in batch.column(1).to_pylist()]
     for first, last in _text_groups(texts):
@@ -155,17 +157,25 @@ def _piece_batch(batch: pa.RecordBatch, tokenizer: Broadcast, capacity: int, end
 
 
 def token_pieces(
-    documents: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False
+    documents: DataFrame,
+    tokenizer_file: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    keep_ids: bool = False,
+    known_bytes: int = KNOWN_BYTES,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of each document, with their ids if asked for.
 
     ``documents`` has doc_id and text. A null text is empty and has only the end id. ``deal`` is a
-    number that spreads pieces evenly, also those of repeated rows.
+    number that spreads pieces evenly, also those of repeated rows. ``known_bytes`` bounds what a Python
+    worker remembers of the tokens of words.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
         tokenizer = documents.sparkSession.sparkContext.broadcast(f.read())
     fields = f"{PIECES}, deal long" + ", ids array<int>" * keep_ids
-    job = partial(_piece_batch, tokenizer=tokenizer, capacity=capacity, end_id=end_id, keep_ids=keep_ids)
+    job = partial(
+        _piece_batch, tokenizer=tokenizer, capacity=capacity, end_id=end_id, keep_ids=keep_ids, known_bytes=known_bytes
+    )
     return map_batches(pick(documents, doc_id="long", text="string"), job, fields)
 
 
@@ -290,7 +300,11 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
 
 
 def pack_documents(
-    documents: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = END_ID
+    documents: DataFrame,
+    tokenizer_file: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    known_bytes: int = KNOWN_BYTES,
 ) -> DataFrame:
     """Tokenized and packed documents, one row per piece.
 
@@ -299,4 +313,5 @@ def pack_documents(
     end id alone. Repeated rows are packed as often as they occur; a null doc_id stays null. Other
     columns are left out. An empty table gives an empty result.
     """
-    return pack_pieces(written(token_pieces(documents, tokenizer_file, capacity, end_id), "pieces"), capacity)
+    pieces = token_pieces(documents, tokenizer_file, capacity, end_id, known_bytes=known_bytes)
+    return pack_pieces(written(pieces, "pieces"), capacity)

@@ -1,16 +1,15 @@
 """DuckDB twins of the queries that SQL can express."""
 
-OP4_LINE_DEDUP = """
+OP4_LINE_DEDUP = r"""
 WITH numbered AS (
-  SELECT doc_id, line_no, line, trim(line) <> '' AS full_line,
-         sum(CASE WHEN trim(line) <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS seq
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-               unnest(range(len(string_split(text, chr(10))))) AS line_no
-        FROM documents)),
+  SELECT *, words > 0 AS full_line,
+         sum(CASE WHEN words > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS seq
+  FROM (SELECT *, len(regexp_extract_all(line, '[^\s\x0B\x1C-\x1F\x{85}\pZ]+')) AS words
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                     unnest(range(len(string_split(text, chr(10))))) AS line_no
+              FROM documents))),
 counted AS (
-  SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS words,
-         sum(length(line) - length(replace(line, ' ', '')) + 1) OVER (PARTITION BY doc_id ORDER BY seq) AS upto
-  FROM numbered WHERE full_line),
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY seq) AS upto FROM numbered WHERE full_line),
 spans AS (
   SELECT a.doc_id, a.seq AS first, min(b.seq) AS last FROM counted a JOIN counted b
     ON a.doc_id = b.doc_id AND a.seq <= b.seq AND b.upto - a.upto + a.words >= 50 GROUP BY a.doc_id, a.seq

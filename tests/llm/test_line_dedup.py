@@ -2,6 +2,9 @@
 
 import random
 
+import duckdb
+
+from millrace.llm import sql
 from millrace.llm.line_dedup import dedup_lines, repeated_runs
 
 FIELDS = "doc_id long, text string"
@@ -9,7 +12,7 @@ FIELDS = "doc_id long, text string"
 
 def brute_force(docs, min_words):
     """{doc_id: text that stays}: every run with a copy at an earlier place goes, if it has enough words."""
-    lines = {d: [(i, x) for i, x in enumerate((t or "").split("\n")) if x.strip(" ")] for d, t in docs}
+    lines = {d: [(i, x) for i, x in enumerate((t or "").split("\n")) if x.split()] for d, t in docs}
     places = [(d, k) for d in sorted(lines) for k in range(len(lines[d]))]
     gone = {d: set() for d in lines}
     for n, (d, k) in enumerate(places):
@@ -19,7 +22,7 @@ def brute_force(docs, min_words):
             while k + size < len(lines[d]) and j + size < len(lines[e]) and lines[d][k + size][1] == lines[e][j + size][1]:
                 size += 1
             longest = max(longest, size)
-        if sum(x.count(" ") + 1 for _, x in lines[d][k : k + longest]) >= min_words:
+        if sum(len(x.split()) for _, x in lines[d][k : k + longest]) >= min_words:
             gone[d] |= set(range(k, k + longest))
     out = {}
     for d, text in docs:
@@ -44,7 +47,7 @@ def cleaned(df, min_words):
 def test_random_documents(spark):
     for seed in range(3):
         random.seed(seed)
-        lines = ["", "a", "b b", "c c c", "d d d d", "e e e e e e"]
+        lines = ["", "a", "b  b", "c\tc\u00a0c", "  d d d d", "e e e e e e", "\t", "\u2003"]
         docs = [(d, "\n".join(random.choices(lines, k=random.randint(0, 25)))) for d in range(25)]
         docs += [(d + 100, docs[d][1] + "\nz z\n" + docs[d + 1][1]) for d in range(5)]
         random.shuffle(docs)
@@ -52,6 +55,18 @@ def test_random_documents(spark):
         assert cleaned(spark.createDataFrame(docs, FIELDS), min_words) == brute_force(docs, min_words)
 
 
+def test_sql_counts_the_same_words(spark):
+    random.seed(8)
+    lines = ["", "\t \u00a0", "a\u2003b " * 9, "c\tc  c\x1fc " * 7, "  " + "d\u00a0e " * 12, "f\x85g\x0bh " * 6]
+    docs = [(d, "\n".join(random.choices(lines, k=random.randint(1, 14)))) for d in range(40)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    expected = {d: (removed, size) for d, _, removed, size, _ in con.execute(sql.OP4_LINE_DEDUP).fetchall()}
+    got = {r.row.doc_id: (r.n_removed, len(r.cleaned)) for r in dedup_lines(spark.createDataFrame(docs, FIELDS)).collect()}
+    assert got == expected and any(removed for removed, _ in got.values())
+
+
 def test_runs_are_maximal_and_may_overlap_their_original(spark):
     docs = [(1, "x y\n" * 6 + "end"), (2, "q\nx y\nx y\nx y\nw")]
     got = {(r.doc_id, r.first_line, r.last_line) for r in repeated_runs(spark.createDataFrame(docs, FIELDS), 4).collect()}
