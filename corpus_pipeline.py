@@ -20,6 +20,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 NEAR_PERCENT = 80
 #: 46 bands of 6: two documents at similarity 0.80 share no band in one of a million cases.
 NEAR_BANDS, NEAR_ROWS = 46, 6
+#: Less than packing takes alone: executors still hold what earlier stages needed.
+KNOWN_BYTES = 112 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their place in the training sequences."""
-    return pack_documents(docs, tokenizer_file())
+    return pack_documents(docs, tokenizer_file(), known_bytes=KNOWN_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -65,7 +67,12 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the documents table; each result is written before the next stage reads it."""
+    """The stages over the documents table; each result is written before the next stage reads it.
+
+    Null and empty texts stay until a stage rejects them, and an empty table gives an empty result. Rows of
+    equal doc_id are one document to the near copies: all of them stay or go. Rows without doc_id always
+    stay there. Columns beyond those of documents are kept up to the last stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
