@@ -5,15 +5,18 @@ staged rows (with those already in the target, when appending), and only then
 does the target change. A failed audit leaves the target as it was and keeps
 the staging table for inspection.
 
-What is about to be released is written down first, as a property of the
-namespace, and struck out at the end. If a run is broken off in between,
-``recover`` (which every later publish into the namespace calls) finishes it:
-all audits had passed by then.
+What is about to be released is written down first, in a note of its own in the
+namespace's folder, and struck out at the end. The note is a lease: it names
+its owner and when it expires. If a run is broken off in between, ``recover``
+(which every later publish into the namespace calls) finishes it, as all audits
+had passed by then; but it lets a run alone that another driver may still be
+executing.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -22,7 +25,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.quality import Audit, AuditError, failed_checks, null_audit
-from millrace.session import move_files
+from millrace.session import create_text, move_files, put_text, read_texts, remove_path
 from millrace.sources.tables import append_table, create_namespace, layer_name, replace_table
 
 DEFAULT_AUDITS: tuple[Audit, ...] = (null_audit,)
@@ -52,43 +55,52 @@ def _check(staged: DataFrame, table: str, run_id: str, mode: str, audits: Sequen
         raise AuditError(table, staging_name(table, run_id), failures)
 
 
-JOURNAL = "millrace.releases"
+#: Seconds after which a release whose driver has not finished it may be taken over by another one.
+LEASE = 6 * 3600
+#: This driver, and the releases that it is executing just now.
+_OWNER, _RUNNING = uuid.uuid4().hex, set()
 
 
 def _namespace_of(table: str) -> str:
     return table.rpartition(".")[0] or "default"
 
 
-def _journal(spark: SparkSession, namespace: str) -> dict[str, list]:
-    """Releases under way in a namespace: run id -> [[table, mode, format, partition columns], ...]."""
-    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {namespace}").filter("info_name = 'Properties'").collect()
-    entry = rows[0].info_value if rows else ""
-    at = entry.find(f"({JOURNAL},")
-    if at < 0:
-        return {}
-    text = entry[at + len(JOURNAL) + 2 :]
-    return json.loads(bytes.fromhex(text.split(")")[0].strip()) or b"{}")
+def _notes(spark: SparkSession, namespace: str) -> str:
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {namespace}").filter("info_name = 'Location'").collect()
+    return f"{rows[0].info_value.rstrip('/')}/_releases"
 
 
-def _note(spark: SparkSession, namespace: str, run_id: str, steps: list | None) -> None:
-    """Write a release down before it begins, or strike it out (``steps`` None) when it is done."""
-    journal = _journal(spark, namespace)
-    journal.pop(run_id, None)
-    if steps:
-        journal[run_id] = steps
-    # As hexadecimal digits: catalogs print properties without quoting them.
-    text = json.dumps(journal).encode().hex()
-    spark.sql(f"ALTER DATABASE {namespace} SET DBPROPERTIES ('{JOURNAL}' = '{text}')")
+def _journal(spark: SparkSession, namespace: str) -> dict[str, dict]:
+    """Releases under way in a namespace: run id -> steps ([table, mode, format, partition columns]), owner, expiry."""
+    return {name: json.loads(text) for name, text in read_texts(spark, _notes(spark, namespace)).items() if text and name[0] != "."}
+
+
+def _lease(steps: list) -> str:
+    return json.dumps({"steps": steps, "owner": _OWNER, "expires": time.time() + LEASE})
+
+
+def _take_over(spark: SparkSession, namespace: str, run_id: str, note: dict) -> bool:
+    """Make a release that was broken off our own; not one that may still be running, or that another driver takes."""
+    if run_id in _RUNNING or note["owner"] != _OWNER and note["expires"] > time.time():
+        return False
+    claim = f"{_notes(spark, namespace)}/.{run_id}-{note['owner']}-{int(note['expires'])}"
+    if note["owner"] != _OWNER and not create_text(spark, claim, _OWNER):
+        return False
+    put_text(spark, f"{_notes(spark, namespace)}/{run_id}", _lease(note["steps"]))
+    remove_path(spark, claim)
+    return True
 
 
 def recover(spark: SparkSession, namespace: str) -> list[str]:
-    """Finish releases that were broken off; returns the tables that had been left."""
+    """Finish releases that were broken off; returns the tables that had been left.
+
+    Those of this driver count as broken off when it is not executing them, those of others when their
+    lease has expired.
+    """
     finished = []
-    for run_id, steps in _journal(spark, namespace).items():
-        for table, mode, fmt, partition_by in steps:
-            if _release(spark, table, run_id, mode, fmt, partition_by):
-                finished.append(table)
-        _note(spark, namespace, run_id, None)
+    for run_id, note in _journal(spark, namespace).items():
+        if _take_over(spark, namespace, run_id, note):
+            finished += _finish(spark, namespace, run_id, note["steps"])
     return finished
 
 
@@ -96,20 +108,43 @@ def _location(spark: SparkSession, table: str) -> str:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first().data_type
 
 
-def _same_files(spark: SparkSession, staging: str, table: str, fmt: str) -> bool:
-    """Whether files of one table can be files of the other: plain Parquet with the same columns."""
-    if fmt != "parquet" or table.count(".") >= 2:
-        return False
-    fields = [{(f.name, f.dataType) for f in spark.table(t).schema} for t in (staging, table)]
-    return fields[0] == fields[1] and not any(c.isPartition for c in spark.catalog.listColumns(table))
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _as_in(spark: SparkSession, staging: str, table: str, run_id: str) -> str:
+    """A table with the staged rows whose files can be files of ``table``: the staging table or a copy of it.
+
+    The copy has the columns, types and partitions of the target, and takes the place of the staging table.
+    """
+    fitted = f"{table}__fit_{run_id}"
+    if spark.catalog.tableExists(staging):
+        fields = [{(f.name, f.dataType) for f in spark.table(t).schema} for t in (staging, table)]
+        if fields[0] == fields[1] and _partitions(spark, staging) == _partitions(spark, table):
+            return staging
+        columns = [spark.table(staging)[f.name].cast(f.dataType).alias(f.name) for f in spark.table(table).schema]
+        replace_table(spark.table(staging).select(*columns), fitted, "parquet", _partitions(spark, table))
+        spark.sql(f"DROP TABLE {staging}")
+    return fitted
+
+
+def _move_rows(spark: SparkSession, source: str, table: str) -> None:
+    """Make the files of one table files of another one; a repeat moves those that are left."""
+    move_files(spark, _location(spark, source), _location(spark, table))
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Partition Provider'").collect()
+    if described and described[0].data_type == "Catalog" and _partitions(spark, table):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    spark.sql(f"DROP TABLE {source}")
 
 
 def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str, partition_by: Sequence[str]) -> bool:
     """Make the staged rows visible in the target and remove the staging table.
 
     Replacing a table, or publishing it for the first time, renames the staging
-    table, and an append to a Parquet table of equal columns moves its files; so
-    neither writes the rows again. Partitioned tables are written:
+    table, and an append to a Parquet table moves its files, so neither writes
+    rows of equal columns again, and a file is in the target once, however often
+    the move is taken up. Partitioned tables are written when they are replaced:
     catalogs differ in whether a rename takes the partitions along. Every step
     leaves what the next one needs, so the release can be taken up again; it
     does nothing, and says so, when it was finished before.
@@ -119,13 +154,11 @@ def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str,
     if spark.catalog.tableExists(done):  # all rows are in the target
         spark.sql(f"DROP TABLE {done}")
         return True
-    if not spark.catalog.tableExists(staging):
+    if not spark.catalog.tableExists(staging) and not spark.catalog.tableExists(f"{table}__fit_{run_id}"):
         spark.sql(f"DROP TABLE IF EXISTS {old}")
         return False
-    if exists and mode == "append" and not partition_by and _same_files(spark, staging, table, fmt):
-        move_files(spark, _location(spark, staging), _location(spark, table))
-        spark.catalog.refreshTable(table)
-        spark.sql(f"DROP TABLE {staging}")
+    if exists and mode == "append" and fmt == "parquet" and table.count(".") < 2:
+        _move_rows(spark, _as_in(spark, staging, table, run_id), table)
         return True
     if partition_by or (exists and mode == "append"):
         rows = spark.table(staging)
@@ -143,11 +176,21 @@ def _release(spark: SparkSession, table: str, run_id: str, mode: str, fmt: str,
     return True
 
 
+def _finish(spark: SparkSession, namespace: str, run_id: str, steps: list) -> list[str]:
+    """Release all tables of a run, then strike out its note; returns those that were not released before."""
+    _RUNNING.add(run_id)
+    try:
+        released = [table for table, mode, fmt, keys in steps if _release(spark, table, run_id, mode, fmt, keys)]
+    finally:
+        _RUNNING.discard(run_id)
+    remove_path(spark, f"{_notes(spark, namespace)}/{run_id}")
+    return released
+
+
 def _release_all(spark: SparkSession, namespace: str, run_id: str, steps: list) -> None:
-    _note(spark, namespace, run_id, steps)
-    for table, mode, fmt, partition_by in steps:
-        _release(spark, table, run_id, mode, fmt, partition_by)
-    _note(spark, namespace, run_id, None)
+    if not create_text(spark, f"{_notes(spark, namespace)}/{run_id}", _lease(steps)):
+        raise RuntimeError(f"run {run_id} is being released already")
+    _finish(spark, namespace, run_id, steps)
 
 
 def publish(
@@ -164,10 +207,10 @@ def publish(
 
     ``mode`` is "append" or "overwrite". With ``scope="table"`` the audits see
     the whole table as it would become, with ``scope="batch"`` only the new
-    rows. Raises ``AuditError`` when an audit fails. An append that cannot move
-    files is one job of the format's writer; if it is broken off after its
-    commit and before the journal is struck out, ``recover`` appends the rows
-    again.
+    rows. Raises ``AuditError`` when an audit fails. Rows are appended to Parquet
+    tables exactly once, whatever breaks off. An append in another format is one
+    job of its writer; if it is broken off after its commit and before the note
+    is struck out, ``recover`` appends the rows again.
     """
     if mode not in ("append", "overwrite") or scope not in ("table", "batch"):
         raise ValueError(f"unknown mode {mode!r} or scope {scope!r}")

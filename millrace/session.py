@@ -56,15 +56,48 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def move_files(spark: SparkSession, source: str, target: str) -> None:
-    """Move the data files of one folder into another; what has moved before is not missed."""
+    """Move the data files of one folder, and of the partition folders in it, into another; what has moved before is not missed."""
     files, place = _file_system(spark, source)
-    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    to = paths(target)
+    files.mkdirs(to)
     for status in files.listStatus(place):
         name = status.getPath().getName()
-        if name[0] not in "_." and not files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(to, name)):
+        if name[0] in "_.":
+            continue
+        if status.isDirectory():
+            move_files(spark, status.getPath().toString(), f"{to.toString()}/{name}")
+        elif not files.rename(status.getPath(), paths(to, name)):
             raise OSError(f"cannot move {name} to {target}")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless there is one; says whether it was written."""
+    files, place = _file_system(spark, path)
+    try:
+        out = files.create(place, False)
+    except Exception as e:
+        if files.exists(place):
+            return False
+        raise e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The small text files of a folder by name; none if there is no such folder."""
+    files, place = _file_system(spark, folder)
+    if not files.exists(place):
+        return {}
+    out = {}
+    for status in files.listStatus(place):
+        stream = files.open(status.getPath())
+        out[status.getPath().getName()] = bytes(stream.readAllBytes()).decode()
+        stream.close()
+    return out
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file, such as a note or a journal, to any store."""
     files, place = _file_system(spark, path)

@@ -1,4 +1,5 @@
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -130,6 +131,59 @@ def test_a_release_broken_off_is_finished_by_the_next_run(spark, namespace, monk
     assert rows(spark.table(f"{namespace}.doubled"), "id") == {(4,): 1}
 
 
+@pytest.mark.parametrize("keys", [[], ["v"]])
+@pytest.mark.parametrize("change", ["id", "cast(id AS int) AS id"])
+def test_an_append_broken_off_after_its_files_are_there_adds_no_row(spark, namespace, monkeypatch, keys, change):
+    table = f"{namespace}.facts"
+    publish(frame(spark, 1, 2), table, partition_by=keys)
+    usual = type(spark).sql
+
+    def breaks(self, text, *args, **kwargs):
+        if "DROP TABLE" in text and ("__stg_r9" in text or "__fit_r9" in text):
+            raise RuntimeError("lost")
+        return usual(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", breaks)
+    for _ in range(2):  # the second one breaks off in recover
+        with pytest.raises(RuntimeError, match="lost"):
+            publish(frame(spark, 3).selectExpr(change, "v"), table, partition_by=keys, run_id="r9")
+    monkeypatch.setattr(type(spark), "sql", usual)
+    recover(spark, namespace)
+    assert rows(spark.table(table), "id", "v") == {(k, k): 1 for k in (1, 2, 3)}
+    assert spark.table(table).schema["id"].dataType == frame(spark, 1).schema["id"].dataType
+    assert names(spark, namespace) == {"facts"} and recover(spark, namespace) == []
+
+
+def test_a_run_of_another_driver_is_left_alone_until_its_lease_expires(spark, namespace, monkeypatch):
+    table, usual = f"{namespace}.facts", module.move_files
+    publish(frame(spark, 1), table)
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "move_files", lost)
+    monkeypatch.setattr(module, "_OWNER", "another driver")
+    with pytest.raises(RuntimeError, match="lost"):
+        publish(frame(spark, 2), table, run_id="r1")
+    monkeypatch.undo()
+    assert recover(spark, namespace) == [] and rows(spark.table(table), "id") == {(1,): 1}
+    publish(frame(spark, 3), table)
+    assert rows(spark.table(table), "id") == {(1,): 1, (3,): 1}
+    monkeypatch.setattr(module.time, "time", lambda: 4e9)
+    assert recover(spark, namespace) == [table] and recover(spark, namespace) == []
+    assert rows(spark.table(table), "id") == {(1,): 1, (2,): 1, (3,): 1}
+    assert usual is module.move_files and names(spark, namespace) == {"facts"}
+
+
+def test_two_publishers_at_once(spark, namespace):
+    table = f"{namespace}.facts"
+    publish(frame(spark, 0), table)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: publish(frame(spark, k), table), range(1, 9)))
+    assert rows(spark.table(table), "id") == {(k,): 1 for k in range(9)}
+    assert names(spark, namespace) == {"facts"} and module._journal(spark, namespace) == {}
+
+
 def test_an_append_moves_files_and_can_be_broken_off(spark, namespace, monkeypatch):
     table = f"{namespace}.facts"
     publish(frame(spark, 1, 2), table)
