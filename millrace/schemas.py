@@ -54,15 +54,6 @@ ANOMALIES = struct_of(
     confirmed_by=_STRING,
 )
 
-ROLLUP = struct_of(
-    device_id=_STRING,
-    hour_bucket=_TIME,
-    total_anomalies=_LONG,
-    unconfirmed_count=_LONG,
-    high_severity_count=_LONG,
-    anomaly_types=T.ArrayType(_STRING),
-)
-
 # One broker message: the payload is JSON text, an object or an array of them.
 ENVELOPE = struct_of(topic=_STRING, key=_STRING, value=_STRING)
 

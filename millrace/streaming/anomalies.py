@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.anomalies import NARROW, anomaly_rules, confirm_arrivals, describe, last_arrivals
@@ -17,13 +18,20 @@ Deliver = Callable[[DataFrame, int], None]
 
 
 def start_confirmation(
-    rules: DataFrame, deliver: Deliver, checkpoint: str, interval: str | None = None, hot_rows: int = 1_000_000
+    rules: DataFrame,
+    deliver: Deliver,
+    checkpoint: str,
+    interval: str | None = None,
+    hot_rows: int = 1_000_000,
+    snapshot_every: int = 20,
 ) -> StreamingQuery:
     """Confirm a stream of ``anomaly_rules`` rows in the order they arrive.
 
     Each micro-batch is confirmed by built-in windows over its rows and the
-    stored history: the last 20 anomalies of every device, a table below
-    ``checkpoint``. History is kept per micro-batch, so a repeated one finds
+    stored history of its devices: their last 20 anomalies, kept below
+    ``checkpoint`` as a change log. A micro-batch stores those of the devices it
+    has rows of, and every ``snapshot_every`` micro-batches those of all devices;
+    see ``history_before``. All is kept per micro-batch, so a repeated one finds
     what it found before. ``deliver`` gets the rows with ``is_confirmed`` and the
     id of the micro-batch, which may come twice after a failure. The order is
     that of micro-batches, then of message_id and entry, so where the input is
@@ -32,21 +40,66 @@ def start_confirmation(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark, tails = batch.sparkSession, f"{checkpoint}/history"
+        spark, log = batch.sparkSession, f"{checkpoint}/history"
         fresh = batch.select(*NARROW).withColumn("_fresh", F.lit(True)).persist()
-        rows = fresh
+        rows, others, base = fresh, None, batch_id
         if batch_id:
-            before = spark.read.schema(batch.select(*NARROW).schema).parquet(f"{tails}/{batch_id - 1}")
-            rows = fresh.unionByName(before.withColumn("_fresh", F.lit(False)))
+            base = last_snapshot(spark, log, batch_id)
+            before = history_before(spark, log, base, batch_id, fresh.drop("_fresh").schema)
+            devices = fresh.select(F.col("device_id").alias("_device")).distinct()
+            same = F.col("device_id").eqNullSafe(F.col("_device"))
+            own = before.join(devices, same, "left_semi").withColumn("_fresh", F.lit(False))
+            rows, others = fresh.unionByName(own), before.join(devices, same, "left_anti")
         deliver(confirm_arrivals(rows, hot_rows=hot_rows).filter("_fresh").drop("_fresh"), batch_id)
-        last_arrivals(rows).write.mode("overwrite").parquet(f"{tails}/{batch_id}")
+        tails = last_arrivals(rows)
+        if batch_id and batch_id - base < snapshot_every:
+            place = f"{log}/{batch_id}{CHANGED}"
+        else:
+            place, tails = f"{log}/{batch_id}", tails if others is None else tails.unionByName(others)
+        tails.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(place)
         fresh.unpersist()
-        remove_path(spark, f"{tails}/{batch_id - 2}")
+        if batch_id and base == batch_id - 1:  # the snapshot is in use: what went before it is not needed any more
+            forget_history(spark, log, base)
 
     writer = rules.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return trigger(writer, interval).start()
 
 
+CHANGED = "-changed"
+
+
+def last_snapshot(spark: SparkSession, log: str, batch_id: int) -> int:
+    """The last micro-batch before ``batch_id`` that stored the history of all devices."""
+    for earlier in range(batch_id - 1, -1, -1):
+        if path_exists(spark, f"{log}/{earlier}/_SUCCESS"):
+            return earlier
+        if not path_exists(spark, f"{log}/{earlier}{CHANGED}/_SUCCESS"):
+            break
+    raise FileNotFoundError(f"no history before micro-batch {batch_id} in {log}")
+
+
+def history_before(spark: SparkSession, log: str, base: int, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The last anomalies of each device before ``batch_id``: the snapshot ``base``, overruled by later changes.
+
+    A device stands with all of its rows in every folder that has it, so the
+    rows of its newest folder are its history.
+    """
+    folders = [f"{log}/{base}", *[f"{log}/{i}{CHANGED}" for i in range(base + 1, batch_id)]]
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(*folders)
+    newest = F.max("batch_id").over(Window.partitionBy("device_id"))
+    return stored.withColumn("_newest", newest).filter("batch_id <=> _newest").drop("batch_id", "_newest")
+
+
+def forget_history(spark: SparkSession, log: str, base: int) -> None:
+    """Remove what was stored before the snapshot ``base``."""
+    for earlier in range(base - 1, -1, -1):
+        folders = [f for f in (f"{log}/{earlier}", f"{log}/{earlier}{CHANGED}") if path_exists(spark, f)]
+        if not folders:
+            break
+        for folder in folders:
+            remove_path(spark, folder)
+
+
 def to_files(path: str) -> Deliver:
     """Deliver each micro-batch into a folder of its own below ``path``, once.
 

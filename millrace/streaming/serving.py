@@ -1,10 +1,12 @@
 """The keyed anomaly table and the hourly rollup, fed by streams.
 
-Both are kept as versions: every micro-batch appends its rows with its
-``batch_id``, and readers take the latest row per key. A micro-batch repeated
-after a failure appends equal rows, which readers merge, and no earlier data is
-rewritten while the stream runs. ``compact_days`` and ``compact_rollup`` fold the
-versions of closed days together.
+Both only ever grow while the stream runs. The keyed table is kept as versions:
+every micro-batch appends its rows with its ``batch_id``, and readers take the
+latest row per key. The rollup is kept as changes: every micro-batch appends, for
+each device and hour, what it adds, less what the rows took that it replaces, and
+readers sum. A micro-batch repeated after a failure appends equal rows, which
+readers count once. ``compact_days`` and ``compact_rollup`` fold closed days
+together.
 """
 
 from __future__ import annotations
@@ -12,28 +14,43 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.times import epoch_seconds
 from millrace.operators.keyed import latest_per_key
 from millrace.operators.layout import spread
 from millrace.plans.serving import HIGH_VALUES, KEY, anomaly_rollup
-from millrace.schemas import ROLLUP
-from millrace.session import remove_path, scratch_dir
+from millrace.schemas import struct_of
+from millrace.session import path_exists, remove_path, scratch_dir
 from millrace.streaming.sinks import trigger
 
 ROLLUP_KEY = ["device_id", "hour_bucket"]
 ARRIVAL = ("message_id", "entry")
+# Hours since 1970, kept beside the rows of the keyed table: a plain number, which Parquet can skip by.
+HOUR = T.StructField("hour_number", T.LongType())
+COUNTS = ["n", "unconfirmed", "high"]
+# What one micro-batch changes in an hour of a device. A folded row stands for all micro-batches up to its own.
+CHANGES = struct_of(
+    device_id=T.StringType(),
+    hour_bucket=T.TimestampNTZType(),
+    folded=T.BooleanType(),
+    parts=T.ArrayType(struct_of(anomaly_type=T.StringType(), **{n: T.LongType() for n in COUNTS})),
+)
 
 
 def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str]) -> None:
-    versioned = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    _append(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, sort)
+
+
+def _append(rows: DataFrame, path: str, sort: Sequence[str], mode: str = "append") -> None:
     (
-        spread(versioned, ["day"])
+        spread(rows, ["day"])
         .sortWithinPartitions("day", *sort)
-        .write.mode("append")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )
@@ -55,36 +72,87 @@ def start_upsert(
 ) -> StreamingQuery:
     """Load anomalies into the keyed table at ``path``, by day, sorted by time and severity.
 
-    With ``rollup_path`` the hourly rollup follows: the hours that a micro-batch
-    touches, however old, are counted anew from the keyed table and appended as
-    a version of theirs. So late rows count, and equal keys count once. Rows
-    without a readable time have a null day, and each device a null hour for them.
+    With ``rollup_path`` the hourly rollup follows, at a cost that goes with the
+    new rows: a micro-batch counts its own keys and takes off what the rows
+    counted that these keys had before, however old they are. So late rows count,
+    and equal keys count once. Rows without a readable time have a null day, and
+    each device a null hour for them.
+
+    The changes are appended before the rows. Where the rows of a micro-batch are
+    found, its changes are complete and are not worked out again, so a repeat is
+    right also after its days were folded.
     """
-    schema = anomalies.schema
+    schema, runs = anomalies.schema, []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("day", F.to_date("timestamp")).persist()
-        _write_version(rows, batch_id, path, ["timestamp", "severity"])
+        spark = batch.sparkSession
+        rows = batch.withColumn("day", F.to_date("timestamp")).withColumn(HOUR.name, hour_number()).persist()
         if rollup_path:
-            hours = rows.select("device_id", "day", _hour().alias("hour_bucket")).distinct()
-            days = [r.day for r in hours.select("day").distinct().collect()]  # one a calendar day
-            touched_day = F.col("day").isin([d for d in days if d])
-            if None in days:
-                touched_day = touched_day | F.col("day").isNull()
-            keyed = read_keyed(batch.sparkSession, path, schema).filter(touched_day).withColumn("hour_bucket", _hour())
-            named = hours.select(*[F.col(c).alias(f"touched_{c}") for c in ROLLUP_KEY])
-            same = [F.col(c).eqNullSafe(F.col(f"touched_{c}")) for c in ROLLUP_KEY]
-            touched = keyed.join(named, same, "left_semi")
-            rollup = anomaly_rollup(touched, high_values).withColumn("day", F.to_date("hour_bucket"))
-            _write_version(rollup, batch_id, rollup_path, ROLLUP_KEY)
+            fresh, removed, done = latest_per_key(rows, KEY, ARRIVAL), None, False
+            if path_exists(spark, path):
+                hours = [r[0] for r in rows.select(HOUR.name).distinct().collect()]  # no more than the calendar has
+                known = stored_hours(spark, path, schema, hours)
+                # Only the first micro-batch of a run can be a repeat.
+                done = not runs and not known.filter(F.col("batch_id") == batch_id).isEmpty()
+                removed = replaced_rows(known.filter(F.col("batch_id") < batch_id), fresh)
+            if not done:
+                changes = rollup_changes(fresh, removed, high_values)
+                _write_version(changes.withColumn("day", F.to_date("hour_bucket")), batch_id, rollup_path, ROLLUP_KEY)
+        _write_version(rows, batch_id, path, ["timestamp", "severity"])
         rows.unpersist()
+        runs[:] = [batch_id]
 
     writer = anomalies.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return trigger(writer, interval).start()
 
 
-def _hour():
-    return F.date_trunc("hour", "timestamp").cast("timestamp_ntz")
+def hour_number():
+    return F.floor(epoch_seconds(F.col("timestamp")) / 3600).cast("bigint")
+
+
+def stored_hours(spark: SparkSession, path: str, schema: T.StructType, hours: Sequence[int | None]) -> DataFrame:
+    """The versions in the keyed table whose time is in one of ``hours`` (numbers; None: no time).
+
+    Folders of other days are not listed, and in the others Parquet skips what
+    holds other hours, as the files are sorted by time.
+    """
+    numbers = sorted(h for h in hours if h is not None)
+    days = sorted({dt.date(1970, 1, 1) + dt.timedelta(hours=h) for h in numbers})
+    day, hour = F.col("day").isin(days), F.col(HOUR.name).isin(numbers)
+    if len(numbers) < len(hours):
+        day, hour = day | F.col("day").isNull(), hour | F.col(HOUR.name).isNull()
+    return _read_versions(spark, path, T.StructType([*schema.fields, HOUR])).filter(day & hour)
+
+
+def replaced_rows(versions: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The rows that the keys of ``fresh`` had in the versions before.
+
+    Other keys go before the versions are merged, so that only versions of
+    these keys are shuffled and sorted.
+    """
+    keys = fresh.select(*[F.col(c).alias(f"fresh_{c}") for c in KEY])
+    same = [F.col(c).eqNullSafe(F.col(f"fresh_{c}")) for c in KEY]
+    return latest_per_key(versions.join(keys, same, "left_semi"), KEY, ["batch_id", *ARRIVAL])
+
+
+def rollup_changes(
+    added: DataFrame, removed: DataFrame | None = None, high_values: Sequence[str] = HIGH_VALUES
+) -> DataFrame:
+    """Per device and hour, the signed counts of each type that has changed."""
+    hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz").alias("hour_bucket")
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        unconfirmed = (~F.col("is_confirmed")).cast("bigint")
+        high = F.col("severity").isin(list(high_values)).cast("bigint")
+        counts = [F.lit(1).cast("bigint"), F.coalesce(unconfirmed, F.lit(0)), F.coalesce(high, F.lit(0))]
+        return rows.select("device_id", hour, "anomaly_type", *[(sign * c).alias(n) for c, n in zip(counts, COUNTS)])
+
+    counts = signed(added, 1) if removed is None else signed(added, 1).unionByName(signed(removed, -1))
+    by_type = counts.groupBy(*ROLLUP_KEY, "anomaly_type").agg(*[F.sum(n).alias(n) for n in COUNTS])
+    changed = by_type.filter(" OR ".join(f"{n} <> 0" for n in COUNTS))
+    return changed.groupBy(*ROLLUP_KEY).agg(
+        F.lit(False).alias("folded"), F.sort_array(F.collect_list(F.struct("anomaly_type", *COUNTS))).alias("parts")
+    )
 
 
 def read_keyed(
@@ -99,32 +167,53 @@ def read_keyed(
     return latest_per_key(versions, ["day", *KEY], ["batch_id", *arrival]).drop("batch_id")
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    versions = _read_versions(spark, path, ROLLUP)
-    return latest_per_key(versions, ["day", *ROLLUP_KEY], ["batch_id"]).drop("day", "batch_id")
+def _folded(changes: DataFrame) -> DataFrame:
+    """The changes of each hour in one row, with the last of their micro-batches.
 
+    Repeated micro-batches count once, and those that a folded row stands for do
+    not count beside it. All steps work on one shuffle by device and hour.
+    """
+    together = changes.repartition(*ROLLUP_KEY).dropDuplicates([*ROLLUP_KEY, "batch_id", "folded"])
+    hour = Window.partitionBy(*ROLLUP_KEY)
+    marked = together.withColumns(
+        {
+            "_mark": F.max(F.when(F.col("folded"), F.col("batch_id"))).over(hour),
+            "last_batch": F.max("batch_id").over(hour),
+        }
+    )
+    live = marked.filter(F.col("folded") | F.col("_mark").isNull() | (F.col("batch_id") > F.col("_mark")))
+    lasts = live.select(*ROLLUP_KEY, "last_batch", F.inline_outer("parts"))
+    by_type = lasts.groupBy(*ROLLUP_KEY, "anomaly_type").agg(
+        F.max("last_batch").alias("last_batch"), *[F.sum(n).alias(n) for n in COUNTS]
+    )
+    return by_type.groupBy(*ROLLUP_KEY).agg(
+        F.max("last_batch").alias("batch_id"),
+        F.sort_array(F.collect_list(F.when(F.col("n") != 0, F.struct("anomaly_type", *COUNTS)))).alias("parts"),
+    )
 
-def _compact(
-    spark: SparkSession, path: str, schema: T.StructType, before, keys: Sequence[str], arrival: Sequence[str], sort
-) -> None:
-    closed = F.col("day") < F.lit(str(before)).cast("date")
-    versions = _read_versions(spark, path, schema).filter(closed)
-    several = versions.groupBy("day").agg(F.count_distinct("batch_id").alias("n")).filter("n > 1")
-    days = [r.day for r in several.collect()]
-    if not days:
-        return
-    newest = latest_per_key(versions.filter(F.col("day").isin(days)), ["day", *keys], ["batch_id", *arrival])
-    folder = scratch_dir(spark, "compact")
-    newest.write.parquet(folder)
-    (
-        spread(spark.read.schema(newest.schema).parquet(folder), ["day"])
-        .sortWithinPartitions("day", *sort)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
-        .parquet(path)
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The hourly rollup: the sums of all changes, with the types that are left."""
+    hours = _folded(_read_versions(spark, path, CHANGES))
+
+    def total(name: str):
+        return F.aggregate("parts", F.lit(0).cast("bigint"), lambda sofar, part: sofar + part[name])
+
+    return hours.filter(F.size("parts") > 0).select(
+        *ROLLUP_KEY,
+        total("n").alias("total_anomalies"),
+        total("unconfirmed").alias("unconfirmed_count"),
+        total("high").alias("high_severity_count"),
+        F.filter(F.transform("parts", lambda part: part["anomaly_type"]), lambda t: t.isNotNull()).alias("anomaly_types"),
     )
-    remove_path(spark, folder)
+
+
+def _replace_days(rows: DataFrame, path: str, sort: Sequence[str]) -> None:
+    """Write the rows to a scratch folder first, so that no file is read and overwritten in one job."""
+    folder = scratch_dir(rows.sparkSession, "compact")
+    rows.write.parquet(folder)
+    _append(rows.sparkSession.read.schema(rows.schema).parquet(folder), path, sort, "overwrite")
+    remove_path(rows.sparkSession, folder)
 
 
 def compact_days(
@@ -132,16 +221,25 @@ def compact_days(
 ) -> None:
     """Fold the versions of each day before ``before`` that has several into one.
 
-    The folded rows go to a scratch folder first and then replace their days,
-    so that no file is read and overwritten in one job. Run it while no stream
-    writes to these days. Days with one version are left alone.
+    Run it while no stream writes to these days. Days with one version are left
+    alone.
     """
-    _compact(spark, path, schema, before, KEY, arrival, ["timestamp", "severity"])
+    closed = F.col("day") < F.lit(str(before)).cast("date")
+    versions = _read_versions(spark, path, T.StructType([*schema.fields, HOUR])).filter(closed)
+    several = versions.groupBy("day").agg(F.count_distinct("batch_id").alias("n")).filter("n > 1")
+    days = [r.day for r in several.collect()]
+    if days:
+        newest = latest_per_key(versions.filter(F.col("day").isin(days)), ["day", *KEY], ["batch_id", *arrival])
+        _replace_days(newest, path, ["timestamp", "severity"])
 
 
 def compact_rollup(spark: SparkSession, path: str, before: dt.date | str) -> None:
-    """The same for the versions of a streamed rollup."""
-    _compact(spark, path, ROLLUP, before, ROLLUP_KEY, (), ROLLUP_KEY)
+    """Sum the changes of each day before ``before`` that has any not summed yet, under the same conditions."""
+    changes = _read_versions(spark, path, CHANGES).filter(F.col("day") < F.lit(str(before)).cast("date"))
+    days = [r.day for r in changes.filter("NOT folded").select("day").distinct().collect()]
+    if days:
+        folded = _folded(changes.filter(F.col("day").isin(days)))
+        _replace_days(folded.withColumns({"folded": F.lit(True), "day": F.to_date("hour_bucket")}), path, ROLLUP_KEY)
 
 
 def refresh_rollup(

@@ -64,6 +64,37 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
     assert confirmations(confirm(spark, [hits(spark, [])], tmp_path)) == expected_confirmations(messages)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 10])
+def test_history_is_a_log_of_changes(spark, tmp_path, parts):
+    """Snapshots between make no difference, nor does a repeat of the micro-batch behind one."""
+    messages = random_messages(11, 120)
+    size = len(messages) // parts
+    batches = [hits(spark, messages[i : i + size]) for i in range(0, len(messages), size)]
+    out = confirm(spark, batches, tmp_path, snapshot_every=3)
+    assert confirmations(out) == expected_confirmations(messages)
+    stored = sorted(f.name for f in (tmp_path / "state" / "history").iterdir() if not f.name.startswith("."))
+    assert stored == {1: ["0"], 3: ["0", "1-changed", "2-changed"], 10: ["6", "7-changed", "8-changed", "9"]}[parts]
+    for folder in (tmp_path / "state" / "commits").iterdir():
+        if folder.name in (str(parts - 1), f".{parts - 1}.crc"):
+            folder.unlink()
+    out = confirm(spark, [hits(spark, [])], tmp_path, snapshot_every=3)
+    assert confirmations(out) == expected_confirmations(messages)
+
+
+def test_a_micro_batch_stores_the_history_of_its_devices_only(spark, tmp_path):
+    many = [(f"d{i}", START + dt.timedelta(seconds=i), i, [1, 2]) for i in range(200)]
+    few = [("d7", START + dt.timedelta(minutes=9), 300, [1]), (None, START, 301, [2])]
+    more = [("d8", START + dt.timedelta(minutes=9), 302, [1, 3])]
+    out = confirm(spark, [hits(spark, m) for m in (many, few, more)], tmp_path)
+    assert confirmations(out) == expected_confirmations(many + few + more)
+    log = f"{tmp_path}/state/history"
+    assert spark.read.parquet(f"{log}/0").count() == 400
+    assert rows(spark.read.parquet(f"{log}/1-changed"), "device_id") == {("d7",): 3, (None,): 1}
+    assert rows(spark.read.parquet(f"{log}/2-changed"), "device_id") == {("d8",): 4}
+    size = {k: sum(f.stat().st_size for f in (tmp_path / "state/history" / k).glob("*.parquet")) for k in ("0", "2-changed")}
+    assert size["2-changed"] * 2 < size["0"]
+
+
 def test_a_time_that_cannot_be_read_stays_unconfirmed(spark, tmp_path):
     data = [(k, "d", "soon" if k % 2 else "2024-01-01T00:00:00", 9.0, 1.0, 1.0, 50) for k in range(8)]
     names = "message_id long, device_id string, timestamp string, energy_usage double, temperature double, vibration double, signal_strength int"
@@ -220,6 +251,64 @@ def test_rollup_stream_keeps_rows_without_time(spark, tmp_path):
     assert got.filter("hour_bucket IS NULL").count() == 3
 
 
+def test_rollup_of_repeats_and_late_rows(spark, tmp_path):
+    """Repeated micro-batches change nothing, before and after the days were folded."""
+    batches = [
+        anomaly_batch(spark, [("a", at(1, k), k, [1]) for k in range(6)] + [("b", None, 20, [1])]),
+        anomaly_batch(spark, [("a", at(1, 0), 30, [2]), ("a", at(1, 1), 31, [2]), ("b", None, 32, [3])], True),
+        anomaly_batch(spark, [("a", at(1, 0), 40, [1]), ("c", at(5, day=3), 41, [4]), ("a", at(2), 42, [2])]),
+    ]
+    everything = batches[0].unionAll(batches[1]).unionAll(batches[2])
+    expected = serving.anomaly_rollup(serving.anomalies_latest(everything), ("HIGH",))
+    flat = [F.array_join(c, ",").alias(c) if c == "anomaly_types" else F.col(c) for c in expected.columns]
+
+    def start():
+        source = spark.readStream.schema(batches[0].schema).parquet(f"{tmp_path}/in")
+        return streaming.start_upsert(
+            source, f"{tmp_path}/keyed", f"{tmp_path}/state", rollup_path=f"{tmp_path}/hours", high_values=("HIGH",)
+        )
+
+    def repeat_last():
+        for name in ("2", ".2.crc"):
+            (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+        wait(start())
+
+    def check():
+        assert rows(streaming.read_rollup(spark, f"{tmp_path}/hours").select(*flat)) == rows(expected.select(*flat))
+
+    feed(spark, batches, f"{tmp_path}/in", start)
+    check()
+    first = streaming.serving.rollup_changes(batches[0], None, ("HIGH",)).withColumn("day", F.to_date("hour_bucket"))
+    streaming.serving._write_version(first, 0, f"{tmp_path}/hours", ["device_id"])  # the first one's changes once more
+    check()
+    repeat_last()
+    check()
+    streaming.compact_days(spark, f"{tmp_path}/keyed", batches[0].schema, before="2025-01-01")
+    streaming.compact_rollup(spark, f"{tmp_path}/hours", before="2025-01-01")
+    check()
+    repeat_last()
+    streaming.serving._write_version(first, 0, f"{tmp_path}/hours", ["device_id"])
+    check()
+
+
+def test_looking_up_replaced_rows_reads_no_whole_day(spark, tmp_path):
+    stored = anomaly_batch(spark, [("d", at(h, m), h * 60 + m, [1]) for h in range(24) for m in range(60)])
+    with_hour = stored.withColumn("day", F.to_date("timestamp")).withColumn("hour_number", streaming.serving.hour_number())
+    streaming.serving._write_version(with_hour, 0, f"{tmp_path}/keyed", ["timestamp"])
+    hour = (at(3) - dt.datetime(1970, 1, 1)) // dt.timedelta(hours=1)
+    known = streaming.serving.stored_hours(spark, f"{tmp_path}/keyed", stored.schema, [hour])
+    assert known.count() == 60
+    fresh = anomaly_batch(spark, [("d", at(3, 5), 9, [2])])
+    plan = streaming.serving.replaced_rows(known, fresh)._jdf.queryExecution().toString()
+    assert f"PushedFilters: [IsNotNull(hour_number), EqualTo(hour_number,{hour})" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan
+    # Other keys go before the versions are sorted.
+    physical = plan[plan.index("== Physical Plan") :]
+    assert physical.index("Window") < physical.index("LeftSemi")
+    parts = streaming.serving.rollup_changes(fresh, streaming.serving.replaced_rows(known, fresh), ("HIGH",)).head().parts
+    assert [(p.anomaly_type, p.n) for p in parts] == [("high_energy_usage", -1), ("high_temperature", 1)]
+
+
 def test_refresh_of_single_days(spark, tmp_path):
     path = f"{tmp_path}/rollup"
     one = anomaly_batch(spark, [("d", at(1), 1, [1]), ("d", at(1, day=2), 2, [1])])
