@@ -15,6 +15,7 @@ from millrace.operators.previous import previous_time
 # Fixed values of the scores and plans.
 VIBRATION_LIMIT = 3.0
 OUTLIER_DEVIATIONS = 2
+OUTLIER_COLUMNS = ("temperature", "energy_usage")
 NEVER_MAINTAINED_DAYS = 999
 INTERVENTIONS = {"P0": ("within_4_hours", 5000), "P1": ("within_3_days", 2000)}
 ROUTINE = ("next_routine_cycle", 500)
@@ -30,15 +31,24 @@ def event_flags(events: DataFrame) -> DataFrame:
     )
 
 
-def silver_events(events: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
-    """Events with their date, kind flags and the days since the device's event before."""
+def silver_events(events: DataFrame, hot_rows: int = 1_000_000, carried: DataFrame | None = None) -> DataFrame:
+    """Events with their date, kind flags and the days since the device's event before.
+
+    ``carried`` has the device_id and event_timestamp of events that are known
+    from before and are not in the result.
+    """
     flags, ties = event_flags(events), ("event_type", "severity")
+    if carried is not None:
+        known = carried.select("device_id", "event_timestamp", F.lit(True).alias("_carried"))
+        flags = flags.withColumn("_carried", F.lit(False)).unionByName(known, allowMissingColumns=True)
     timed = previous_time(flags, "device_id", "event_timestamp", "_previous", ties, hot_rows)
+    if carried is not None:
+        timed = timed.filter("NOT _carried").drop("_carried")
     days = whole_days_between(F.col("_previous"), F.col("event_timestamp"))
     return timed.withColumn("days_since_last_event", F.coalesce(days, F.lit(0).cast("bigint"))).drop("_previous")
 
 
-def silver_telemetry(telemetry: DataFrame) -> DataFrame:
+def silver_telemetry(telemetry: DataFrame, limits: Column | None = None) -> DataFrame:
     """Telemetry with parsed time, anomaly flags and a health score.
 
     Outliers lie above mean + 2 standard deviations of the whole table. The two
@@ -137,6 +147,12 @@ def device_health(silver_telemetry: DataFrame, event_flags: DataFrame) -> DataFr
     )
 
 
+def prediction_day(as_of: dt.date | str | None, lookback_days: int) -> Column:
+    if lookback_days < 0:
+        raise ValueError("lookback_days must not be negative")
+    return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+
+
 def failure_prediction(
     silver_telemetry: DataFrame, as_of: dt.date | str | None = None, lookback_days: int = 60
 ) -> DataFrame:
@@ -146,9 +162,7 @@ def failure_prediction(
     itself. A device without readings that day has no risk score. The day lies
     within the lookback, so both come from one pass and one shuffle.
     """
-    if lookback_days < 0:
-        raise ValueError("lookback_days must not be negative")
-    day: Column = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    day = prediction_day(as_of, lookback_days)
     today = F.col("date") == day
     stats = (
         silver_telemetry.filter(F.col("date") >= F.date_sub(day, lookback_days))
@@ -164,6 +178,11 @@ def failure_prediction(
         )
         .withColumn("anomalies_24h", F.when(F.col("_today") > 0, F.col("_anomalies_24h")))
     )
+    return rated(stats, day)
+
+
+def rated(stats: DataFrame, day: Column) -> DataFrame:
+    """Risk score and recommended action from the statistics of each device."""
     risk = (
         F.lit(0.3) * F.col("anomalies_24h") / 10
         + F.lit(0.4) * F.col("peak_temp_24h") / 30

@@ -6,9 +6,10 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators.quality import expect_no_nulls, expect_unique_rows, require_rows
-from millrace.plans import ecommerce, iot, serving
+from millrace.plans import ecommerce, incremental, iot, serving
 from millrace.plans.listings import listings_parse
 from millrace.plans.publish import Model, publish_layer
 from millrace.schemas import EVENTS, EVENTS_RAW, TELEMETRY
@@ -118,6 +119,24 @@ def run_iot_batch(
     return published
 
 
+def run_iot_day(spark: SparkSession, root: str, state: str, day: dt.date | str) -> dict[str, DataFrame]:
+    """The silver rows of one ingested day and the failure prediction as of it, reading that day's folders only.
+
+    What the results need of other days is kept below ``state``; see
+    ``incremental``. A repeated run replaces its own part of it.
+    """
+    chosen = F.col("date") == F.lit(str(day)).cast("date")
+    raw = scan_partitioned(spark, root, "events", EVENTS_RAW).filter(chosen)
+    events = enforce_schema(raw, EVENTS, {"event_timestamp"})
+    telemetry = require_rows(scan_partitioned(spark, root, "telemetry", TELEMETRY).filter(chosen), f"telemetry of {day}")
+    incremental.store_telemetry(telemetry, state, day)
+    return {
+        "silver_telemetry": incremental.silver_telemetry_of(telemetry, state),
+        "silver_events": incremental.silver_events_of(events, state, day),
+        "failure_prediction": incremental.failure_prediction_of(spark, state, day),
+    }
+
+
 def refresh_serving(
     spark: SparkSession, keyed_anomalies: DataFrame, gold: str, serving_namespace: str
 ) -> dict[str, DataFrame]:

@@ -32,10 +32,16 @@ def apply_scale_settings(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path for staged files, visible to every executor.
 
-    The parent is the session's ``spark.checkpoint.dir``, or else the warehouse,
-    which executors share as well.
+    The parent is the session's ``spark.checkpoint.dir``, or else the warehouse.
+    On a cluster the latter must be in a store that executors share as well, not
+    a folder of the driver's machine.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    parent = spark.conf.get("spark.checkpoint.dir", None)
+    if not parent:
+        parent = spark.conf.get("spark.sql.warehouse.dir")
+        on_cluster = not spark.conf.get("spark.master", "local").startswith("local")
+        if on_cluster and (":" not in parent or parent.startswith("file:")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return f"{parent.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 

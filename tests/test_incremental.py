@@ -1,0 +1,99 @@
+"""Runs that read their own days only, against one run over everything."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.plans import incremental, iot
+from millrace.plans.pipelines import run_iot_day
+from millrace.session import scratch_dir
+from tests.helpers import rows
+from tests.test_iot import events, telemetry
+
+DAYS = [f"2024-01-{d:02d}" for d in range(1, 6)]
+
+
+def readings(seed=7):
+    rng = random.Random(seed)
+    return [
+        (
+            rng.choice("abc"), f"{day}T{rng.randrange(24):02d}:{rng.randrange(60):02d}:00", rng.choice([None, 1.0, 2.0, 9.0]),
+            rng.choice([None, 1e9 + 20.0, 1e9 + 21.0, 1e9 + 60.0]), rng.choice([None, 1.0, 4.0]), rng.choice([None, 50, 80]),
+        )
+        for day in DAYS
+        for _ in range(30)
+    ]
+
+
+def by_day(data, at):
+    return {day: [r for r in data if (r[at] or DAYS[0]).startswith(day)] for day in DAYS}
+
+
+def test_merged_limits_are_those_of_all_readings(spark):
+    data, state = readings(), scratch_dir(spark, "state")
+    for day, part in [*by_day(data, 1).items(), ("2024-01-09", [])]:
+        incremental.store_telemetry(telemetry(spark, part), state, day)
+    incremental.store_telemetry(telemetry(spark, by_day(data, 1)[DAYS[2]]), state, DAYS[2])  # a repeat replaces
+    whole = telemetry(spark, data)
+    limits = incremental.merged_limits(incremental._stored(spark, state, "moments", incremental.MOMENTS))
+    got = spark.range(1).select(limits.alias("l")).select("l.*").head()
+    expected = whole.agg(*[(F.avg(c) + 2 * F.stddev_samp(c)).alias(c) for c in iot.OUTLIER_COLUMNS]).head()
+    assert got == pytest.approx(tuple(expected), rel=1e-12)
+    assert rows(incremental.silver_telemetry_of(whole, state)) == rows(iot.silver_telemetry(whole))
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_too_few_readings_have_no_limit(spark, n):
+    state = scratch_dir(spark, "state")
+    one = telemetry(spark, [("a", "2024-01-01T00:00:00", 1.0, 20.0, 1.0, 50)][:n])
+    incremental.store_telemetry(one, state, DAYS[0])
+    assert rows(incremental.silver_telemetry_of(one, state)) == rows(iot.silver_telemetry(one))
+    assert incremental.failure_prediction_of(spark, state, DAYS[0]).count() == n
+
+
+@pytest.mark.parametrize("as_of, lookback", [(DAYS[4], 60), (DAYS[4], 1), (DAYS[2], 0), ("2024-02-01", 60)])
+def test_prediction_from_parts(spark, as_of, lookback):
+    data, state = readings(8), scratch_dir(spark, "state")
+    for day, part in by_day(data, 1).items():
+        incremental.store_telemetry(telemetry(spark, part), state, day)
+    expected = iot.failure_prediction(iot.silver_telemetry(telemetry(spark, data)), as_of, lookback)
+    assert rows(incremental.failure_prediction_of(spark, state, as_of, lookback)) == rows(expected)
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 5])
+def test_days_since_last_event_over_runs(spark, hot_rows):
+    rng, state = random.Random(9), scratch_dir(spark, "state")
+    data = [
+        (rng.choice(["a", "b", None, f"new{day}"]), rng.choice([None, f"{day}T{rng.randrange(24):02d}:00:00"]), rng.choice(["failure", "maintenance"]), None, 30)
+        for day in DAYS[::2]
+        for _ in range(25)
+    ]
+    data = sorted(data, key=lambda r: r[1] or "")
+    got = None
+    for day, part in by_day(data, 1).items():
+        silver = incremental.silver_events_of(events(spark, part), state, day, hot_rows)
+        got = silver if got is None else got.unionAll(silver)
+    assert rows(got) == rows(iot.silver_events(events(spark, data)))
+
+
+def test_a_run_reads_its_own_day(spark, tmp_path):
+    names = "date string, device_id string, timestamp string, energy_usage double, temperature double, vibration double, signal_strength int"
+    data = [(r[1][:10], *r) for r in readings()]
+    spark.createDataFrame(data, names).write.partitionBy("date", "device_id").parquet(f"{tmp_path}/telemetry")
+    happened = [(day, "a", f"{day}T01:00:00", "failure", "motor") for day in DAYS]
+    spark.createDataFrame(
+        happened, "date string, device_id string, event_timestamp string, event_type string, component string"
+    ).write.partitionBy("date", "device_id").parquet(f"{tmp_path}/events")
+    out = {day: run_iot_day(spark, str(tmp_path), f"{tmp_path}/state", day) for day in [*DAYS, DAYS[4]]}
+    for day in DAYS:
+        assert rows(out[day]["silver_events"], "event_timestamp", "days_since_last_event") == {
+            (dt.datetime.fromisoformat(f"{day}T01:00:00"), int(day > DAYS[0])): 1
+        }
+    expected = iot.failure_prediction(iot.silver_telemetry(telemetry(spark, readings())), DAYS[4])
+    assert rows(out[DAYS[4]]["failure_prediction"]) == rows(expected)
+    plans = {k: df._jdf.queryExecution().toString().split("== Physical Plan")[1] for k, df in out[DAYS[4]].items()}
+    scans = [line for line in plans["silver_telemetry"].splitlines() if "FileScan" in line and "vibration#" in line]
+    assert scans and all("PartitionFilters: [isnotnull(date" in line for line in scans)
+    assert "vibration#" not in plans["failure_prediction"] and "vibration_anomalies#" in plans["failure_prediction"]

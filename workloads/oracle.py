@@ -368,3 +368,6 @@ ORACLE["stream_ingest"] = with_views(
 UNION ALL SELECT 'events', device_id, event_timestamp FROM e_stored
 UNION ALL SELECT 'rejects', "key", reason FROM rejected""",
 )
+
+for _name in ("silver_telemetry", "failure_prediction", "silver_events"):
+    ORACLE[f"{_name}_days"] = ORACLE[_name]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from millrace.operators import (
     null_audit,
     require_rows,
 )
-from millrace.plans import ecommerce, iot, serving
+from millrace.plans import ecommerce, incremental, iot, serving
 from millrace.plans.messages import route_messages
 from millrace.plans.pipelines import GOLD_MODELS, SILVER_MODELS, load_listings
 from millrace.plans.publish import publish, publish_dag
@@ -302,6 +303,46 @@ def silver_telemetry(spark, sf_dir):
     return iot.silver_telemetry(view(spark, sf_dir, "telemetry"))
 
 
+RUNS = ("2024-01-10", AS_OF, "2024-12-31")
+
+
+def _in_runs(df: DataFrame, time: str) -> list[tuple[str, DataFrame]]:
+    """The rows as runs that end before each of these days get them; rows without a time come first."""
+    day, before, runs = F.to_date(F.to_timestamp_ntz(time)), F.lit(True), []
+    for end in RUNS:
+        last = F.lit(end == RUNS[-1])
+        mine = before & (last | day.isNull() | (day < F.lit(end).cast("date")))
+        runs.append((end, df.filter(mine)))
+        before = day >= F.lit(end).cast("date")
+    return runs
+
+
+def _telemetry_state(spark, sf_dir) -> str:
+    state = scratch_dir(spark, "days")
+    for day, rows in _in_runs(view(spark, sf_dir, "telemetry"), "timestamp"):
+        incremental.store_telemetry(rows, state, day)
+    return state
+
+
+@query("silver_telemetry_days")
+def silver_telemetry_days(spark, sf_dir):
+    """With the limits merged from the moments that three runs stored."""
+    return incremental.silver_telemetry_of(view(spark, sf_dir, "telemetry"), _telemetry_state(spark, sf_dir))
+
+
+@query("failure_prediction_days")
+def failure_prediction_days(spark, sf_dir):
+    """From the parts that three runs stored."""
+    return incremental.failure_prediction_of(spark, _telemetry_state(spark, sf_dir), AS_OF)
+
+
+@query("silver_events_days")
+def silver_events_days(spark, sf_dir):
+    """In three runs, each of which knows only the last events before it."""
+    state, runs = scratch_dir(spark, "events"), _in_runs(_events(spark, sf_dir), "event_timestamp")
+    return reduce(DataFrame.unionAll, [incremental.silver_events_of(rows, state, day) for day, rows in runs])
+
+
 @query("telemetry_daily")
 def telemetry_daily(spark, sf_dir):
     return iot.telemetry_daily(silver_telemetry(spark, sf_dir))
