@@ -1,11 +1,11 @@
 """License texts in documents: phrases, and an exact set-similarity join with templates.
 
-Text blocks are windows of words, twice as long as the longest template and overlapping by half. A
-block meets a template when it has enough of the template's distinct words. The join orders the
-words of each template from the globally rarest on; a block that meets it must have one of the
-first ``size - needed + 1`` (prefix filter), must hold enough template words at all (length
-filter), and what still can follow the first shared word must suffice (positional filter). What is
-left is verified on the full sets.
+The blocks of a template are windows of words twice as long as it, overlapping by half. A block
+meets the template when it has enough of its distinct words. The words of all templates are ordered
+from the globally rarest on. A text with such a block shares one of the first ``size - needed + 1``
+words of the template (prefix filter), has at least ``needed`` words of templates at all (length
+filter), and behind the first shared word both have enough words left (positional filter). The join
+on prefix words alone names the templates whose blocks of a text are then verified on the full sets.
 """
 
 from __future__ import annotations
@@ -51,15 +51,31 @@ def _places(column: str, phrase: str) -> F.Column:
     return F.when(has_all, places).otherwise(F.array().cast("array<int>"))
 
 
-def _prefixes(counts: dict[str, int], templates: list[tuple[int, list[str], int]]) -> list[tuple]:
-    """(template, token, place) of the tokens that one of which every matching block has."""
+def _prefixes(order: list[str], known: list[tuple[int, int, list[str], int]]) -> list[tuple]:
+    """(template, token, place, n_tokens, needed) of the words that one of which every matching text has."""
+    place_of = {t: k for k, t in enumerate(order)}
     out = []
-    for number, tokens, needed in templates:
-        ordered = sorted(tokens, key=lambda t: (counts.get(t, 0), t))
-        out += [(number, t, place) for place, t in enumerate(ordered[: len(tokens) - needed + 1])]
+    for number, _, tokens, needed in known:
+        ordered = sorted(tokens, key=place_of.__getitem__)
+        out += [(number, t, place, len(tokens), needed) for place, t in enumerate(ordered[: len(tokens) - needed + 1])]
     return out
 
 
+def _candidates(scanned: DataFrame, order: list[str], prefix: DataFrame, least: int) -> DataFrame:
+    """text_hash and template of the pairs that the prefix, length and positional filters leave.
+
+    The overlap of a pair is at most what both have from their first common word on, so the row of
+    that word stays whenever the pair can match.
+    """
+    ordered = F.array_intersect(_texts(order), F.col("tokens"))
+    tokens = scanned.where(F.size("tokens") >= least).select(
+        "text_hash", F.size("tokens").alias("n"), F.posexplode(ordered).alias("at", "token")
+    )
+    left = F.least(F.col("n_tokens") - F.col("place"), F.col("n") - F.col("at"))
+    pairs = tokens.join(F.broadcast(prefix), "token").where((F.col("n") >= F.col("needed")) & (left >= F.col("needed")))
+    return pairs.select("text_hash", "template").distinct()
+
+
 def scan_licenses(
     documents: DataFrame,
     phrases: list[tuple[str, str]],
@@ -77,59 +93,50 @@ def scan_licenses(
     gives an empty result.
     """
     spark = documents.sparkSession
-    sets = [(label, sorted(set(_words_of(text)))) for label, text in templates]
-    known = [(k, tokens, math.ceil(containment * len(tokens) - 1e-9)) for k, (_, tokens) in enumerate(sets) if tokens]
-    longest = max([1, *(len(_words_of(text)) for _, text in templates)])
-    vocabulary = sorted({t for _, tokens, _ in known for t in tokens})
-    rows = pick(documents, doc_id="long", text="string").select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words")
-    )
-    rows = rows.withColumns(
-        {
-            "tokens": F.array_intersect("words", _texts(vocabulary)),
-            "places": F.array(*[_places("words", p) for p, _ in phrases]),
-        }
-    )
-    # Only a document that has enough words of a template can have a block with them.
-    enough = [F.size(F.array_intersect("tokens", _texts(t))) >= n for _, t, n in known]
-    hopeful = reduce(lambda a, b: a | b, enough, F.lit(False))
-    starts = F.sequence(
-        F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("words") / longest).cast("int") - 2) * longest, F.lit(longest)
-    )
-    blocks = F.transform(
-        starts, lambda s: F.array_intersect(F.slice("words", s + 1, F.lit(2 * longest)), F.col("tokens"))
-    )
+    sets = [(label, len(_words_of(text)), sorted(set(_words_of(text)))) for label, text in templates]
+    known = [(k, size, tokens, math.ceil(containment * len(tokens) - 1e-9)) for k, (_, size, tokens) in enumerate(sets) if tokens]
+    vocabulary = sorted({t for _, _, tokens, _ in known for t in tokens})
+    texts = pick(documents, doc_id="long", text="string").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    rows = texts.select("doc_id", "text_hash", words(F.col("text")).alias("words"))
     scanned = written(
         rows.select(
             "doc_id",
             "text_hash",
             F.size("words").cast("long").alias("n_words"),
-            "places",
-            "tokens",
-            F.when(hopeful, blocks).alias("blocks"),
+            F.array(*[_places("words", p) for p, _ in phrases]).alias("places"),
+            F.array_intersect("words", _texts(vocabulary)).alias("tokens"),
         ),
         "licenses",
     )
     counts = scanned.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     counts = {r.token: r.n for r in counts.collect()}  # no more rows than the templates have words
-    prefix = spark.createDataFrame(_prefixes(counts, known), "template int, token string, place int")
-    whole = spark.createDataFrame(known, "template int, template_tokens array<string>, needed int")
-    least = min([n for _, _, n in known], default=1)
-    blocks = (
-        scanned.where("blocks IS NOT NULL")
-        .select("text_hash", F.explode("blocks").alias("block"))
-        .where(F.size("block") >= least)
+    order = sorted(vocabulary, key=lambda t: (counts.get(t, 0), t))
+    first = _prefixes(order, known)
+    prefix = spark.createDataFrame(first, "template int, token string, place int, n_tokens int, needed int")
+    whole = spark.createDataFrame(known, "template int, size int, template_tokens array<string>, needed int")
+    least = min([n for *_, n in known], default=1)
+    pairs = written(_candidates(scanned, order, prefix, least), "license_pairs")
+    # Only texts with a word of a prefix move, and each of them once.
+    hopeful = texts.select("text_hash", words(F.col("text")).alias("words")).where(
+        F.arrays_overlap("words", _texts(sorted({t for _, t, *_ in first})))
+    )
+    starts = F.sequence(
+        F.lit(0), F.greatest(F.lit(0), F.ceil(F.size("words") / F.col("size")).cast("int") - 2) * F.col("size"), F.col("size")
+    )
+    common = F.transform(
+        starts,
+        lambda s: F.size(F.array_intersect(F.slice("words", s + 1, 2 * F.col("size")), F.col("template_tokens"))),
     )
     met = (
-        blocks.withColumn("token", F.explode("block"))
-        .join(F.broadcast(prefix), "token")
+        hopeful.join(pairs.select("text_hash").distinct(), "text_hash", "left_semi")
+        .dropDuplicates(["text_hash"])
+        .join(pairs, "text_hash")
         .join(F.broadcast(whole), "template")
-        .where((F.size("block") >= F.col("needed")) & (F.size("template_tokens") - F.col("place") >= F.col("needed")))
-        .withColumn("common", F.size(F.array_intersect("block", "template_tokens")))
+        .withColumn("common", F.array_max(common))
         .where("common >= needed")
         .select("text_hash", "template", (F.col("common") / F.size("template_tokens")).alias("containment"))
     )
-    names = F.create_map(*[x for k, (label, _) in enumerate(sets) for x in (F.lit(k), F.lit(label))]) if sets else None
+    names = F.create_map(*[x for k, (label, *_) in enumerate(sets) for x in (F.lit(k), F.lit(label))]) if sets else None
     found = met.groupBy("text_hash").agg(
         F.collect_set(F.element_at(names, F.col("template")) if sets else F.lit("")).alias("template_labels"),
         F.max("containment").alias("containment"),

@@ -1,4 +1,4 @@
-"""Phrases that name a license, and statements of well-known licenses. Fixed values."""
+"""Phrases that name a license, and statements and paragraphs of well-known licenses. Fixed values."""
 
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
@@ -10,4 +10,52 @@ TEMPLATES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    (
+        "mit",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
+        "shall be included in all copies or substantial portions of the Software.",
+    ),
+    (
+        "mit",
+        'The software is provided "as is", without warranty of any kind, express or implied, including but not limited to '
+        "the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the "
+        "authors or copyright holders be liable for any claim, damages or other liability, whether in an action of "
+        "contract, tort or otherwise, arising from, out of or in connection with the software or the use or other "
+        "dealings in the software.",
+    ),
+    (
+        "apache",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+        'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
+        "specific language governing permissions and limitations under the License.",
+    ),
+    (
+        "gpl",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ),
+    (
+        "bsd",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means.",
+    ),
+    (
+        "zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions",
+    ),
 ]

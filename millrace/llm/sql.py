@@ -45,11 +45,10 @@ def _words(text: str) -> str:
 
 
 def op5_license_scan(templates: list[tuple[str, str]]) -> str:
-    rows = ", ".join(f"('{label}', '{text}')" for label, text in templates)
+    rows = ", ".join(f"('{label}', '{text.replace("'", "''")}')" for label, text in templates)
     return f"""
 WITH templates AS (
   SELECT label, list_distinct({_words("text")}) AS tokens, len({_words("text")}) AS n FROM (VALUES {rows}) AS t(label, text)),
-longest AS (SELECT max(n) AS n FROM templates),
 texts AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
 places AS (
   SELECT doc_id, w,
@@ -57,12 +56,13 @@ places AS (
     [i - 1 FOR i IN range(1, len(w) + 1) IF w[i] = 'apache' AND w[i + 1] = 'license'] AS apache,
     [i - 1 FOR i IN range(1, len(w) + 1) IF w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license'] AS gpl
   FROM texts),
-blocks AS (
-  SELECT doc_id, list_distinct(list_slice(w, s * n + 1, (s + 2) * n)) AS block
-  FROM (SELECT doc_id, w, n, unnest(range(0, greatest(1, ceil(len(w) / n)::BIGINT - 1))) AS s FROM texts, longest)),
 met AS (
-  SELECT doc_id, label, len(list_intersect(block, tokens)) / len(tokens) AS containment
-  FROM blocks, templates WHERE len(list_intersect(block, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)),
+  SELECT doc_id, label, containment FROM (
+    SELECT doc_id, label, len(tokens) AS size,
+      list_max([len(list_intersect(list_distinct(list_slice(w, s * n + 1, (s + 2) * n)), tokens))
+                FOR s IN range(0, greatest(1, ceil(len(w) / n)::BIGINT - 1))]) AS common, common / size AS containment
+    FROM texts, templates)
+  WHERE common >= ceil(0.8 * size - 1e-9)),
 found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(containment) AS containment FROM met GROUP BY doc_id),
 base AS (
   SELECT doc_id, len(w) AS n_words, list_concat(mit, list_concat(apache, gpl)) AS every,

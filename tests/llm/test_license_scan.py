@@ -4,7 +4,7 @@ import math
 import random
 import re
 
-from millrace.llm.license_scan import scan_licenses
+from millrace.llm.license_scan import _candidates, _prefixes, scan_licenses
 from millrace.llm.license_texts import PHRASES, TEMPLATES
 
 FIELDS = "doc_id long, text string"
@@ -19,12 +19,11 @@ def brute_force(text, templates=TEMPLATES, containment=0.8):
     places = {label: [i for i in range(len(w)) if w[i : i + len(p.split())] == p.split()] for p, label in PHRASES}
     every = [i for own in places.values() for i in own]
     base = {label for label, own in places.items() if own}
-    size = max(len(words(t)) for _, t in templates)
     found, best = set(), 0.0
-    for s in range(0, max(1, len(w)), size):
-        block = set(w[s : s + 2 * size])
-        for label, t in templates:
-            tokens = set(words(t))
+    for label, t in templates:
+        size, tokens = len(words(t)), set(words(t))
+        for s in range(0, max(1, len(w)), size):
+            block = set(w[s : s + 2 * size])
             if len(block & tokens) >= math.ceil(containment * len(tokens) - 1e-9):
                 found.add(label)
                 best = max(best, len(block & tokens) / len(tokens))
@@ -53,6 +52,27 @@ def test_statements_in_noise(spark):
     assert result(spark.createDataFrame(docs, FIELDS)) == {d: brute_force(t) for d, t in docs}
 
 
+def test_the_filters_leave_few_pairs_and_lose_none(spark):
+    """Random sets over few words, at several thresholds; a text without a rare word of a template is not verified."""
+    rng = random.Random(6)
+    pool = [f"w{k}" for k in range(30)]
+    templates = [(f"t{k}", " ".join(rng.sample(pool, rng.randint(3, 12)))) for k in range(12)]
+    docs = [(d, " ".join(rng.choices(pool[: rng.choice([8, 20, 30])], k=rng.randint(0, 60)))) for d in range(150)]
+    df = spark.createDataFrame(docs, FIELDS)
+    for share in (0.5, 0.8, 1.0):
+        got = {r.doc_id: (r.labels, r.score) for r in scan_licenses(df, PHRASES, templates, share).collect()}
+        assert got == {d: brute_force(t, templates, share)[5:] for d, t in docs}
+
+    known = [(0, 5, ["a", "b", "c", "d", "e"], 4)]
+    order = ["a", "b", "c", "d", "e", "f"]  # from the rarest on
+    prefix = spark.createDataFrame(_prefixes(order, known), "template int, token string, place int, n_tokens int, needed int")
+    assert {(r.token, r.place) for r in prefix.collect()} == {("a", 0), ("b", 1)}
+    texts = [(1, list("bcde")), (2, list("cdef")), (3, list("abc")), (4, list("abcdf")), (5, list("acdf"))]
+    scanned = spark.createDataFrame(texts, "text_hash long, tokens array<string>")
+    left = {r.text_hash for r in _candidates(scanned, order, prefix, 4).collect()}
+    assert left == {1, 4, 5}  # 2 has no word of the prefix, 3 too few words; 5 is left to the verification
+
+
 def test_edge_cases(spark):
     rows = [
         (1, None), (2, ""), (3, "?! -"), (4, "MIT license mit-LICENSE, Apache  License"), (4, "MIT license mit-LICENSE, Apache  License"),

@@ -1,11 +1,15 @@
 """Held-out accuracy of the quality trees, their flat form, and edge cases."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
+from millrace.llm import quality
 from millrace.llm.boosting import train
 from millrace.llm.quality import FEATURES, keep_good, score_documents, statistics, train_quality
 from millrace.llm.queries import QUERIES
@@ -24,6 +28,71 @@ def test_held_out_documents(spark):
     assert all(p for p, y in judged if y)
 
 
+KINDS = {
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": "abcdefghijklmnopqrstuvwxyz", "digit": "0123456789", "space": " \t",
+    "line": "\n", "stop": ".?;:", "comma": ",", "shout": "!", "bar": "|", "symbol": "#$%&*+<=>@[\\]^_`{}~/", "quote": "\"'()-",
+}
+
+
+def plain_statistics(text):
+    """The statistics of one text, word by word and byte by byte."""
+    data = (text or "").encode()
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
+    words = [w for w in re.split(rb"[ \t-\r]+", low) if w]
+    lines = [x for x in low.split(b"\n") if x]
+    out = dict.fromkeys(FEATURES, 0.0)
+    if not data:
+        return out
+    for kind, chars in KINDS.items():
+        out[f"{kind}_share"] = sum(b in chars.encode() for b in data) / len(data)
+    out["other_share"] = sum(b >= 128 for b in data) / len(data)
+    if not words:
+        return out
+    shares = [n / len(data) for n in Counter(data).values()]
+    repeats = Counter(words)
+    return out | {
+        "log_bytes": math.log(1 + len(data)), "log_words": math.log(1 + len(words)), "entropy": -sum(p * math.log(p) for p in shares),
+        "word_length": sum(map(len, words)) / len(words), "long_word_share": sum(len(w) > 12 for w in words) / len(words),
+        "short_word_share": sum(len(w) < 3 for w in words) / len(words), "distinct_word_share": len(repeats) / len(words),
+        "top_word_share": max(repeats.values()) / len(words),
+        "echo_share": sum(a == b for a, b in zip(words, words[1:])) / len(words), "words_per_line": len(words) / len(lines),
+        "distinct_line_share": len(set(lines)) / len(lines), "short_line_share": sum(len(x) < 20 for x in lines) / len(lines),
+    }
+
+
+def plain_score(forest, row):
+    total = forest.base
+    for node in forest.roots:
+        while forest.left[node] != node:
+            low = row[forest.feature[node]] <= forest.threshold[node]
+            node = forest.left[node] if low else forest.right[node]
+        total += forest.value[node]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+
+
+def test_query_against_brute_force(spark, monkeypatch):
+    """What the trees learn from, and every score, recomputed text by text."""
+    sf, given = SF.replace("0.01", "0.001"), []
+    monkeypatch.setattr(quality, "train", lambda x, y: given.append((x, y)) or train(x, y))
+    got = {r.doc_id: r for r in QUERIES["op3_quality_classifier"](spark, sf).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = {d: list(plain_statistics(t).values()) for d, t in texts.items()}
+    learned = [(*rows[d], labels[d]) for d in texts if labels.get(d) in (0, 1) and zlib.crc32(str(d).encode()) % 5]
+    x, y = given[0]
+    assert len(y) == len(learned) > 50
+    assert np.allclose(sorted(map(tuple, np.column_stack([x, y]).round(9).tolist())), sorted(tuple(round(v, 9) for v in r) for r in learned))
+    forest = train(x, y)
+    assert got.keys() == texts.keys()
+    for d, r in got.items():
+        assert abs(r.score - plain_score(forest, rows[d])) < 1e-9 and r.predicted == int(r.score >= 0.3)
+
+
+def test_very_long_text():
+    long = "Word, other words.\n" * 200_000 + "x" * 1_000_000
+    assert np.allclose(statistics(pa.array(["a b", long, None]))[1], list(plain_statistics(long).values()))
+
+
 def test_flat_trees_equal_recursion():
     random.seed(2)
     x = np.array([[random.random() for _ in range(4)] for _ in range(500)])
