@@ -7,6 +7,7 @@ from millrace.operators.layout import spread
 from millrace.operators.previous import previous_time
 from millrace.operators.quality import (
     AuditError,
+    NoNulls,
     expect_no_nulls,
     expect_unique_rows,
     null_audit,
@@ -16,6 +17,7 @@ from millrace.operators.quality import (
 __all__ = [
     "AuditError",
     "HotLimits",
+    "NoNulls",
     "anomaly_rules",
     "confirm_arrivals",
     "confirm_batch",

@@ -8,9 +8,10 @@ column or rule, so collecting one is safe at any table size.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Audit = Callable[[DataFrame], DataFrame]
@@ -26,6 +27,12 @@ class AuditError(Exception):
         super().__init__(f"audit failed for {table}: {found}{kept}")
 
 
+def _audited_names(df: DataFrame, columns: Sequence[str] | str | None) -> list[str]:
+    if columns is None:
+        return df.columns[:1]
+    return df.columns if columns == "all" else list(columns)
+
+
 def null_audit(df: DataFrame, columns: Sequence[str] | str | None = None) -> DataFrame:
     """Count nulls per column in one pass over the table.
 
@@ -33,12 +40,7 @@ def null_audit(df: DataFrame, columns: Sequence[str] | str | None = None) -> Dat
     only. The IS NULL filter is pushed to the Parquet reader, which skips row
     groups whose statistics show no null in any audited column.
     """
-    if columns is None:
-        names = df.columns[:1]
-    elif columns == "all":
-        names = df.columns
-    else:
-        names = list(columns)
+    names = _audited_names(df, columns)
     any_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in names])
     counts = df.filter(any_null).agg(
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(names)]
@@ -54,6 +56,22 @@ def null_audit(df: DataFrame, columns: Sequence[str] | str | None = None) -> Dat
     return counts.select(F.inline(F.array(*rows)))
 
 
+@dataclass(frozen=True)
+class NoNulls:
+    """``null_audit`` of these columns, as an audit whose counts a write of the rows can gather on its way.
+
+    The counts of two sets of rows add up to those of both.
+    """
+
+    columns: Sequence[str] | str | None = None
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return null_audit(df, self.columns)
+
+    def counts(self, df: DataFrame) -> dict[str, Column]:
+        return {c: F.count_if(F.col(f"`{c}`").isNull()) for c in _audited_names(df, self.columns)}
+
+
 def expect_no_nulls(df: DataFrame, column: str) -> DataFrame:
     """The column holds no null."""
     return null_audit(df, [column])

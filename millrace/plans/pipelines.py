@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.quality import expect_no_nulls, expect_unique_rows, require_rows
+from millrace.operators.quality import NoNulls, expect_unique_rows, require_rows
 from millrace.plans import ecommerce, incremental, iot, serving
 from millrace.plans.listings import listings_parse
 from millrace.plans.publish import Model, publish_layer
@@ -68,7 +68,7 @@ SILVER_MODELS = {
     "customers_dim": Model(
         ecommerce.customers_dim,
         ("customers", "geolocation"),
-        audits=(lambda df: expect_no_nulls(df, "customer_id"), expect_unique_rows),
+        audits=(NoNulls(("customer_id",)), expect_unique_rows),
     ),
     "products_dim": Model(ecommerce.products_dim, ("products",)),
     "orders_fct": Model(ecommerce.orders_fct, ("orders", "customers", "order_payments", "order_reviews")),
@@ -83,7 +83,7 @@ GOLD_MODELS = {
     "customer_sales_summary": Model(
         ecommerce.customer_sales_summary,
         ("sales_summary", "customers_dim"),
-        audits=(lambda df: expect_no_nulls(df, "customer_id"),),
+        audits=(NoNulls(("customer_id",)),),
     ),
 }
 

@@ -1,8 +1,8 @@
 """Write, audit, publish: rows reach a table only after its audits pass.
 
-New rows are written to a staging table beside the target, the audits read the
+New rows are written to a staging table beside the target, the audits look at the
 staged rows (with those already in the target, when appending), and only then
-does the target change. A failed audit leaves the target as it was and keeps
+does the target change. Nulls are counted by the staging write itself. A failed audit leaves the target as it was and keeps
 the staging table for inspection.
 
 What is about to be released is written down first, in a note of its own in the
@@ -22,9 +22,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from millrace.operators.quality import Audit, AuditError, failed_checks, null_audit
+from millrace.operators.quality import Audit, AuditError, NoNulls, failed_checks, null_audit
 from millrace.session import create_text, move_files, put_text, read_texts, remove_path
 from millrace.sources.tables import append_table, create_namespace, layer_name, replace_table
 
@@ -40,17 +40,52 @@ def staging_name(table: str, run_id: str) -> str:
     return f"{table}__stg_{run_id}"
 
 
-def _stage(df: DataFrame, table: str, run_id: str, fmt: str, partition_by: Sequence[str]) -> DataFrame:
-    staging = staging_name(table, run_id)
+def _additive(audits: Sequence[Audit]) -> list[Audit]:
+    """The audits, those of nulls in the form that the staging write can count."""
+    return [NoNulls() if audit is null_audit else audit for audit in audits]
+
+
+def _stage(
+    df: DataFrame, table: str, run_id: str, fmt: str, partition_by: Sequence[str], audits: Sequence[Audit] = ()
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the staging table; returns it and the nulls that the write has counted, by column.
+
+    The counts come from the tasks that write: each of them counts once, however
+    often it had to be tried.
+    """
+    staging, counted, seen = staging_name(table, run_id), {}, Observation()
+    for audit in _additive(audits):
+        if isinstance(audit, NoNulls):
+            counted |= audit.counts(df.select(*[c for c in df.columns if c not in partition_by], *partition_by))
+    if counted:
+        df = df.observe(seen, *[count.alias(name) for name, count in counted.items()])
     replace_table(df, staging, fmt, partition_by)
-    return df.sparkSession.table(staging)
+    return df.sparkSession.table(staging), dict(seen.get) if counted else {}
+
+
+def _nulls(rows: DataFrame | None, names: Sequence[str]) -> dict[str, int]:
+    return {r.subject: r.failures for r in null_audit(rows, names).collect()} if rows is not None and names else {}
 
 
-def _check(staged: DataFrame, table: str, run_id: str, mode: str, audits: Sequence[Audit], scope: str) -> None:
-    spark, rows = staged.sparkSession, staged
+def _check(
+    staged: DataFrame, nulls: dict[str, int], table: str, run_id: str, mode: str, audits: Sequence[Audit], scope: str
+) -> None:
+    """Raise unless all audits pass. Nulls of the staged rows are known; only the target is searched for more."""
+    spark, rows, target = staged.sparkSession, staged, None
     if mode == "append" and scope == "table" and spark.catalog.tableExists(table):
-        rows = spark.table(table).unionByName(staged)
-    failures = failed_checks(rows, audits)
+        target = spark.table(table)
+        rows = target.unionByName(staged)
+    failures, others = [], []
+    for audit in _additive(audits):
+        if not isinstance(audit, NoNulls):
+            others.append(audit)
+            continue
+        names = list(audit.counts(rows))
+        # The first column may be another one in the target.
+        here, there = _nulls(staged, [n for n in names if n not in nulls]) | nulls, _nulls(target, names)
+        found = [("no_nulls", name, here[name] + there.get(name, 0)) for name in names]
+        failures += [f for f in found if f[2]]
+    failures += failed_checks(rows, others)
     if failures:
         raise AuditError(table, staging_name(table, run_id), failures)
 
@@ -216,8 +251,8 @@ def publish(
         raise ValueError(f"unknown mode {mode!r} or scope {scope!r}")
     run_id, namespace = run_id or new_run_id(), _namespace_of(table)
     recover(df.sparkSession, namespace)
-    staged = _stage(df, table, run_id, fmt, partition_by)
-    _check(staged, table, run_id, mode, audits, scope)
+    staged, nulls = _stage(df, table, run_id, fmt, partition_by, audits)
+    _check(staged, nulls, table, run_id, mode, audits, scope)
     _release_all(df.sparkSession, namespace, run_id, [[table, mode, fmt, list(partition_by)]])
     return df.sparkSession.table(table)
 
@@ -264,14 +299,14 @@ def publish_dag(
     recover(spark, namespace)
     order = TopologicalSorter({n: [i for i in m.inputs if i in models] for n, m in models.items()})
     names = list(order.static_order())
-    known = dict(inputs)
+    known, nulls = dict(inputs), {}
     for name in names:
         model = models[name]
         built = model.build(*[known[i] for i in model.inputs])
-        known[name] = _stage(built, layer_name(namespace, name), run_id, "parquet", ())
+        known[name], nulls[name] = _stage(built, layer_name(namespace, name), run_id, "parquet", (), model.audits)
     for name in names:
         model = models[name]
-        _check(known[name], layer_name(namespace, name), run_id, model.mode, model.audits, "table")
+        _check(known[name], nulls[name], layer_name(namespace, name), run_id, model.mode, model.audits, "table")
     steps = [[layer_name(namespace, name), models[name].mode, "parquet", []] for name in names]
     _release_all(spark, namespace, run_id, steps)
     return {name: spark.table(layer_name(namespace, name)) for name in names}

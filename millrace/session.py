@@ -92,13 +92,21 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
 
 
 def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:
-    """The small text files of a folder by name; none if there is no such folder."""
+    """The small text files of a folder by name; none if there is no such folder.
+
+    A file that another driver removes while the folder is read is left out.
+    """
     files, place = _file_system(spark, folder)
     if not files.exists(place):
         return {}
     out = {}
     for status in files.listStatus(place):
-        stream = files.open(status.getPath())
+        try:
+            stream = files.open(status.getPath())
+        except Exception:
+            if files.exists(status.getPath()):
+                raise
+            continue
         out[status.getPath().getName()] = bytes(stream.readAllBytes()).decode()
         stream.close()
     return out

@@ -3,7 +3,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
-from millrace.operators import AuditError, expect_unique_rows, null_audit
+from millrace.operators import AuditError, NoNulls, expect_unique_rows, null_audit
 from millrace.plans import publish as module
 from millrace.plans.publish import Model, publish, publish_dag, publish_layer, recover, staging_name
 from tests.helpers import rows
@@ -51,6 +51,29 @@ def test_audits_see_old_and_new_rows_unless_limited(spark, namespace):
     assert spark.table(table).count() == 2
 
 
+def test_nulls_are_counted_by_the_staging_write(spark, namespace, monkeypatch):
+    table, searched = f"{namespace}.facts", []
+
+    def search(df, columns):
+        searched.append((df.count(), list(columns)))
+        return null_audit(df, columns)
+
+    monkeypatch.setattr(module, "null_audit", search)
+    publish(frame(spark, 1, 2), table, audits=[NoNulls("all")])
+    assert searched == []
+    publish(frame(spark, 3), table, audits=[NoNulls("all")])
+    assert searched == [(2, ["id", "v"])]  # the target alone
+    with pytest.raises(AuditError) as error:
+        publish(frame(spark, None, 4, None), table, audits=[NoNulls("all")], scope="batch")
+    assert error.value.failures == [("no_nulls", "id", 2), ("no_nulls", "v", 2)] and len(searched) == 1
+    publish(frame(spark, None), table, audits=[])
+    with pytest.raises(AuditError) as error:  # those of the target and of the batch together
+        publish(frame(spark, None, 5), table, audits=[NoNulls(["v"]), expect_unique_rows])
+    assert error.value.failures == [("no_nulls", "v", 2), ("unique_rows", "id, v", 1)]
+    publish(spark.range(0).selectExpr("id", "id AS v"), table, mode="overwrite", audits=[NoNulls("all")])
+    assert spark.table(table).count() == 0
+
+
 def test_overwrite_swaps_the_table(spark, namespace):
     table = f"{namespace}.facts"
     publish(frame(spark, 1, None), table, audits=[])
