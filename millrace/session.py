@@ -50,6 +50,12 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as tables of the catalog need it."""
+    files, place = _file_system(spark, path)
+    return files.makeQualified(place).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, place = _file_system(spark, path)
     return files.exists(place)

@@ -7,12 +7,17 @@ each device and hour, what it adds, less what the rows took that it replaces, an
 readers sum. A micro-batch repeated after a failure appends equal rows, which
 readers count once. ``compact_days`` and ``compact_rollup`` fold closed days
 together.
+
+The keyed table lies in buckets by device and hour, so that its readers need no
+shuffle to find the latest row of each key.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,13 +29,15 @@ from millrace.operators.keyed import latest_per_key
 from millrace.operators.layout import spread
 from millrace.plans.serving import HIGH_VALUES, KEY, anomaly_rollup
 from millrace.schemas import struct_of
-from millrace.session import path_exists, remove_path, scratch_dir
+from millrace.session import create_text, full_path, path_exists, read_texts, remove_path, scratch_dir
 from millrace.streaming.sinks import trigger
 
 ROLLUP_KEY = ["device_id", "hour_bucket"]
 ARRIVAL = ("message_id", "entry")
 # Hours since 1970, kept beside the rows of the keyed table: a plain number, which Parquet can skip by.
 HOUR = T.StructField("hour_number", T.LongType())
+# Rows of a key share both, and a hot device is spread over as many buckets as it has hours.
+BUCKET_KEY = ["device_id", HOUR.name]
 COUNTS = ["n", "unconfirmed", "high"]
 # What one micro-batch changes in an hour of a device. A folded row stands for all micro-batches up to its own.
 CHANGES = struct_of(
@@ -45,7 +52,52 @@ def _write_version(rows: DataFrame, batch_id: int, path: str, sort: Sequence[str
     _append(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, sort)
 
 
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """How many buckets a keyed table has, by the note beside its rows; None if it was begun without."""
+    note = read_texts(spark, f"{path}/_layout").get("buckets")
+    return int(note) if note else None
+
+
+def _bucketed_table(spark: SparkSession, path: str, schema: T.StructType, buckets: int) -> str:
+    """The catalog's name for the folder; only tables of the catalog are read by buckets.
+
+    The name follows from path, columns and buckets, and the rows stay where they
+    are, so that any session can make the entry anew.
+    """
+    place, columns = full_path(spark, path), _version_schema(T.StructType([*schema.fields, HOUR]))
+    key = f"{place} {buckets} {columns.simpleString()}"
+    name = f"millrace_keyed_{hashlib.sha256(key.encode()).hexdigest()[:24]}"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+    location = place.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet PARTITIONED BY (day) "
+        f"CLUSTERED BY ({', '.join(BUCKET_KEY)}) SORTED BY (timestamp) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    spark.catalog.recoverPartitions(name)  # days that other sessions have added
+    return name
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for one step; writes into catalog tables do not take it as an option."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _append(rows: DataFrame, path: str, sort: Sequence[str], mode: str = "append") -> None:
+    spark = rows.sparkSession
+    buckets = bucket_count(spark, path)
+    if buckets:
+        table = _bucketed_table(spark, path, rows.schema, buckets)
+        dealt = rows.withColumn(HOUR.name, hour_number()).repartition(buckets, *BUCKET_KEY)
+        dealt = dealt.select(*spark.table(table).columns)
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            dealt.write.insertInto(table, overwrite=mode == "overwrite")
+        return
     (
         spread(rows, ["day"])
         .sortWithinPartitions("day", *sort)
@@ -56,10 +108,14 @@ def _append(rows: DataFrame, path: str, sort: Sequence[str], mode: str = "append
     )
 
 
-def _read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    fields = [f for f in schema.fields if f.name not in ("day", "batch_id")]
+def _version_schema(schema: T.StructType) -> T.StructType:
+    fields = {f.name: f for f in schema.fields if f.name not in ("day", "batch_id")}
     keys = [T.StructField("batch_id", T.LongType()), T.StructField("day", T.DateType())]
-    return spark.read.schema(T.StructType(fields + keys)).parquet(path)
+    return T.StructType([*fields.values(), *keys])
+
+
+def _read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(_version_schema(schema)).parquet(path)
 
 
 def start_upsert(
@@ -69,8 +125,13 @@ def start_upsert(
     interval: str | None = None,
     rollup_path: str | None = None,
     high_values: Sequence[str] = HIGH_VALUES,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Load anomalies into the keyed table at ``path``, by day, sorted by time and severity.
+    """Load anomalies into the keyed table at ``path``, by day, in buckets sorted by time.
+
+    A new table gets ``buckets`` buckets for each day (else as many as the session
+    has shuffle partitions), which it keeps; a micro-batch adds a file to each
+    bucket it touches. A table begun without buckets goes on without.
 
     With ``rollup_path`` the hourly rollup follows, at a cost that goes with the
     new rows: a micro-batch counts its own keys and takes off what the rows
@@ -82,14 +143,17 @@ def start_upsert(
     found, its changes are complete and are not worked out again, so a repeat is
     right also after its days were folded.
     """
-    schema, runs = anomalies.schema, []
+    schema, runs, session = anomalies.schema, [], anomalies.sparkSession
+    if not path_exists(session, path):
+        number = buckets or int(session.conf.get("spark.sql.shuffle.partitions"))
+        create_text(session, f"{path}/_layout/buckets", str(number))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("day", F.to_date("timestamp")).withColumn(HOUR.name, hour_number()).persist()
         if rollup_path:
             fresh, removed, done = latest_per_key(rows, KEY, ARRIVAL), None, False
-            if path_exists(spark, path):
+            if runs or _has_rows(spark, path):
                 hours = [r[0] for r in rows.select(HOUR.name).distinct().collect()]  # no more than the calendar has
                 known = stored_hours(spark, path, schema, hours)
                 # Only the first micro-batch of a run can be a repeat.
@@ -106,6 +170,11 @@ def start_upsert(
     return trigger(writer, interval).start()
 
 
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a first micro-batch has been written; before it there is at most the note on buckets."""
+    return path_exists(spark, path) and not spark.read.schema("batch_id long").parquet(path).isEmpty()
+
+
 def hour_number():
     return F.floor(epoch_seconds(F.col("timestamp")) / 3600).cast("bigint")
 
@@ -161,10 +230,18 @@ def read_keyed(
     """The keyed table: per device and time the last row of the last micro-batch.
 
     ``schema`` is that of the stream; equal keys share a day, so a filter on
-    ``day`` prunes folders.
+    ``day`` prunes folders. They share a bucket too, so each bucket is read by one
+    task, and nothing is shuffled. For that, the session's catalog gets an entry
+    for the folder.
     """
-    versions = _read_versions(spark, path, schema)
-    return latest_per_key(versions, ["day", *KEY], ["batch_id", *arrival]).drop("batch_id")
+    buckets = bucket_count(spark, path)
+    if buckets is None:
+        versions = _read_versions(spark, path, schema)
+        return latest_per_key(versions, ["day", *KEY], ["batch_id", *arrival]).drop("batch_id")
+    table = _bucketed_table(spark, path, schema, buckets)
+    spark.catalog.refreshTable(table)
+    newest = latest_per_key(spark.table(table), ["day", HOUR.name, *KEY], ["batch_id", *arrival])
+    return newest.drop("batch_id", HOUR.name)
 
 
 def _folded(changes: DataFrame) -> DataFrame:

@@ -323,3 +323,51 @@ def test_anomaly_messages_carry_json(spark):
     assert (out.topic, out.key) == (ANOMALIES_TOPIC, "d")
     assert '"timestamp":"2024-01-01T01:00:00.000005"' in out.value
     assert '"anomaly_type":"high_energy_usage"' in out.value and '"is_confirmed":false' in out.value
+
+
+def test_keyed_table_is_read_without_a_shuffle(spark, tmp_path):
+    """One device has most rows; its hours lie in several buckets. Rows without device or time are keys as well."""
+    path = f"{tmp_path}/it's keyed"
+    messages = [("hot", at(h, m), h * 60 + m, [1]) for h in range(24) for m in range(0, 60, 5)]
+    messages += [(d, at(h), 2000 + h, [2]) for d in ("b", None) for h in range(3)] + [("b", None, 3000, [3])]
+    again = [("hot", at(h), 5000 + h, [3]) for h in range(24)] + [("b", None, 5100, [4]), ("hot", at(1, day=2), 5101, [1])]
+    batches = [anomaly_batch(spark, messages), anomaly_batch(spark, again, True)]
+    schema = batches[0].schema
+
+    def start():
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        return streaming.start_upsert(source, path, f"{tmp_path}/state", buckets=5)
+
+    feed(spark, batches, f"{tmp_path}/in", start)
+    names = ["device_id", "timestamp", "anomaly_type", "is_confirmed"]
+    expected = rows(serving.anomalies_latest(batches[0].unionAll(batches[1])), *names)
+    keyed = streaming.read_keyed(spark, path, schema)
+    assert rows(keyed, *names) == expected and sum(expected.values()) == len(messages) + 1
+    physical = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in physical and "Bucketed: true" in physical and "Window" in physical
+    hot = spark.read.parquet(path).where("device_id = 'hot'").select(F.input_file_name().alias("f"))
+    assert hot.select(F.regexp_extract("f", r"_(\d{5})\.c", 1)).distinct().count() > 2
+    one_day = keyed.where("day = '2024-01-02'")
+    assert "PartitionFilters: [isnotnull(day" in one_day._jdf.queryExecution().executedPlan().toString()
+    assert one_day.count() == 1
+
+    streaming.compact_days(spark, path, schema, before="2024-01-02")
+    folded = streaming.read_keyed(spark, path, schema)
+    assert rows(folded, *names) == expected
+    assert "Exchange" not in folded._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(path).filter("day = '2024-01-01'").count() == 24 * 12 + 6
+
+
+def test_keyed_table_begun_without_buckets_goes_on(spark, tmp_path):
+    first, second = anomaly_batch(spark, [("d", at(1), 1, [1])]), anomaly_batch(spark, [("d", at(1), 2, [2]), ("d", at(2), 3, [1])])
+    with_hour = first.withColumn("day", F.to_date("timestamp")).withColumn("hour_number", streaming.serving.hour_number())
+    path = f"{tmp_path}/keyed"
+    streaming.serving._write_version(with_hour, -1, path, ["timestamp"])
+
+    def start():
+        return streaming.start_upsert(spark.readStream.schema(first.schema).parquet(f"{tmp_path}/in"), path, f"{tmp_path}/state")
+
+    feed(spark, [second], f"{tmp_path}/in", start)
+    assert streaming.serving.bucket_count(spark, path) is None
+    expected = rows(serving.anomalies_latest(first.unionAll(second)), "timestamp", "anomaly_type")
+    assert rows(streaming.read_keyed(spark, path, first.schema), "timestamp", "anomaly_type") == expected
