@@ -146,6 +146,51 @@ def test_ingest(spark, tmp_path):
     assert events.count() == 1 and telemetry.count() == 2
 
 
+def test_closed_dates_are_compacted_once(spark, tmp_path):
+    root, days = f"{tmp_path}/lake", [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    telemetry = "[" + ", ".join(f'{{"device_id": "{d}", "energy_usage": %d, "deep": {{"k": [%d]}}}}' for d in "ab") + "]"
+
+    def land(day, numbers):
+        for i in numbers:
+            data = [(TELEMETRY_TOPIC, "k", telemetry % (i, i, i, i))]
+            spark.createDataFrame(data, ENVELOPE).write.mode("append").parquet(f"{tmp_path}/in")
+
+        def read(topics):
+            return message_stream(spark, topics, fmt="parquet", path=f"{tmp_path}/in", maxFilesPerTrigger="1")
+
+        wait(*streaming.start_ingest(read, root, f"{tmp_path}/state", ingest_date=F.lit(day), rejects=False))
+
+    def compact(before):
+        return streaming.compact_ingested(spark, root, "telemetry", before, TELEMETRY)
+
+    def found(scan=streaming.scan_ingested):
+        return scan(spark, root, "telemetry", TELEMETRY)
+
+    def bag(df):
+        return rows(df, "date", "device_id", "energy_usage")
+
+    land(days[0], range(4))
+    land(days[1], range(4, 6))
+    before = bag(found())
+    assert compact("2024-01-01") == [] and bag(found()) == before and sum(before.values()) == 12
+    # A run that broke off left files without a note.
+    stale = f"{root}/compacted/telemetry/date=2024-01-01/device_id=a"
+    spark.createDataFrame([(77.0,)], "energy_usage double").write.parquet(stale)
+    assert bag(found()) == before
+    assert compact("2024-01-02") == [days[0]]
+    assert bag(found()) == before == bag(found(scan_partitioned)) and compact("2024-01-02") == []
+    assert streaming.ingest.finished_dates(spark, root, "telemetry") == {days[0]: 8}
+    folder = tmp_path / "lake" / "telemetry" / "date=2024-01-01" / "device_id=a"
+    assert len(list(folder.glob("*.parquet"))) == 4
+    assert len(list((tmp_path / "lake" / "compacted" / "telemetry" / "date=2024-01-01" / "device_id=a").glob("*.parquet"))) == 1
+    # Both places prune by date; an open date still takes rows.
+    plan = found()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters") == 2
+    land(days[1], range(6, 7))
+    assert bag(found()) == bag(found(scan_partitioned)) and found().count() == 14
+    assert compact("2025-01-01") == [days[1]] and bag(found()) == bag(found(scan_partitioned))
+
+
 def test_iot_batch_run_and_serving(spark, tmp_path, namespace):
     telemetry = [
         (f"2024-01-0{d}", dev, f"2024-01-0{d}T0{h}:00:00", 2.0 + h, 20.0 + h, 1.0, 50)

@@ -369,5 +369,7 @@ UNION ALL SELECT 'events', device_id, event_timestamp FROM e_stored
 UNION ALL SELECT 'rejects', "key", reason FROM rejected""",
 )
 
+ORACLE["stream_ingest_compacted"] = ORACLE["stream_ingest"]
+
 for _name in ("silver_telemetry", "failure_prediction", "silver_events"):
     ORACLE[f"{_name}_days"] = ORACLE[_name]

@@ -54,8 +54,10 @@ from millrace.sources import (
     write_path,
 )
 from millrace.streaming import (
+    compact_ingested,
     read_keyed,
     read_rollup,
+    scan_ingested,
     start_anomalies,
     start_ingest,
     start_upsert,
@@ -562,18 +564,19 @@ def _finish(*running) -> None:
         q.awaitTermination()
 
 
-@query("stream_ingest")
-def stream_ingest(spark, sf_dir):
-    """Land messages as files, ingest them with three queries, read the folders back."""
-    root = scratch_dir(spark, "ingest")
+def _ingested(spark, sf_dir, root: str) -> None:
+    """Land messages as files and ingest them with three queries."""
     _envelopes(spark, sf_dir).write.parquet(f"{root}/landed")
 
     def read(topics):
         return message_stream(spark, topics, fmt="parquet", path=f"{root}/landed")
 
     _finish(*start_ingest(read, f"{root}/lake", f"{root}/checkpoint", other_topics=[ASTRAY_TOPIC]))
-    telemetry = scan_partitioned(spark, f"{root}/lake", "telemetry", TELEMETRY)
-    events = scan_partitioned(spark, f"{root}/lake", "events")
+
+
+def _stored_and_rejected(spark, root: str, scan) -> DataFrame:
+    telemetry = scan(spark, f"{root}/lake", "telemetry", TELEMETRY)
+    events = scan(spark, f"{root}/lake", "events")
     rejects = spark.read.parquet(f"{root}/lake/rejects")
     return (
         telemetry.select(F.lit("telemetry").alias("kind"), "device_id", F.col("timestamp").alias("detail"))
@@ -582,6 +585,24 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@query("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    """Ingest messages, read the folders back."""
+    root = scratch_dir(spark, "ingest")
+    _ingested(spark, sf_dir, root)
+    return _stored_and_rejected(spark, root, scan_partitioned)
+
+
+@query("stream_ingest_compacted")
+def stream_ingest_compacted(spark, sf_dir):
+    """The same after all dates were compacted."""
+    root = scratch_dir(spark, "ingest")
+    _ingested(spark, sf_dir, root)
+    compact_ingested(spark, f"{root}/lake", "telemetry", "2999-01-01", TELEMETRY)
+    compact_ingested(spark, f"{root}/lake", "events", "2999-01-01")
+    return _stored_and_rejected(spark, root, scan_ingested)
+
+
 def _run_anomalies(spark, sf_dir, root: str, follow: Callable[[DataFrame], object] | None = None) -> str:
     """Land telemetry messages in time order, then take them file by file through the anomaly stream.
 
