@@ -20,7 +20,7 @@ from millrace.llm.minhash import near_duplicates
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import score_documents, train_quality
 from millrace.llm.spelling import spelling_variants
-from millrace.llm.token_counts import count_tokens, piece_file
+from millrace.llm.token_counts import count_tokens, estimate_unigrams, piece_file
 from millrace.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +83,9 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents"), piece_file(tokenizer_file("piece_bpe_32k.model")))
+    documents = table(spark, sf_dir, "documents")
+    pieces = piece_file(tokenizer_file("piece_bpe_32k.model"))
+    return count_tokens(documents, estimate_unigrams(documents, pieces))
 
 
 @query

@@ -1,12 +1,25 @@
 """Token counts against plain segmentation of every word."""
 
+import collections
 import math
 import random
 
+import numpy as np
 import pytest
 
 from millrace.llm.queries import tokenizer_file
-from millrace.llm.token_counts import MARK, Counter, Unigrams, count_tokens, piece_file, trie_counts
+from millrace.llm.token_counts import (
+    MARK,
+    PRIOR,
+    Counter,
+    Lattice,
+    Unigrams,
+    count_tokens,
+    estimate_unigrams,
+    fitted,
+    piece_file,
+    trie_counts,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +76,68 @@ def test_edge_cases(spark, unigrams):
     assert by_id[1] == by_id[2] == by_id[3] == (0, 0, 0.0) and by_id[None][:2] == (1, 1)
     assert by_id[4][:2] == (3, sum(plain(MARK + w, unigrams)[0] for w in rows[3][1].split()))
     assert count_tokens(df.limit(0), unigrams).collect() == []
+
+
+def ways(word, unigrams):
+    """All segmentations: (probability, pieces); the bytes of a character are one step without a piece."""
+    if not word:
+        yield 1.0, ()
+        return
+    for rest, pieces in ways(word[1:], unigrams):
+        yield math.exp(len(word[0].encode()) * unigrams.byte_score) * rest, pieces
+    for end in range(1, len(word) + 1):
+        if word[:end] in unigrams.scores:
+            for rest, pieces in ways(word[end:], unigrams):
+                yield math.exp(unigrams.scores[word[:end]]) * rest, (word[:end], *pieces)
+
+
+def test_sums_over_the_trie_are_those_of_all_segmentations():
+    rng = random.Random(9)
+    names = sorted({"".join(rng.choices("abc", k=rng.randint(1, 3))) for _ in range(14)})
+    model = Unigrams({p: math.log(rng.random() / 9) for p in names}, -6.0, 3)
+    words = sorted({"".join(rng.choices("abcé", k=rng.randint(1, 7))) for _ in range(60)})
+    counts = [rng.randint(1, 9) for _ in words]
+    expected, total = collections.Counter(), 0.0
+    for word, n in zip(words, counts, strict=True):
+        found = list(ways(word, model))
+        whole = sum(p for p, _ in found)
+        total += n * math.log(whole)
+        for p, pieces in found:
+            for piece in pieces:
+                expected[piece] += n * p / whole
+    logs = np.array([model.scores[p] for p in names])
+    got, log = Lattice(words, {p: k for k, p in enumerate(names)}).expected(logs, model.byte_score, np.array(counts, float))
+    assert math.isclose(log, total, rel_tol=1e-9)
+    assert np.allclose(got, [expected[p] for p in names])
+
+
+def test_fitted_probabilities():
+    start = Unigrams.of({p: math.log(1 / 5) for p in ("a", "b", "ab", "ba", "zz")})
+    words, counts = ["ab", "abab", "b"], [50, 20, 3]
+    model = fitted(words, counts, start, tolerance=1e-9)
+    assert math.isclose(sum(map(math.exp, model.scores.values())), 1.0)
+    # Nearly all is "ab"; a fixed point gives itself; a piece that never occurs keeps the prior.
+    logs = np.array(list(model.scores.values()))
+    again, _ = Lattice(words, {p: k for k, p in enumerate(model.scores)}).expected(logs, model.byte_score, np.array(counts, float))
+    assert np.allclose(np.log((again + PRIOR) / (again + PRIOR).sum()), logs, atol=0.05)
+    assert max(model.scores, key=model.scores.get) == "ab" and math.exp(model.scores["zz"]) < 0.01
+    assert fitted([], [], start) is start
+
+
+def test_probabilities_from_all_documents(spark, unigrams):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    words = collections.Counter(MARK + w for r in docs.collect() for w in (r.text or "").split() if len(w) <= 64)
+    model, other = estimate_unigrams(docs.repartition(5), unigrams, 10**6), estimate_unigrams(docs, unigrams, 500)
+    plain_fit = fitted(sorted(words), [words[w] for w in sorted(words)], unigrams)
+    assert model.scores.keys() == other.scores.keys() == unigrams.scores.keys()
+    assert np.allclose(list(model.scores.values()), list(plain_fit.scores.values()))
+
+    def log_prob(m):
+        _, logs = trie_counts(sorted(words), m)
+        return sum(s * words[w] for s, w in zip(logs, sorted(words), strict=True))
+
+    # The estimate explains the documents better than the order of the file does, also one from a part of the words.
+    assert log_prob(model) > log_prob(other) > log_prob(unigrams)
+    assert estimate_unigrams(docs.limit(0), unigrams) is unigrams
+    nothing = spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")
+    assert estimate_unigrams(nothing, unigrams) is unigrams
