@@ -6,11 +6,14 @@ word shares with the one before is a path from the root that is already scored.
 the word is computed. Counts at the ends of words are stored, and documents add them up.
 
 The vocabulary file tells the order of the pieces and no probabilities. These are estimated by
-expectation and maximisation, whose forward and backward sums are shared over the same kind of trie.
+expectation and maximisation over all distinct words, whose forward and backward sums are shared over
+the same kind of trie.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -20,15 +23,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import kept_in_worker, map_batches, pick, written
+from millrace.llm.frames import enter_stage, kept_in_worker, map_batches, pick, release_memory, written
 from millrace.llm.words import CHUNK_BYTES
 
 #: Marks the beginning of a word.
 MARK = "▁"
 #: How much less likely than the rarest piece one byte of an unknown character is.
 BYTE_PENALTY = 10.0
-#: Probabilities are estimated from about so many distinct words, of at most so many characters.
-SAMPLE_WORDS, SAMPLE_CHARS = 30_000, 64
+#: Parts of words are gone through together until they have so many characters.
+LATTICE_CHARS = 1 << 19
+#: Longer parts are gone through one by one.
+LONG = 1 << 8
 #: What every piece counts beside its occurrences, so that none has probability 0.
 PRIOR = 0.1
 #: The estimation ends when a round raises the log probability by less than this share.
@@ -65,91 +70,284 @@ def piece_file(path: str) -> Unigrams:
     return Unigrams.from_ranks([model.id_to_piece(i) for i in ids])
 
 
+class Pieces:
+    """The trie of the pieces, numbered in their order, for many steps at once; its state 0 is the root and also no state."""
+
+    def __init__(self, names: Iterable[str]):
+        names = list(names)
+        chars = sorted(set("".join(names)))
+        self.code = np.zeros(max(map(ord, chars)) + 2, np.int64)
+        self.code[list(map(ord, chars))] = np.arange(1, len(chars) + 1)
+        self.n, self.width = len(names), len(chars) + 1
+        steps, ends = {}, []
+        for name in names:
+            state = 0
+            for code in self.code[list(map(ord, name))].tolist():
+                state = steps.setdefault(state * self.width + code, len(steps) + 1)
+            ends.append(state)
+        keys = sorted(steps)
+        self.keys = np.array([*keys, np.iinfo(np.int64).max])
+        self.states = np.array([*map(steps.__getitem__, keys), 0])
+        self.piece = np.full(len(steps) + 1, -1)
+        self.piece[ends] = np.arange(self.n)
+
+    def codes(self, chars: np.ndarray) -> np.ndarray:
+        """The pieces' own numbers of characters; 0 is one that no piece has."""
+        return self.code[np.minimum(chars, len(self.code) - 1)]
+
+    def step(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        keys = states * self.width + codes
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.states[at], 0)
+
+
+def code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all words in a row, and where each word ends there."""
+    chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    return chars, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+
+
+def matches(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where pieces stand in the characters of all words: first place, end and number of each; shorter ones come first."""
+    chars, ends = code_points(words)
+    codes, last = pieces.codes(chars), np.repeat(ends, np.diff(ends, prepend=0))
+    start, state, depth, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0, []
+    while len(start):
+        inside = start + depth < last[start]
+        start, state = start[inside], state[inside]
+        state = pieces.step(state, codes[start + depth])
+        start, state, depth = start[state > 0], state[state > 0], depth + 1
+        piece = pieces.piece[state]
+        whole = piece >= 0
+        found.append((start[whole], start[whole] + depth, piece[whole]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def parts_of(words: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray]:
+    """The words cut wherever no piece bridges the place, and the place in ``words`` that each part is from.
+
+    Every segmentation has a token end there, so the expectations of a word are the sums of those of its parts.
+    """
+    text, ends = "".join(words), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    reach = np.arange(1, len(text) + 1)
+    starts, stops, _ = matches(words, pieces)
+    reach[starts] = stops
+    cuts = np.flatnonzero(np.maximum.accumulate(reach) == np.arange(1, len(text) + 1)) + 1
+    bounds = [0, *cuts.tolist()]
+    return [text[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], np.searchsorted(ends, cuts)
+
+
+def _headed(rows: np.ndarray, n: int, heads: tuple, values: tuple) -> tuple[np.ndarray, ...]:
+    """For each of ``n`` nodes one head and then its ``values``, which go with the sorted ``rows``: their counts, and each column."""
+    counts = np.bincount(rows, minlength=n) + 1
+    first = np.cumsum(counts) - counts
+    rest = np.ones(n + len(rows), bool)
+    rest[first] = False
+    columns = [np.empty(len(rest), np.int64) for _ in heads]
+    for column, head, value in zip(columns, heads, values, strict=True):
+        column[first], column[rest] = head, value
+    return counts, *columns
+
+
 class Lattice:
     """The trie of some words with every piece that leads from one node to a deeper one.
 
-    A node is a prefix; ``source``, ``target`` and ``piece`` are the edges, ordered by the depth of their target. The
-    edge of a character's bytes has the piece -1 and its number of bytes in ``n_bytes``.
+    A node is a prefix, numbered by depth. A level has the edges to the nodes of one depth: their number for each
+    node, their sources, and their labels: the piece's number, or behind the last one the bytes of a character.
+    Levels are built for all words at once; a node's open pairs are the nodes above it (itself included) from
+    which a piece may still lead on, with the states of ``Pieces`` that the way from there has come to.
     """
 
-    def __init__(self, words: list[str], pieces: dict[str, int]):
-        longest = max(map(len, pieces))
-        self.depth, self.ends, path, before, edges = [0], [], [0], "", []
-        for word in sorted(words):
-            shared, most = 0, min(len(word), len(before))
-            while shared < most and word[shared] == before[shared]:
-                shared += 1
-            del path[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                node = len(self.depth)
-                self.depth.append(end)
-                path.append(node)
-                edges.append((end, path[end - 1], node, -1, len(word[end - 1].encode())))
-                for start in range(max(0, end - longest), end):
-                    piece = pieces.get(word[start:end])
-                    if piece is not None:
-                        edges.append((end, path[start], node, piece, 0))
-            self.ends.append(path[-1])
-            before = word
-        edges.sort(key=lambda e: e[0])
-        depth, self.source, self.target, self.piece, self.n_bytes = np.array(edges, np.int64).reshape(-1, 5).T
-        bounds = np.searchsorted(depth, np.arange(1, (depth[-1] if len(depth) else 0) + 2))
-        self.levels = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    def __init__(self, words: list[str], pieces: Pieces | dict[str, int]):
+        pieces = pieces if isinstance(pieces, Pieces) else Pieces(pieces)
+        words = sorted(words)
+        chars, ends = code_points(words)
+        lengths = np.diff(ends, prepend=0)
+        codes, n_bytes = pieces.codes(chars), 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+        self.ends, self.n_nodes, self.levels = np.zeros(len(words), np.int64), 1, []
+        going, above, depth = np.flatnonzero(lengths), 0, 0  # words that go on; the first node of their depth
+        node = np.zeros(len(going), np.int64)
+        opened, sources, states = np.ones(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(going):
+            at = (ends - lengths)[going] + depth
+            fresh = np.ones(len(going), bool)
+            fresh[1:] = (node[1:] != node[:-1]) | (chars[at][1:] != chars[at][:-1])
+            parent, at, node, low = node[fresh], at[fresh], np.cumsum(fresh) - 1, self.n_nodes
+            n, count = len(at), opened[parent]
+            target = np.repeat(np.arange(n), count)
+            pair = np.arange(len(target)) + np.repeat((np.cumsum(opened) - opened)[parent] - (np.cumsum(count) - count), count)
+            state = pieces.step(states[pair], codes[at][target])
+            target, source, state = target[state > 0], sources[pair[state > 0]], state[state > 0]
+            piece = pieces.piece[state]
+            whole = piece >= 0
+            self.levels.append(
+                _headed(target[whole], n, (above + parent, pieces.n - 1 + n_bytes[at]), (source[whole], piece[whole]))
+            )
+            opened, sources, states = _headed(target, n, (low + np.arange(n), 0), (source, state))
+            above, self.n_nodes, depth = low, low + n, depth + 1
+            done = lengths[going] == depth
+            self.ends[going[done]] = low + node[done]
+            going, node = going[~done], node[~done]
 
     def expected(self, logs: np.ndarray, byte_score: float, counts: np.ndarray) -> tuple[np.ndarray, float]:
         """How often each piece is expected in the words, each ``counts`` times, and their log probability.
 
-        ``counts`` goes with the sorted words. A node's backward sum takes in all words below it, each divided
-        by its probability, so one pass over the edges serves all words.
+        ``counts`` goes with the sorted words. The forward sums give each edge its share of the ways to its node;
+        backward, the passes through a node (of all words below it) go to its edges by these shares, so one pass
+        over the edges serves all words.
         """
-        weight = np.where(self.piece < 0, self.n_bytes * byte_score, logs[self.piece])
-        forward = np.full(len(self.depth), -np.inf)
-        forward[0] = 0
-        for level in self.levels:
-            np.logaddexp.at(forward, self.target[level], forward[self.source[level]] + weight[level])
-        backward = np.full(len(self.depth), -np.inf)
-        np.logaddexp.at(backward, self.ends, np.log(counts) - forward[self.ends])
-        for level in reversed(self.levels):
-            np.logaddexp.at(backward, self.source[level], backward[self.target[level]] + weight[level])
-        known = self.piece >= 0
-        passes = np.exp(forward[self.source] + weight + backward[self.target])[known]
-        return np.bincount(self.piece[known], passes, len(logs)), float((forward[self.ends] * counts).sum())
-
-
-def fitted(words: list[str], counts: list[int], start: Unigrams, tolerance: float = TOLERANCE) -> Unigrams:
-    """The pieces of ``start`` with the probabilities that expectation and maximisation finds from sorted ``words``.
+        weights = np.concatenate([logs, byte_score * np.arange(1, 5)])
+        forward, shares, at = np.zeros(self.n_nodes), [], 1
+        for count, source, label in self.levels:
+            first, way = np.cumsum(count) - count, forward[source] + weights[label]
+            top = np.maximum.reduceat(way, first)
+            way = np.exp(way - np.repeat(top, count))
+            total = np.add.reduceat(way, first)
+            forward[at : at + len(count)] = top + np.log(total)
+            shares.append(way / np.repeat(total, count))
+            at += len(count)
+        passes, labels = np.bincount(self.ends, counts, self.n_nodes), [np.zeros(0, np.int64)]
+        for (count, source, label), share in zip(reversed(self.levels), reversed(shares), strict=True):
+            share *= np.repeat(passes[at - len(count) : at], count)
+            np.add.at(passes, source, share)
+            labels.append(label)
+            at -= len(count)
+        found = np.bincount(np.concatenate(labels), np.concatenate([np.zeros(0), *reversed(shares)]), len(weights))
+        return found[: len(logs)], float((forward[self.ends] * counts).sum())
+
+
+def expected_alone(word: str, pieces: Pieces, logs: np.ndarray, byte_score: float, count: int) -> tuple[np.ndarray, float]:
+    """What ``Lattice.expected`` gives for one word, place by place: a long one has no levels to share."""
+    chars, _ = code_points([word])
+    weights = np.concatenate([logs, byte_score * np.arange(1, 5)])
+    starts, stops, labels = matches([word], pieces)
+    n_bytes = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+    starts, stops = np.append(starts, np.arange(len(chars))), np.append(stops, np.arange(1, len(chars) + 1))
+    order = np.argsort(stops, kind="stable")
+    labels = np.append(labels, pieces.n - 1 + n_bytes)[order]
+    sources, edge_weights = starts[order].tolist(), weights[labels].tolist()
+    bounds = np.searchsorted(stops[order], np.arange(1, len(chars) + 2)).tolist()
+    forward, shares = [0.0], []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        ways = [forward[sources[e]] + edge_weights[e] for e in range(a, b)]
+        top = max(ways)
+        ways = [math.exp(w - top) for w in ways]
+        total = sum(ways)
+        forward.append(top + math.log(total))
+        shares += [w / total for w in ways]
+    passes = [0.0] * len(chars) + [float(count)]
+    for stop in range(len(chars), 0, -1):
+        here = passes[stop]
+        for e in range(bounds[stop - 1], bounds[stop]):
+            shares[e] *= here
+            passes[sources[e]] += shares[e]
+    return np.bincount(labels, shares, len(weights))[: len(logs)], forward[-1] * count
+
+
+#: Expected counts of the pieces and the log probability of all words, by log probabilities and the score of a byte.
+Expect = Callable[[np.ndarray, float], tuple[np.ndarray, float]]
+
+
+def maximised(expect: Expect, start: Unigrams, tolerance: float) -> Unigrams:
+    """The pieces of ``start`` with the probabilities that expectation and maximisation finds.
 
     Each round raises the log probability of the words and of the prior, so the rounds come to an end.
     """
-    if not words:
-        return start
-    names, n = list(start.scores), np.array(counts, float)
-    lattice = Lattice(words, {name: k for k, name in enumerate(names)})
-    logs, byte_score, before = np.array(list(start.scores.values())), start.byte_score, -np.inf
+    logs, before = np.array(list(start.scores.values())), -np.inf
     while True:
-        expected, found = lattice.expected(logs, byte_score, n)
+        expected, found = expect(logs, start.byte_score)
         merit = found + PRIOR * logs.sum()
         if merit - before <= tolerance * abs(merit):
-            return Unigrams.of(dict(zip(names, logs.tolist(), strict=True)))
+            return Unigrams.of(dict(zip(start.scores, logs.tolist(), strict=True)))
         logs, before = np.log(expected + PRIOR) - np.log((expected + PRIOR).sum()), merit
 
 
-def estimate_unigrams(documents: DataFrame, start: Unigrams, sample_words: int = SAMPLE_WORDS) -> Unigrams:
+def fitted(words: list[str], counts: list[int], start: Unigrams, tolerance: float = TOLERANCE) -> Unigrams:
+    """The pieces of ``start`` with probabilities estimated from a list of sorted ``words``."""
+    if not words:
+        return start
+    lattice, n = Lattice(words, Pieces(start.scores)), np.array(counts, float)
+    return maximised(lambda logs, byte_score: lattice.expected(logs, byte_score, n), start, tolerance)
+
+
+def portions(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, int]]:
+    """Distinct words with their counts, together until they have ``LATTICE_CHARS`` characters."""
+    words, size = {}, 0
+    for batch in batches:
+        for word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words[word] = n
+            size += len(word)
+            if size > LATTICE_CHARS:
+                yield words
+                words, size = {}, 0
+    if words:
+        yield words
+
+
+def _parts(batch: pa.RecordBatch, pieces: Broadcast) -> pa.RecordBatch:
+    parts, counts = [], [np.zeros(0, np.int64)]
+    for words in portions([batch]):
+        more, rows = parts_of([MARK + w for w in words], pieces.value)
+        parts += more
+        counts.append(np.fromiter(words.values(), np.int64, len(words))[rows])
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.string()), pa.array(np.concatenate(counts))], ["part", "n"])
+
+
+def _expected(
+    batches: Iterator[pa.RecordBatch], pieces: Broadcast, logs: np.ndarray, byte_score: float
+) -> Iterator[pa.RecordBatch]:
+    """Of the parts of one task: the expected count of each piece, and for the piece -1 their log probability."""
+    enter_stage()
+    try:
+        found = [(np.zeros(len(logs)), 0.0)]
+        for parts in portions(batches):
+            short = sorted(p for p in parts if len(p) <= LONG)
+            counts = np.array([parts[p] for p in short], float)
+            found.append(Lattice(short, pieces.value).expected(logs, byte_score, counts))
+            found += [expected_alone(p, pieces.value, logs, byte_score, n) for p, n in parts.items() if len(p) > LONG]
+            found = [tuple(map(sum, zip(*found, strict=True)))]
+        expected, log_prob = found[0]
+        at = np.flatnonzero(expected)
+        arrays = [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(expected[at], log_prob))]
+        yield pa.RecordBatch.from_arrays(arrays, ["piece", "expected"])
+    finally:
+        release_memory()
+
+
+def estimate_unigrams(documents: DataFrame, start: Unigrams, sample_words: int | None = None) -> Unigrams:
     """The pieces of ``start`` with probabilities estimated from the words of ``documents``.
 
-    Words, here parts between ASCII white space, are counted over all documents. Of the distinct ones of at
-    most ``SAMPLE_CHARS`` characters, those whose hash is below the share that ``sample_words`` has of them
-    make the fit, each with its whole count; these (about ``sample_words``) alone come to the driver. Without
-    any words, ``start`` is returned.
+    Words, here parts between ASCII white space, are counted over all documents, and each round goes over all
+    distinct ones, in tasks that each add up the expected counts of their own; only the sums for the pieces
+    come to the driver. Log probabilities are rounded to multiples of 2^-20, so that sums of them are exact and
+    the order of the tasks decides nothing. Without any words, ``start`` is returned. With ``sample_words``, the
+    distinct words whose hash is below the share that so many have of them make the fit alone.
     """
+    spark = documents.sparkSession
     text = pick(documents, doc_id="long", text="string").select(F.explode(F.split("text", r"\s+")).alias("word"))
-    counted = text.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
-    counts = written(counted.where(F.length("word") <= SAMPLE_CHARS), "words")
-    distinct = counts.count()
-    if distinct > sample_words:
-        counts = counts.where(F.xxhash64("word") < -(1 << 63) + (sample_words << 64) // distinct)
-    found = sorted((MARK + r.word, r.n) for r in counts.collect())
-    return fitted([w for w, _ in found], [n for _, n in found], start)
+    counts = text.where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    if sample_words is not None:
+        counts = written(counts, "words")
+        distinct = counts.count()
+        if distinct > sample_words:
+            counts = counts.where(F.xxhash64("word") < -(1 << 63) + (sample_words << 64) // distinct)
+    pieces = spark.sparkContext.broadcast(Pieces(start.scores))
+    parts = map_batches(counts, partial(_parts, pieces=pieces), "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    parts = written(parts.repartitionByRange("part").sortWithinPartitions("part"), "parts")  # neighbours share beginnings
+
+    def expect(logs: np.ndarray, byte_score: float) -> tuple[np.ndarray, float]:
+        run = partial(_expected, pieces=pieces, logs=logs, byte_score=byte_score)
+        found = parts.mapInArrow(run, "piece int, expected double").groupBy("piece").agg(F.sum("expected")).collect()
+        sums = np.zeros(len(logs) + 1)
+        for piece, n in found:
+            sums[piece] = n
+        return sums[:-1], float(sums[-1])
+
+    fit = start if parts.isEmpty() else maximised(expect, start, TOLERANCE)
+    pieces.destroy()
+    if fit is start:
+        return start
+    return Unigrams.of({piece: round(log * 2**20) / 2**20 for piece, log in fit.scores.items()})
 
 
 def trie_counts(words: list[str], unigrams: Unigrams) -> tuple[list[int], list[float]]:

@@ -13,10 +13,13 @@ from millrace.llm.token_counts import (
     PRIOR,
     Counter,
     Lattice,
+    Pieces,
     Unigrams,
     count_tokens,
     estimate_unigrams,
+    expected_alone,
     fitted,
+    parts_of,
     piece_file,
     trie_counts,
 )
@@ -141,3 +144,36 @@ def test_probabilities_from_all_documents(spark, unigrams):
     assert estimate_unigrams(docs.limit(0), unigrams) is unigrams
     nothing = spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")
     assert estimate_unigrams(nothing, unigrams) is unigrams
+
+
+def test_parts_and_single_words_give_the_same_sums():
+    rng = random.Random(5)
+    names = sorted({"".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(12)} | {"bé"})
+    pieces, logs = Pieces(names), np.array([math.log(rng.random() / 9) for _ in names])
+    words = sorted({"".join(rng.choices("abcdé日", k=rng.randint(1, 12))) for _ in range(80)})
+    counts = np.array([rng.randint(1, 9) for _ in words], float)
+    expected, total = Lattice(words, pieces).expected(logs, -6.0, counts)
+    parts, rows = parts_of(words, pieces)
+    assert ["".join(p for p, r in zip(parts, rows, strict=True) if r == k) for k in range(len(words))] == words
+    assert len(parts) > 2 * len(words)
+    alone = [expected_alone(w, pieces, logs, -6.0, n) for w, n in zip(words, counts, strict=True)]
+    of_parts = [expected_alone(p, pieces, logs, -6.0, counts[r]) for p, r in zip(parts, rows, strict=True)]
+    for found in (alone, of_parts):
+        assert np.allclose(sum(e for e, _ in found), expected)
+        assert math.isclose(sum(log for _, log in found), total, rel_tol=1e-9)
+    assert parts_of([], pieces)[0] == [] and Lattice([], pieces).expected(logs, -6.0, np.zeros(0))[1] == 0
+
+
+def test_probabilities_from_every_distinct_word(spark):
+    rng = random.Random(8)
+    start = Unigrams.of({p: -3.0 for p in (MARK, *"abcde", "ab", "bc", "cab", "ddd", MARK + "e", "eeee", "dé")})
+    words = collections.Counter("".join(rng.choices("abcdeé", k=rng.randint(6, 9))) for _ in range(40_000))
+    words.update({"e" * 90: 3000, "dab" * 200: 40})
+    assert len(words) > 35_000
+    tokens = [w for w, n in words.items() for _ in range(n)]
+    rng.shuffle(tokens)
+    rows = [(k, " ".join(tokens[k::300])) for k in range(300)]
+    model = estimate_unigrams(spark.createDataFrame(rows, "doc_id long, text string"), start)
+    plain_fit = fitted(sorted(MARK + w for w in words), [words[w] for w in sorted(words)], start)
+    assert model.scores.keys() == plain_fit.scores.keys()
+    assert np.allclose(list(model.scores.values()), list(plain_fit.scores.values()))
