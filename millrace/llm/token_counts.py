@@ -3,7 +3,8 @@
 The distinct words of a batch, in sorted order, are the depth-first walk of their trie: what a
 word shares with the one before is a path from the root that is already scored. The forward scores
 (best log probability and token count of every prefix) of that path are kept, and only the rest of
-the word is computed. Counts at the ends of words are stored, and documents add them up.
+the word is computed. ``Lattice`` goes through the same trie depth by depth, for many words at once.
+Counts at the ends of words are stored, and documents add them up.
 
 The vocabulary file tells the order of the pieces and no probabilities. These are estimated by
 expectation and maximisation over all distinct words, whose forward and backward sums are shared over
@@ -180,9 +181,8 @@ class Lattice:
             target, source, state = target[state > 0], sources[pair[state > 0]], state[state > 0]
             piece = pieces.piece[state]
             whole = piece >= 0
-            self.levels.append(
-                _headed(target[whole], n, (above + parent, pieces.n - 1 + n_bytes[at]), (source[whole], piece[whole]))
-            )
+            edges = (above + parent, pieces.n - 1 + n_bytes[at]), (source[whole], piece[whole])
+            self.levels.append(_headed(target[whole], n, *edges))
             opened, sources, states = _headed(target, n, (low + np.arange(n), 0), (source, state))
             above, self.n_nodes, depth = low, low + n, depth + 1
             done = lengths[going] == depth
@@ -215,6 +215,19 @@ class Lattice:
         found = np.bincount(np.concatenate(labels), np.concatenate([np.zeros(0), *reversed(shares)]), len(weights))
         return found[: len(logs)], float((forward[self.ends] * counts).sum())
 
+    def best(self, logs: np.ndarray, byte_score: float) -> tuple[np.ndarray, np.ndarray]:
+        """What ``trie_counts`` gives for the sorted words."""
+        weights, steps = np.concatenate([logs, byte_score * np.arange(1, 5)]), np.ones(len(logs) + 4, np.int64)
+        steps[len(logs) :] = np.arange(1, 5)
+        scores, tokens, at = np.zeros(self.n_nodes), np.zeros(self.n_nodes, np.int64), 1
+        for count, source, label in self.levels:
+            first, way = np.cumsum(count) - count, scores[source] + weights[label]
+            top, here = np.maximum.reduceat(way, first), slice(at, at + len(count))
+            number = np.where(way == np.repeat(top, count), tokens[source] + steps[label], np.iinfo(np.int64).max)
+            scores[here], tokens[here] = top, np.minimum.reduceat(number, first)
+            at += len(count)
+        return tokens[self.ends], scores[self.ends]
+
 
 def expected_alone(word: str, pieces: Pieces, logs: np.ndarray, byte_score: float, count: int) -> tuple[np.ndarray, float]:
     """What ``Lattice.expected`` gives for one word, place by place: a long one has no levels to share."""
@@ -385,8 +398,24 @@ class Counter:
 
     def __init__(self, unigrams: Unigrams, words: int = 500_000):
         self.unigrams, self.most = unigrams, words
+        self.pieces, self.logs = Pieces(unigrams.scores), np.array(list(unigrams.scores.values()))
         self.known, self.tokens, self.scores = {}, [], []
 
+    def _learn(self, words: list[str]) -> None:
+        """Count sorted words that are not known yet: long ones by themselves, the others at once."""
+        short = [w for w in words if len(w) <= LONG]
+        long = [w for w in words if len(w) > LONG]
+        found = [(long, *trie_counts([MARK + w for w in long], self.unigrams))]
+        blocks = np.cumsum(np.fromiter(map(len, short), np.int64, len(short))) // LATTICE_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(short)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            tokens, scores = Lattice([MARK + w for w in short[a:b]], self.pieces).best(self.logs, self.unigrams.byte_score)
+            found.append((short[a:b], tokens.tolist(), scores.tolist()))
+        for some, tokens, scores in found:
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+            self.tokens += tokens
+            self.scores += scores
+
     def add_up(self, texts: list[str]) -> list[tuple[int, int, float]]:
         """(words, tokens, log probability) of each text."""
         if len(self.known) > self.most:
@@ -395,10 +424,7 @@ class Counter:
         words = [w for one in split for w in one]
         fresh = sorted(w for w in set(words) if w not in self.known)
         if fresh:
-            tokens, scores = trie_counts([MARK + w for w in fresh], self.unigrams)
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            self.tokens += tokens
-            self.scores += scores
+            self._learn(fresh)
         codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         if fresh or not hasattr(self, "_arrays"):
             self._arrays = np.array(self.tokens, np.int64), np.array(self.scores)

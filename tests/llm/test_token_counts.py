@@ -177,3 +177,23 @@ def test_probabilities_from_every_distinct_word(spark):
     plain_fit = fitted(sorted(MARK + w for w in words), [words[w] for w in sorted(words)], start)
     assert model.scores.keys() == plain_fit.scores.keys()
     assert np.allclose(list(model.scores.values()), list(plain_fit.scores.values()))
+
+
+def test_best_ways_over_the_trie_are_those_of_single_words():
+    rng = random.Random(6)
+    scores = {"".join(rng.choices("abcé", k=rng.randint(1, 4))): -rng.randint(1, 12) / 2 for _ in range(25)}
+    model = Unigrams.of(scores)
+    words = sorted({"".join(rng.choices("abcdé日\U0001f9ff", k=rng.randint(1, 9))) for _ in range(400)})
+    tokens, logs = Lattice(words, Pieces(scores)).best(np.array(list(scores.values())), model.byte_score)
+    assert [*zip(tokens.tolist(), logs.tolist(), strict=True)] == [plain(w, model) for w in words]
+
+
+def test_long_and_many_words_at_once(monkeypatch):
+    model = Unigrams.of({p: -1.0 - k for k, p in enumerate((MARK, "a", "b", "ab", "bab", MARK + "ab"))})
+    texts = ["ab" * 300 + " ba", "b " + "ba" * 200, " ".join("ab" * k + "c" for k in range(60))]
+    monkeypatch.setattr("millrace.llm.token_counts.LATTICE_CHARS", 100)
+    found = Counter(model).add_up(texts)
+    for text, (n, tokens, log_prob) in zip(texts, found, strict=True):
+        of_words = [plain(MARK + w, model) for w in text.split()]
+        assert (n, tokens) == (len(of_words), sum(t for t, _ in of_words))
+        assert math.isclose(log_prob, sum(s for _, s in of_words), rel_tol=1e-9)
